@@ -1,0 +1,4 @@
+"""Nothing here on purpose: the work is batch only.
+
+Incremental runs are done with resumable stages (``sources.stages``).
+"""
