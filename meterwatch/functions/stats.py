@@ -22,8 +22,10 @@ def mahalanobis_2d(dx: Column, dy: Column, vx: Column, vy: Column, cxy: Column)
     singular = raw <= F.lit(SINGULAR_TOLERANCE) * vx * vy
     ax = F.when(singular, vx + F.lit(REGULARISATION)).otherwise(vx)
     ay = F.when(singular, vy + F.lit(REGULARISATION)).otherwise(vy)
-    det = F.greatest(ax * ay - cxy * cxy, F.lit(1e-300))
-    squared = F.greatest((ay * dx * dx - F.lit(2.0) * cxy * dx * dy + ax * dy * dy) / det, F.lit(0.0))
+    raw_det = ax * ay - cxy * cxy
+    det = F.when(raw_det < 1e-300, F.lit(1e-300)).otherwise(raw_det)
+    raw_squared = (ay * dx * dx - F.lit(2.0) * cxy * dx * dy + ax * dy * dy) / det
+    squared = F.when(raw_squared < 0, F.lit(0.0)).otherwise(raw_squared)  # NULL stays NULL
     density = F.exp(-squared / F.lit(2.0)) / (F.lit(2.0 * math.pi) * F.sqrt(det))
     return F.sqrt(squared), density
 

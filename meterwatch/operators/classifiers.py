@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from meterwatch.operators.ordering import ordered_prefix
 from meterwatch.operators.relational import most_frequent
 from meterwatch.operators.series import add_index, percent_change
-from meterwatch.session import shared_folder
+from meterwatch.session import persist_table, shared_folder
 
 NUMERIC = ("mean", "std", "min", "max", "last", "pct_mean", "pct_std", "trend")
 MISSING_CATEGORY = "__missing"
@@ -85,7 +85,9 @@ def train(df: DataFrame, kind: str, numeric: Sequence[str] = NUMERIC, categories
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
     model = _model(kind, seed).setLabelCol(label).setFeaturesCol("features")
-    return Pipeline(stages=[*encoder(numeric, categories), model]).fit(prepare(df, numeric, categories))
+    # many passes follow: read a table instead of repeating the features
+    rows = persist_table(prepare(df, numeric, categories).select(*numeric, *categories, label))
+    return Pipeline(stages=[*encoder(numeric, categories), model]).fit(rows)
 
 
 def score(model: PipelineModel, df: DataFrame, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = (),

@@ -84,5 +84,5 @@ def threshold_sweep(
 
 def best_threshold(sweep: DataFrame) -> DataFrame:
     """Threshold of the largest net benefit, the lower one on ties."""
-    return arg_best(sweep, [F.round("net_benefit", 2).desc(), F.col("threshold").asc()]).select(
+    return arg_best(sweep, [F.round("net_benefit", 0).desc(), F.col("threshold").asc()]).select(
         "threshold", "net_benefit", "visits")

@@ -62,6 +62,8 @@ def grow_tree(x: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
             continue
         f = int(rng.choice(varying))
         at = float(rng.uniform(low[f], high[f]))
+        if at >= high[f]:  # rounding, where the two are neighbours
+            at = float(low[f])
         below = x[rows, f] <= at
         feature[node], cut[node] = f, at
         left[node], right[node] = add(), add()

@@ -78,48 +78,63 @@ def assign(df: DataFrame, attributes: Sequence[str], modes: Sequence[Mode], out:
         *[F.col(c) for c in df.columns], F.col("__near.c").alias(out), F.col("__near.d").alias("mismatch"))
 
 
-def _round(profiles: DataFrame, attributes: Sequence[str], modes: list[Mode]) -> tuple[int, list[Mode]]:
-    """Cost under ``modes`` and the modes of the clusters they make."""
-    assigned = assign(profiles, attributes, modes)
-    cells = assigned.select("cluster", "mismatch", "w", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("a"), F.col(a).cast("string").alias("v")) for n, a in enumerate(attributes)
-    ])).alias("cell")).select("cluster", "cell.a", "cell.v", "w", (F.col("mismatch") * F.col("w")).alias("loss"))
-    counted = cells.groupBy("cluster", "a", "v").agg(F.sum("w").alias("n"), F.sum("loss").alias("loss"))
+def _round(profiles: DataFrame, attributes: Sequence[str], models: dict[int, list[Mode]]) -> dict[int, tuple[int, list[Mode]]]:
+    """Per model its cost and the modes of the clusters it makes, in one pass."""
+    cells = []
+    for k, modes in models.items():
+        near = F.array_min(F.array(*[
+            F.struct(mismatches(attributes, m).alias("d"), F.lit(n).alias("c")) for n, m in enumerate(modes)]))
+        cells.append(F.struct(F.lit(k).alias("k"), near.alias("near")))
+    assigned = profiles.select(*attributes, "w", F.explode(F.array(*cells)).alias("m")).select(
+        F.col("m.k").alias("k"), F.col("m.near.c").alias("cluster"), (F.col("m.near.d") * F.col("w")).alias("loss"), "w",
+        F.explode(F.array(*[
+            F.struct(F.lit(n).alias("a"), F.col(a).cast("string").alias("v")) for n, a in enumerate(attributes)
+        ])).alias("cell"))
+    counted = assigned.groupBy("k", "cluster", "cell.a", "cell.v").agg(F.sum("w").alias("n"), F.sum("loss").alias("loss"))
     # most frequent value, smallest on ties
-    best = counted.groupBy("cluster", "a").agg(
+    best = counted.groupBy("k", "cluster", "a").agg(
         F.min(F.struct((-F.col("n")).alias("n"), F.col("v").alias("v"))).alias("b"), F.sum("loss").alias("loss"))
-    rows = best.select("cluster", "a", "b.v", "loss").collect()  # k * attributes rows
-    updated = [list(m) for m in modes]
-    for r in rows:
-        updated[r["cluster"]][r["a"]] = r["v"]
-    cost = sum(r["loss"] for r in rows if r["a"] == 0)
-    return int(cost), [tuple(m) for m in updated]
-
-
-def fit(profiles: DataFrame, attributes: Sequence[str], k: int, start: Sequence[Mode] | None = None,
-        max_rounds: int = MAX_ROUNDS) -> Clustering:
-    modes = list(start[:k]) if start is not None else initial_modes(profiles, attributes, k)
-    costs: list[int] = []
+    rows = best.select("k", "cluster", "a", "b.v", "loss").collect()  # k * attributes rows per model
+    out = {}
+    for k, modes in models.items():
+        updated, cost = [list(m) for m in modes], 0
+        for r in rows:
+            if r["k"] == k:
+                updated[r["cluster"]][r["a"]] = r["v"]
+                cost += r["loss"] if r["a"] == 0 else 0
+        out[k] = (int(cost), [tuple(m) for m in updated])
+    return out
+
+
+def fit(profiles: DataFrame, attributes: Sequence[str], ks: Sequence[int], start: Sequence[Mode] | None = None,
+        max_rounds: int = MAX_ROUNDS) -> dict[int, Clustering]:
+    """One clustering per ``k``; every round is one job for all of them."""
+    start = initial_modes(profiles, attributes, max(ks)) if start is None else list(start)
+    models = {k: Clustering(start[:k], []) for k in ks}
+    active = list(ks)
     for _ in range(max_rounds):
-        cost, updated = _round(profiles, attributes, modes)
-        costs.append(cost)
-        if updated == modes or (len(costs) > 1 and costs[-1] >= costs[-2]):
+        results = _round(profiles, attributes, {k: models[k].modes for k in active})
+        for k, (cost, updated) in results.items():
+            model = models[k]
+            model.costs.append(cost)
+            if updated == model.modes or (len(model.costs) > 1 and cost >= model.costs[-2]):
+                active.remove(k)
+            else:
+                model.modes = updated
+        if not active:
             break
-        modes = updated
-    return Clustering(modes, costs)
+    return models
 
 
 def kmodes(df: DataFrame, attributes: Sequence[str], k: int = 10, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """``df`` (complete rows) with its cluster and mismatches."""
-    profiles = distinct_profiles(df, attributes)
-    model = fit(profiles, attributes, k, max_rounds=max_rounds)
+    model = fit(distinct_profiles(df, attributes), attributes, [k], max_rounds=max_rounds)[k]
     return assign(df.dropna(subset=list(attributes)), attributes, model.modes)
 
 
 def elbow(df: DataFrame, attributes: Sequence[str], ks: Sequence[int] = tuple(range(5, 21)),
           max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Cost for every ``k``; the start is searched once, for the largest."""
-    profiles = distinct_profiles(df, attributes)
-    start = initial_modes(profiles, attributes, max(ks))
-    rows = [(int(k), fit(profiles, attributes, k, start, max_rounds).cost) for k in ks]
+    models = fit(distinct_profiles(df, attributes), attributes, list(ks), max_rounds=max_rounds)
+    rows = [(int(k), m.cost) for k, m in models.items()]
     return df.sparkSession.createDataFrame(rows, "k int, cost long")

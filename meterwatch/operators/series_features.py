@@ -207,7 +207,7 @@ def fourier(s: DataFrame, id_col: str = "series_id", coefficients: int = FOURIER
         F.sum(F.col("x") * F.cos(angle)).alias("re"), (-F.sum(F.col("x") * F.sin(angle))).alias("im"))
     # noise around zero would flip the angle between -180 and 180
     re, im = F.round("re", 6) + F.lit(0.0), F.round("im", 6) + F.lit(0.0)
-    return sums.select(id_col, "k", re.alias("fft_real"), im.alias("fft_imag"),
+    return sums.select(id_col, "k", F.col("re").alias("fft_real"), F.col("im").alias("fft_imag"),
                        F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("fft_abs"),
                        F.degrees(F.atan2(im, re)).alias("fft_angle"))
 

@@ -142,7 +142,7 @@ CUSUM = {
                from (select *, sum(r) over (partition by series_id order by t) as c from res) group by 1""",
     "cusum": f"""select series_id, {r('s')} as cusum_stat, {r('p')} as cusum_pval, p < 0.1 as structural_change from (
         select *, case when s is null then null when s <= 0 then 1 when s < 0.5
-            then 1 - sqrt(2 * pi()) / s * (select sum(exp(-(2 * k - 1) ** 2 * pi() ** 2 / (8 * s * s))) from range(1, 21) g(k))
+            then 1 - sqrt(2 * pi()) / s * (select sum(exp(-((2 * k - 1) ** 2) * pi() ** 2 / (8 * s * s))) from range(1, 21) g(k))
             else least(greatest(2 * (select sum((case when k % 2 = 1 then 1 else -1 end) * exp(-2 * k * k * s * s)) from range(1, 21) g(k)), 0), 1)
             end as p from stat)""",
 }
@@ -176,8 +176,8 @@ def _trailing(v: Views) -> DataFrame:
 
 
 ETS = {
-    "trailing": TRAILING_SQL,
-    "arrays": "select series_id, list(value order by period) as y, count(*) as n from trailing group by 1",
+    "recent": TRAILING_SQL,
+    "arrays": "select series_id, list(value order by period) as y, count(*) as n from recent group by 1",
     "gate": """select *, n >= 19 and list_stddev_pop(y[1:15]) >= 1e-3 as enough,
                list_avg(list_transform(y[1:least(n, 15)], lambda e: abs(e))) as magnitude from arrays""",
     "fits": """select series_id, a, b, list_reduce(y[2:15], lambda s, e: {
@@ -213,9 +213,9 @@ def _aicc(tag: str) -> str:
 
 
 AR = {
-    "trailing": TRAILING_SQL,
+    "recent": TRAILING_SQL,
     "steps": """select series_id, value as y, row_number() over w as i, count(*) over (partition by series_id) as n,
-                lag(value) over w as y1, lag(value, 2) over w as y2 from trailing window w as (partition by series_id order by period)""",
+                lag(value) over w as y1, lag(value, 2) over w as y2 from recent window w as (partition by series_id order by period)""",
     "sums": f"""select series_id, max(n) as n, stddev_pop(y) filter (i <= 15) as deviation, avg(abs(y)) filter (i <= 15) as magnitude,
                 max(y) filter (i = 15) as last_y, max(y - y1) filter (i = 15) as last_step,
                 {_ar_sums('level', 'y', 'y1')}, {_ar_sums('step', '(y - y1)', '(y1 - y2)')},

@@ -242,7 +242,7 @@ TRAILING_SQL = "select * from fx_panel where period > (select max(period) - inte
                  count(*) filter (t >= 1 and t < n - 1 and x > b and x > a) as peaks
           from (select *, lag(x) over ({ORD}) as b, lead(x) over ({ORD}) as a from s) group by 1) a
     join (select s_suppkey as series_id, s_nationkey as nation from supplier) using (series_id)""", digits=4,
-       ctes={"trailing": TRAILING_SQL, "s": INDEXED_SQL.replace("fx_panel", "trailing")})
+       ctes={"recent": TRAILING_SQL, "s": INDEXED_SQL.replace("fx_panel", "recent")})
 def feature_table(v: Views) -> DataFrame:
     """All features of the last 19 months; the SQL checks some of them."""
     meta = v.t("supplier").select(F.col("s_suppkey").alias("series_id"), F.col("s_nationkey").alias("nation"))
