@@ -18,6 +18,8 @@ from meterwatch.session import persist_table, shared_folder
 
 NUMERIC = ("mean", "std", "min", "max", "last", "pct_mean", "pct_std", "trend")
 MISSING_CATEGORY = "__missing"
+ROWS_PER_TASK = 20_000
+TREES = 100
 
 
 def supervised_features(
@@ -68,25 +70,27 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "series_
     return ranked.select(*df.columns, (F.col("__r") * 1000 <= F.col("__n") * share).alias("train"))
 
 
-def _model(kind: str, seed: int):
+def _model(kind: str, seed: int, trees: int):
     if kind == "gbt":
-        return GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=seed)
+        return GBTClassifier(maxIter=trees, stepSize=0.1, maxDepth=3, seed=seed)
     if kind == "gbt_deep":
-        return GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=5, seed=seed)
+        return GBTClassifier(maxIter=trees, stepSize=0.1, maxDepth=5, seed=seed)
     if kind == "forest":
-        return RandomForestClassifier(numTrees=100, seed=seed)
+        return RandomForestClassifier(numTrees=trees, seed=seed)
     raise ValueError(f"unknown model {kind}")
 
 
 def train(df: DataFrame, kind: str, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = (),
-          label: str = "label", seed: int = 42) -> PipelineModel:
+          label: str = "label", seed: int = 42, trees: int = TREES) -> PipelineModel:
     """Encoder and classifier fitted on the rows given."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    model = _model(kind, seed).setLabelCol(label).setFeaturesCol("features")
+    model = _model(kind, seed, trees).setLabelCol(label).setFeaturesCol("features")
     # many passes follow: read a table instead of repeating the features
     rows = persist_table(prepare(df, numeric, categories).select(*numeric, *categories, label))
+    # hundreds of short jobs: no more tasks than the rows are worth
+    rows = rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
     return Pipeline(stages=[*encoder(numeric, categories), model]).fit(rows)
 
 

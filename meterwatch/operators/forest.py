@@ -1,7 +1,7 @@
 """Isolation forest inside each group, spread over the cluster.
 
-Samples are drawn in Spark by hash order, a tree is grown from at most
-``PSI`` rows in one small task, and rows are scored in chunks that meet a copy
+Samples are drawn in Spark by hash order, trees are grown in blocks from at
+most ``PSI`` rows each, and rows are scored in chunks that meet a copy
 of their group's trees; so neither a huge group nor many groups gather in one
 place.
 """
@@ -25,6 +25,8 @@ from meterwatch.session import persist_table
 TREES = 100
 PSI = 256
 CHUNK_ROWS = 20_000
+SCORE_ROWS = 2_000  # rows in memory times trees
+TREES_PER_BLOCK = 25
 # room above PSI in the pre-draw: eight standard deviations of its size
 DRAW = PSI + 8 * int(math.sqrt(2 * PSI))
 EULER = 0.5772156649015329
@@ -37,51 +39,55 @@ def expected_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, body, np.where(n == 2, 1.0, 0.0))
 
 
-def grow_tree(x: np.ndarray, rng: np.random.Generator) -> dict[str, list]:
-    """Random splits until rows are single, equal or the depth limit is hit.
+def grow_trees(x: np.ndarray, tree: np.ndarray, trees: int, depth: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """(feature, cut) of many trees, grown side by side level by level.
 
-    A leaf has feature -1 and the depth plus expected rest as its cut.
+    ``tree`` says which tree each sample row belongs to. Nodes lie in heap
+    order, so the children of ``i`` are ``2i + 1`` and ``2i + 2``. A leaf has
+    feature -1 and its depth plus the expected rest as cut; single or equal
+    rows end early.
     """
-    limit = math.ceil(math.log2(max(len(x), 2)))
-    feature, cut, left, right = [], [], [], []
-
-    def add() -> int:
-        feature.append(-1)
-        cut.append(0.0)
-        left.append(-1)
-        right.append(-1)
-        return len(feature) - 1
-
-    stack = [(add(), np.arange(len(x)), 0)]
-    while stack:
-        node, rows, depth = stack.pop()
-        low, high = x[rows].min(0), x[rows].max(0)
-        varying = np.flatnonzero(high > low)
-        if depth >= limit or len(rows) <= 1 or not len(varying):
-            cut[node] = depth + float(expected_path(len(rows)))
-            continue
-        f = int(rng.choice(varying))
-        at = float(rng.uniform(low[f], high[f]))
-        if at >= high[f]:  # rounding, where the two are neighbours
-            at = float(low[f])
-        below = x[rows, f] <= at
-        feature[node], cut[node] = f, at
-        left[node], right[node] = add(), add()
-        stack.append((left[node], rows[below], depth + 1))
-        stack.append((right[node], rows[~below], depth + 1))
-    return {"feature": feature, "cut": cut, "left": left, "right": right}
-
-
-def path_lengths(x: np.ndarray, feature: np.ndarray, cut: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    nodes = 2 ** (depth + 1) - 1
+    feature = np.full((trees, nodes), -1, np.int32)
+    cut = np.zeros((trees, nodes))
     node = np.zeros(len(x), int)
-    rows = np.arange(len(x))
+    for level in range(depth + 1):
+        if not len(x):
+            break
+        order = np.lexsort((node, tree))
+        x, tree, node = x[order], tree[order], node[order]
+        place = tree * nodes + node
+        start = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+        size = np.diff(np.r_[start, len(x)])
+        low, high = np.minimum.reduceat(x, start), np.maximum.reduceat(x, start)
+        varying = high > low
+        inner = varying.any(1) & (level < depth)
+        # one varying feature at random per node: the largest of random keys
+        chosen = np.where(varying, rng.random(varying.shape), -1.0).argmax(1)
+        rows = np.arange(len(start))
+        bottom, top = low[rows, chosen], high[rows, chosen]
+        at = bottom + rng.random(len(start)) * (top - bottom)
+        at = np.where(at >= top, bottom, at)  # rounding, where the two are neighbours
+        feature[tree[start], node[start]] = np.where(inner, chosen, -1)
+        cut[tree[start], node[start]] = np.where(inner, at, level + expected_path(size))
+        of = np.repeat(rows, size)
+        keep = inner[of]
+        right = x[np.arange(len(x)), chosen[of]] > at[of]
+        x, tree, node = x[keep], tree[keep], (2 * node + 1 + right)[keep]
+    return feature, cut
+
+
+def path_lengths(x: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Path length of every row in every tree, (rows, trees)."""
+    node = np.zeros((len(x), len(feature)), int)
+    rows, which = np.arange(len(x))[:, None], np.arange(len(feature))[None, :]
     while True:
-        f = feature[node]
+        f = feature[which, node]
         inner = f >= 0
         if not inner.any():
-            return cut[node]
-        go_left = x[rows, np.maximum(f, 0)] <= cut[node]
-        node = np.where(inner, np.where(go_left, left[node], right[node]), node)
+            return cut[which, node]
+        right = x[rows, np.maximum(f, 0)] > cut[which, node]
+        node = np.where(inner, 2 * node + 1 + right, node)
 
 
 def isolation_forest(
@@ -95,6 +101,7 @@ def isolation_forest(
     ``contamination`` quantile in the group. ``require_group`` raises if no
     group reaches ``min_size``.
     """
+    spark = df.sparkSession
     names = list(features)
     clean = df.filter(all_present(group)).select(
         id_col, *group, *[finite_or(F.col(c).cast("double")).alias(c) for c in names])
@@ -119,15 +126,23 @@ def isolation_forest(
     key_schema = ", ".join(f"`{g}` {kinds[g]}" for g in group_key)
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack(pdf.sort_values("__r")["x"].to_numpy())
-        tree = grow_tree(x, np.random.default_rng([seed, int(key[-1]), len(x)]))
-        row = dict(zip(group_key, key[:-1]), tree=int(key[-1]), psi=len(x), **tree)
-        return pd.DataFrame([row])
-
-    tree_schema = (f"{key_schema}, tree int, psi int, feature array<int>, cut array<double>, "
-                   "left array<int>, right array<int>")
-    forest = persist_table(
-        drawn.select(*group_key, "tree", "__r", "x").groupBy(*group_key, "tree").applyInPandas(grow, tree_schema))
+        pdf = pdf.sort_values(["tree", "__r"])
+        names_of, which = np.unique(pdf["tree"].to_numpy(), return_inverse=True)
+        psi = int(pdf["__r"].max())
+        depth = math.ceil(math.log2(max(psi, 2)))
+        feature, cut = grow_trees(np.stack(pdf["x"].to_numpy()), which, len(names_of), depth,
+                                  np.random.default_rng([seed, int(key[-1]), len(pdf)]))
+        out = pd.DataFrame({"tree": names_of, "psi": psi, "feature": list(feature), "cut": list(cut)})
+        for name, value in zip(group_key, key):
+            out[name] = value
+        return out
+
+    # growing is Python work on little data: keep every core busy
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    blocks = (drawn.withColumn("__block", (F.col("tree") / TREES_PER_BLOCK).cast("int"))
+              .select(*group_key, "__block", "tree", "__r", "x").repartition(tasks, *group_key, "__block"))
+    forest = persist_table(blocks.groupBy(*group_key, "__block").applyInPandas(
+        grow, f"{key_schema}, tree int, psi int, feature array<int>, cut array<double>"))
 
     # score: chunks of a group meet one copy of its trees each
     chunks = F.greatest(F.ceil(F.col("__n") / CHUNK_ROWS), F.lit(1)).cast("int")
@@ -139,19 +154,19 @@ def isolation_forest(
     def score(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty:
             return pd.DataFrame({c: [] for c in [id_col, *group_key, "raw"]})
+        right = right.sort_values("tree")  # fixed order of the float sums
+        feature, cut = np.stack(right["feature"].to_numpy()), np.stack(right["cut"].to_numpy())
         x = np.stack(left["x"].to_numpy())
-        depth = np.zeros(len(x))
-        for _, tree in right.sort_values("tree").iterrows():
-            depth += path_lengths(x, *(np.asarray(tree[c]) for c in ("feature", "cut", "left", "right")))
-        psi = float(right["psi"].iloc[0])
+        mean = np.concatenate([
+            path_lengths(x[i:i + SCORE_ROWS], feature, cut).mean(1) for i in range(0, len(x), SCORE_ROWS)])
         left = left[[id_col, *group_key]].copy()
-        left["raw"] = -np.power(2.0, -depth / len(right) / max(float(expected_path(psi)), 1e-9))
+        left["raw"] = -np.power(2.0, -mean / max(float(expected_path(right["psi"].iloc[0])), 1e-9))
         return left
 
     keys = [*group_key, "__chunk"]
     raw = persist_table(
-        rows_in_chunks.select(id_col, *group_key, "__chunk", "x").groupBy(*keys)
-        .cogroup(copies.groupBy(*keys))
+        rows_in_chunks.select(id_col, *group_key, "__chunk", "x").repartition(tasks, *keys).groupBy(*keys)
+        .cogroup(copies.repartition(tasks, *keys).groupBy(*keys))
         .applyInPandas(score, f"`{id_col}` {kinds[id_col]}, {key_schema}, raw double"))
 
     cuts = exact_quantiles(raw, "raw", {"__cut": contamination}, group_key)

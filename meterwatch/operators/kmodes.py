@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from meterwatch.session import persist_table
 
 MAX_ROUNDS = 100
+HEAD = 2_000  # densest profiles that the driver looks at
 Mode = tuple[str, ...]
 
 
@@ -52,21 +53,31 @@ def mismatches(attributes: Sequence[str], mode: Mode) -> Column:
 def initial_modes(profiles: DataFrame, attributes: Sequence[str], k: int) -> list[Mode]:
     """Densest profile first, then the one farthest and densest from those chosen.
 
-    The list for a smaller ``k`` is the head of the list for a larger one.
+    The list for a smaller ``k`` is the head of the list for a larger one. The
+    densest ``HEAD`` profiles are looked at first: no other profile can beat a
+    value above ``len(attributes)`` times the least density among them, which
+    settles nearly every choice; a choice it does not settle is one more job.
     """
     text = F.struct(*attributes)
+    head = profiles.select(*attributes, "density").orderBy(
+        F.desc("density"), text).limit(HEAD).collect()  # HEAD rows
+    bound = len(attributes) * head[-1]["density"] if len(head) == HEAD else -1.0
+    known = [(tuple(str(r[a]) for a in attributes), r["density"]) for r in head]
     modes: list[Mode] = []
-    while len(modes) < k:
-        value = F.col("density")
-        if modes:
-            away = [mismatches(attributes, m) * F.col("density") for m in modes]
-            value = F.least(*away) if len(away) > 1 else away[0]
-        # equal densities: smallest values
-        rank = F.struct(-F.round(value, 9), text)
-        best = profiles.agg(F.min(F.struct(rank.alias("r"), text.alias("m"))).alias("b")).select("b.m.*").first()
-        if best is None or tuple(best) in modes:
+
+    def value(m: Mode, density: float) -> float:
+        away = min((sum(a != b for a, b in zip(m, c)) for c in modes), default=len(attributes))
+        return round(density * away, 9)
+
+    while len(modes) < k and known:
+        best, m = min((-value(m, density), m) for m, density in known)
+        if -best <= bound:
+            away = [mismatches(attributes, c) * F.col("density") for c in modes] or [F.col("density") * len(attributes)]
+            rank = F.struct((-F.round(F.least(*away) if len(away) > 1 else away[0], 9)).alias("r"), text.alias("m"))
+            m = tuple(str(c) for c in profiles.agg(F.min(rank).alias("b")).select("b.m.*").first())
+        if m in modes:
             break
-        modes.append(tuple(best))
+        modes.append(m)
     return modes
 
 
@@ -82,8 +93,11 @@ def _round(profiles: DataFrame, attributes: Sequence[str], models: dict[int, lis
     """Per model its cost and the modes of the clusters it makes, in one pass."""
     cells = []
     for k, modes in models.items():
-        near = F.array_min(F.array(*[
-            F.struct(mismatches(attributes, m).alias("d"), F.lit(n).alias("c")) for n, m in enumerate(modes)]))
+        # the modes are data, not code: nothing is compiled anew per round
+        table = F.array(*[F.array(*[F.lit(v) for v in m]) for m in modes])
+        near = F.array_min(F.transform(table, lambda m, n: F.struct(
+            sum(((F.col(a).cast("string") != m[i]).cast("int") for i, a in enumerate(attributes)), F.lit(0)).alias("d"),
+            n.alias("c"))))
         cells.append(F.struct(F.lit(k).alias("k"), near.alias("near")))
     assigned = profiles.select(*attributes, "w", F.explode(F.array(*cells)).alias("m")).select(
         F.col("m.k").alias("k"), F.col("m.near.c").alias("cluster"), (F.col("m.near.d") * F.col("w")).alias("loss"), "w",

@@ -18,6 +18,7 @@ from meterwatch.plans.registry import query, r
 from meterwatch.plans.relational_queries import INVALID_SQL
 from meterwatch.plans.series_queries import TRAILING_SQL
 from meterwatch.plans.views import Views
+from meterwatch.session import persist_table
 
 GROUP = ["category", "zone", "period"]
 MIN_GROUP = 20
@@ -285,8 +286,8 @@ def regime_test(v: Views) -> DataFrame:
 
 def _client_features(v: Views) -> DataFrame:
     """A few shape features per client with its group attributes."""
-    panel = v.group_panel()
-    s = X.index_series(panel)
+    panel = persist_table(v.group_panel())
+    s = persist_table(X.index_series(panel))
     table = X.moments(s).select("series_id", "variation_coefficient").join(X.step_features(s), "series_id")
     table = table.join(X.linear_trend(s).select("series_id", "trend_slope", "trend_r"), "series_id")
     return table.join(panel.select("series_id", "category", "zone").distinct(), "series_id")

@@ -258,14 +258,14 @@ def _segments(v: Views) -> DataFrame:
 
 
 @query("cluster_profile", f"""
-    select cluster, total, anomalous, normal, {r('anomalous / total', 3)} as share_anomalous, {r('normal / total', 3)} as share_normal,
-           {r('mean_anomalous', 3)} as mean_anomalous, {r('mean_normal', 3)} as mean_normal, {r('difference', 3)} as difference
-    from profile""", digits=3, ctes=SEGMENTS)
+    select cluster, total, anomalous, normal, {r('anomalous / total', 6)} as share_anomalous, {r('normal / total', 6)} as share_normal,
+           {r('mean_anomalous', 6)} as mean_anomalous, {r('mean_normal', 6)} as mean_normal, {r('difference', 6)} as difference
+    from profile""", digits=6, ctes=SEGMENTS)
 def cluster_profile(v: Views) -> DataFrame:
     return K.cluster_profile(_segments(v))
 
 
-@query("beneficial_clusters", f"select cluster, {r('difference', 4)} as difference from profile where difference > 0", digits=4, ctes=SEGMENTS)
+@query("beneficial_clusters", f"select cluster, {r('difference')} as difference from profile where difference > 0", ctes=SEGMENTS)
 def beneficial_clusters(v: Views) -> DataFrame:
     return K.beneficial_clusters(K.cluster_profile(_segments(v))).select("cluster", "difference")
 
