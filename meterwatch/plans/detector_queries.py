@@ -298,7 +298,7 @@ FOREST_FEATURES = ["variation_coefficient", "cid_ce_normalised", "absolute_sum_o
 
 
 def _forest(v: Views) -> DataFrame:
-    return I.isolation_forest(_client_features(v), FOREST_FEATURES, ["category", "zone"], min_size=25)
+    return I.isolation_forest(_client_features(v), FOREST_FEATURES, ["category"], min_size=25)
 
 
 @query("isolation_forest")
