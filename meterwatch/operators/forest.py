@@ -20,13 +20,14 @@ from meterwatch.functions.nulls import all_present, finite_or
 from meterwatch.functions.scalar import fixed
 from meterwatch.operators.ordering import exact_quantiles, global_rank
 from meterwatch.operators.series import minmax_in_group, standardise_in_group
-from meterwatch.session import persist_table
+from meterwatch.session import persist_table, spread
 
 TREES = 100
 PSI = 256
 CHUNK_ROWS = 20_000
 SCORE_ROWS = 2_000  # rows in memory times trees
 TREES_PER_BLOCK = 25
+WHOLE_GROUP = -1  # block and tree number of groups that need no draw
 # room above PSI in the pre-draw: eight standard deviations of its size
 DRAW = PSI + 8 * int(math.sqrt(2 * PSI))
 EULER = 0.5772156649015329
@@ -101,7 +102,6 @@ def isolation_forest(
     ``contamination`` quantile in the group. ``require_group`` raises if no
     group reaches ``min_size``.
     """
-    spark = df.sparkSession
     names = list(features)
     clean = df.filter(all_present(group)).select(
         id_col, *group, *[finite_or(F.col(c).cast("double")).alias(c) for c in names])
@@ -112,35 +112,42 @@ def isolation_forest(
     if require_group and rows.isEmpty():
         raise ValueError(f"no group has {min_size} rows")
 
-    # draw: a row enters a tree if its hash falls under the group's rate, then exactly PSI by hash order
+    # a group of at most PSI rows is the sample of all its trees; in a larger one a row enters
+    # a tree if its hash falls under the group's rate, then exactly PSI rows by hash order
     group_key = list(group)
+    small = rows.filter(F.col("__n") <= PSI).select(
+        *group_key, F.lit(WHOLE_GROUP).alias("tree"), F.col(id_col).alias("__id"), "x")
+    large = rows.filter(F.col("__n") > PSI)
     rate = F.least(F.lit(1.0), F.lit(float(DRAW)) / F.col("__n"))
     top = float(2 ** 63)
     hit = F.filter(
         F.sequence(F.lit(0), F.lit(trees - 1)),
         lambda t: (F.xxhash64(F.col(id_col), t, F.lit(seed)).cast("double") + top) / (2 * top) < rate)
-    drawn = rows.withColumn("tree", F.explode(hit))
     order = Window.partitionBy(*group_key, "tree").orderBy(F.xxhash64(F.col(id_col), "tree", F.lit(seed)), id_col)
-    drawn = drawn.withColumn("__r", F.row_number().over(order)).filter(F.col("__r") <= PSI)
+    drawn = (large.withColumn("tree", F.explode(hit)).withColumn("__r", F.row_number().over(order))
+             .filter(F.col("__r") <= PSI).select(*group_key, "tree", F.col(id_col).alias("__id"), "x"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     key_schema = ", ".join(f"`{g}` {kinds[g]}" for g in group_key)
 
     def grow(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["tree", "__r"])
-        names_of, which = np.unique(pdf["tree"].to_numpy(), return_inverse=True)
-        psi = int(pdf["__r"].max())
-        depth = math.ceil(math.log2(max(psi, 2)))
-        feature, cut = grow_trees(np.stack(pdf["x"].to_numpy()), which, len(names_of), depth,
-                                  np.random.default_rng([seed, int(key[-1]), len(pdf)]))
+        pdf = pdf.sort_values(["tree", "__id"])
+        x, block = np.stack(pdf["x"].to_numpy()), int(key[-1])
+        if block == WHOLE_GROUP:
+            names_of, which = np.arange(trees), np.repeat(np.arange(trees), len(x))
+            psi, x = len(x), np.tile(x, (trees, 1))
+        else:
+            names_of, which = np.unique(pdf["tree"].to_numpy(), return_inverse=True)
+            psi = int(np.bincount(which).max())
+        feature, cut = grow_trees(x, which, len(names_of), math.ceil(math.log2(max(psi, 2))),
+                                  np.random.default_rng([seed, block + 1, len(x)]))
         out = pd.DataFrame({"tree": names_of, "psi": psi, "feature": list(feature), "cut": list(cut)})
         for name, value in zip(group_key, key):
             out[name] = value
         return out
 
     # growing is Python work on little data: keep every core busy
-    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = (drawn.withColumn("__block", (F.col("tree") / TREES_PER_BLOCK).cast("int"))
-              .select(*group_key, "__block", "tree", "__r", "x").repartition(tasks, *group_key, "__block"))
+    block = F.floor(F.col("tree") / TREES_PER_BLOCK).cast("int")  # WHOLE_GROUP stays -1
+    blocks = spread(small.unionByName(drawn).withColumn("__block", block), *group_key, "__block")
     forest = persist_table(blocks.groupBy(*group_key, "__block").applyInPandas(
         grow, f"{key_schema}, tree int, psi int, feature array<int>, cut array<double>"))
 
@@ -165,8 +172,8 @@ def isolation_forest(
 
     keys = [*group_key, "__chunk"]
     raw = persist_table(
-        rows_in_chunks.select(id_col, *group_key, "__chunk", "x").repartition(tasks, *keys).groupBy(*keys)
-        .cogroup(copies.repartition(tasks, *keys).groupBy(*keys))
+        rows_in_chunks.select(id_col, *group_key, "__chunk", "x").transform(spread, *keys).groupBy(*keys)
+        .cogroup(copies.transform(spread, *keys).groupBy(*keys))
         .applyInPandas(score, f"`{id_col}` {kinds[id_col]}, {key_schema}, raw double"))
 
     cuts = exact_quantiles(raw, "raw", {"__cut": contamination}, group_key)

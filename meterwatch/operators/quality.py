@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterwatch.operators.ordering import exact_quantiles
@@ -103,18 +103,25 @@ def filter_customers(
     class_col: str | None = None, drop_high: bool = True, high_quantile: float = 0.95,
     only_balanced: bool = False, fill: str | None = "linear",
 ) -> DataFrame:
-    """The cleaning chain: fill, low, recent, high, trailing months, balanced."""
-    out = df
-    if fill:
-        out = interpolate(out, value, id_col, time_col, fill)
+    """The cleaning chain: fill, low, recent, high, trailing months, balanced.
+
+    Filling has already placed each series in one partition, so the tests on
+    one client are windows there and cost no shuffle of their own.
+    """
+    own = Window.partitionBy(id_col)
+    out = interpolate(df, value, id_col, time_col, fill) if fill else df
     if drop_low:
-        out = exclude_low(out, low_threshold, id_col, value)
+        low = F.min(value).over(own)
+        out = out.withColumn("__low", low).filter(F.coalesce(F.col("__low") > low_threshold, F.lit(True))).drop("__low")
     if drop_recent and change_col:
         out = exclude_recent(out, change_col, months, id_col=id_col, time_col=time_col)
     if drop_high and class_col:
         out = exclude_high(out, class_col, high_quantile, id_col, value)
     out = trailing_months(out, months, time_col)
-    return balanced(out, months, id_col, time_col) if only_balanced else out
+    if only_balanced:
+        periods = F.size(F.collect_set(time_col).over(own))
+        out = out.withColumn("__n", periods).filter(F.col("__n") == months).drop("__n")
+    return out
 
 
 def completeness(df: DataFrame, id_col: str = "series_id") -> DataFrame:

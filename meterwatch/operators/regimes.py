@@ -22,12 +22,45 @@ TOLERANCE = 1e-6
 MIN_VARIANCE_SHARE = 1e-4
 
 
+def _expect(y: np.ndarray, present: np.ndarray, slope: np.ndarray, variance: np.ndarray,
+            chain: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(smoothed probabilities, expected moves, log-likelihood).
+
+    Forward filtering and backward smoothing step through time with all
+    series side by side; absent cells carry no evidence.
+    """
+    length = y.shape[1]
+    t = np.arange(1, length + 1, dtype=float)[None, :]
+    residual = y[:, :, None] - slope[:, None, :] * t[:, :, None]
+    log_density = -0.5 * (np.log(2 * np.pi * variance)[:, None, :] + residual ** 2 / variance[:, None, :])
+    log_density = np.where(present[:, :, None], log_density, 0.0)
+    shift = log_density.max(2, keepdims=True)
+    density = np.exp(log_density - shift)
+    filtered, predicted = np.empty_like(density), np.empty_like(density)
+    likelihood, ahead = shift[:, :, 0].sum(1), first
+    for s in range(length):
+        predicted[:, s] = ahead
+        joint = ahead * density[:, s]
+        total = joint.sum(1, keepdims=True)
+        likelihood = likelihood + np.log(total[:, 0])
+        filtered[:, s] = joint / total
+        ahead = (filtered[:, s, :, None] * chain).sum(1)
+    smoothed = np.empty_like(filtered)
+    smoothed[:, -1] = filtered[:, -1]
+    moves = np.zeros_like(chain)
+    for s in range(length - 2, -1, -1):
+        back = smoothed[:, s + 1] / np.maximum(predicted[:, s + 1], 1e-300)
+        pair = filtered[:, s, :, None] * chain * back[:, None, :]
+        moves += pair
+        smoothed[:, s] = pair.sum(2)
+    return smoothed, moves, likelihood
+
+
 def fit_regimes(y: np.ndarray, present: np.ndarray, regimes: int = 2) -> tuple[np.ndarray, np.ndarray]:
     """(smoothed probabilities, log-likelihood per round) for many series at once.
 
-    ``y`` and ``present`` are (series, time); absent cells carry no evidence.
-    Forward filtering and backward smoothing step through time with all
-    series side by side.
+    ``y`` and ``present`` are (series, time). A series that has settled leaves
+    the rounds; its likelihood stays as it was.
     """
     n, length = y.shape
     t = np.arange(1, length + 1, dtype=float)[None, :]
@@ -35,7 +68,7 @@ def fit_regimes(y: np.ndarray, present: np.ndarray, regimes: int = 2) -> tuple[n
     mean = np.where(present, y, 0).sum(1) / count
     floor = np.maximum(MIN_VARIANCE_SHARE * (np.where(present, y - mean[:, None], 0) ** 2).sum(1) / count, 1e-12)
 
-    # start: split by whether the ratio to time lies above its median
+    # start: split by where the ratio to time lies among its quantiles
     ratio = np.where(present, y / t, np.nan)
     cuts = np.nanquantile(ratio, np.arange(1, regimes) / regimes, axis=1).T
     member = (ratio[:, :, None] > cuts[:, None, :]).sum(2)
@@ -46,43 +79,23 @@ def fit_regimes(y: np.ndarray, present: np.ndarray, regimes: int = 2) -> tuple[n
     chain[:, np.arange(regimes), np.arange(regimes)] = stay
     first = np.full((n, regimes), 1.0 / regimes)
 
-    history = []
-    for _ in range(MAX_ROUNDS):
-        weight = np.where(present[:, :, None], prob, 0.0)
-        slope = (weight * (t * y)[:, :, None]).sum(1) / np.maximum((weight * (t * t)[:, :, None]).sum(1), 1e-12)
-        residual = y[:, :, None] - slope[:, None, :] * t[:, :, None]
+    history: list[np.ndarray] = []
+    on = np.arange(n)
+    while len(on) and len(history) < MAX_ROUNDS:
+        yo, po = y[on], present[on]
+        weight = np.where(po[:, :, None], prob[on], 0.0)
+        slope = (weight * (t * yo)[:, :, None]).sum(1) / np.maximum((weight * (t * t)[:, :, None]).sum(1), 1e-12)
+        residual = yo[:, :, None] - slope[:, None, :] * t[:, :, None]
         variance = (weight * residual ** 2).sum(1) / np.maximum(weight.sum(1), 1e-12)
-        variance = np.maximum(variance, floor[:, None])
-        log_density = -0.5 * (np.log(2 * np.pi * variance)[:, None, :] + residual ** 2 / variance[:, None, :])
-        log_density = np.where(present[:, :, None], log_density, 0.0)
-        shift = log_density.max(2, keepdims=True)
-        density = np.exp(log_density - shift)
-
-        filtered = np.empty_like(density)
-        predicted = np.empty_like(density)
-        likelihood = shift[:, :, 0].sum(1)
-        ahead = first
-        for s in range(length):
-            predicted[:, s] = ahead
-            joint = ahead * density[:, s]
-            total = joint.sum(1, keepdims=True)
-            likelihood = likelihood + np.log(total[:, 0])
-            filtered[:, s] = joint / total
-            ahead = np.einsum("ni,nij->nj", filtered[:, s], chain)
-        smoothed = np.empty_like(filtered)
-        smoothed[:, -1] = filtered[:, -1]
-        moves = np.zeros_like(chain)
-        for s in range(length - 2, -1, -1):
-            back = smoothed[:, s + 1] / np.maximum(predicted[:, s + 1], 1e-300)
-            pair = filtered[:, s, :, None] * chain * back[:, None, :]
-            moves += pair
-            smoothed[:, s] = pair.sum(2)
-        prob = smoothed
-        first = smoothed[:, 0]
-        chain = moves / np.maximum(moves.sum(2, keepdims=True), 1e-300)
-        history.append(likelihood)
-        if len(history) > 1 and np.all(np.abs(history[-1] - history[-2]) < TOLERANCE * np.abs(history[-2])):
-            break
+        variance = np.maximum(variance, floor[on, None])
+        prob[on], moves, value = _expect(yo, po, slope, variance, chain[on], first[on])
+        first[on] = prob[on, 0]
+        chain[on] = moves / np.maximum(moves.sum(2, keepdims=True), 1e-300)
+        latest = history[-1].copy() if history else np.full(n, -np.inf)
+        settled = np.abs(value - latest[on]) < TOLERANCE * np.abs(value)
+        latest[on] = value
+        history.append(latest)
+        on = on[~settled]
     return prob, np.array(history)
 
 

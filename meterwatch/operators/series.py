@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from meterwatch.functions.nulls import finite_or
+from meterwatch.session import spread
 
 
 def by_series(id_col: str = "series_id", time_col: str = "period") -> WindowSpec:
@@ -151,7 +152,8 @@ def minmax_in_group(df: DataFrame, group: Sequence[str], value: str, out: str, n
 
 
 def ordered_arrays(df: DataFrame, value: str = "value", id_col: str = "series_id", time_col: str = "period") -> DataFrame:
-    """One row per id with its periods and values in order."""
+    """One row per id with its periods and values in order, spread for heavy work."""
+    df = spread(df.select(id_col, time_col, value), id_col)
     packed = F.sort_array(F.collect_list(F.struct(F.col(time_col).alias("p"), F.col(value).cast("double").alias("v"))))
     return df.groupBy(id_col).agg(packed.alias("__s")).select(
         id_col, F.col("__s.p").alias("periods"), F.col("__s.v").alias("values"))

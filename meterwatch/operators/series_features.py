@@ -1,14 +1,16 @@
 """Shape features of a series, one row per id.
 
 All functions read an *indexed* series (``index_series``): position ``t`` from
-0, length ``n`` and whole-series moments, laid down by one shuffle on the id
-that the windows and aggregates after it share.
+0, length ``n`` and whole-series moments, laid down by one shuffle on the id.
+Most features are a ``Part``: window columns over that partitioning and one
+aggregate by id, so any number of parts shares one pass.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass, field
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 from meterwatch.functions.stats import student_p_integer
 from meterwatch.operators.relational import first_per_key
-from meterwatch.session import persist_table
+from meterwatch.session import persist_table, spread
 
 # fixed values: parameters of the feature catalogue
 PEAK_SUPPORTS = (1, 3, 5, 10, 50)
@@ -30,7 +32,7 @@ def index_series(df: DataFrame, id_col: str = "series_id", time_col: str = "peri
     """Columns ``t``, ``x``, ``n``, ``mean`` and ``std`` (population)."""
     whole = Window.partitionBy(id_col)
     order = whole.orderBy(time_col)
-    return df.filter(F.col(value).isNotNull()).select(
+    return spread(df.select(id_col, time_col, value), id_col).filter(F.col(value).isNotNull()).select(
         id_col, F.col(value).cast("double").alias("x"),
         (F.row_number().over(order) - 1).alias("t"),
         F.count(F.lit(1)).over(whole).alias("n"),
@@ -38,21 +40,42 @@ def index_series(df: DataFrame, id_col: str = "series_id", time_col: str = "peri
         F.stddev_pop(value).over(whole).alias("std"))
 
 
+@dataclass(frozen=True)
+class Part:
+    """Window columns, aggregates over them, and result columns from those."""
+
+    columns: list[Column] = field(default_factory=list)
+    measures: list[Column] = field(default_factory=list)
+    results: list[Column] = field(default_factory=list)
+
+
+def aggregate_parts(s: DataFrame, parts: Sequence[Part], id_col: str = "series_id") -> DataFrame:
+    """All parts in one window step and one aggregate by id."""
+    rows = s.select("*", *[c for p in parts for c in p.columns])
+    table = rows.groupBy(id_col).agg(*[m for p in parts for m in p.measures])
+    return table.select(id_col, *[r for p in parts for r in p.results])
+
+
 def _order(id_col: str):
     return Window.partitionBy(id_col).orderBy("t")
 
 
-def number_peaks(s: DataFrame, id_col: str = "series_id", supports: Sequence[int] = PEAK_SUPPORTS) -> DataFrame:
-    """Points above their ``k`` neighbours on both sides."""
+def _peaks_part(id_col: str, supports: Sequence[int] = PEAK_SUPPORTS) -> Part:
     w = _order(id_col)
     marks = [
         ((F.col("t") >= k) & (F.col("t") < F.col("n") - k)
          & (F.col("x") > F.max("x").over(w.rowsBetween(-k, -1)))
-         & (F.col("x") > F.max("x").over(w.rowsBetween(1, k)))).alias(f"p{k}")
+         & (F.col("x") > F.max("x").over(w.rowsBetween(1, k)))).alias(f"peak{k}")
         for k in supports
     ]
-    return s.select(id_col, *marks).groupBy(id_col).agg(
-        *[F.count_if(F.col(f"p{k}")).alias(f"number_peaks_{k}") for k in supports])
+    names = [f"number_peaks_{k}" for k in supports]
+    return Part(marks, [F.count_if(F.col(f"peak{k}")).alias(n) for k, n in zip(supports, names)],
+                [F.col(n) for n in names])
+
+
+def number_peaks(s: DataFrame, id_col: str = "series_id", supports: Sequence[int] = PEAK_SUPPORTS) -> DataFrame:
+    """Points above their ``k`` neighbours on both sides."""
+    return aggregate_parts(s, [_peaks_part(id_col, supports)], id_col)
 
 
 def sample_entropy(s: DataFrame, id_col: str = "series_id", m: int = 2, tolerance: float = ENTROPY_TOLERANCE) -> DataFrame:
@@ -66,35 +89,42 @@ def sample_entropy(s: DataFrame, id_col: str = "series_id", m: int = 2, toleranc
     arrays = arrays.select(id_col, "__r", F.col("__s.x").alias("__v"))
     v, r = F.col("__v"), F.col("__r")
 
-    def matches(length: int) -> Column:
-        last = F.size(v) - length  # index of the last template, from 0
+    def near(i: Column, j: Column, steps: Iterable[int]) -> Column:
+        cond = F.lit(True)
+        for step in steps:
+            cond = cond & (F.abs(F.get(v, i + step) - F.get(v, j + step)) <= r)
+        return F.coalesce(cond, F.lit(False))
 
-        def near(i: Column, j: Column) -> Column:
-            cond = F.lit(True)
-            for step in range(length):
-                cond = cond & (F.abs(F.get(v, i + step) - F.get(v, j + step)) <= r)
-            return cond
+    last = F.size(v) - m  # index of the last template of length m, from 0
 
-        def later(i: Column) -> Column:
-            return F.size(F.filter(F.sequence(i + 1, last), lambda j: near(i, j)))
+    def later(i: Column) -> Column:
+        """Matches of template ``i`` further on: of length m, and of those m + 1."""
+        found = F.filter(F.sequence(i + 1, last), lambda j: near(i, j, range(m)))
+        return F.transform(F.array(found), lambda f: F.struct(
+            F.size(f).alias("b"), F.size(F.filter(f, lambda j: near(i, j, [m]))).alias("a")))[0]
 
-        total = F.aggregate(F.sequence(F.lit(0), last - 1), F.lit(0), lambda acc, i: acc + later(i))
-        return F.when(last >= 1, total * 2)
+    def add(acc: Column, i: Column) -> Column:
+        return F.transform(F.array(later(i)), lambda e: F.struct(
+            (acc["b"] + e["b"]).alias("b"), (acc["a"] + e["a"]).alias("a")))[0]
 
-    a, b = matches(m + 1), matches(m)
-    ratio = F.try_divide(a.cast("double"), b)
-    return arrays.select(id_col, F.when(ratio > 0, -F.ln(ratio)).alias("sample_entropy"))
+    zero = F.struct(F.lit(0).alias("b"), F.lit(0).alias("a"))
+    counts = arrays.filter(last >= 1).select(id_col, F.aggregate(F.sequence(F.lit(0), last - 1), zero, add).alias("__c"))
+    ratio = F.try_divide(F.col("__c.a").cast("double"), F.col("__c.b"))
+    return counts.select(id_col, F.when(ratio > 0, -F.ln(ratio)).alias("sample_entropy"))
+
+
+def _moments_part() -> Part:
+    n = F.col("m_n").cast("double")
+    measures = [F.count("x").alias("m_n"), F.skewness("x").alias("m_g1"), F.kurtosis("x").alias("m_g2"),
+                F.try_divide(F.stddev_pop("x"), F.avg("x")).alias("variation_coefficient")]
+    skew = F.when(n > 2, F.col("m_g1") * F.sqrt(n * (n - 1)) / (n - 2))
+    kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("m_g2") + 6))
+    return Part([], measures, [skew.alias("skewness"), kurt.alias("kurtosis"), F.col("variation_coefficient")])
 
 
 def moments(s: DataFrame, id_col: str = "series_id") -> DataFrame:
     """Adjusted skewness and kurtosis, variation coefficient."""
-    n = F.col("n").cast("double")
-    rows = s.groupBy(id_col).agg(
-        F.count("x").alias("n"), F.skewness("x").alias("g1"), F.kurtosis("x").alias("g2"),
-        F.try_divide(F.stddev_pop("x"), F.avg("x")).alias("variation_coefficient"))
-    skew = F.when(n > 2, F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2))
-    kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))
-    return rows.select(id_col, skew.alias("skewness"), kurt.alias("kurtosis"), "variation_coefficient")
+    return aggregate_parts(s, [_moments_part()], id_col)
 
 
 def recurring_share(s: DataFrame, id_col: str = "series_id") -> DataFrame:
@@ -112,71 +142,95 @@ def _corridor_name(low: float, high: float, absolute: bool, kind: str) -> str:
     return f"change_quantiles_{round(low * 100)}_{round(high * 100)}_{'abs' if absolute else 'raw'}_{kind}"
 
 
-def change_quantiles(s: DataFrame, id_col: str = "series_id", grid: Sequence[float] = QUANTILE_GRID) -> DataFrame:
-    """Mean and variance of the steps whose two ends lie in a quantile corridor."""
-    whole = Window.partitionBy(id_col)
-    w = _order(id_col)
+def _corridor_part(id_col: str, grid: Sequence[float] = QUANTILE_GRID) -> Part:
     probs = F.array(*[F.lit(float(p)) for p in grid])
-    rows = s.select(
-        id_col, "t", "x", F.lag("x").over(w).alias("x0"),
-        F.percentile("x", probs).over(whole).alias("q"))
-    d = F.col("x") - F.col("x0")
-    measures = []
+    columns = [F.lag("x").over(_order(id_col)).alias("q_x0"),
+               F.percentile("x", probs).over(Window.partitionBy(id_col)).alias("q_at")]
+    d = F.col("x") - F.col("q_x0")
+    measures, results = [], []
     for low, high in corridors(grid):
-        a, b = F.col("q")[grid.index(low)], F.col("q")[grid.index(high)]
-        inside = F.col("x").between(a, b) & F.col("x0").between(a, b)
+        a, b = F.col("q_at")[grid.index(low)], F.col("q_at")[grid.index(high)]
+        inside = F.col("x").between(a, b) & F.col("q_x0").between(a, b)
         for absolute in (False, True):
             step = F.when(inside, F.abs(d) if absolute else d)
             for kind, agg in (("mean", F.avg), ("var", F.var_pop)):
-                measures.append(F.coalesce(agg(step), F.lit(0.0)).alias(_corridor_name(low, high, absolute, kind)))
-    return rows.groupBy(id_col).agg(*measures)
+                name = _corridor_name(low, high, absolute, kind)
+                measures.append(F.coalesce(agg(step), F.lit(0.0)).alias(name))
+                results.append(F.col(name))
+    return Part(columns, measures, results)
 
 
-def autocorrelation(s: DataFrame, id_col: str = "series_id", lags: Iterable[int] = AUTOCORRELATION_LAGS) -> DataFrame:
-    lags = list(lags)
+def change_quantiles(s: DataFrame, id_col: str = "series_id", grid: Sequence[float] = QUANTILE_GRID) -> DataFrame:
+    """Mean and variance of the steps whose two ends lie in a quantile corridor.
+
+    The quantiles are exact and per series, so their state is bounded.
+    """
+    return aggregate_parts(s, [_corridor_part(id_col, grid)], id_col)
+
+
+def _autocorrelation_part(id_col: str, lags: Iterable[int] = AUTOCORRELATION_LAGS) -> Part:
     w = _order(id_col)
     c = F.col("x") - F.col("mean")
-    products = [(c * F.lead(c, k).over(w)).alias(f"p{k}") if k else (c * c).alias("p0") for k in lags]
-    sums = [
-        F.try_divide(F.sum(f"p{k}"), (F.max("n") - k) * F.max("std") * F.max("std")).alias(f"autocorrelation_{k}")
-        for k in lags
-    ]
-    return s.select(id_col, "n", "std", *products).groupBy(id_col).agg(*sums)
+    lags = list(lags)
+    products = [(c * (F.lead("x", k).over(w) - F.col("mean")) if k else c * c).alias(f"ac{k}") for k in lags]
+    names = [f"autocorrelation_{k}" for k in lags]
+    sums = [F.try_divide(F.sum(f"ac{k}"), (F.max("n") - k) * F.max("std") * F.max("std")).alias(n) for k, n in zip(lags, names)]
+    return Part(products, sums, [F.col(n) for n in names])
 
 
-def linear_trend(s: DataFrame, id_col: str = "series_id") -> DataFrame:
-    """Least squares on the position: slope, intercept, r, error of the slope, p."""
+def autocorrelation(s: DataFrame, id_col: str = "series_id", lags: Iterable[int] = AUTOCORRELATION_LAGS) -> DataFrame:
+    """Products of deviations ``k`` apart over (n - k) variances."""
+    return aggregate_parts(s, [_autocorrelation_part(id_col, lags)], id_col)
+
+
+def _trend_part() -> Part:
     t = F.col("t").cast("double")
-    rows = s.groupBy(id_col).agg(
-        F.count("x").alias("n"), F.regr_slope("x", t).alias("trend_slope"),
-        F.regr_intercept("x", t).alias("trend_intercept"), F.corr("x", t).alias("trend_r"),
-        F.var_pop("x").alias("vy"), F.var_pop(t).alias("vx"))
-    dof = F.col("n") - 2
+    measures = [
+        F.count("x").alias("r_n"), F.regr_slope("x", t).alias("trend_slope"), F.regr_intercept("x", t).alias("trend_intercept"),
+        F.corr("x", t).alias("trend_r"), F.var_pop("x").alias("r_vy"), F.var_pop(t).alias("r_vx")]
+    dof = F.col("r_n") - 2
     r2 = F.col("trend_r") * F.col("trend_r")
-    error = F.when(dof > 0, F.sqrt(F.try_divide((1 - r2) * F.col("vy"), F.col("vx") * dof)))
-    rows = rows.withColumn("trend_stderr", error)
-    t_value = F.try_divide(F.col("trend_slope"), F.col("trend_stderr"))
-    return rows.select(id_col, "trend_slope", "trend_intercept", "trend_r", "trend_stderr",
-                       student_p_integer(t_value, dof.cast("int")).alias("trend_p"))
+    error = F.when(dof > 0, F.sqrt(F.try_divide((1 - r2) * F.col("r_vy"), F.col("r_vx") * dof)))
+    p = student_p_integer(F.try_divide(F.col("trend_slope"), error), dof.cast("int"))
+    return Part([], measures, [F.col("trend_slope"), F.col("trend_intercept"), F.col("trend_r"),
+                               error.alias("trend_stderr"), p.alias("trend_p")])
 
 
-def step_features(s: DataFrame, id_col: str = "series_id") -> DataFrame:
-    """Complexity (raw and standardised), absolute change, second derivative."""
-    w = _order(id_col)
-    d = F.col("x") - F.lag("x").over(w)
-    rows = s.select(id_col, "t", "x", "n", "std", d.alias("d"))
+def linear_trend(s: DataFrame, id_col: str = "series_id") -> DataFrame:
+    """Least squares on the position: slope, intercept, r, error of the slope, p."""
+    return aggregate_parts(s, [_trend_part()], id_col)
+
+
+def _steps_part(id_col: str) -> Part:
+    d = F.col("x") - F.lag("x").over(_order(id_col))
 
     def at(position: Column) -> Column:
         return F.max(F.when(F.col("t") == position, F.col("x")))
 
     n = F.max("n")
     ends = at(F.col("n") - 1) - at(F.col("n") - 2) - at(F.lit(1)) + at(F.lit(0))
-    raw = F.sqrt(F.sum(F.col("d") * F.col("d")))
-    return rows.groupBy(id_col).agg(
-        raw.alias("cid_ce"),
-        F.coalesce(F.try_divide(raw, F.max("std")), F.lit(0.0)).alias("cid_ce_normalised"),
-        F.sum(F.abs("d")).alias("absolute_sum_of_changes"),
-        F.try_divide(ends, 2 * (n - 2)).alias("mean_second_derivative_central"))
+    raw = F.sqrt(F.sum(F.col("s_d") * F.col("s_d")))
+    measures = [
+        raw.alias("cid_ce"), F.coalesce(F.try_divide(raw, F.max("std")), F.lit(0.0)).alias("cid_ce_normalised"),
+        F.sum(F.abs("s_d")).alias("absolute_sum_of_changes"),
+        F.try_divide(ends, 2 * (n - 2)).alias("mean_second_derivative_central")]
+    names = ("cid_ce", "cid_ce_normalised", "absolute_sum_of_changes", "mean_second_derivative_central")
+    return Part([d.alias("s_d")], measures, [F.col(c) for c in names])
+
+
+def step_features(s: DataFrame, id_col: str = "series_id") -> DataFrame:
+    """Complexity (raw and standardised), absolute change, second derivative."""
+    return aggregate_parts(s, [_steps_part(id_col)], id_col)
+
+
+def _first_maximum_part() -> Part:
+    best = F.min_by(F.col("t"), F.struct(-F.col("x"), F.col("t")))
+    return Part([], [(best / F.max("n")).alias("first_location_of_maximum")], [F.col("first_location_of_maximum")])
+
+
+def first_maximum(s: DataFrame, id_col: str = "series_id") -> DataFrame:
+    """Relative position of the first maximum."""
+    return aggregate_parts(s, [_first_maximum_part()], id_col)
 
 
 def streak_below_mean(s: DataFrame, id_col: str = "series_id") -> DataFrame:
@@ -189,12 +243,6 @@ def streak_below_mean(s: DataFrame, id_col: str = "series_id") -> DataFrame:
     return sizes.groupBy(id_col).agg(F.max("size").alias("longest_streak_below_mean"))
 
 
-def first_maximum(s: DataFrame, id_col: str = "series_id") -> DataFrame:
-    """Relative position of the first maximum."""
-    best = F.min_by(F.col("t"), F.struct(-F.col("x"), F.col("t")))
-    return s.groupBy(id_col).agg((best / F.max("n")).alias("first_location_of_maximum"))
-
-
 def fourier(s: DataFrame, id_col: str = "series_id", coefficients: int = FOURIER_COEFFICIENTS) -> DataFrame:
     """Real, imaginary, modulus and angle (degrees) of each coefficient, long form.
 
@@ -219,10 +267,11 @@ def fourier_wide(s: DataFrame, id_col: str = "series_id", coefficients: int = 10
         *[F.max(F.when(F.col("k") == k, F.col(p))).alias(f"{p}_{k}") for k in range(coefficients) for p in parts])
 
 
-ALL_FEATURES = (
-    number_peaks, sample_entropy, moments, recurring_share, change_quantiles, autocorrelation,
-    linear_trend, step_features, streak_below_mean, first_maximum, fourier_wide,
-)
+def single_pass(s: DataFrame, id_col: str = "series_id") -> DataFrame:
+    """Every feature that is a part, together."""
+    return aggregate_parts(s, [
+        _peaks_part(id_col), _moments_part(), _corridor_part(id_col), _autocorrelation_part(id_col), _trend_part(),
+        _steps_part(id_col), _first_maximum_part()], id_col)
 
 
 def drop_incomplete_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -238,12 +287,13 @@ def feature_table(
 ) -> DataFrame:
     """All features side by side, complete columns only, with metadata.
 
-    Every part is partitioned by id, so the joins move nothing further; the
+    Every branch starts from the same shuffle on the id and stays in its
+    partitioning, so neither the aggregates nor the joins move rows again; the
     table is written once before it is asked for missing values.
     """
-    indexed = persist_table(index_series(df, id_col, time_col, value))
-    table = indexed.select(id_col).distinct()
-    for compute in ALL_FEATURES:
+    indexed = index_series(df, id_col, time_col, value)
+    table = single_pass(indexed, id_col)
+    for compute in (sample_entropy, recurring_share, streak_below_mean, fourier_wide):
         table = table.join(compute(indexed, id_col), id_col, "left")
     table = drop_incomplete_columns(persist_table(table), [id_col])
     if metadata is None:

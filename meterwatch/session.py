@@ -51,3 +51,15 @@ def persist_table(df: DataFrame) -> DataFrame:
     path = shared_folder(spark)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition on ``keys`` into as many tasks as the session is set for.
+
+    For work that is heavy per row: adaptive execution joins small partitions
+    by their bytes, which would leave most cores idle, but keeps a partition
+    number that was asked for.
+    """
+    spark = df.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(tasks, *keys)
