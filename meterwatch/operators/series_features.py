@@ -9,13 +9,16 @@ aggregate by id, so any number of parts shares one pass.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterwatch.functions.nulls import nan_to_null
 from meterwatch.functions.stats import student_p_integer
 from meterwatch.operators.relational import first_per_key
 from meterwatch.session import persist_table, spread
@@ -78,39 +81,39 @@ def number_peaks(s: DataFrame, id_col: str = "series_id", supports: Sequence[int
     return aggregate_parts(s, [_peaks_part(id_col, supports)], id_col)
 
 
+def _entropy(x: np.ndarray, m: int, r: float) -> float:
+    """-ln(A/B) with A and B the close pairs of templates of length m + 1 and m."""
+    n = len(x) - m + 1
+    if n < 2:
+        return np.nan
+    close = np.abs(x[:, None] - x[None, :]) <= r
+    pairs = close[:n, :n].copy()
+    for step in range(1, m):
+        pairs &= close[step:step + n, step:step + n]
+    b = pairs.sum() - n
+    longer = pairs[:n - 1, :n - 1] & close[m:, m:]
+    a = longer.sum() - (n - 1)
+    return float(-np.log(a / b)) if a > 0 and b > 0 else np.nan
+
+
 def sample_entropy(s: DataFrame, id_col: str = "series_id", m: int = 2, tolerance: float = ENTROPY_TOLERANCE) -> DataFrame:
     """-ln(A/B) over templates of length ``m + 1`` and ``m``.
 
-    Pairs are counted inside the ordered array of one series; none is emitted.
+    Quadratic in the length of one series, so its ordered values are compared
+    as one small matrix inside the task; no pair becomes a row.
     """
     arrays = s.groupBy(id_col).agg(
-        F.sort_array(F.collect_list(F.struct("t", "x"))).alias("__s"),
-        (F.lit(tolerance) * F.stddev_pop("x")).alias("__r"))
-    arrays = arrays.select(id_col, "__r", F.col("__s.x").alias("__v"))
-    v, r = F.col("__v"), F.col("__r")
-
-    def near(i: Column, j: Column, steps: Iterable[int]) -> Column:
-        cond = F.lit(True)
-        for step in steps:
-            cond = cond & (F.abs(F.get(v, i + step) - F.get(v, j + step)) <= r)
-        return F.coalesce(cond, F.lit(False))
-
-    last = F.size(v) - m  # index of the last template of length m, from 0
-
-    def later(i: Column) -> Column:
-        """Matches of template ``i`` further on: of length m, and of those m + 1."""
-        found = F.filter(F.sequence(i + 1, last), lambda j: near(i, j, range(m)))
-        return F.transform(F.array(found), lambda f: F.struct(
-            F.size(f).alias("b"), F.size(F.filter(f, lambda j: near(i, j, [m]))).alias("a")))[0]
-
-    def add(acc: Column, i: Column) -> Column:
-        return F.transform(F.array(later(i)), lambda e: F.struct(
-            (acc["b"] + e["b"]).alias("b"), (acc["a"] + e["a"]).alias("a")))[0]
-
-    zero = F.struct(F.lit(0).alias("b"), F.lit(0).alias("a"))
-    counts = arrays.filter(last >= 1).select(id_col, F.aggregate(F.sequence(F.lit(0), last - 1), zero, add).alias("__c"))
-    ratio = F.try_divide(F.col("__c.a").cast("double"), F.col("__c.b"))
-    return counts.select(id_col, F.when(ratio > 0, -F.ln(ratio)).alias("sample_entropy"))
+        F.sort_array(F.collect_list(F.struct("t", "x"))).alias("s"), F.max("std").alias("std"))
+    arrays = arrays.select(id_col, F.col("s.x").alias("x"), "std")
+    kind = arrays.schema[id_col].dataType.simpleString()
+
+    def compute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            values = [_entropy(np.asarray(x, float), m, tolerance * std) for x, std in zip(batch["x"], batch["std"])]
+            yield pd.DataFrame({id_col: batch[id_col], "e": values})
+
+    found = arrays.mapInPandas(compute, f"`{id_col}` {kind}, e double")
+    return found.select(id_col, nan_to_null(F.col("e")).alias("sample_entropy"))
 
 
 def _moments_part() -> Part:
