@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwatch.operators.ordering import ordered_prefix
-from meterwatch.operators.relational import most_frequent
 from meterwatch.operators.series import add_index, percent_change
 from meterwatch.session import persist_table, shared_folder
 
@@ -26,25 +25,29 @@ def supervised_features(
     df: DataFrame, categories: Sequence[str], label: str | None = "label",
     id_col: str = "series_id", time_col: str = "period", value: str = "value",
 ) -> DataFrame:
-    """Static features per id: level, spread, relative change, trend, modes, label."""
+    """Static features per id: level, spread, relative change, trend, modes, label.
+
+    Windows and aggregate share one shuffle on the id. The state of a mode is
+    bounded by the months of one series; ties go to the lowest value.
+    """
     change = percent_change(value, id_col, time_col)
     rows = add_index(df, "__t", id_col, time_col).withColumn("__pct", change)
     t = F.col("__t").cast("double")
-    numbers = rows.groupBy(id_col).agg(
+    modes = [F.mode(c, True).alias(c) for c in [*categories, *([label] if label else [])]]
+    return rows.groupBy(id_col).agg(
         F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), F.min(value).alias("min"),
         F.max(value).alias("max"), F.max_by(value, time_col).alias("last"),
         F.avg("__pct").alias("pct_mean"), F.stddev_pop("__pct").alias("pct_std"),
-        F.coalesce(F.regr_slope(F.col(value), t), F.lit(0.0)).alias("trend"))
-    for column in [*categories, *([label] if label else [])]:
-        numbers = numbers.join(most_frequent(df, [id_col], column), id_col, "left")
-    return numbers
+        F.coalesce(F.regr_slope(F.col(value), t), F.lit(0.0)).alias("trend"), *modes)
 
 
 def encoder(numeric: Sequence[str], categories: Sequence[str]) -> list:
-    """Index, one-hot and assemble; an unseen category becomes its own slot."""
+    """Index, one-hot and assemble; an unseen category is all zeros.
+
+    The indexer keeps unseen values as a last slot, which the encoder drops.
+    """
     index = StringIndexer(inputCols=list(categories), outputCols=[f"{c}__i" for c in categories], handleInvalid="keep")
-    onehot = OneHotEncoder(inputCols=[f"{c}__i" for c in categories], outputCols=[f"{c}__v" for c in categories],
-                           handleInvalid="keep")
+    onehot = OneHotEncoder(inputCols=[f"{c}__i" for c in categories], outputCols=[f"{c}__v" for c in categories], dropLast=True)
     assemble = VectorAssembler(inputCols=[*numeric, *[f"{c}__v" for c in categories]], outputCol="features",
                                handleInvalid="keep")
     return [index, onehot, assemble]

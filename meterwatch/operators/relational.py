@@ -137,8 +137,8 @@ def describe_score(df: DataFrame, score: str) -> DataFrame:
         F.min(score).alias("min"), F.max(score).alias("max"),
     )
     quartiles = exact_quantiles(df, score, {"q25": 0.25, "median": 0.5, "q75": 0.75})
-    key = F.lit(1).alias("__k")  # one row on each side
-    return plain.select(key, "*").join(quartiles.select(key, "*"), "__k").drop("__k")
+    three = quartiles.select(F.struct("*")).scalar()
+    return plain.withColumn("__q", three).select("*", "__q.*").drop("__q")
 
 
 def most_frequent(df: DataFrame, group: Sequence[str], column: str, weight: Column | None = None) -> DataFrame:

@@ -105,7 +105,7 @@ def sigma_flag(v: Views) -> DataFrame:
                         from scores group by 1, 2, 3 having count(*) >= 2) using (category, zone, period)""", ctes=SCORES)
 def client_group_profile(v: Views) -> DataFrame:
     """The dashboard profile for every client, as its pre-computed table."""
-    return G.group_profiles(_scores(v), GROUP)
+    return G.group_profiles(persist_table(_scores(v)), GROUP)
 
 
 @query("client_group_profile_one", f"""

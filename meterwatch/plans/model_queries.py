@@ -12,6 +12,7 @@ from meterwatch.operators import kmodes as KM
 from meterwatch.operators import labels as L
 from meterwatch.plans.registry import query, r
 from meterwatch.plans.views import Views
+from meterwatch.session import persist_table
 
 CATEGORIES = ["category", "zone"]
 
@@ -42,7 +43,9 @@ def supervised_features(v: Views) -> DataFrame:
     return _features(v)
 
 
-@query("encode_features")
+@query("encode_features", f"""
+    select series_id, cast({len(B.NUMERIC)} + (select count(distinct category) from features)
+           + (select count(distinct zone) from features) as int) as width, 2e0 as ones from features""", ctes={"features": FEATURES_SQL})
 def encode_features(v: Views) -> DataFrame:
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
@@ -232,7 +235,7 @@ def kmodes_elbow(v: Views) -> DataFrame:
     return KM.elbow(v.categorical(), ATTRIBUTES)
 
 
-# clusters are the customers' segments and zones; the score is their rank-free balance share
+# clusters are the customers' segments and zones; the score is a number derived from the id
 SEGMENTS = {
     "seg": """select g.series_id, g.category || '/' || g.zone as cluster, t.label, avg(g.value) as value,
               cast(g.series_id * 37 % 101 as double) / 100 as score
@@ -253,8 +256,9 @@ SEGMENTS = {
 
 def _segments(v: Views) -> DataFrame:
     rows = _labelled(v).groupBy("series_id", "category", "zone", "label").agg(F.avg("value").alias("value"))
-    return rows.select("series_id", F.concat_ws("/", "category", "zone").alias("cluster"), "label", "value",
+    rows = rows.select("series_id", F.concat_ws("/", "category", "zone").alias("cluster"), "label", "value",
                        ((F.col("series_id") * 37 % 101).cast("double") / 100).alias("score"))
+    return persist_table(rows)  # one row per client, read by every step that follows
 
 
 @query("cluster_profile", f"""

@@ -622,18 +622,18 @@ def exclude_low(v: Views) -> DataFrame:
 
 
 METER_SQL = """
-    select p.series_id, p.period, p.value, case when d.label = 1 then strftime(d.visit_date, '%Y-%m-%d')
-           else 'SIN CAMBIO MEDIDOR' end as meter_change
-    from fx_group_panel p join (select series_id, max(visit_date) as visit_date, max(case when code = '1-URGENT' then 1 else 0 end) as label
-                                from fx_visits_old group by 1) d using (series_id)"""
+    select p.series_id, p.period, p.value,
+           case when d.label = 1 then strftime(d.visit_date, '%Y-%m-%d') else 'SIN CAMBIO MEDIDOR' end as meter_change
+    from fx_group_panel p join (
+        select series_id, max(visit_date) as visit_date, max(case when code = '1-URGENT' then 1 else 0 end) as label
+        from fx_visits_old group by 1) d using (series_id)"""
 
 
 @query("exclude_recent", f"""
     select series_id, period, {r('value', 2)} as value from meters where series_id not in (
         select series_id from meters where meter_change <> 'SIN CAMBIO MEDIDOR'
         and cast(meter_change as date) >= (select make_date(max(period), 1, 1) - interval 24 month from meters))""",
-       digits=2, ctes={"meters": METER_SQL.replace("case when d.label = 1 then strftime(d.visit_date, '%Y-%m-%d')\n           else 'SIN CAMBIO MEDIDOR' end",
-                                                   "case when d.label = 1 then strftime(d.visit_date, '%Y-%m-%d') else 'SIN CAMBIO MEDIDOR' end")})
+       digits=2, ctes={"meters": METER_SQL})
 def exclude_recent(v: Views) -> DataFrame:
     changes = v.visits_old().groupBy("series_id").agg(
         F.max("visit_date").alias("d"), F.max((F.col("code") == "1-URGENT").cast("int")).alias("l"))

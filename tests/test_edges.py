@@ -384,3 +384,12 @@ def test_empty_input_gives_the_declared_columns(rows):
     assert P.densify(empty).isEmpty() and D.cusum_break(empty).isEmpty()
     assert global_rank(empty, [F.asc("series_id")]).columns == ["series_id", "period", "value", "rank"]
     assert exact_quantiles(empty, "value", {"m": 0.5}, ["series_id"]).isEmpty()
+
+
+def test_intermediate_tables_go_to_the_folder_of_the_cluster(spark):
+    from meterwatch.session import persist_table, shared_folder
+
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark).startswith(base)
+    kept = persist_table(spark.range(3))
+    assert all(base in f for f in kept.inputFiles()) and kept.count() == 3
