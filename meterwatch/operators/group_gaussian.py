@@ -76,29 +76,35 @@ def flag_outliers(scores: DataFrame, score: str = "fraud_score", sigmas: float =
     return scores.filter(F.col(score) > sigmas)
 
 
-def client_group_profile(
-    scores: DataFrame, client: int, group: Sequence[str], id_col: str = "series_id",
-    score: str = "fraud_score", sigmas: float = 2.0,
-) -> DataFrame:
-    """For one client: size and outliers of its groups and its own mean distance."""
-    own = scores.filter(F.col(id_col) == client).select(*group).distinct()
-    mine = F.col(id_col) == client
-    return scores.join(own, list(group), "left_semi").groupBy(*group).agg(
-        F.count(F.lit(1)).alias("group_size"),
-        F.count_if(F.col(score) > sigmas).alias("outliers"),
-        F.avg(F.when(mine, F.col(score))).alias("own_distance"),
-    ).filter("group_size >= 2")
-
-
 def group_profiles(
-    scores: DataFrame, group: Sequence[str], id_col: str = "series_id", score: str = "fraud_score", sigmas: float = 2.0,
+    scores: DataFrame, group: Sequence[str], id_col: str = "series_id", score: str = "fraud_score",
+    sigmas: float = 2.0, latest_by: str | None = None,
 ) -> DataFrame:
-    """The same profile for every client at once, from one aggregate per group."""
+    """Every client against its group: size, outliers, own mean distance, text.
+
+    One aggregate per group serves all its clients; groups of one row are left
+    out. ``latest_by`` keeps the latest group of each client only.
+    """
     sizes = scores.groupBy(*group).agg(
         F.count(F.lit(1)).alias("group_size"), F.count_if(F.col(score) > sigmas).alias("outliers")
     ).filter("group_size >= 2")
-    own = scores.groupBy(id_col, *group).agg(F.avg(score).alias("own_distance"))
-    return own.join(sizes, list(group))
+    keys = list(dict.fromkeys([*group, *([latest_by] if latest_by else [])]))
+    own = scores.groupBy(id_col, *keys).agg(F.avg(score).alias("own_distance"))
+    if latest_by:
+        last = F.max_by(F.struct(*[F.col(c) for c in [*keys, "own_distance"]]), F.col(latest_by))
+        own = own.groupBy(id_col).agg(last.alias("__l")).select(id_col, *[f"__l.{c}" for c in [*group, "own_distance"]])
+    text = F.concat_ws(" | ", *[F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in group])
+    return own.join(sizes, list(group)).withColumn("description", text)
+
+
+def client_group_profile(
+    scores: DataFrame, client: int, group: Sequence[str], id_col: str = "series_id",
+    score: str = "fraud_score", sigmas: float = 2.0, latest_by: str | None = None,
+) -> DataFrame:
+    """The profile of one client: only the groups it belongs to are counted."""
+    own = scores.filter(F.col(id_col) == client).select(*group).distinct()
+    near = scores.join(own, list(group), "left_semi")
+    return group_profiles(near, group, id_col, score, sigmas, latest_by).filter(F.col(id_col) == client)
 
 
 def _ellipse(stats: DataFrame, sigmas: float) -> DataFrame:

@@ -99,21 +99,23 @@ def sigma_flag(v: Views) -> DataFrame:
     return G.flag_outliers(_scores(v)).select("series_id", "period", "fraud_score")
 
 
-@query("client_group_profile", f"""
-    select s.series_id, category, zone, period, n as group_size, outliers, {r('fraud_score')} as own_distance
-    from scores s join (select category, zone, period, count(*) as n, count(*) filter (fraud_score > 2) as outliers
-                        from scores group by 1, 2, 3 having count(*) >= 2) using (category, zone, period)""", ctes=SCORES)
+PROFILE_SQL = f"""
+    select s.series_id, category, zone, period, n as group_size, outliers, {r('fraud_score')} as own_distance,
+           'category: ' || category || ' | zone: ' || zone || ' | period: ' || cast(period as varchar) as description
+    from (select *, row_number() over (partition by series_id order by period desc) as back from scores) s
+    join (select category, zone, period, count(*) as n, count(*) filter (fraud_score > 2) as outliers
+          from scores group by 1, 2, 3 having count(*) >= 2) using (category, zone, period)"""
+
+
+@query("client_group_profile", f"{PROFILE_SQL} where back = 1", ctes=SCORES)
 def client_group_profile(v: Views) -> DataFrame:
-    """The dashboard profile for every client, as its pre-computed table."""
-    return G.group_profiles(persist_table(_scores(v)), GROUP)
+    """The dashboard profile of every client in its latest group, as one table."""
+    return G.group_profiles(persist_table(_scores(v)), GROUP, latest_by="period")
 
 
-@query("client_group_profile_one", f"""
-    select category, zone, period, count(*) as group_size, count(*) filter (fraud_score > 2) as outliers,
-           {r('avg(fraud_score) filter (series_id = 17)')} as own_distance
-    from scores where (category, zone, period) in (select (category, zone, period) from scores where series_id = 17)
-    group by 1, 2, 3""", ctes=SCORES)
+@query("client_group_profile_one", f"{PROFILE_SQL} where series_id = 17", ctes=SCORES)
 def client_group_profile_one(v: Views) -> DataFrame:
+    """All the groups of the client that was asked for."""
     return G.client_group_profile(_scores(v), 17, GROUP)
 
 
