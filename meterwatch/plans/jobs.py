@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwatch.functions.scalar import fixed
-from meterwatch.operators import forest, group_gaussian, quality, structural
+from meterwatch.operators import classifiers, economics, forest, group_gaussian, kmodes, quality, structural
 from meterwatch.operators import series_features as features
+from meterwatch.operators.labels import latest_label
 from meterwatch.operators.ordering import global_rank
 from meterwatch.operators.relational import drop_ids, first_per_key, latest_present
 from meterwatch.session import build_session
@@ -78,6 +79,36 @@ class Job:
         breaks = structural.cusum_break(self.filtered(), alpha, self.id, self.time, self.value)
         return self._publish("cusum_ranking", structural.cusum_ranking(breaks, self.id))
 
+    def supervised(self, labels: str, kind: str = "gbt_deep", trees: int = classifiers.TREES) -> DataFrame:
+        """Fit on the labelled clients, report on the held-out part, score everyone.
+
+        ``labels`` is a Parquet table (id, visit_date, label); repeated visits
+        are reduced to the latest before they meet a series.
+        """
+        seen = latest_label(scan_parquet(self.spark, labels), self.id)
+        names = (self.id, self.time, self.value)
+        known = reuse_or_build(self.spark, self.path("supervised_features"), lambda: classifiers.stratified_split(
+            classifiers.supervised_features(self.filtered().join(seen, self.id), self.group, "label", *names), id_col=self.id))
+        model = classifiers.train(known.filter("train"), kind, categories=self.group, trees=trees)
+        held_out = reuse_or_build(self.spark, self.path(f"{kind}_validation"), lambda: classifiers.score(
+            model, known.filter("not train"), categories=self.group))
+        self._publish(f"{kind}_report", classifiers.classification_report(classifiers.confusion_matrix(held_out)))
+        self._publish(f"{kind}_roc", classifiers.roc_curve(held_out))
+        scores = reuse_or_build(self.spark, self.path(f"{kind}_predictions"), lambda: classifiers.score(
+            model, classifiers.supervised_features(self.filtered(), self.group, None, *names), categories=self.group))
+        return self._publish(f"{kind}_ranking", global_rank(
+            scores, [fixed(F.col("score")).desc_nulls_last(), F.col(self.id).asc()]))
+
+    def benefit(self, labels: str, kind: str = "gbt_deep", k: int = 10) -> DataFrame:
+        """Clusters of the labelled clients and what each threshold earns on the scores of ``supervised``."""
+        seen = latest_label(scan_parquet(self.spark, labels), self.id)
+        mean = self.filtered().groupBy(self.id, *self.group).agg(F.avg(self.value).alias("value"))
+        segments = reuse_or_build(self.spark, self.path("segments"), lambda: kmodes.kmodes(
+            mean.join(seen, self.id).dropna(), self.group, k))
+        profile = reuse_or_build(self.spark, self.path("cluster_profile"), lambda: economics.cluster_profile(segments))
+        scores = scan_parquet(self.spark, self.path(f"{kind}_predictions")).select(self.id, "score")
+        return self._publish(f"{kind}_benefit", economics.threshold_sweep(segments.join(scores, self.id), profile))
+
     def _publish(self, name: str, ranking: DataFrame) -> DataFrame:
         write_csv(ranking, self.path(f"{name}_csv"), mode="overwrite")
         return ranking
@@ -85,17 +116,23 @@ class Job:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=("gaussian", "isolation", "structural"))
+    parser.add_argument("job", choices=("gaussian", "isolation", "structural", "supervised", "benefit"))
     parser.add_argument("--panel", required=True)
     parser.add_argument("--out", required=True)
     parser.add_argument("--group", nargs="+", required=True)
     parser.add_argument("--id", default="series_id")
     parser.add_argument("--time", default="period")
     parser.add_argument("--value", default="value")
+    parser.add_argument("--labels", help="table of labelled visits, for supervised and benefit")
     parser.add_argument("--sample", type=int, help="only the first clients, for a trial")
     args = parser.parse_args(arguments)
     job = Job(build_session(), args.panel, args.out, args.group, args.id, args.time, args.value, args.sample)
-    getattr(job, args.job)()
+    if args.job in ("supervised", "benefit"):
+        if not args.labels:
+            parser.error(f"{args.job} needs --labels")
+        getattr(job, args.job)(args.labels)
+    else:
+        getattr(job, args.job)()
 
 
 if __name__ == "__main__":

@@ -45,3 +45,17 @@ def test_sample_has_its_own_stages(spark, panel, tmp_path):
     few = Job(spark, panel, str(tmp_path / "out"), ["zone"], sample=5)
     assert few.filtered().select("series_id").distinct().count() == 5 < whole.select("series_id").distinct().count()
     assert few.path("x") != f"{few.out}/x"
+
+
+def test_labels_to_scores_to_money(spark, panel, tmp_path):
+    labels = str(tmp_path / "labels")
+    spark.range(60).select(
+        F.col("id").alias("series_id"), F.lit("2023-05-01").cast("date").alias("visit_date"),
+        (F.col("id") % 3 == 0).cast("int").alias("label")).write.parquet(labels)
+    job = Job(spark, panel, str(tmp_path / "out"), ["zone"])
+    ranked = job.supervised(labels, trees=2)
+    clients = job.filtered().select("series_id").distinct().count()
+    assert ranked.count() == clients and ranked.filter("score is null").isEmpty()
+    report = [row for f in glob.glob(str(tmp_path / "out" / "gbt_deep_report_csv" / "*.csv")) for row in csv.DictReader(open(f))]
+    assert {r["class"] for r in report} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    assert job.benefit(labels, k=1).count() in (0, 17)
