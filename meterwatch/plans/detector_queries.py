@@ -84,14 +84,14 @@ GAUSS = {
 }
 
 
-def _gaussian(v: Views) -> DataFrame:
+def gaussian(v: Views, group: tuple[str, ...] = ("category", "zone")) -> DataFrame:
     dated = v.group_panel().withColumn("period", F.make_date("period", F.lit(1), F.lit(1)))
-    return G.gaussian_ranking(dated, ["category", "zone"], lag_rows=1, min_size=MIN_GROUP)
+    return G.gaussian_ranking(dated, list(group), lag_rows=1, min_size=MIN_GROUP)
 
 
 @query("gaussian_ranking", "select * from gauss_rank", ctes=GAUSS)
 def gaussian_ranking(v: Views) -> DataFrame:
-    return _gaussian(v)
+    return gaussian(v)
 
 
 @query("sigma_flag", f"select series_id, period, {r('fraud_score')} as fraud_score from scores where fraud_score > 2", ctes=SCORES)
@@ -336,4 +336,4 @@ def client_results(v: Views) -> DataFrame:
     from customer c left join gauss_rank g on c.c_custkey = g.series_id""", ctes=GAUSS)
 def client_results_gaussian(v: Views) -> DataFrame:
     clients = v.t("customer").select(F.col("c_custkey").alias("series_id"))
-    return C.client_results(clients, Q.invalid_series(v.group_panel()).filter("false"), gaussian=_gaussian(v))
+    return C.client_results(clients, Q.invalid_series(v.group_panel()).filter("false"), gaussian=gaussian(v))

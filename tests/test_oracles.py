@@ -20,7 +20,9 @@ def test_runs_without_sql(spark, key):
     assert QUERIES[key](spark, SF_DIR).count() > 0
 
 
-def test_entry_points():
+def test_entry_points(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
+    flagship = entry.entry(spark)
+    assert flagship.count() > 0 and "fraud_score" in flagship.columns
