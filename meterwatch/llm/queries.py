@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterwatch.llm import bpe, line_dedup, token_count
+from meterwatch.llm import bpe, decontaminate, line_dedup, secret_scan, token_count
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query("op2_secret_scan", secret_scan.SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digest(_table(spark, sf_dir, "documents"))
+
+
 @_query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 1024)
@@ -42,6 +47,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+@_query("op9_decontamination", decontaminate.SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leak_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), 10)
+
+
 @_query("op10_line_dedup", line_dedup.SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(_table(spark, sf_dir, "documents"), 10)
