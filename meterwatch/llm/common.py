@@ -13,17 +13,17 @@ Conventions of every operator in this package:
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwatch.session import persist_table
 
-__all__ = ["ROW_KEY", "keyed", "mix64", "persist_table", "same_row", "sha256_hex", "word_hash"]
-
-#: Names of the two columns that tell rows apart.
-ROW_KEY = ("doc_id", "text_key")
+__all__ = ["WordHashes", "arrow_rows", "keyed", "mix64", "persist_table", "running_hash", "sha256_hex", "sorted_groups", "word_hash"]
 
 _C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
@@ -36,11 +36,6 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         "text_key", F.xxhash64("text"))
 
 
-def same_row(left: DataFrame, right: DataFrame) -> Column:
-    """Join condition on the row key that also holds for NULL ids."""
-    return (left["text_key"] == right["text_key"]) & left["doc_id"].eqNullSafe(right["doc_id"])
-
-
 def sha256_hex(data: bytes | str) -> str:
     return hashlib.sha256(data.encode("utf-8", "surrogatepass") if isinstance(data, str) else data).hexdigest()
 
@@ -86,3 +81,35 @@ def running_hash(hashes: np.ndarray, width: int) -> np.ndarray:
         for j in range(width):
             out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + hashes[j:j + n] + np.uint64(j + 1))
     return out
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Fewer rows in a batch for Python than usual, for jobs that run inside; the setting is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def sorted_groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The groups of a partition that is sorted by ``keys``, column by column; a group may lie in several batches."""
+    held: pd.DataFrame | None = None
+    for b in batches:
+        if held is not None:
+            b = pd.concat([held, b], ignore_index=True)
+        if not len(b):
+            continue
+        new = np.zeros(len(b), bool)
+        columns = {c: b[c].to_numpy() for c in b.columns}
+        for k in keys:
+            new[1:] |= columns[k][1:] != columns[k][:-1]
+        at = [0, *np.flatnonzero(new).tolist()]
+        for lo, hi in zip(at, at[1:]):
+            yield {c: v[lo:hi] for c, v in columns.items()}
+        held = b.iloc[at[-1]:]
+    if held is not None and len(held):
+        yield {c: held[c].to_numpy() for c in held.columns}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterwatch.llm import bpe, decontaminate, line_dedup, secret_scan, token_count
+from meterwatch.llm import bpe, decontaminate, line_dedup, minhash, packing, secret_scan, token_count, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -32,11 +32,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query("op1_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), 2048)
+
+
 @_query("op2_secret_scan", secret_scan.SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(_table(spark, sf_dir, "documents"))
 
 
+@_query("op3_vector_dedup", vector_dedup.SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"), 0.95)
+
+
+@_query("op5_minhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_digest(_table(spark, sf_dir, "documents"), 3, 85)
+
+
 @_query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 1024)
