@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterwatch.llm import bpe, decontaminate, line_dedup, minhash, packing, secret_scan, token_count, vector_dedup
+from meterwatch.llm import (bpe, decontaminate, line_dedup, minhash, packing, secret_scan, substring, token_count, toxicity,
+                            vector_dedup)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -47,11 +48,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"), 0.95)
 
 
+@_query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.drop("text_key")
+
+
 @_query("op5_minhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_digest(_table(spark, sf_dir, "documents"), 3, 85)
 
 
+@_query("op6_substring_dedup", substring.SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.passage_digest(_table(spark, sf_dir, "documents"), 50)
+
+
 @_query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 1024)
