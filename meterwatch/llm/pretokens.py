@@ -27,7 +27,7 @@ _WORD_SPLIT = regex.compile(WORD_PATTERN).findall
 
 # The same for texts of plain Latin letters, which the standard library splits faster: there the classes can be written
 # out, and letters can be tried first, as no other alternative begins with one.
-_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u024F"
+_LETTERS = "A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u012F\u0131-\u017F"
 _NOT_LATIN = re.compile(f"[^\\x00-\\x1B\\x20-\\x7F{_LETTERS}]")
 _LATIN_BYTE_SPLIT = re.compile(
     rf" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^ \t-\r{_LETTERS}0-9]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+").findall

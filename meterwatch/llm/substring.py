@@ -238,7 +238,7 @@ def remove_passages(docs: DataFrame, width: int = 50, id_col: str = "doc_id", te
         F.coalesce("cut_sha256", "kept_sha256").alias("kept_sha256"), *(["kept"] if with_text else []))
     if not with_text:
         return result
-    blanks = F.array_join(F.array_remove(F.split(keyed(docs, id_col, text_col)["text"], r"[\x20\x09-\x0D]+"), ""), " ")
+    blanks = F.array_join(F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""), " ")
     plain = keyed(docs, id_col, text_col).select("doc_id", "text_key", blanks.alias("plain")).dropDuplicates(["doc_id", "text_key"])
     joined = result.join(plain.withColumnsRenamed({"doc_id": "other_id", "text_key": "other_key"}), F.expr("text_key = other_key and doc_id <=> other_id"))
     return joined.select("doc_id", "text_key", "n_words", "n_removed", "kept_sha256", F.coalesce("kept", "plain").alias("text"))

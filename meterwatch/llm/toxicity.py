@@ -32,8 +32,8 @@ SLOTS, GROUP = 1 << 18, 5
 MOST_POSITIVE, MOST_UNLABELLED, MEMBERS = 3_000, 9_000, 3
 #: Deviations by which a marker must exceed its frequency in clean texts.
 SIGNIFICANT = 4.0
-#: Gradient steps and their size.
-STEPS, RATE = 400, 0.05
+#: Gradient steps, their size, and the weight that keeps coefficients small.
+STEPS, RATE, SHRINK = 600, 0.05, 1e-4
 #: Words of which a task remembers the slots.
 REMEMBERED = 150_000
 #: Every ``HELD_OUT``-th hash class of ids gives no label.
@@ -88,17 +88,25 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def fit_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> np.ndarray:
-    """Coefficients that minimise the non-negative risk (logistic loss, moment-scaled steps)."""
+    """Coefficients that minimise the non-negative risk (logistic loss, moment-scaled steps).
+
+    Steps away from a negative risk make the path swing, so the best point of it is taken.
+    """
     w = np.zeros(positive.shape[1])
     mean, square = np.zeros_like(w), np.zeros_like(w)
+    best, lowest = w, np.inf
     for t in range(1, STEPS + 1):
         zp, zu = positive @ w, unlabelled @ w
         clean_risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
+        risk = prior * np.logaddexp(0, -zp).mean() + max(0.0, clean_risk) + SHRINK * (w * w).sum()
+        if risk < lowest:
+            best, lowest = w, risk
         of_clean = unlabelled.T @ _sigmoid(zu) / len(zu) - prior * (positive.T @ _sigmoid(zp)) / len(zp)
         step = -prior * (positive.T @ _sigmoid(-zp)) / len(zp) + of_clean if clean_risk >= 0 else -of_clean
+        step = step + 2 * SHRINK * w
         mean, square = 0.9 * mean + 0.1 * step, 0.999 * square + 0.001 * step * step
-        w -= RATE * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.999 ** t)) + 1e-8)
-    return w
+        w = w - RATE * (mean / (1 - 0.9 ** t)) / (np.sqrt(square / (1 - 0.999 ** t)) + 1e-8)
+    return best
 
 
 def _remainder(id_col: str):
