@@ -17,7 +17,10 @@ from meterwatch.session import persist_table, shared_folder
 
 NUMERIC = ("mean", "std", "min", "max", "last", "pct_mean", "pct_std", "trend")
 MISSING_CATEGORY = "__missing"
-ROWS_PER_TASK = 20_000
+#: Partitions that a model is fitted on: bagging follows them, so their number is fixed and rows are dealt by id.
+FIT_PARTITIONS = 16
+#: Levels of a forest's trees.
+MAX_DEPTH = 12
 TREES = 100
 
 
@@ -73,27 +76,36 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "series_
     return ranked.select(*df.columns, (F.col("__r") * 1000 <= F.col("__n") * share).alias("train"))
 
 
-def _model(kind: str, seed: int, trees: int):
+def _model(kind: str, seed: int, trees: int, max_depth: int):
     if kind == "gbt":
         return GBTClassifier(maxIter=trees, stepSize=0.1, maxDepth=3, seed=seed)
     if kind == "gbt_deep":
         return GBTClassifier(maxIter=trees, stepSize=0.1, maxDepth=5, seed=seed)
     if kind == "forest":
-        return RandomForestClassifier(numTrees=trees, seed=seed)
+        return RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=seed)
     raise ValueError(f"unknown model {kind}")
 
 
 def train(df: DataFrame, kind: str, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = (),
-          label: str = "label", seed: int = 42, trees: int = TREES) -> PipelineModel:
-    """Encoder and classifier fitted on the rows given."""
+          label: str = "label", seed: int = 42, trees: int = TREES, max_depth: int = MAX_DEPTH,
+          id_col: str = "series_id") -> PipelineModel:
+    """Encoder and classifier fitted on the rows given.
+
+    ``max_depth`` bounds the trees of a forest; boosted trees have 3 or 5 levels.
+    The order of the rows and the files they come from do not change the model.
+    """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    model = _model(kind, seed, trees).setLabelCol(label).setFeaturesCol("features")
+    model = _model(kind, seed, trees, max_depth).setLabelCol(label).setFeaturesCol("features")
     # many passes follow: read a table instead of repeating the features
-    rows = persist_table(prepare(df, numeric, categories).select(*numeric, *categories, label))
-    # hundreds of short jobs: no more tasks than the rows are worth
-    rows = rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))
+    columns = [*numeric, *categories, label]
+    prepared = prepare(df, numeric, categories)
+    if id_col in df.columns:
+        prepared = prepared.select(id_col, *columns).repartition(FIT_PARTITIONS, id_col).sortWithinPartitions(id_col, *columns)
+    else:
+        prepared = prepared.select(*columns).repartition(FIT_PARTITIONS, *columns).sortWithinPartitions(*columns)
+    rows = persist_table(prepared.select(*columns))
     return Pipeline(stages=[*encoder(numeric, categories), model]).fit(rows)
 
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from meterwatch.session import persist_table
 
 MAX_ROUNDS = 100
-HEAD = 2_000  # densest profiles that the driver looks at
 Mode = tuple[str, ...]
 
 
@@ -53,30 +52,20 @@ def mismatches(attributes: Sequence[str], mode: Mode) -> Column:
 def initial_modes(profiles: DataFrame, attributes: Sequence[str], k: int) -> list[Mode]:
     """Densest profile first, then the one farthest and densest from those chosen.
 
-    The list for a smaller ``k`` is the head of the list for a larger one. The
-    densest ``HEAD`` profiles are looked at first: no other profile can beat a
-    value above ``len(attributes)`` times the least density among them, which
-    settles nearly every choice; a choice it does not settle is one more job.
+    The list for a smaller ``k`` is the head of the list for a larger one. Each
+    choice is one aggregate over the distinct profiles, which are written down;
+    fewer different profiles than ``k`` is an error.
     """
     text = F.struct(*attributes)
-    head = profiles.select(*attributes, "density").orderBy(
-        F.desc("density"), text).limit(HEAD).collect()  # HEAD rows
-    bound = len(attributes) * head[-1]["density"] if len(head) == HEAD else -1.0
-    known = [(tuple(str(r[a]) for a in attributes), r["density"]) for r in head]
     modes: list[Mode] = []
-
-    def value(m: Mode, density: float) -> float:
-        away = min((sum(a != b for a, b in zip(m, c)) for c in modes), default=len(attributes))
-        return round(density * away, 9)
-
-    while len(modes) < k and known:
-        best, m = min((-value(m, density), m) for m, density in known)
-        if -best <= bound:
-            away = [mismatches(attributes, c) * F.col("density") for c in modes] or [F.col("density") * len(attributes)]
-            rank = F.struct((-F.round(F.least(*away) if len(away) > 1 else away[0], 9)).alias("r"), text.alias("m"))
-            m = tuple(str(c) for c in profiles.agg(F.min(rank).alias("b")).select("b.m.*").first())
-        if m in modes:
-            break
+    while len(modes) < k:
+        away = [mismatches(attributes, c) for c in modes]
+        nearest = F.least(*away) if len(away) > 1 else away[0] if away else F.lit(len(attributes))
+        rank = F.struct((-F.round(nearest * F.col("density"), 9)).alias("r"), text.alias("m"))
+        best = profiles.agg(F.min(rank).alias("b")).select("b.m.*").first()
+        m = tuple(str(c) for c in best)
+        if m in modes or best[0] is None:
+            raise ValueError(f"{k} clusters need as many different profiles; there are {len(modes)}")
         modes.append(m)
     return modes
 

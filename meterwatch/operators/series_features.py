@@ -263,7 +263,14 @@ def fourier(s: DataFrame, id_col: str = "series_id", coefficients: int = FOURIER
                        F.degrees(F.atan2(im, re)).alias("fft_angle"))
 
 
-def fourier_wide(s: DataFrame, id_col: str = "series_id", coefficients: int = 10) -> DataFrame:
+def fourier_wide(s: DataFrame, id_col: str = "series_id", coefficients: int | None = None) -> DataFrame:
+    """The coefficients side by side, as many as the longest series has, at most ``FOURIER_COEFFICIENTS``.
+
+    Unless their number is given, the longest series is looked up when this is called.
+    """
+    if coefficients is None:
+        longest = s.agg(F.max("n")).first()[0] or 0
+        coefficients = min(FOURIER_COEFFICIENTS, int(longest) // 2 + 1)
     parts = ("fft_real", "fft_imag", "fft_abs", "fft_angle")
     long = fourier(s, id_col, coefficients)
     return long.groupBy(id_col).agg(

@@ -330,10 +330,23 @@ def client_results(v: Views) -> DataFrame:
         forecasts=T.forecast_ranking(_two_checks(v), ("mae_ets", "mae_ar")).select("series_id", "mae_ets", "mae_ar", "rank"))
 
 
+#: The yearly panel with every third year of some clients missing and some flat.
+GAPS_SQL = """select series_id, period, case when series_id % 6 = 2 and period % 3 < 2 then null
+              when series_id % 11 = 3 then 7e0 else value end as value from fx_group_panel"""
+
+
+def _with_gaps(v: Views) -> DataFrame:
+    value = (F.when((F.col("series_id") % 6 == 2) & (F.col("period") % 3 < 2), None)
+             .when(F.col("series_id") % 11 == 3, F.lit(7.0)).otherwise(F.col("value")))
+    return v.group_panel().select("series_id", "period", value.alias("value"))
+
+
 @query("client_results_gaussian", """
-    select c.c_custkey as series_id, cast(null as varchar) as reason, cast(null as int) as invalid,
-           g.fraud_score, g.density, g.year_month, g.rank as rank_gaussian
-    from customer c left join gauss_rank g on c.c_custkey = g.series_id""", ctes=GAUSS)
+    select c.c_custkey as series_id, i.reason, i.invalid, g.fraud_score, g.density, g.year_month, g.rank as rank_gaussian
+    from customer c left join (
+        select series_id, string_agg(reason, '; ' order by reason) as reason, 1 as invalid from gap_reasons group by 1) i
+        on c.c_custkey = i.series_id
+    left join gauss_rank g on c.c_custkey = g.series_id""", ctes={**GAUSS, "gaps": GAPS_SQL, "gap_reasons": INVALID_SQL.replace("fx_panel_nulls", "gaps")})
 def client_results_gaussian(v: Views) -> DataFrame:
     clients = v.t("customer").select(F.col("c_custkey").alias("series_id"))
-    return C.client_results(clients, Q.invalid_series(v.group_panel()).filter("false"), gaussian=gaussian(v))
+    return C.client_results(clients, Q.invalid_series(_with_gaps(v)), gaussian=gaussian(v))

@@ -1,7 +1,8 @@
 """Whole jobs from a panel on disk to a ranking on disk.
 
-Every stage is a Parquet table that is used again if it is complete, so an
-interrupted job goes on at the stage it had reached.
+Every stage is a Parquet table that is used again if it is complete and was made
+from the same input with the same parameters, so an interrupted job goes on at the
+stage it had reached, and a job with other parameters builds its own.
 
     python -m meterwatch.plans.jobs gaussian --panel panel.parquet --out results --group zone category
 """
@@ -9,8 +10,9 @@ interrupted job goes on at the stage it had reached.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,28 +22,45 @@ from meterwatch.operators import series_features as features
 from meterwatch.operators.labels import latest_label
 from meterwatch.operators.ordering import global_rank
 from meterwatch.operators.relational import drop_ids, first_per_key, latest_present
-from meterwatch.session import build_session
+from meterwatch.session import build_session, use_folder
 from meterwatch.sources.readers import scan_parquet
-from meterwatch.sources.stages import reuse_or_build, sample_entities
+from meterwatch.sources.stages import identity, input_identity, is_complete, remove, reuse_or_build, sample_entities
 from meterwatch.sources.writers import write_csv
 
 MONTHS, LOW, MIN_GROUP = 19, 5.0, 25
 
 
 class Job:
-    """Names of the panel columns and the folder of the results."""
+    """Names of the panel columns and the folder of the results.
+
+    Intermediate tables of operators go to ``<out>/_stages`` unless the cluster names
+    a ``spark.checkpoint.dir``; ``close`` removes them.
+    """
 
     def __init__(self, spark: SparkSession, panel: str, out: str, group: Sequence[str], id_col: str = "series_id",
                  time_col: str = "period", value: str = "value", sample: int | None = None):
         self.spark, self.panel, self.out, self.group = spark, panel, out.rstrip("/"), list(group)
         self.id, self.time, self.value, self.sample = id_col, time_col, value, sample
+        use_folder(spark, f"{self.out}/_stages")
+
+    def close(self) -> None:
+        remove(self.spark, f"{self.out}/_stages")
 
     def path(self, name: str) -> str:
         return f"{self.out}/{f'sample{self.sample}_' if self.sample else ''}{name}"
 
+    def stage(self, name: str, build: Callable[[], DataFrame], sampled: bool = True, **what: object) -> DataFrame:
+        """A table named after its input, the columns and thresholds of the job and ``what`` else it depends on."""
+        return reuse_or_build(self.spark, self.stage_path(name, sampled, **what), build)
+
+    def stage_path(self, name: str, sampled: bool = True, **what: object) -> str:
+        made_from = identity(panel=input_identity(self.spark, self.panel), columns=[self.id, self.time, self.value, *self.group],
+                             limits=[MONTHS, LOW, MIN_GROUP], **what)
+        return f"{self.path(name) if sampled else f'{self.out}/{name}'}-{made_from}"
+
     def invalid(self) -> DataFrame:
         raw = scan_parquet(self.spark, self.panel)
-        return reuse_or_build(self.spark, f"{self.out}/invalid_series", lambda: quality.invalid_series(raw, self.id, self.value))
+        return self.stage("invalid_series", lambda: quality.invalid_series(raw, self.id, self.value), sampled=False)
 
     def filtered(self) -> DataFrame:
         """Clients with valid series and no low month, the last months only."""
@@ -51,14 +70,14 @@ class Job:
                 drop_ids(raw, self.invalid(), [self.id]), MONTHS, self.id, self.time, self.value,
                 low_threshold=LOW, drop_recent=False, drop_high=False)
 
-        whole = reuse_or_build(self.spark, f"{self.out}/filtered", build)
+        whole = self.stage("filtered", build, sampled=False)
         return sample_entities(whole, self.sample, self.id) if self.sample else whole
 
     def gaussian(self, lag_rows: int = 4) -> DataFrame:
-        made = reuse_or_build(self.spark, self.path("gaussian_features"), lambda: group_gaussian.consumption_features(
-            self.filtered(), lag_rows, self.id, self.time, self.value))
-        scores = reuse_or_build(self.spark, self.path("gaussian_scores"), lambda: group_gaussian.mahalanobis_scores(
-            made, [*self.group, "year_month"], f"{self.value}_log_prev", f"{self.value}_log", MIN_GROUP))
+        made = self.stage("gaussian_features", lambda: group_gaussian.consumption_features(
+            self.filtered(), lag_rows, self.id, self.time, self.value), lag_rows=lag_rows)
+        scores = self.stage("gaussian_scores", lambda: group_gaussian.mahalanobis_scores(
+            made, [*self.group, "year_month"], f"{self.value}_log_prev", f"{self.value}_log", MIN_GROUP), lag_rows=lag_rows)
         last = latest_present(scores, self.id, self.time, [*self.group, "year_month", "fraud_score", "density"])
         return self._publish("gaussian_ranking", global_rank(
             last, [fixed(F.col("fraud_score")).desc_nulls_last(), F.col(self.id).asc()]))
@@ -69,9 +88,9 @@ class Job:
             groups = first_per_key(panel.select(self.id, *self.group).dropna(), [self.id], self.group)
             return features.feature_table(panel, groups, self.id, self.time, self.value)
 
-        table = reuse_or_build(self.spark, self.path("isolation_features"), build)
+        table = self.stage("isolation_features", build)
         names = features.feature_columns(table, [self.id, *self.group])
-        scores = reuse_or_build(self.spark, self.path("isolation_scores"), lambda: forest.isolation_forest(
+        scores = self.stage("isolation_scores", lambda: forest.isolation_forest(
             table, names, self.group, self.id, MIN_GROUP, require_group=True))
         return self._publish("isolation_ranking", forest.forest_ranking(scores, self.id))
 
@@ -87,26 +106,37 @@ class Job:
         """
         seen = latest_label(scan_parquet(self.spark, labels), self.id)
         names = (self.id, self.time, self.value)
-        known = reuse_or_build(self.spark, self.path("supervised_features"), lambda: classifiers.stratified_split(
-            classifiers.supervised_features(self.filtered().join(seen, self.id), self.group, "label", *names), id_col=self.id))
-        model = classifiers.train(known.filter("train"), kind, categories=self.group, trees=trees)
-        held_out = reuse_or_build(self.spark, self.path(f"{kind}_validation"), lambda: classifiers.score(
-            model, known.filter("not train"), categories=self.group))
+        made_from = input_identity(self.spark, labels)
+        fit = {"labels": made_from, "kind": kind, "trees": trees}
+        known = self.stage("supervised_features", lambda: classifiers.stratified_split(
+            classifiers.supervised_features(self.filtered().join(seen, self.id), self.group, "label", *names), id_col=self.id),
+            labels=made_from)
+        model = self._model(known, kind, trees, fit)
+        held_out = self.stage(f"{kind}_validation", lambda: classifiers.score(
+            model, known.filter("not train"), categories=self.group), **fit)
         self._publish(f"{kind}_report", classifiers.classification_report(classifiers.confusion_matrix(held_out)))
         self._publish(f"{kind}_roc", classifiers.roc_curve(held_out))
-        scores = reuse_or_build(self.spark, self.path(f"{kind}_predictions"), lambda: classifiers.score(
-            model, classifiers.supervised_features(self.filtered(), self.group, None, *names), categories=self.group))
+        scores = self.stage(f"{kind}_predictions", lambda: classifiers.score(
+            model, classifiers.supervised_features(self.filtered(), self.group, None, *names), categories=self.group), **fit)
         return self._publish(f"{kind}_ranking", global_rank(
             scores, [fixed(F.col("score")).desc_nulls_last(), F.col(self.id).asc()]))
 
-    def benefit(self, labels: str, kind: str = "gbt_deep", k: int = 10) -> DataFrame:
+    def _model(self, known: DataFrame, kind: str, trees: int, fit: dict) -> PipelineModel:
+        """The fitted model, kept as a stage like any table."""
+        path = self.stage_path(f"{kind}_model", **fit)
+        if not is_complete(self.spark, f"{path}/metadata"):
+            classifiers.train(known.filter("train"), kind, categories=self.group, trees=trees, id_col=self.id).write().overwrite().save(path)
+        return PipelineModel.load(path)
+
+    def benefit(self, labels: str, kind: str = "gbt_deep", k: int = 10, trees: int = classifiers.TREES) -> DataFrame:
         """Clusters of the labelled clients and what each threshold earns on the scores of ``supervised``."""
         seen = latest_label(scan_parquet(self.spark, labels), self.id)
+        made_from = input_identity(self.spark, labels)
         mean = self.filtered().groupBy(self.id, *self.group).agg(F.avg(self.value).alias("value"))
-        segments = reuse_or_build(self.spark, self.path("segments"), lambda: kmodes.kmodes(
-            mean.join(seen, self.id).dropna(), self.group, k))
-        profile = reuse_or_build(self.spark, self.path("cluster_profile"), lambda: economics.cluster_profile(segments))
-        scores = scan_parquet(self.spark, self.path(f"{kind}_predictions")).select(self.id, "score")
+        segments = self.stage("segments", lambda: kmodes.kmodes(
+            mean.join(seen, self.id).dropna(), self.group, k), labels=made_from, k=k)
+        profile = self.stage("cluster_profile", lambda: economics.cluster_profile(segments), labels=made_from, k=k)
+        scores = scan_parquet(self.spark, self.stage_path(f"{kind}_predictions", labels=made_from, kind=kind, trees=trees)).select(self.id, "score")
         return self._publish(f"{kind}_benefit", economics.threshold_sweep(segments.join(scores, self.id), profile))
 
     def _publish(self, name: str, ranking: DataFrame) -> DataFrame:
@@ -127,12 +157,15 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--sample", type=int, help="only the first clients, for a trial")
     args = parser.parse_args(arguments)
     job = Job(build_session(), args.panel, args.out, args.group, args.id, args.time, args.value, args.sample)
-    if args.job in ("supervised", "benefit"):
-        if not args.labels:
-            parser.error(f"{args.job} needs --labels")
-        getattr(job, args.job)(args.labels)
-    else:
-        getattr(job, args.job)()
+    try:
+        if args.job in ("supervised", "benefit"):
+            if not args.labels:
+                parser.error(f"{args.job} needs --labels")
+            getattr(job, args.job)(args.labels)
+        else:
+            getattr(job, args.job)()
+    finally:
+        job.close()
 
 
 if __name__ == "__main__":

@@ -54,7 +54,7 @@ def encode_features(v: Views) -> DataFrame:
     encoded = Pipeline(stages=B.encoder(B.NUMERIC, CATEGORIES)).fit(rows).transform(rows)
     values = vector_to_array("features")
     return encoded.select("series_id", F.size(values).alias("width"),
-                          F.aggregate(F.slice(values, len(B.NUMERIC) + 1, 100), F.lit(0.0), lambda s, x: s + x).alias("ones"))
+                          F.aggregate(F.slice(values, F.lit(len(B.NUMERIC) + 1), F.size(values)), F.lit(0.0), lambda s, x: s + x).alias("ones"))
 
 
 SPLIT_SQL = """

@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+FOLDER = "spark.meterwatch.local.dir"
+
 
 def build_session(app: str = "meterwatch", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators assume (AQE on, UTC)."""
@@ -29,18 +31,24 @@ def build_session(app: str = "meterwatch", master: str | None = None, **conf: st
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for this call under the cluster's ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, one machine) a temporary folder is made
-    and kept in the session setting, so that later calls share it.
+    Where that is unset, the folder that ``use_folder`` named is taken. Only with a
+    local master a temporary folder is made instead; on a cluster every executor
+    would write to its own disk, so there it is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.meterwatch.local.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FOLDER, None)
     if not base:
+        if not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="meterwatch-")
-        spark.conf.set("spark.meterwatch.local.dir", base)
+        spark.conf.set(FOLDER, base)
     return os.path.join(base, f"stage-{uuid.uuid4().hex}")
 
 
+def use_folder(spark: SparkSession, path: str) -> None:
+    """Where intermediate tables go if the cluster names no ``spark.checkpoint.dir``."""
+    spark.conf.set(FOLDER, path)
+
+
 def persist_table(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -53,13 +61,22 @@ def persist_table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of input that a task of ``spread`` is given at most.
+SPREAD_BYTES = 64 << 20
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition on ``keys`` into as many tasks as the session is set for.
+    """Hash-partition on ``keys`` for work that is heavy per row.
 
-    For work that is heavy per row: adaptive execution joins small partitions
-    by their bytes, which would leave most cores idle, but keeps a partition
-    number that was asked for.
+    Adaptive execution joins small partitions by their bytes, which would leave
+    most cores idle, but keeps a partition number that was asked for. The number
+    follows the size of the tables that ``df`` is made from, and is never below
+    what the session is set for.
     """
     spark = df.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    if size < 1 << 60:  # beyond: a source that does not know its size
+        tasks = max(tasks, -(-size // SPREAD_BYTES))
     return df.repartition(tasks, *keys)

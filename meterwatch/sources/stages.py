@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,29 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
+def identity(**what: object) -> str:
+    """A short digest of what a stage was made from, for its name."""
+    return hashlib.sha256(json.dumps(what, sort_keys=True, default=str).encode()).hexdigest()[:12]
+
+
+def input_identity(spark: SparkSession, path: str) -> str:
+    """A digest of a path's files with their sizes and times: changes when the input does."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(target, True)
+    found = []
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return identity(files=sorted(found))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate tables."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def reuse_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
     """The table at ``path`` if it is complete, else build it and keep it."""
     if not is_complete(spark, path):

@@ -6,8 +6,10 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from meterwatch.operators import classifiers
 from meterwatch.plans.jobs import Job
 from meterwatch.plans.views import Views
+from meterwatch.session import shared_folder
 from tests.conftest import SF_DIR
 
 
@@ -24,7 +26,7 @@ def panel(spark, tmp_path_factory):
     value = 40 + F.coalesce("value", F.lit(0.0)) + F.pmod(F.hash("series_id", "period"), F.lit(20))
     value = F.when(F.col("series_id") == 1, F.lit(1.0)).when((F.col("series_id") == 2) & (F.month("period") < 7), None).otherwise(value)
     grid.join(spent, ["series_id", "period"], "left").select(
-        "series_id", "period", value.alias("value"), F.lit("z").alias("zone")).write.parquet(path)
+        "series_id", "period", value.alias("value"), F.lit("z").alias("zone"), F.lit("y").alias("zone2")).write.parquet(path)
     return path
 
 
@@ -47,7 +49,7 @@ def test_sample_has_its_own_stages(spark, panel, tmp_path):
     assert few.path("x") != f"{few.out}/x"
 
 
-def test_labels_to_scores_to_money(spark, panel, tmp_path):
+def test_labels_to_scores_to_money(spark, panel, tmp_path, monkeypatch):
     labels = str(tmp_path / "labels")
     spark.range(60).select(
         F.col("id").alias("series_id"), F.lit("2023-05-01").cast("date").alias("visit_date"),
@@ -58,4 +60,35 @@ def test_labels_to_scores_to_money(spark, panel, tmp_path):
     assert ranked.count() == clients and ranked.filter("score is null").isEmpty()
     report = [row for f in glob.glob(str(tmp_path / "out" / "gbt_deep_report_csv" / "*.csv")) for row in csv.DictReader(open(f))]
     assert {r["class"] for r in report} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
-    assert job.benefit(labels, k=1).count() in (0, 17)
+    assert job.benefit(labels, k=1, trees=2).count() in (0, 17)
+    fitted = []
+    monkeypatch.setattr(classifiers, "train", lambda *a, **b: fitted.append(a))
+    again = {r.series_id: r.score for r in job.supervised(labels, trees=2).collect()}
+    assert not fitted and again == {r.series_id: r.score for r in ranked.collect()}
+
+
+def test_other_parameters_have_their_own_stages(spark, panel, tmp_path):
+    def scores(out, lag, group=("zone",)):
+        rows = Job(spark, panel, str(tmp_path / out), list(group)).gaussian(lag).collect()
+        return {r.series_id: round(r.fraud_score or 0, 9) for r in rows}
+
+    one, two = scores("both", 1), scores("both", 2)
+    assert one != two and two == scores("fresh", 2)
+    assert scores("both", 1, ("zone", "zone2")) == one
+
+
+def test_stage_folder_goes_and_is_asked_for_on_a_cluster(spark, panel, tmp_path, monkeypatch):
+    job = Job(spark, panel, str(tmp_path / "out"), ["zone"])
+    (tmp_path / "out" / "_stages" / "x").mkdir(parents=True)
+    job.close()
+    assert not (tmp_path / "out" / "_stages").exists()
+
+    class Settings:
+        def get(self, name, default=None):
+            return "yarn" if name == "spark.master" else None
+
+    class Session:
+        conf = Settings()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())

@@ -157,13 +157,48 @@ def test_kmodes_cost_never_rises_and_matches_brute_force(spark):
     assert assigned.agg(F.sum("mismatch")).first()[0] == brute
 
 
-def test_kmodes_start_by_jobs_equals_start_from_the_head(spark, monkeypatch):
+def test_kmodes_start_is_the_densest_then_the_farthest(spark):
     v = Views(spark, SF_DIR)
     names = ["p_brand", "p_type", "size_band"]
     profiles = KM.distinct_profiles(v.categorical(), names)
-    from_head = KM.initial_modes(profiles, names, 6)
-    monkeypatch.setattr(KM, "HEAD", 3)
-    assert KM.initial_modes(profiles, names, 6) == from_head
+    known = [(tuple(r[n] for n in names), r["density"]) for r in profiles.collect()]
+    modes = []
+    while len(modes) < 6:
+        modes.append(min((-round(d * min((sum(a != b for a, b in zip(m, c)) for c in modes), default=3), 9), m) for m, d in known)[1])
+    assert KM.initial_modes(profiles, names, 6) == modes
+    with pytest.raises(ValueError, match="different profiles"):
+        KM.initial_modes(profiles.limit(2), names, 3)
+
+
+def test_forest_does_not_follow_the_input_files(spark, tmp_path):
+    v = Views(spark, SF_DIR)
+    rows = B.supervised_features(v.group_panel().join(v.truth(), "series_id"), ["category", "zone"])
+    scores = []
+    for files in (1, 50):
+        path = str(tmp_path / str(files))
+        rows.repartition(files).write.parquet(path)
+        table = spark.read.parquet(path)
+        model = B.train(table, "forest", categories=["category", "zone"], trees=5)
+        scores.append({r.series_id: round(r.score, 9) for r in B.score(model, table, categories=["category", "zone"]).collect()})
+    assert scores[0] == scores[1]
+
+
+def test_more_than_a_hundred_categories(spark):
+    rows = spark.range(300).select(F.col("id").alias("series_id"), (F.col("id") % 150).cast("string").alias("category"),
+                                   *[F.lit(1.0).alias(c) for c in B.NUMERIC])
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    encoded = Pipeline(stages=B.encoder(B.NUMERIC, ["category"])).fit(rows).transform(rows)
+    values = [r[0] for r in encoded.select(vector_to_array("features")).collect()]
+    assert {len(x) for x in values} == {len(B.NUMERIC) + 150} and all(sum(x[len(B.NUMERIC):]) == 1 for x in values)
+
+
+def test_long_panels_keep_all_coefficients(spark):
+    rows = spark.range(4).select(F.col("id").alias("series_id"), F.explode(F.sequence(F.lit(0), F.lit(82))).alias("t")).select(
+        "series_id", F.add_months(F.lit("2015-01-01").cast("date"), F.col("t")).alias("period"),
+        (10 + F.pmod(F.hash("series_id", "t"), F.lit(20))).cast("double").alias("value"))
+    columns = X.feature_table(rows).columns
+    assert "fft_abs_41" in columns and "fft_abs_42" not in columns
 
 
 def test_models_score_every_row(spark):
