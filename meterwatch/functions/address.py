@@ -13,7 +13,10 @@ ABBREVIATIONS_B = {
 }
 CUT_WORDS_B = ("APTO", "APARTAMENTO", "LC", "BLOQUE", "INTERIOR", "CASA")
 DROP_WORDS_B = ("MACROMEDICION", "MACRO")
-STREET_WORDS_B = "CARRERA|CALLE|AVENIDA|DIAGONAL|TRANSVERSAL"
+# fixed values: cleaning patterns of the two formats, with what takes the place of a match
+CLEANING_A = ((r"\([^)]*\)", ""), (r"\s+(CAS\s|APT\s|LOC\s).*$", ""))
+CLEANING_B = ((r"\b0+(\d+)\b", "$1"), (r"\s+0000\s*$", ""))
+STREET_B = (r"((?:CARRERA|CALLE|AVENIDA|DIAGONAL|TRANSVERSAL)\s+\w+(?:\s+[A-Z]+)*)\s+(\d+\s*[A-Z]?\s*-\s*\d+)", "$1 # $2")
 DEFAULT_REGION, DEFAULT_COUNTRY = "NORTE DE SANTANDER", "COLOMBIA"
 DEFAULT_CITY_B, DEFAULT_COUNTRY_B = "Cali", "Colombia"
 
@@ -68,8 +71,8 @@ def _from_groups(text: Column, pattern: str, template: str) -> Column:
 def standardise_a(address: Column) -> Column:
     """Rebuild the first known address shape; otherwise the cleaned text."""
     text = F.upper(address)
-    text = _swap(text, r"\([^)]*\)", "")
-    text = _swap(text, r"\s+(CAS\s|APT\s|LOC\s).*$", "")
+    for pattern, by in CLEANING_A:
+        text = _swap(text, pattern, by)
     text = _squeeze(_expand(text, ABBREVIATIONS_A))
     result: Column | None = None
     for pattern, template in SHAPES_A:
@@ -96,14 +99,9 @@ def normalise_b(address: Column, city: str = DEFAULT_CITY_B, country: str = DEFA
     for word in DROP_WORDS_B:
         text = F.replace(text, F.lit(word), F.lit(""))
     text = _expand(_strip(text), ABBREVIATIONS_B)
-    text = _swap(text, r"\b0+(\d+)\b", "$1")
-    text = _swap(text, r"\s+0000\s*$", "")
-    text = _squeeze(text)
-    text = _swap(
-        text,
-        rf"((?:{STREET_WORDS_B})\s+\w+(?:\s+[A-Z]+)*)\s+(\d+\s*[A-Z]?\s*-\s*\d+)",
-        "$1 # $2",
-    )
+    for pattern, by in CLEANING_B:
+        text = _swap(text, pattern, by)
+    text = _swap(_squeeze(text), *STREET_B)
     return F.concat(text, F.lit(f", {city}, {country}"))
 
 

@@ -17,10 +17,6 @@ def month_start(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
 
 
-def month_of(col: Column) -> Column:
-    return F.trunc(col, "month")
-
-
 def month_key(col: Column) -> Column:
     return F.date_format(col, "yyyy-MM")
 

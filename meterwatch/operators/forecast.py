@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from meterwatch.functions.scalar import fixed
 from meterwatch.operators.ordering import global_rank
 from meterwatch.operators.series import by_series, ordered_arrays
+from meterwatch.session import persist_table
 
 FLAT_DEVIATION = 1e-3
 SEASON = 12
@@ -129,6 +130,10 @@ def _error_and_flag(mae: Column, limit: float) -> Column:
     return F.when(mae.isNotNull(), mae > F.lit(limit) * F.col("magnitude"))
 
 
+def _reason(enough: Column) -> Column:
+    return F.when(enough, F.lit("")).otherwise(F.lit(SHORT_OR_FLAT))
+
+
 def ets_check(
     df: DataFrame, train_len: int = 24, test_len: int = 4, limit: float = 0.95,
     id_col: str = "series_id", time_col: str = "period", value: str = "value",
@@ -161,7 +166,7 @@ def ets_check(
     fitted = fitted.select(id_col, "magnitude", "enough", *numbers)
     return fitted.select(
         id_col, F.col("enough").alias("enough_data"),
-        F.when(F.col("enough"), F.lit("")).otherwise(F.lit(SHORT_OR_FLAT)).alias("reason"),
+        _reason(F.col("enough")).alias("reason"),
         "alpha", "beta", "mae_ets", _error_and_flag(F.col("mae_ets"), limit).alias("anomaly_ets"))
 
 
@@ -229,7 +234,8 @@ def ar_check(
 
     error = F.aggregate("test", F.lit(0.0), lambda s, e: s + F.abs(e["y"] - forecast((e["i"] - train_len).cast("double"))))
     rows = rows.withColumn("mae_ar", F.when(F.col("enough"), error / test_len))
-    return rows.select(id_col, F.when(F.col("enough"), F.col("model")).alias("model"), "mae_ar",
+    return rows.select(id_col, _reason(F.coalesce("enough", F.lit(False))).alias("reason_ar"),
+                       F.when(F.col("enough"), F.col("model")).alias("model"), "mae_ar",
                        _error_and_flag(F.col("mae_ar"), limit).alias("anomaly_ar"))
 
 
@@ -246,7 +252,7 @@ def fourier_check(
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = pd.DataFrame({id_col: batch[id_col], "magnitude": batch["magnitude"]})
+            out = pd.DataFrame({id_col: batch[id_col], "magnitude": batch["magnitude"], "enough": batch["enough"]})
             out["mae_fourier"] = np.nan
             ok = np.flatnonzero(batch["enough"].to_numpy())
             if len(ok):
@@ -256,9 +262,9 @@ def fourier_check(
                 out.loc[out.index[ok], "mae_fourier"] = np.abs(y[:, train_len:] - forecast).mean(1)
             yield out
 
-    fitted = gated.mapInPandas(fit, f"`{id_col}` {kind}, magnitude double, mae_fourier double")
+    fitted = gated.mapInPandas(fit, f"`{id_col}` {kind}, magnitude double, enough boolean, mae_fourier double")
     fitted = fitted.withColumn("mae_fourier", F.when(~F.isnan("mae_fourier"), F.col("mae_fourier")))
-    return fitted.select(id_col, "mae_fourier", _error_and_flag(F.col("mae_fourier"), limit).alias("anomaly_fourier"))
+    return fitted.select(id_col, _reason(F.col("enough")).alias("reason_fourier"), "mae_fourier", _error_and_flag(F.col("mae_fourier"), limit).alias("anomaly_fourier"))
 
 
 def consensus(flags: DataFrame, columns: tuple[str, ...] = ("anomaly_ets", "anomaly_ar", "anomaly_fourier"),
@@ -272,8 +278,11 @@ def confirmed_anomalies(
     df: DataFrame, train_len: int = 15, test_len: int = 4, first_limit: float = 0.9, limit: float = 0.6,
     id_col: str = "series_id", time_col: str = "period", value: str = "value",
 ) -> DataFrame:
-    """Only clients that the first forecaster flags go through the other two."""
-    flagged = ets_check(df, train_len, test_len, first_limit, id_col, time_col, value).filter("anomaly_ets")
+    """Only clients that the first forecaster flags go through the other two.
+
+    Those are written down when this is called, as they are read three times.
+    """
+    flagged = persist_table(ets_check(df, train_len, test_len, first_limit, id_col, time_col, value).filter("anomaly_ets"))
     rest = df.join(flagged.select(id_col), id_col, "left_semi")
     names = (id_col, time_col, value)
     ar = ar_check(rest, train_len, test_len, limit, *names)

@@ -130,10 +130,10 @@ def regime_test(
     df: DataFrame, test: str = "ttest", alpha: float = 0.05, regimes: int = 2,
     id_col: str = "series_id", time_col: str = "period", value: str = "value",
 ) -> DataFrame:
-    """Regime means, labels, p-value and flag per series (NULL below two rows)."""
+    """Regime means, labels, p-value and flag per series (NULL below two values)."""
     if test not in ("ttest", "mannwhitney"):
         raise ValueError("test must be 'ttest' or 'mannwhitney'")
-    arrays = ordered_arrays(df.filter(F.col(value).isNotNull()), value, id_col, time_col).select(id_col, "values")
+    arrays = ordered_arrays(df, value, id_col, time_col).select(id_col, F.filter("values", lambda v: v.isNotNull()).alias("values"))
     kind = arrays.schema[id_col].dataType.simpleString()
     compare = _welch if test == "ttest" else _rank_test
 

@@ -122,14 +122,6 @@ def latest_present(df: DataFrame, id_col: str, time_col: str, columns: Iterable[
     return df.groupBy(id_col).agg(*picks)
 
 
-def latest_row(df: DataFrame, id_col: str, time_col: str) -> DataFrame:
-    """Per id the whole row of the latest period."""
-    rest = [c for c in df.columns if c != id_col]
-    packed = F.struct(*[F.col(c) for c in rest])
-    return (df.groupBy(id_col).agg(F.max_by(packed, F.col(time_col)).alias("__row"))
-            .select(id_col, "__row.*").select(*df.columns))
-
-
 def describe_score(df: DataFrame, score: str) -> DataFrame:
     """Count, mean, sample deviation, extremes and quartiles in one row."""
     plain = df.agg(

@@ -231,7 +231,7 @@ AR = {
                 then last_y * pow(p, h) + c * (1 - pow(p, h)) / (1 - p)
                 else last_y + h * d / (1 - q) + (last_step - d / (1 - q)) * q * (1 - pow(q, h)) / (1 - q) end)) as mae
                 from (select *, unnest(test) as y, unnest(range(1, 5)) as h from chosen where enough) group by all""",
-    "ar": f"""select c.series_id, e.model, {r('mae')} as mae_ar, mae > 0.6 * e.magnitude as anomaly_ar
+    "ar": f"""select c.series_id, case when coalesce(c.enough, false) then '' else 'Corta/plana' end as reason_ar, e.model, {r('mae')} as mae_ar, mae > 0.6 * e.magnitude as anomaly_ar
               from chosen c left join errors e using (series_id)""",
 }
 
@@ -241,42 +241,89 @@ def ar_check(v: Views) -> DataFrame:
     return T.ar_check(_trailing(v), 15, 4, 0.6)
 
 
-@query("fourier_check")
+def _elimination(n: int) -> dict[str, str]:
+    """A symmetric system a (upper half), b of ``n`` unknowns solved by elimination, a table per step."""
+    upper = [(i, j) for i in range(n) for j in range(i, n)]
+    steps = {}
+    for k in range(n - 1):
+        cells = [f"a{i}{j} - a{k}{i} / a{k}{k} * a{k}{j} as a{i}{j}" if i > k else f"a{i}{j}" for i, j in upper]
+        cells += [f"b{i} - a{k}{i} / a{k}{k} * b{k} as b{i}" if i > k else f"b{i}" for i in range(n)]
+        steps[f"solve{k + 1}"] = f"select series_id, {', '.join(cells)} from solve{k}"
+    source = f"solve{n - 1}"
+    for i in range(n - 1, -1, -1):
+        rest = " ".join(f"- a{i}{j} * w{j}" for j in range(i + 1, n))
+        steps[f"back{i}"] = f"select *, (b{i} {rest}) / a{i}{i} as w{i} from {source}"
+        source = f"back{i}"
+    return steps
+
+
+WAVE_TERMS = range(6)
+WAVES = {
+    "recent": TRAILING_SQL,
+    "wave_arrays": """select series_id, list(value order by period) as y, count(*) as n,
+        list(year(period) * 12e0 + month(period) order by period) as m from recent group by 1""",
+    "wave_gate": """select *, n >= 19 and list_stddev_pop(y[1:15]) >= 1e-3 as enough,
+        list_avg(list_transform(y[1:least(n, 15)], lambda e: abs(e))) as magnitude from wave_arrays""",
+    "design": """select *, 1e0 as x0, (m - first_m) / greatest(last_m - first_m, 1) as x1, sin(2 * pi() * m / 12) as x2,
+        cos(2 * pi() * m / 12) as x3, sin(4 * pi() * m / 12) as x4, cos(4 * pi() * m / 12) as x5
+        from (select series_id, case when magnitude = 0 then 1 else magnitude end as scale, m[1] as first_m, m[15] as last_m,
+                     unnest(y) as y, unnest(m) as m, generate_subscripts(y, 1) as i from wave_gate where enough)""",
+    "solve0": "select series_id, " + ", ".join(
+        [f"sum(x{i} * x{j}){' + 0.1e0' if i == j and i else ''} as a{i}{j}" for i in WAVE_TERMS for j in range(i, 6)]
+        + [f"sum(x{i} * y / scale) as b{i}" for i in WAVE_TERMS]) + " from design where i <= 15 group by 1",
+    **_elimination(6),
+    "wave_errors": f"""select series_id, avg(abs(y - scale * ({' + '.join(f'w{i} * x{i}' for i in WAVE_TERMS)}))) as mae
+        from design join back0 using (series_id) where i between 16 and 19 group by 1""",
+    "waves": f"""select g.series_id, case when enough then '' else 'Corta/plana' end as reason_fourier, {r('mae')} as mae_fourier,
+        mae > 0.6 * magnitude as anomaly_fourier, magnitude from wave_gate g left join wave_errors e using (series_id)""",
+}
+
+
+@query("fourier_check", "select series_id, reason_fourier, mae_fourier, anomaly_fourier from waves", ctes=WAVES)
 def fourier_check(v: Views) -> DataFrame:
     return T.fourier_check(_trailing(v), 15, 4, 0.6)
 
 
-BOTH = {**ETS, **AR}
+CHECKS = {**ETS, **AR, **WAVES}
+ERRORS = ("mae_ets", "mae_ar", "mae_fourier")
+
+
+def _checks(v: Views, limit: float = 0.3) -> DataFrame:
+    """The three checks side by side for every client."""
+    rows = persist_table(_trailing(v))
+    ets, ar = T.ets_check(rows, 15, 4, limit), T.ar_check(rows, 15, 4, limit)
+    return ets.join(ar, "series_id", "full").join(T.fourier_check(rows, 15, 4, limit), "series_id", "full")
 
 
-def _two_checks(v: Views, limit: float = 0.3) -> DataFrame:
-    """The two checks that SQL can follow, side by side for every client."""
-    rows = _trailing(v)
-    ets = T.ets_check(rows, 15, 4, limit)
-    return ets.join(T.ar_check(rows, 15, 4, limit), "series_id", "full")
+VOTES_SQL = """select e.*, a.reason_ar, a.model, a.mae_ar, w.reason_fourier, w.mae_fourier, mae_ar > 0.3 * g.magnitude as anomaly_ar,
+        mae_fourier > 0.3 * g.magnitude as anomaly_fourier, mae_ets > 0.3 * g.magnitude as first_flag
+    from ets e join gate g using (series_id) join ar a using (series_id) join waves w using (series_id)"""
+COUNTED = "coalesce(first_flag, false)::int + coalesce(anomaly_ar, false)::int + coalesce(anomaly_fourier, false)::int"
 
 
 @query("consensus_vote", f"""
-    select series_id, anomaly_ets, anomaly_ar, votes, votes >= 2 as anomaly_final from (
-        select *, coalesce(anomaly_ets, false)::int + coalesce(anomaly_ar, false)::int as votes from (
-            select e.series_id, mae_ets > 0.3 * g.magnitude as anomaly_ets, mae_ar > 0.3 * g.magnitude as anomaly_ar
-            from ets e join gate g using (series_id) join ar a using (series_id)))""", ctes=BOTH)
+    select series_id, first_flag as anomaly_ets, anomaly_ar, anomaly_fourier, {COUNTED} as votes, {COUNTED} >= 2 as anomaly_final
+    from ({VOTES_SQL})""", ctes=CHECKS)
 def consensus_vote(v: Views) -> DataFrame:
-    voted = T.consensus(_two_checks(v), ("anomaly_ets", "anomaly_ar"))
-    return voted.select("series_id", "anomaly_ets", "anomaly_ar", "votes", "anomaly_final")
+    """Two votes of three."""
+    return T.consensus(_checks(v)).select("series_id", "anomaly_ets", "anomaly_ar", "anomaly_fourier", "votes", "anomaly_final")
 
 
-@query("consensus_full")
+@query("consensus_full", f"""
+    select series_id, enough_data, reason, {r('alpha')} as alpha, {r('beta')} as beta, mae_ets, first_flag as anomaly_ets, reason_ar, model,
+           mae_ar, anomaly_ar, reason_fourier, mae_fourier, anomaly_fourier, {COUNTED} as votes, {COUNTED} >= 2 as anomaly_final
+    from ({VOTES_SQL}) where first_flag""", ctes=CHECKS)
 def consensus_full(v: Views) -> DataFrame:
     """Gate by the first check, then all three votes."""
     return T.confirmed_anomalies(_trailing(v), first_limit=0.3, limit=0.3)
 
 
 @query("forecast_ranking", """
-    select e.series_id, mae_ets, mae_ar, row_number() over (order by mae_ets desc nulls last, mae_ar desc nulls last, e.series_id) as rank
-    from ets e join ar a using (series_id)""", ctes=BOTH)
+    select series_id, mae_ets, mae_ar, mae_fourier, row_number() over (
+        order by mae_ets desc nulls last, mae_ar desc nulls last, mae_fourier desc nulls last, series_id) as rank
+    from ets join ar using (series_id) join waves using (series_id)""", ctes=CHECKS)
 def forecast_ranking(v: Views) -> DataFrame:
-    return T.forecast_ranking(_two_checks(v), ("mae_ets", "mae_ar")).select("series_id", "mae_ets", "mae_ar", "rank")
+    return T.forecast_ranking(_checks(v), ERRORS).select("series_id", *ERRORS, "rank")
 
 
 # --- regimes and forest ---------------------------------------------------
@@ -314,20 +361,21 @@ def isolation_ranking(v: Views) -> DataFrame:
 
 
 @query("client_results", """
-    select coalesce(p.series_id, c.series_id, f.series_id) as series_id, i.reason, i.invalid, c.cusum_pval, c.rank_cusum, f.mae_ets, f.mae_ar, f.rank_forecast
+    select coalesce(p.series_id, c.series_id, f.series_id) as series_id, i.reason, i.invalid, c.cusum_pval, c.rank_cusum, f.mae_ets, f.mae_ar, f.mae_fourier, f.rank_forecast
     from (select distinct series_id from fx_panel_nulls) p
     left join (select series_id, string_agg(reason, '; ' order by reason) as reason, 1 as invalid from invalid group by 1) i using (series_id)
     full join (select series_id, cusum_pval, row_number() over (order by cusum_pval nulls last, series_id) as rank_cusum from cusum) c
         on p.series_id = c.series_id
-    full join (select e.series_id, mae_ets, mae_ar, row_number() over (order by mae_ets desc nulls last, mae_ar desc nulls last, e.series_id) as rank_forecast
-               from ets e join ar a using (series_id)) f on coalesce(p.series_id, c.series_id) = f.series_id""",
-       ctes={**GAPLESS, **BOTH, "invalid": INVALID_SQL})
+    full join (select series_id, mae_ets, mae_ar, mae_fourier, row_number() over (
+                   order by mae_ets desc nulls last, mae_ar desc nulls last, mae_fourier desc nulls last, series_id) as rank_forecast
+               from ets join ar using (series_id) join waves using (series_id)) f on coalesce(p.series_id, c.series_id) = f.series_id""",
+       ctes={**GAPLESS, **CHECKS, "invalid": INVALID_SQL})
 def client_results(v: Views) -> DataFrame:
     panel = v.panel_nulls()
     return C.client_results(
         panel, Q.invalid_series(panel),
         cusum=D.cusum_ranking(_cusum(v)).select("series_id", "cusum_pval", "rank"),
-        forecasts=T.forecast_ranking(_two_checks(v), ("mae_ets", "mae_ar")).select("series_id", "mae_ets", "mae_ar", "rank"))
+        forecasts=T.forecast_ranking(_checks(v), ERRORS).select("series_id", *ERRORS, "rank"))
 
 
 #: The yearly panel with every third year of some clients missing and some flat.

@@ -13,23 +13,45 @@ import argparse
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwatch.functions.scalar import fixed
-from meterwatch.operators import classifiers, economics, forest, group_gaussian, kmodes, quality, structural
+from meterwatch.functions.scalar import fixed, parse_number
+from meterwatch.operators import classifiers, consolidate, economics, forecast, forest, group_gaussian, kmodes, quality, structural
 from meterwatch.operators import series_features as features
 from meterwatch.operators.labels import latest_label
 from meterwatch.operators.ordering import global_rank
+from meterwatch.operators.panel import ATTRIBUTES, COMMERCIAL_COLUMNS, CONSUMPTION_COLUMNS, build_panel, complete_panel
 from meterwatch.operators.relational import drop_ids, first_per_key, latest_present
 from meterwatch.session import build_session, use_folder
-from meterwatch.sources.readers import scan_parquet
+from meterwatch.sources.readers import scan_parquet, scan_tab_text
 from meterwatch.sources.stages import identity, input_identity, is_complete, remove, reuse_or_build, sample_entities
 from meterwatch.sources.writers import write_csv
 
 MONTHS, LOW, MIN_GROUP = 19, 5.0, 25
 
 
+def _whole_id(name: str) -> Column:
+    return F.expr(f"try_cast({name} as bigint)")
+
+
+def raw_panel(spark: SparkSession, consumption: str, commercial: str) -> tuple[DataFrame, DataFrame]:
+    """(panel, readings without a client) from the two raw tab-separated files.
+
+    NULL and 0 ids, which gather unassigned readings, go first; repeated readings
+    of a client and month are reduced to the best one before any window; months
+    without a reading are filled with NULL.
+    """
+    readings = scan_tab_text(spark, consumption, CONSUMPTION_COLUMNS, ("producto", "ano", "mes", "consumo"))
+    readings = readings.select(_whole_id("producto").alias("series_id"), F.expr("try_cast(ano as int)").alias("year"),
+                               F.expr("try_cast(mes as int)").alias("month"), parse_number(F.col("consumo")).alias("value"))
+    readings = readings.filter("series_id <> 0 and year is not null and month between 1 and 12")
+    clients = scan_tab_text(spark, commercial, COMMERCIAL_COLUMNS, ("producto", *ATTRIBUTES)).withColumn(
+        "series_id", _whole_id("producto")).filter("series_id <> 0")
+    matched, unmatched = build_panel(readings, first_per_key(clients, ["series_id"], ATTRIBUTES), drop=("year", "month"))
+    return complete_panel(matched, carry=ATTRIBUTES), unmatched
+
+
 class Job:
     """Names of the panel columns and the folder of the results.
 
@@ -98,6 +120,27 @@ class Job:
         breaks = structural.cusum_break(self.filtered(), alpha, self.id, self.time, self.value)
         return self._publish("cusum_ranking", structural.cusum_ranking(breaks, self.id))
 
+    def forecast(self, train_len: int = MONTHS - 4, test_len: int = 4, first_limit: float = 0.9, limit: float = 0.6) -> DataFrame:
+        """The individual methods as one table per client: checks, vote of the confirmed, error rank, structural change, reasons."""
+        names = (self.id, self.time, self.value)
+        what = {"train": train_len, "test": test_len, "flags": [first_limit, limit]}
+        panel = self.filtered()
+        voted = self.stage("forecast_confirmed", lambda: forecast.confirmed_anomalies(panel, train_len, test_len, first_limit, limit, *names), **what)
+
+        def errors() -> DataFrame:
+            ets = forecast.ets_check(panel, train_len, test_len, first_limit, *names)
+            ar = forecast.ar_check(panel, train_len, test_len, limit, *names)
+            waves = forecast.fourier_check(panel, train_len, test_len, limit, id_col=self.id, time_col=self.time, value=self.value)
+            return ets.join(ar, self.id, "full").join(waves, self.id, "full")
+
+        columns = ["mae_ets", "mae_ar", "mae_fourier"]
+        ranked = forecast.forecast_ranking(self.stage("forecast_errors", errors, **what), tuple(columns), self.id).select(self.id, *columns, "rank")
+        cusum = structural.cusum_ranking(structural.cusum_break(panel, 0.1, *names), self.id).select(self.id, "cusum_pval", "rank")
+        clients = scan_parquet(self.spark, self.panel).select(self.id)
+        found = consolidate.client_results(clients, self.invalid(), cusum=cusum, forecasts=ranked, id_col=self.id).join(
+            voted.select(self.id, "votes", "anomaly_final"), self.id, "left")
+        return self._publish("client_results", found)
+
     def supervised(self, labels: str, kind: str = "gbt_deep", trees: int = classifiers.TREES) -> DataFrame:
         """Fit on the labelled clients, report on the held-out part, score everyone.
 
@@ -146,16 +189,25 @@ class Job:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=("gaussian", "isolation", "structural", "supervised", "benefit"))
-    parser.add_argument("--panel", required=True)
-    parser.add_argument("--out", required=True)
-    parser.add_argument("--group", nargs="+", required=True)
+    parser.add_argument("job", choices=("panel", "gaussian", "isolation", "structural", "forecast", "supervised", "benefit"))
+    parser.add_argument("--panel", required=True, help="the panel that is read, or written by the job of that name")
+    parser.add_argument("--out", help="folder of the results")
+    parser.add_argument("--group", nargs="+", help="columns that make a group")
+    parser.add_argument("--consumption", help="raw readings, for panel")
+    parser.add_argument("--commercial", help="raw clients, for panel")
     parser.add_argument("--id", default="series_id")
     parser.add_argument("--time", default="period")
     parser.add_argument("--value", default="value")
     parser.add_argument("--labels", help="table of labelled visits, for supervised and benefit")
     parser.add_argument("--sample", type=int, help="only the first clients, for a trial")
     args = parser.parse_args(arguments)
+    if args.job == "panel":
+        if not args.consumption or not args.commercial:
+            parser.error("panel needs --consumption and --commercial")
+        raw_panel(build_session(), args.consumption, args.commercial)[0].write.mode("errorifexists").parquet(args.panel)
+        return
+    if not args.out or not args.group:
+        parser.error(f"{args.job} needs --out and --group")
     job = Job(build_session(), args.panel, args.out, args.group, args.id, args.time, args.value, args.sample)
     try:
         if args.job in ("supervised", "benefit"):

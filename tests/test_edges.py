@@ -68,8 +68,8 @@ def test_category_keeps_its_zeros(rows, raw, clean):
 
 
 @pytest.mark.parametrize("raw, clean", [
-    ("Calle 7 norte 5A-66", "CALLE 7 NORTE #5A-66"),
-    ("crr belen 23 103", "CARRERA BELEN #23-103"),
+    ("calle 18 NORTE 2C-40", "CALLE 18 NORTE #2C-40"),
+    ("Crr Belen 9 77", "CARRERA BELEN #9-77"),
     ("CLL 10  5 - 20 APT 3 (X)", "CALLE 10 #5-20"),
     ("AVE 3 4 5", "AVENIDA 3 #4-5"),
     ("AVENIDA CANAL BOGOTA 12 34", "AVENIDA CANAL BOGOTA #12-34"),

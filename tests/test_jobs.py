@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterwatch.operators import classifiers
-from meterwatch.plans.jobs import Job
+from meterwatch.operators.panel import COMMERCIAL_COLUMNS, CONSUMPTION_COLUMNS
+from meterwatch.plans.jobs import Job, raw_panel
 from meterwatch.plans.views import Views
 from meterwatch.session import shared_folder
 from tests.conftest import SF_DIR
@@ -92,3 +93,32 @@ def test_stage_folder_goes_and_is_asked_for_on_a_cluster(spark, panel, tmp_path,
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_raw_files_to_filtered(spark, tmp_path):
+    readings, clients = [], []
+    for client in (1, 2, 3):
+        clients.append({"producto": client, "localidad": "north", "categoria": "1"})
+        readings += [{"producto": client, "ano": 2022 + m // 12, "mes": m % 12 + 1, "consumo": 50 + client + m % 5} for m in range(24)]
+    readings += [{"producto": p, "ano": 2022, "mes": 5, "consumo": 900} for p in ("0", "", "x", "77") for _ in range(20)]
+    readings += [dict(readings[0], consumo=""), dict(readings[0], consumo=-4), dict(readings[1])]
+    clients += [dict(clients[0]), {"producto": "0"}, {"producto": ""}]
+    for name, columns, rows in (("readings", CONSUMPTION_COLUMNS, readings), ("clients", COMMERCIAL_COLUMNS, clients)):
+        lines = ["\t".join(columns), *["\t".join(str(r.get(c, "")) for c in columns) for r in rows]]
+        (tmp_path / name).write_text("\n".join(lines), encoding="latin-1")
+    panel, unmatched = raw_panel(spark, str(tmp_path / "readings"), str(tmp_path / "clients"))
+    assert {r.series_id for r in unmatched.select("series_id").distinct().collect()} == {77}
+    path = str(tmp_path / "panel")
+    panel.write.parquet(path)
+    table = spark.read.parquet(path)
+    assert table.count() == 72 == table.select("series_id", "period").distinct().count()
+    assert table.filter("value is null or localidad is null").isEmpty()
+    kept = Job(spark, path, str(tmp_path / "out"), ["localidad"]).filtered()
+    assert kept.select("series_id").distinct().count() == 3 and kept.groupBy("series_id").count().filter("count <> 19").isEmpty()
+
+
+def test_individual_methods(spark, panel, tmp_path):
+    found = {r.series_id: r for r in Job(spark, panel, str(tmp_path / "out"), ["zone"]).forecast().collect()}
+    assert len(found) == 60
+    ranks = sorted(r.rank_forecast for r in found.values() if r.rank_forecast)
+    assert ranks == list(range(1, len(ranks) + 1)) and found[1].invalid == 1 and found[1].rank_forecast is None
