@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from meterwatch.operators.ordering import exact_quantiles
 from meterwatch.operators.relational import drop_ids
 from meterwatch.operators.series import interpolate
+from meterwatch.session import persist_table
 
 FLAT_VARIANCE = 1e-6
 # fixed values: reasons for exclusion
@@ -106,17 +107,20 @@ def filter_customers(
     """The cleaning chain: fill, low, recent, high, trailing months, balanced.
 
     Filling has already placed each series in one partition, so the tests on
-    one client are windows there and cost no shuffle of their own.
+    one client are windows there and cost no shuffle of their own. The steps after
+    them ask for the latest period of what is left, so the filled and tested panel
+    is written down once when this is called.
     """
     own = Window.partitionBy(id_col)
     out = interpolate(df, value, id_col, time_col, fill) if fill else df
     if drop_low:
         low = F.min(value).over(own)
         out = out.withColumn("__low", low).filter(F.coalesce(F.col("__low") > low_threshold, F.lit(True))).drop("__low")
+    out = persist_table(out)
     if drop_recent and change_col:
         out = exclude_recent(out, change_col, months, id_col=id_col, time_col=time_col)
     if drop_high and class_col:
-        out = exclude_high(out, class_col, high_quantile, id_col, value)
+        out = persist_table(exclude_high(out, class_col, high_quantile, id_col, value))
     out = trailing_months(out, months, time_col)
     if only_balanced:
         periods = F.size(F.collect_set(time_col).over(own))

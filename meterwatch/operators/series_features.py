@@ -246,21 +246,37 @@ def streak_below_mean(s: DataFrame, id_col: str = "series_id") -> DataFrame:
     return sizes.groupBy(id_col).agg(F.max("size").alias("longest_streak_below_mean"))
 
 
-def fourier(s: DataFrame, id_col: str = "series_id", coefficients: int = FOURIER_COEFFICIENTS) -> DataFrame:
-    """Real, imaginary, modulus and angle (degrees) of each coefficient, long form.
+def _spectra(s: DataFrame, id_col: str) -> DataFrame:
+    """id, re, im: the coefficients of each series in two arrays; many series of a length at once."""
+    kind = s.schema[id_col].dataType.simpleString()
 
-    The rows of a coefficient stay in the partition of their series.
-    """
-    last = F.least(F.floor(F.col("n") / 2), F.lit(coefficients - 1)).cast("int")
-    angle = F.lit(2 * math.pi) * (F.col("t") * F.col("k")) / F.col("n")
-    waves = s.select(id_col, "t", "x", "n", F.explode(F.sequence(F.lit(0), last)).alias("k"))
-    sums = waves.groupBy(id_col, "k").agg(
-        F.sum(F.col("x") * F.cos(angle)).alias("re"), (-F.sum(F.col("x") * F.sin(angle))).alias("im"))
+    def transform(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = np.empty(len(batch), object)
+            lengths = np.array([len(v) for v in batch["values"]])
+            for n in np.unique(lengths):
+                at = np.flatnonzero(lengths == n)
+                waves = np.fft.rfft(np.array([[np.nan if x is None else x for x in batch["values"].iloc[i]] for i in at], float), axis=1)
+                for i, w in zip(at, waves):
+                    found[i] = w
+            yield pd.DataFrame({id_col: batch[id_col], "re": [w.real for w in found], "im": [w.imag for w in found]})
+
+    ordered = F.array_sort(F.collect_list(F.struct("t", F.col("x").cast("double").alias("x"))))
+    arrays = s.groupBy(id_col).agg(ordered.alias("pairs")).select(id_col, F.col("pairs.x").alias("values"))
+    return arrays.mapInPandas(transform, f"`{id_col}` {kind}, re array<double>, im array<double>")
+
+
+def _coefficient(re: Column, im: Column) -> dict[str, Column]:
     # noise around zero would flip the angle between -180 and 180
-    re, im = F.round("re", 6) + F.lit(0.0), F.round("im", 6) + F.lit(0.0)
-    return sums.select(id_col, "k", F.col("re").alias("fft_real"), F.col("im").alias("fft_imag"),
-                       F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("fft_abs"),
-                       F.degrees(F.atan2(im, re)).alias("fft_angle"))
+    x, y = F.round(re, 6) + F.lit(0.0), F.round(im, 6) + F.lit(0.0)
+    return {"fft_real": re, "fft_imag": im, "fft_abs": F.sqrt(re * re + im * im), "fft_angle": F.degrees(F.atan2(y, x))}
+
+
+def fourier(s: DataFrame, id_col: str = "series_id", coefficients: int = FOURIER_COEFFICIENTS) -> DataFrame:
+    """Real, imaginary, modulus and angle (degrees) of each coefficient, long form."""
+    zipped = F.slice(F.arrays_zip("re", "im"), 1, coefficients)
+    rows = _spectra(s, id_col).select(id_col, F.posexplode(zipped).alias("k", "w"))
+    return rows.select(id_col, "k", *[c.alias(name) for name, c in _coefficient(F.col("w.re"), F.col("w.im")).items()])
 
 
 def fourier_wide(s: DataFrame, id_col: str = "series_id", coefficients: int | None = None) -> DataFrame:
@@ -271,10 +287,9 @@ def fourier_wide(s: DataFrame, id_col: str = "series_id", coefficients: int | No
     if coefficients is None:
         longest = s.agg(F.max("n")).first()[0] or 0
         coefficients = min(FOURIER_COEFFICIENTS, int(longest) // 2 + 1)
-    parts = ("fft_real", "fft_imag", "fft_abs", "fft_angle")
-    long = fourier(s, id_col, coefficients)
-    return long.groupBy(id_col).agg(
-        *[F.max(F.when(F.col("k") == k, F.col(p))).alias(f"{p}_{k}") for k in range(coefficients) for p in parts])
+    cells = [c.alias(f"{name}_{k}") for k in range(coefficients)
+             for name, c in _coefficient(F.get("re", F.lit(k)), F.get("im", F.lit(k))).items()]
+    return _spectra(s, id_col).select(id_col, *cells)
 
 
 def single_pass(s: DataFrame, id_col: str = "series_id") -> DataFrame:

@@ -337,8 +337,7 @@ def _client_features(v: Views) -> DataFrame:
     """A few shape features per client with its group attributes."""
     panel = persist_table(v.group_panel())
     s = persist_table(X.index_series(panel))
-    table = X.moments(s).select("series_id", "variation_coefficient").join(X.step_features(s), "series_id")
-    table = table.join(X.linear_trend(s).select("series_id", "trend_slope", "trend_r"), "series_id")
+    table = X.single_pass(s).select("series_id", *FOREST_FEATURES)  # one aggregate; what is not asked for is pruned
     return table.join(panel.select("series_id", "category", "zone").distinct(), "series_id")
 
 

@@ -854,6 +854,27 @@ def filter_customers(v: Views) -> DataFrame:
     return Q.filter_customers(v.panel_nulls(), months=19, low_threshold=5, drop_high=False, drop_recent=False, only_balanced=True)
 
 
+@query("filter_customers_all", f"""
+    select series_id, period, {r('value', 4)} as value from k3 where period > (select max(period) - interval 19 month from k3)
+    and series_id in (select series_id from k3 where period > (select max(period) - interval 19 month from k3)
+                      group by 1 having count(distinct period) = 19)""", digits=4,
+       ctes={"filled": LINEAR_SQL,
+             "k1": "select * from filled where series_id not in (select series_id from filled group by 1 having min(value) <= 5)",
+             "k2": "select * from k1 where not (series_id % 13 = 4 and date '1998-05-01' >= (select max(period) - interval 19 month from k1))",
+             "means": "select series_id % 2 as class, series_id, avg(value) as mean from k2 group by all",
+             "cuts": "select class, quantile_cont(mean, 0.8) as cut from means group by 1",
+             "k3": "select * from k2 where series_id not in (select series_id from means join cuts using (class) where mean > cut)"})
+def filter_customers_all(v: Views) -> DataFrame:
+    """Text is coerced first; clients with a new meter and those high in their class go too."""
+    s = F.col("series_id")
+    change = (F.when(s % 13 == 4, "1998-05-01").when(s % 13 == 5, "1992-01-01").when(s % 13 == 6, "no date").otherwise(Q.NO_METER_CHANGE))
+    text = v.panel_nulls().select("series_id", F.col("period").cast("string").alias("period"), F.col("value").cast("string").alias("value"),
+                                  change.alias("meter_change"), (s % 2).alias("class"))
+    return Q.filter_customers(
+        Q.coerce(text, ["value"], ["period"]), months=19, low_threshold=5, change_col="meter_change", class_col="class",
+        high_quantile=0.8, only_balanced=True).select("series_id", "period", "value")
+
+
 NO_IMPACT, NOT_APPLICABLE = ["5-LOW", "3-MEDIUM"], ["4-NOT SPECIFIED"]
 
 
