@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -395,6 +397,78 @@ def address_distinct(v: Views) -> DataFrame:
     return _resolved(v).select("address").dropna().dropDuplicates(["address"])
 
 
+# one text for each shape and word of the two formats, the same expression in Spark and in SQL
+SHAPES_TEXT = """case c_custkey % 9
+    when 0 then concat('Sector (km 3)  norte ', cast(c_custkey as string))
+    when 1 then concat('CLL ', cast(c_custkey % 90 as string), ' ', cast(c_nationkey as string), 'AB - 7 LOC 3')
+    when 2 then concat('mnz ', cast(c_custkey % 90 as string), ' ', cast(c_nationkey as string), ' 44')
+    when 3 then concat('AVENIDA CANAL BOGOTA ', cast(c_custkey % 90 as string), ' ', cast(c_nationkey as string))
+    when 4 then concat('CLL ', cast(c_custkey % 90 as string), ' NORTE ', cast(c_nationkey as string), 'A - 12')
+    when 5 then concat('CRR ANT BELEN ', cast(c_custkey % 90 as string), 'A - ', cast(c_nationkey as string))
+    when 6 then concat('AVE CANAL BOGOTA ', cast(c_custkey % 90 as string), 'C ', cast(c_nationkey as string))
+    when 7 then concat('AVENIDA LIBERTADORES ', cast(c_custkey % 90 as string), 'B-', cast(c_nationkey as string), ' CAS 2')
+    else concat('crr belen ', cast(c_custkey % 90 as string), 'D ', cast(c_nationkey as string)) end"""
+WORDS_TEXT = """case c_custkey % 8
+    when 0 then concat('CL 0', cast(c_custkey % 60 as string), ' 3 - 20 APARTAMENTO 4')
+    when 1 then concat('MACROMEDICION AV 5 ', cast(c_custkey % 60 as string), ' - 9 0000')
+    when 2 then concat('TR 4 BIS ', cast(c_custkey % 60 as string), ' - 7 LC 3')
+    when 3 then concat('VD ALTA 00', cast(c_custkey as string), ' MACRO')
+    when 4 then concat(' DIAGONAL 5  6-', cast(c_custkey % 60 as string), ' INTERIOR 2')
+    when 5 then concat('CR ', cast(c_custkey % 60 as string), ' 2 - 3 BLOQUE 9')
+    when 6 then 'CASA 3'
+    else concat('k ', cast(c_custkey % 60 as string), ' 8A - 3 apto 5') end"""
+
+
+def _swapped(text: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({text}, '{pattern}', '{by}', 'g')"
+
+
+def _numbered(template: str) -> str:
+    return re.sub(r"\{([0-9])\}", lambda m: "\\" + m[1], template)
+
+
+def _shapes_sql() -> str:
+    text = f"upper({SHAPES_TEXT})"
+    for pattern, by in A.CLEANING_A:
+        text = _swapped(text, pattern, by)
+    for short, full in A.ABBREVIATIONS_A.items():
+        text = _swapped(text, rf"\b{short}\b", full)
+    cases = " ".join(f"when regexp_matches(t, '{p}') then regexp_replace(regexp_extract(t, '{p}'), '{p}', '{_numbered(by)}')" for p, by in A.SHAPES_A)
+    spaces = _swapped(text, r"\s+", " ")
+    return f"select series_id, case {cases} else t end as address from (select c_custkey as series_id, trim({spaces}) as t from customer)"
+
+
+@query("address_shapes", _shapes_sql())
+def address_shapes(v: Views) -> DataFrame:
+    """Every shape of the first format."""
+    text = v.t("customer").select(F.col("c_custkey").alias("series_id"), F.expr(SHAPES_TEXT).alias("text"))
+    return text.select("series_id", A.standardise_a(F.col("text")).alias("address"))
+
+
+def _words_sql() -> str:
+    text = f"trim(upper({WORDS_TEXT}))"
+    for word in A.CUT_WORDS_B:
+        text = f"trim(split_part({text}, '{word}', 1))"
+    for word in A.DROP_WORDS_B:
+        text = f"replace({text}, '{word}', '')"
+    text = f"trim({text})"
+    for short, full in A.ABBREVIATIONS_B.items():
+        text = _swapped(text, rf"\b{short}\b", full)
+    for pattern, by in A.CLEANING_B:
+        text = _swapped(text, pattern, by.replace("$", "\\"))
+    spaces = _swapped(text, r"\s+", " ")
+    pattern, by = A.STREET_B
+    street = _swapped(f"trim({spaces})", pattern, by.replace("$", "\\"))
+    return f"select c_custkey as series_id, {street} || ', Cali, Colombia' as address from customer"
+
+
+@query("address_words", _words_sql())
+def address_words(v: Views) -> DataFrame:
+    """Every word that the second format cuts, drops or writes out."""
+    text = v.t("customer").select(F.col("c_custkey").alias("series_id"), F.expr(WORDS_TEXT).alias("text"))
+    return text.select("series_id", A.normalise_b(F.col("text")).alias("address"))
+
+
 COORDINATES_SQL = """
     select address, cast(min(series_id) as double) / 100 as lat, -cast(max(series_id) as double) / 100 as lon
     from resolved where source = 'direccion_oficial' group by 1"""
