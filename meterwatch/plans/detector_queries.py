@@ -13,7 +13,7 @@ from meterwatch.operators import quality as Q
 from meterwatch.operators import regimes as M
 from meterwatch.operators import series_features as X
 from meterwatch.operators import structural as D
-from meterwatch.operators.series import add_lag
+from meterwatch.operators.series import add_lag, ordered_arrays
 from meterwatch.plans.registry import query, r
 from meterwatch.plans.relational_queries import INVALID_SQL
 from meterwatch.plans.series_queries import TRAILING_SQL
@@ -333,6 +333,21 @@ def regime_test(v: Views) -> DataFrame:
     return M.regime_test(v.panel())
 
 
+@query("regime_fixed", """
+    select series_id, case when count(value) >= 2 then cast(count(value) as int) end as months, case when count(value) >= 2 then true end as means_agree
+    from fx_panel_nulls group by 1""")
+def regime_fixed(v: Views) -> DataFrame:
+    """What holds for any fit: a label for every value, and means that are those of the labelled values."""
+    panel = persist_table(v.panel_nulls())
+    found = M.regime_test(panel)
+    values = ordered_arrays(panel, "value", "series_id", "period").select(
+        "series_id", F.filter("values", lambda x: x.isNotNull()).alias("known"))
+    rows = found.join(values, "series_id")
+    close = F.expr("""forall(transform(regime_means, (m, k) -> struct(m, filter(known, (x, i) -> regimes[i] = k) as own)),
+        s -> if(size(s.own) = 0, s.m is null, abs(aggregate(s.own, 0d, (a, x) -> a + x) / size(s.own) - s.m) < 1e-6))""")
+    return rows.select("series_id", F.when(F.col("regimes").isNotNull(), F.size("regimes")).alias("months"), close.alias("means_agree"))
+
+
 def _client_features(v: Views) -> DataFrame:
     """A few shape features per client with its group attributes."""
     panel = persist_table(v.group_panel())
@@ -354,6 +369,15 @@ def isolation_forest(v: Views) -> DataFrame:
     return _forest(v)
 
 
+@query("forest_fixed", """
+    select category, count(distinct series_id) as clients, 0e0 as lowest, 1e0 as highest
+    from fx_group_panel where category is not null group by 1 having count(distinct series_id) >= 25""")
+def forest_fixed(v: Views) -> DataFrame:
+    """What holds for any forest: who is scored, and the scaled range of each group."""
+    return _forest(v).groupBy("category").agg(
+        F.count("*").alias("clients"), F.min("anomaly_score_scaled").alias("lowest"), F.max("anomaly_score_scaled").alias("highest"))
+
+
 @query("isolation_ranking")
 def isolation_ranking(v: Views) -> DataFrame:
     return I.forest_ranking(_forest(v))

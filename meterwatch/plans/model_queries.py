@@ -90,6 +90,18 @@ def gbt_deep_scores(v: Views) -> DataFrame:
     return _validated(v, "gbt_deep")
 
 
+@query("held_out_rows", """
+    select series_id, label, true as in_range from (
+        select series_id, label, row_number() over (partition by label order by md5(cast(series_id as varchar)), series_id) * 1000
+               > count(*) over (partition by label) * 800 as held_out from features) where held_out""", ctes={"features": FEATURES_SQL})
+def held_out_rows(v: Views) -> DataFrame:
+    """Which rows a fitted model scores, with the labels it does not see, and that each has a probability."""
+    rows = B.stratified_split(_features(v))
+    model = B.train(rows.filter("train"), "gbt", categories=CATEGORIES, trees=5)
+    scored = B.score(model, rows.filter("not train"), categories=CATEGORIES)
+    return scored.select("series_id", "label", F.coalesce(F.col("score").between(0, 1), F.lit(False)).alias("in_range"))
+
+
 @query("score_all")
 def score_all(v: Views) -> DataFrame:
     """Every client of the panel gets a probability, labelled or not."""
@@ -225,6 +237,28 @@ def compare_detectors(v: Views) -> DataFrame:
 ATTRIBUTES = ["p_brand", "p_type", "size_band"]
 
 
+def _start_sql(k: int) -> dict[str, str]:
+    """The first ``k`` modes, a table each."""
+    names = ", ".join(ATTRIBUTES)
+    shares = " + ".join(f"sum(w) over (partition by {a})" for a in ATTRIBUTES)
+    steps = {"profiles": f"select {names}, count(*) as w from fx_categorical where {' and '.join(f'{a} is not null' for a in ATTRIBUTES)} group by all",
+             "dense": f"select {names}, ({shares}) / {float(len(ATTRIBUTES))} / sum(w) over () as density from profiles"}
+    for n in range(k):
+        away = [" + ".join(f"(d.{a} <> m{j}.{a})::int" for a in ATTRIBUTES) for j in range(n)]
+        nearest = f"least({', '.join(away)})" if away else str(len(ATTRIBUTES))
+        steps[f"m{n}"] = f"""select d.* from dense d {' '.join(f'cross join m{j}' for j in range(n))}
+            order by round(({nearest}) * d.density, 9) desc, {', '.join(f'd.{a}' for a in ATTRIBUTES)} limit 1"""
+    return steps
+
+
+@query("kmodes_start", " union all ".join(f"select {n} as cluster, {', '.join(ATTRIBUTES)} from m{n}" for n in range(4)), ctes=_start_sql(4))
+def kmodes_start(v: Views) -> DataFrame:
+    """The modes that the rounds begin with."""
+    modes = KM.initial_modes(KM.distinct_profiles(v.categorical(), ATTRIBUTES), ATTRIBUTES, 4)
+    schema = "cluster int, " + ", ".join(f"{a} string" for a in ATTRIBUTES)
+    return v.spark.createDataFrame([(n, *m) for n, m in enumerate(modes)], schema)
+
+
 @query("kmodes")
 def kmodes(v: Views) -> DataFrame:
     return KM.kmodes(v.categorical(), ATTRIBUTES, 10)
