@@ -8,7 +8,6 @@ aggregate by id, so any number of parts shares one pass.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
 from itertools import combinations
