@@ -9,8 +9,8 @@ equal bins concentrates around the similarity of two sets.
 Search. Documents with equal sets are one class. Classes that agree in a band of bins are
 candidates. A bucket's classes are first compared with its hub, the class that meets the most
 others over all bands, so a group of copies costs one comparison each. Buckets whose classes
-are not all connected by then are searched pair by pair in bounded tiles of sketches, between
-classes of different components only, and what the sketches do not rule out is compared too.
+are not all connected by then are searched in bounded tiles of full sets, between classes of
+different components only; a tile reports no pairs but one link per class that reaches another.
 Every link is confirmed on the full sets of the texts.
 """
 
@@ -29,10 +29,8 @@ from meterwatch.llm.components import connected_components
 
 #: Bins of a sketch; bands of four bins. At a similarity of 0.85 a pair shares no band once in two million times, at 0.8 once in 37,000.
 COORDINATES, BAND = 80, 4
-#: Rows of one side of a tile.
-TILE = 1024
-#: Pairs of sketches that agree in fewer bins than expected by this many deviations are ruled out.
-DEVIATIONS = 5.0
+#: Rows and shingles of one side of a tile; shingles that are multiplied at once.
+TILE, TILE_SHINGLES, COLUMNS = 512, 500_000, 2048
 
 _ROUNDS = mix64(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -86,30 +84,27 @@ def _band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def sketched(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, s1, s2 (digest of the set), bits (a byte of every bin), bands (array of keys)."""
+    """doc_id, text_key, n_shingles, s1, s2 (digest of the set), bands (array of keys)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            n, s1, s2, bits, bands = [], [], [], [], []
+            n, s1, s2, bands = [], [], [], []
             for text in b["text"]:
                 shingles = shingle_set(text, width)
                 n.append(len(shingles))
                 if len(shingles):
                     digest = running_hash(np.concatenate([mix64(shingles).sum(keepdims=True), mix64(shingles ^ _ROUNDS[7]).sum(keepdims=True)]), 1)
-                    values = sketch(shingles)
                     s1.append(digest.view(np.int64)[0])
                     s2.append(digest.view(np.int64)[1])
-                    bits.append((mix64(values) & np.uint64(255)).astype(np.uint8).tobytes())
-                    bands.append(_band_keys(values))
+                    bands.append(_band_keys(sketch(shingles)))
                 else:
                     s1.append(0)
                     s2.append(0)
-                    bits.append(None)
                     bands.append(None)
             yield pd.DataFrame({"doc_id": b["doc_id"], "text_key": b["text_key"], "n_shingles": n, "s1": s1, "s2": s2,
-                                "bits": bits, "bands": bands})
+                                "bands": bands})
 
     return docs.select("doc_id", "text_key", "text").mapInPandas(
-        run, "doc_id long, text_key long, n_shingles long, s1 long, s2 long, bits binary, bands array<long>")
+        run, "doc_id long, text_key long, n_shingles long, s1 long, s2 long, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -144,58 +139,91 @@ def _hub_pairs(buckets: DataFrame) -> DataFrame:
         F.col("class").alias("a"), "b").distinct()
 
 
-def _tile_pairs(rows: DataFrame, least: int) -> DataFrame:
-    """(a, b): candidates in tiles; ``rows``: key, tile, part, side (0 left, 1 right), class, component, bits."""
-    def compare(g: dict, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x = np.frombuffer(b"".join(g["bits"][left]), np.uint8).reshape(len(left), -1)
-        y = np.frombuffer(b"".join(g["bits"][right]), np.uint8).reshape(len(right), -1)
-        agree = np.zeros((len(x), len(y)), np.uint8)
-        for j in range(x.shape[1]):
-            agree += x[:, j, None] == y[None, :, j]
-        wanted = (agree >= least) & (g["component"][left][:, None] != g["component"][right][None, :])
-        i, k = np.nonzero(wanted)
-        return g["class"][left[i]], g["class"][right[k]]
-
+def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of ``left`` and ``right`` sets, by products over the shingles that two or more hold."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    held = np.bincount(column, minlength=len(values)) > 1
+    number = np.cumsum(held) - 1
+    row, column = row[held[column]], number[column[held[column]]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for lo in range(0, int(held.sum()), COLUMNS):
+        i, k = np.searchsorted(column, [lo, lo + COLUMNS])
+        dense = np.zeros((len(sets), COLUMNS), np.float32)
+        dense[row[i:k], column[i:k] - lo] = 1
+        out += dense[left] @ dense[right].T
+    return out.astype(np.int64)
+
+
+def _tile_links(rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links found in tiles, from each class to the smallest one that links reach there.
+
+    ``rows``: key, tile, part, side (0 left, 1 right), class, component, shingles.
+    """
     def tiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in sorted_groups(batches, ["key", "tile", "part"]):
             left, right = np.flatnonzero(g["side"] == 0), np.flatnonzero(g["side"] == 1)
-            found = []
-            if g["part"][0] == 0 and len(left) > 1:
-                found.append(compare(g, left, left))
-            for lo in range(0, len(right), TILE):
-                if len(left):
-                    found.append(compare(g, left, right[lo:lo + TILE]))
-            for a, b in found:
-                if len(a):
-                    yield pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+            own = g["part"][0] == 0
+            if not len(left) or len(left) + len(right) < 2:
+                continue
+            right = np.concatenate([left, right]) if own else right
+            sets = [np.frombuffer(x, np.uint64) for x in g["shingles"]]
+            sizes = np.array([len(x) for x in sets])
+            common = common_counts(sets, left, right)
+            union = sizes[left][:, None] + sizes[right][None, :] - common
+            linked = (100 * common >= percent * union) & (g["component"][left][:, None] != g["component"][right][None, :])
+            i, k = np.nonzero(linked)
+            if not len(i):
+                continue
+            i, k = left[i], right[k]
+            parent = g["class"].copy()
+            while True:
+                low, before = np.minimum(parent[i], parent[k]), parent.copy()
+                np.minimum.at(parent, i, low)
+                np.minimum.at(parent, k, low)
+                if (before == parent).all():
+                    break
+            new = parent != g["class"]
+            yield pd.DataFrame({"a": g["class"][new], "b": parent[new]})
 
     order = ["key", "tile", "part"]
     return rows.repartition(*order).sortWithinPartitions(*order).mapInPandas(tiles, "a long, b long").distinct()
 
 
-def _open_rows(buckets: DataFrame, labels: DataFrame, bits: DataFrame) -> DataFrame:
-    """Rows of the tiles of buckets that hold more than one component.
+def _open_rows(buckets: DataFrame, labels: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Rows of the tiles of buckets that hold more than one component, with their sets.
 
     The classes outside of a bucket's largest component are dealt over tiles. A tile
-    is compared with itself (part 0), with the largest component, which is dealt over
-    parts, and with each later tile (parts beyond those), so a group is bounded.
+    is compared with itself and a part of the largest component (part 0), with the
+    other parts of it, and with each later tile (parts beyond those). Tiles and parts
+    are as many as rows and shingles ask for, so a group is bounded.
     """
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"class": b["class"], "shingles": [shingle_set(t, width).tobytes() for t in b["text"]]})
+
     labelled = buckets.join(labels, "class", "left").select(
-        "key", "class", F.coalesce("component", "class").alias("component"))
-    shares = labelled.groupBy("key", "component").agg(F.count("*").alias("n"))
-    tops = shares.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("every")).filter("every > top.n")
-    rows = labelled.join(tops, "key").select(
+        "key", "class", "n_shingles", F.coalesce("component", "class").alias("component"))
+    shares = labelled.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("w"))
+    tops = shares.groupBy("key").agg(F.max(F.struct("n", "component", "w")).alias("top"), F.sum("n").alias("every"),
+                                     F.sum("w").alias("weight")).filter("every > top.n")
+    rows = persist_table(labelled.join(tops, "key").select(
         "key", "class", "component", F.expr("component = top.component").alias("main"),
-        F.expr(f"cast(ceil((every - top.n) / {TILE}) as int)").alias("tiles"),
-        F.expr(f"cast(ceil(top.n / {4 * TILE}) as int)").alias("parts")).join(bits, "class")
+        F.expr(f"cast(greatest(ceil((every - top.n) / {TILE}), ceil((weight - top.w) / {TILE_SHINGLES})) as int)").alias("tiles"),
+        F.expr(f"cast(greatest(ceil(top.n / {TILE}), ceil(top.w / {TILE_SHINGLES})) as int)").alias("parts")))
+    needed = texts.join(rows.select("class").distinct(), "class", "left_semi").mapInPandas(sets, "class long, shingles binary")
     rows = rows.withColumn("own", F.expr("cast(pmod(xxhash64(class), tiles) as int)"))
     minor = """concat(
         transform(sequence(0, parts - 1), p -> struct(own as tile, p as part, 0 as side)),
         transform(filter(sequence(0, tiles - 1), t -> t > own), t -> struct(own as tile, parts + t as part, 0 as side)),
         transform(filter(sequence(0, tiles - 1), t -> t < own), t -> struct(t as tile, parts + own as part, 1 as side)))"""
     major = "transform(sequence(0, tiles - 1), t -> struct(t as tile, cast(pmod(xxhash64(class, 1), parts) as int) as part, 1 as side))"
-    dealt = rows.select("key", "class", "component", "bits", F.explode(F.expr(f"if(main, {major}, {minor})")).alias("to"))
-    return dealt.select("key", "to.tile", "to.part", "to.side", "class", "component", "bits")
+    dealt = rows.join(needed, "class").select(
+        "key", "class", "component", "shingles", F.explode(F.expr(f"if(main, {major}, {minor})")).alias("to"))
+    return dealt.select("key", "to.tile", "to.part", "to.side", "class", "component", "shingles")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,25 +242,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     sketches = persist_table(sketched(docs, width))
     usable = sketches.filter("n_shingles > 0 and doc_id is not null")
     usable = usable.join(usable.groupBy("doc_id").agg(F.min("text_key").alias("text_key")), ["doc_id", "text_key"], "left_semi")
-    classes = usable.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_key", "bits", "bands")).alias("one"))
+    classes = usable.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_key", "n_shingles", "bands")).alias("one"))
     classes = persist_table(classes.select("s1", "s2", F.col("one.doc_id").alias("class"), F.col("one.text_key").alias("class_key"),
-                                           F.col("one.bits").alias("bits"), F.col("one.bands").alias("bands")))
-    rows = classes.select("class", F.explode("bands").alias("key"))
+                                           F.col("one.n_shingles").alias("n_shingles"), F.col("one.bands").alias("bands")))
+    rows = classes.select("class", "n_shingles", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = persist_table(rows.join(shared, "key", "left_semi"))
     involved = buckets.select("class").distinct()
     names = classes.join(involved, "class", "left_semi").select("class", "class_key")
     texts = persist_table(docs.join(names, (docs["doc_id"] == names["class"]) & (docs["text_key"] == names["class_key"])).select(
         "class", "text").dropDuplicates(["class"]))
-    bits = classes.select("class", "bits")
 
     links = _verified(_hub_pairs(buckets), texts, width, percent)
     labels = connected_components(links).select(F.col("node").alias("class"), "component")
-    share = percent / 100
-    chance = share + (1 - share) / 256
-    least = int(np.floor(COORDINATES * chance - DEVIATIONS * np.sqrt(COORDINATES * chance * (1 - chance))))
-    more = persist_table(_tile_pairs(_open_rows(buckets, labels, bits), least))
-    links = links.unionByName(_verified(more, texts, width, percent))
+    links = links.unionByName(persist_table(_tile_links(_open_rows(buckets, labels, texts, width), percent)))
     found = connected_components(links)
 
     members = usable.select("doc_id", "text_key", "s1", "s2").join(classes.select("s1", "s2", "class"), ["s1", "s2"])
