@@ -24,8 +24,8 @@ from meterwatch.llm.common import keyed, persist_table
 from meterwatch.llm.pretokens import special_pattern, split_special, word_pretokens
 from meterwatch.llm.token_count import byte_alphabet, load_tokenizer
 
-#: Words that are sent to every task; about 50 MB in a Python worker.
-HEAD_WORDS = 250_000
+#: Words that are sent to every task; about 30 MB in a Python worker.
+HEAD_WORDS = 150_000
 #: Words beyond them of which a task remembers the ids.
 REMEMBERED = 100_000
 
