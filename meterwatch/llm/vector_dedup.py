@@ -23,15 +23,15 @@ from meterwatch.llm.components import connected_components
 
 #: Rows of a bucket that are compared at once.
 TILE = 1024
-#: Classes that a bucket holds on average, and the chance to find a pair just at the threshold.
-PER_BUCKET, RECALL = 32, 0.995
+#: Classes that a bucket holds on average, and the chance to miss a pair just at the threshold in every table.
+PER_BUCKET, MISS = 128, 1e-9
 
 
 def table_plan(classes: int, threshold: float) -> tuple[int, int]:
-    """(bits of a code, tables): codes grow with the logarithm of the input, tables keep the recall."""
+    """(bits of a code, tables): codes grow with the logarithm of the input, tables keep the chance of a miss."""
     bits = min(30, max(8, math.ceil(math.log2(max(classes, 1) / PER_BUCKET))))
     agree = 1 - math.acos(threshold) / math.pi
-    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - agree ** bits))
+    return bits, math.ceil(math.log(MISS) / math.log(1 - agree ** bits))
 
 
 @lru_cache(maxsize=4)
@@ -51,7 +51,7 @@ def _codes(classes: DataFrame, bits: int, tables: int) -> DataFrame:
                 codes = signs.reshape(len(same), tables, bits) @ powers
                 yield same.assign(codes=list(codes.astype(np.int32)))
 
-    return classes.mapInPandas(run, "class long, n long, embedding array<double>, codes array<int>")
+    return classes.mapInPandas(run, f"class long, n long, embedding {classes.schema['embedding'].dataType.simpleString()}, codes array<int>")
 
 
 def _links(pairs_of: DataFrame, threshold: float) -> DataFrame:
@@ -61,8 +61,8 @@ def _links(pairs_of: DataFrame, threshold: float) -> DataFrame:
             if len(g["class"]) < 2:
                 continue
             table = g["table"][0]
-            vectors = np.stack(g["embedding"])
-            codes = np.stack(g["codes"])
+            vectors = np.stack(g["embedding"]).astype(np.float64)
+            codes = np.stack(g["codes"], axis=1)
             norms = np.sqrt((vectors * vectors).sum(1))
             left, right = np.flatnonzero(g["side"] == 0), np.flatnonzero(g["side"] == 1)
             within = g["i"][0] == g["j"][0]
@@ -72,8 +72,10 @@ def _links(pairs_of: DataFrame, threshold: float) -> DataFrame:
             cosines = (vectors[left] @ vectors[right].T) / norms[left][:, None] / norms[right][None, :]
             a, b = np.nonzero(np.triu(cosines >= threshold, 1) if within else cosines >= threshold)
             a, b = left[a], right[b]
-            if table:
-                new = ~(codes[a, :table] == codes[b, :table]).any(1)
+            for own in codes[:table]:  # a table at a time: most pairs of a dense tile share one of the first
+                if not len(a):
+                    break
+                new = own[a] != own[b]
                 a, b = a[new], b[new]
             if not len(a):
                 continue
@@ -102,11 +104,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     smallest id that links reach. Vectors that are NULL, empty or zero, or hold NULL
     or non-finite numbers, and rows with a NULL id are linked with nothing; vectors
     of different lengths never link. Repeated rows count once and get the same
-    result; of rows that repeat an id with other vectors, one is compared. Pairs
-    just at the threshold are found with a chance of 0.995, closer ones with a
-    higher one. Runs jobs when called and writes intermediate tables.
+    result; of rows that repeat an id with other vectors, one is compared. A pair
+    just at the threshold is missed once in a thousand million times, a closer one
+    less often. Runs jobs when called and writes intermediate tables.
     """
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    embedding = F.col(vector_col)
+    if vectors.select(embedding).schema[0].dataType.simpleString() != "array<float>":  # floats travel as they are, cosines are double
+        embedding = embedding.cast("array<double>")
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), embedding.alias("embedding"))
     rows = rows.withColumns({"d1": F.xxhash64("embedding"), "d2": F.xxhash64(F.lit(7), "embedding")})
     sound = F.expr("""vec_id is not null and embedding is not null
         and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))

@@ -286,6 +286,24 @@ def test_vectors_in_tiles(spark, monkeypatch):
     assert found == {k: (199, 0, k == 0) for k in range(200)}
 
 
+def test_vectors_near_the_threshold(spark):
+    """Every link of a large group whose cosines lie between 0.95 and 0.98, by brute force; floats and doubles alike."""
+    rng = np.random.default_rng(21)
+    hub, rows = rng.standard_normal(64), []
+    for group, cosine in enumerate((0.96, 0.97)):
+        noise = rng.standard_normal((1_500, 64)) * np.sqrt(1 / cosine - 1)
+        rows += [(10_000 * group + k, v.tolist()) for k, v in enumerate((hub * (-1) ** group + noise).astype(np.float32))]
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    plain = {i: int(n) for (i, _), n in zip(rows, linked.sum(1))}
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+        found = {r["vec_id"]: r["n_links"] for r in vector_dedup.near_vectors(df).collect()}
+        assert sum(found[i] != n for i, n in plain.items()) == 0
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(2_000), rng.randrange(2_000)) for _ in range(1_500)] + [(k, k + 1) for k in range(5_000, 5_300)] + [(9_000, k) for k in range(9_000, 9_400)]
