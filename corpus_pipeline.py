@@ -2,8 +2,9 @@
 
 Toxic documents go, then later copies of lines, then all but one document of every group of
 near duplicates, then documents that hold a passage of a benchmark; what is left is encoded.
-Every stage works on all rows that the one before it kept. Rows with a NULL id or text pass
-the filters; a missing label or benchmark table is an error, an empty one filters nothing.
+Every stage works on all rows that the one before it kept. Rows with a NULL id are judged by
+their text like any other and are never copies of another row; a missing label or benchmark
+table is an error, an empty one filters nothing.
 """
 
 from __future__ import annotations
@@ -26,11 +27,18 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS).withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
+def _without(rows: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``rows`` but those with a rejected key; a NULL id is equal to a NULL id."""
+    rejected = rejected.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    same = (F.col("text_key") == F.col("gone_key")) & F.col("doc_id").eqNullSafe(F.col("gone_id"))
+    return rows.join(rejected, same, "left_anti")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier calls toxic go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     toxic = toxicity.score_toxicity(docs, labels).filter("predicted = 1").select(*KEY)
-    return _rows(docs).join(toxic, KEY, "left_anti").select(*COLUMNS)
+    return _without(_rows(docs), toxic).select(*COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,16 +53,24 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 80 % of their five-word shingles, directly or by way of others, the smallest id stays."""
+    """Of documents that share 80 % of their five-word shingles, directly or by way of others, the smallest id stays.
+
+    Of rows that repeat id and text, the one with the smallest (lang, source, n_chars) stays, NULL first;
+    rows with a NULL id all stay.
+    """
     copies = minhash.near_duplicates(docs, width=5, percent=80).filter("not kept").select(*KEY)
-    return _rows(docs).join(copies, KEY, "left_anti").dropDuplicates(KEY).select(*COLUMNS)
+    lone = F.when(F.isnull("doc_id"), F.monotonically_increasing_id())  # keeps rows without an id apart
+    left = _without(_rows(docs).withColumn("lone", lone), copies)
+    rest = ["lang", "source", "n_chars", "text"]
+    single = left.groupBy(*KEY, "lone").agg(F.min(F.struct(*rest)).alias("one"))
+    return single.select("doc_id", *[F.col(f"one.{c}").alias(c) for c in rest]).select(*COLUMNS)
 
 
 def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which a window of a benchmark item occurs go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     leaked = decontaminate.find_leaks(docs, benchmark, 10).filter("n_hit > 0").select(*KEY)
-    return _rows(docs).join(leaked, KEY, "left_anti").select(*COLUMNS)
+    return _without(_rows(docs), leaked).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,6 +72,33 @@ def test_repeated_rows_become_one(spark):
     assert dict(corpus_pipeline.STAGES)["near_dedup"](spark, docs, SF_DIR).count() == 1
 
 
+def test_rows_without_an_id_are_judged(spark, tmp_path):
+    """Toxic and leaked rows with a NULL id go, clean ones stay, also if their texts repeat."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    passage = " ".join(f"item{k}" for k in range(12))
+    words = [f"{w}{k}" for k in range(40) for w in ("ab", "cd")]
+    rows = [(k, " ".join([words[(7 * k + j) % 80] for j in range(30)] + ["vilely rotter"] * (k % 3 == 0)), "en", "s", k) for k in range(600)]
+    toxic, clean, leaked = " ".join(words[:30] + ["vilely rotter"] * 3), " ".join(words[3:33]), f"so {passage} it is"
+    odd = [(None, t, "en", "s", 1) for t in (toxic, clean, clean, leaked, None, "")] + [(9_000, leaked, "en", "s", 1)]
+    docs = spark.createDataFrame(rows + odd, schema)
+    spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(400)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    texts = lambda df: sorted(r["text"] or "" for r in df.filter("doc_id is null").collect())
+    assert texts(stages["toxicity"](spark, docs, str(tmp_path))) == sorted([clean, clean, leaked, "", ""])
+    assert texts(stages["near_dedup"](spark, docs, str(tmp_path))) == sorted([toxic, clean, clean, leaked, "", ""])
+    kept = stages["decontamination"](spark, docs, str(tmp_path))
+    assert texts(kept) == sorted([toxic, clean, clean, "", ""]) and kept.filter("doc_id = 9000").count() == 0
+
+
+def test_survivor_of_repeated_rows_is_ordered(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(1, "a b c d e f", "en", s, 11) for s in ("z", "b", "y", "c")]
+    for given in (rows, rows[::-1]):
+        kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, spark.createDataFrame(given, schema).repartition(4), SF_DIR).collect()
+        assert [tuple(r) for r in kept] == [(1, "a b c d e f", "en", "b", 11)]
+
+
 def test_empty_table(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
