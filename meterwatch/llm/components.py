@@ -41,6 +41,18 @@ def connected_components(links: DataFrame) -> DataFrame:
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
+def component_tops(found: DataFrame, firsts: DataFrame) -> DataFrame:
+    """class, top_id, top_key for every node of ``found``: the smallest (first_id, first_key) of its component.
+
+    ``firsts``: class, first_id, first_key. Classes are numbers without an order of
+    their own, so rows that share an id can be nodes of their own.
+    """
+    nodes = found.join(firsts, found["node"] == firsts["class"]).select("class", "component", "first_id", "first_key")
+    tops = nodes.groupBy("component").agg(F.min(F.struct("first_id", "first_key")).alias("top"))
+    return found.join(tops, "component").select(F.col("node").alias("class"), F.col("top.first_id").alias("top_id"),
+                                                F.col("top.first_key").alias("top_key"))
+
+
 def _state(pairs: DataFrame) -> tuple:
     """Tells one set of links from another."""
     row = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")),

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwatch.llm.common import WordHashes, arrow_rows, keyed, mix64, persist_table, running_hash, sorted_groups
-from meterwatch.llm.components import connected_components
+from meterwatch.llm.components import component_tops, connected_components
 
 #: Bins of a sketch; bands of four bins. At a similarity of 0.85 a pair shares no band once in two million times, at 0.8 once in 37,000.
 COORDINATES, BAND = 80, 4
@@ -233,24 +233,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     shingles). ``component_id`` is the smallest doc_id that links reach; ``kept``
     marks the document with that id. Texts with fewer than ``width`` words are one
     shingle; NULL and blank texts have none and are linked with nothing. A row with
-    a NULL id is linked with nothing, has a NULL component and is kept. Of rows that
-    repeat an id with other texts, the one with the smallest hash of the text is
-    compared; the others are linked with nothing. Runs jobs when called and writes
-    intermediate tables.
+    a NULL id is linked with nothing, has a NULL component and is kept. Rows that
+    repeat an id with other texts are compared like documents of their own; if
+    several of one component have its smallest id, the one with the smallest hash
+    of the text is kept. Runs jobs when called and writes intermediate tables.
     """
     docs = keyed(docs, id_col, text_col)
     sketches = persist_table(sketched(docs, width))
     usable = sketches.filter("n_shingles > 0 and doc_id is not null")
-    usable = usable.join(usable.groupBy("doc_id").agg(F.min("text_key").alias("text_key")), ["doc_id", "text_key"], "left_semi")
     classes = usable.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "text_key", "n_shingles", "bands")).alias("one"))
-    classes = persist_table(classes.select("s1", "s2", F.col("one.doc_id").alias("class"), F.col("one.text_key").alias("class_key"),
-                                           F.col("one.n_shingles").alias("n_shingles"), F.col("one.bands").alias("bands")))
+    # a class is a number that is written down; its first row has the smallest (doc_id, text_key)
+    classes = persist_table(classes.select("s1", "s2", F.monotonically_increasing_id().alias("class"), F.col("one.doc_id").alias("first_id"),
+                                           F.col("one.text_key").alias("first_key"), F.col("one.n_shingles").alias("n_shingles"),
+                                           F.col("one.bands").alias("bands")))
     rows = classes.select("class", "n_shingles", F.explode("bands").alias("key"))
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = persist_table(rows.join(shared, "key", "left_semi"))
     involved = buckets.select("class").distinct()
-    names = classes.join(involved, "class", "left_semi").select("class", "class_key")
-    texts = persist_table(docs.join(names, (docs["doc_id"] == names["class"]) & (docs["text_key"] == names["class_key"])).select(
+    names = classes.join(involved, "class", "left_semi").select("class", "first_id", "first_key")
+    texts = persist_table(docs.join(names, (docs["doc_id"] == names["first_id"]) & (docs["text_key"] == names["first_key"])).select(
         "class", "text").dropDuplicates(["class"]))
 
     links = _verified(_hub_pairs(buckets), texts, width, percent)
@@ -258,13 +259,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     links = links.unionByName(persist_table(_tile_links(_open_rows(buckets, labels, texts, width), percent)))
     found = connected_components(links)
 
-    members = usable.select("doc_id", "text_key", "s1", "s2").join(classes.select("s1", "s2", "class"), ["s1", "s2"])
-    placed = members.join(found, members["class"] == found["node"], "left").select(
-        "doc_id", "text_key", F.coalesce("component", "class").alias("component"))
-    result = sketches.select("doc_id", "text_key", "n_shingles").join(placed.distinct(), ["doc_id", "text_key"], "left")
-    component = F.coalesce("component", "doc_id")
-    return result.select("doc_id", "text_key", "n_shingles", component.alias("component_id"),
-                         component.eqNullSafe(F.col("doc_id")).alias("kept"))
+    tops = component_tops(found, classes.select("class", "first_id", "first_key"))
+    named = classes.select("s1", "s2", "class", "first_id", "first_key").join(tops, "class", "left").select(
+        "s1", "s2", F.coalesce("top_id", "first_id").alias("top_id"), F.coalesce("top_key", "first_key").alias("top_key"))
+    placed = usable.select("doc_id", "text_key", "s1", "s2").distinct().join(named, ["s1", "s2"]).drop("s1", "s2")
+    result = sketches.select("doc_id", "text_key", "n_shingles").join(placed, ["doc_id", "text_key"], "left")
+    return result.select("doc_id", "text_key", "n_shingles", F.coalesce("top_id", "doc_id").alias("component_id"),
+                         F.coalesce(F.expr("top_id = doc_id and top_key = text_key"), F.lit(True)).alias("kept"))
 
 
 def near_digest(docs: DataFrame, width: int, percent: int) -> DataFrame:

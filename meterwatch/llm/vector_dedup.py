@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterwatch.llm.common import persist_table, sorted_groups
-from meterwatch.llm.components import connected_components
+from meterwatch.llm.components import component_tops, connected_components
 
 #: Rows of a bucket that are compared at once.
 TILE = 1024
@@ -100,11 +100,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     """vec_id, n_links, component_id, kept: one row per row of ``vectors``.
 
     Links are pairs with a cosine of ``threshold`` or more in double precision;
-    ``n_links`` counts the other ids linked directly, ``component_id`` is the
-    smallest id that links reach. Vectors that are NULL, empty or zero, or hold NULL
+    ``n_links`` counts the other rows linked directly, ``component_id`` is the
+    smallest id that links reach, and ``kept`` marks the row with that id. Vectors that are NULL, empty or zero, or hold NULL
     or non-finite numbers, and rows with a NULL id are linked with nothing; vectors
     of different lengths never link. Repeated rows count once and get the same
-    result; of rows that repeat an id with other vectors, one is compared. A pair
+    result; rows that repeat an id with other vectors are compared like rows of
+    their own, and of those that share a component's smallest id one is kept. A pair
     just at the threshold is missed once in a thousand million times, a closer one
     less often. Runs jobs when called and writes intermediate tables.
     """
@@ -117,11 +118,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
         and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))
         and exists(embedding, x -> x <> 0)""")
     usable = rows.filter(sound)
-    usable = usable.join(usable.groupBy("vec_id").agg(F.min("d1").alias("d1")), ["vec_id", "d1"], "left_semi")
     members = usable.select("vec_id", "d1", "d2").distinct()
-    sizes = members.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("vec_id").alias("class"))
+    sizes = members.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("vec_id").alias("vec_id"))
     one = usable.select("vec_id", "d1", "d2", "embedding").dropDuplicates(["vec_id", "d1", "d2"])
-    classes = sizes.join(one.withColumnRenamed("vec_id", "class"), ["class", "d1", "d2"]).select("class", "n", "embedding", "d1", "d2")
+    # a class is a number that is written down
+    classes = sizes.join(one, ["vec_id", "d1", "d2"]).select(
+        F.monotonically_increasing_id().alias("class"), F.col("vec_id").alias("first_id"), "n", "embedding", "d1", "d2")
     classes = persist_table(classes)
 
     bits, tables = table_plan(classes.count(), threshold)
@@ -139,14 +141,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     found = connected_components(links.select(F.col("class").alias("a"), F.col("parent").alias("b")))
     counts = links.groupBy("class").agg(F.sum("links").alias("links"))
 
-    known = classes.select("class", "n", "d1", "d2").join(counts, "class", "left").join(
-        found.withColumnRenamed("node", "class"), "class", "left")
+    firsts = classes.select("class", "first_id", F.struct("d1", "d2").alias("first_key"))
+    known = classes.select("class", "first_id", "n", "d1", "d2").join(counts, "class", "left").join(
+        component_tops(found, firsts), "class", "left")
     placed = members.join(known, ["d1", "d2"]).select(
-        "vec_id", "d1", "d2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "class").alias("component"))
+        "vec_id", "d1", "d2", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("top_id", "first_id").alias("top_id"),
+        F.coalesce("top_key", F.struct("d1", "d2")).alias("top_key"))
     result = rows.drop("embedding").join(placed, ["vec_id", "d1", "d2"], "left")
-    component = F.coalesce("component", "vec_id")
-    return result.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-                         component.eqNullSafe(F.col("vec_id")).alias("kept"))
+    kept = (F.col("top_id") == F.col("vec_id")) & (F.col("top_key") == F.struct("d1", "d2"))
+    return result.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("top_id", "vec_id").alias("component_id"),
+                         F.coalesce(kept, F.lit(True)).alias("kept"))
 
 
 SQL = """

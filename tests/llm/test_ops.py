@@ -132,6 +132,18 @@ def test_near_documents_linked_only_in_tiles(spark, monkeypatch):
     assert found == brute.near(rows, 3, 85)
 
 
+def test_near_documents_that_repeat_an_id(spark):
+    """Every row of an id is searched: the copy of document 3 goes, whichever text of document 7 has the smaller hash."""
+    a, b = prose(61, 90), prose(62, 90)
+    for one, other in ((a, b), (b, a)):
+        rows = [(3, one), (7, other), (7, one), (9, other), (9, edited(other, 1, 1)), (11, prose(63, 90)), (11, prose(63, 90) + " more")]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        keys = {r["text_key"]: r["text"] for r in df.select("text", F.xxhash64("text").alias("text_key")).collect()}
+        found = {(r["doc_id"], keys[r["text_key"]]): (r["component_id"], r["kept"]) for r in minhash.near_duplicates(df, 3, 85).collect()}
+        assert [found[r] for r in rows[:5]] == [(3, True), (7, True), (3, False), (7, False), (7, False)]
+        assert sorted(found[r] for r in rows[5:]) == [(11, False), (11, True)]
+
+
 def test_sketch_estimates_similarity():
     rng = np.random.default_rng(3)
     for n in (1, 5, 40, 1_000):
@@ -304,6 +316,20 @@ def test_vectors_near_the_threshold(spark):
         assert sum(found[i] != n for i, n in plain.items()) == 0
 
 
+def test_vectors_that_repeat_an_id(spark):
+    rng = np.random.default_rng(31)
+    one, other = rng.standard_normal((2, 16)).tolist()
+    near = (np.array(other) + 0.01).tolist()
+    for x, y in ((one, other), (other, one)):
+        rows = [(3, x), (7, y), (7, x), (9, near), (7, x)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        found = sorted(tuple(r) for r in vector_dedup.near_vectors(df).collect())
+        if x is one:  # the near vector is one of document 7's
+            assert found == sorted([(3, 1, 3, True), (7, 1, 7, True), (7, 1, 3, False), (7, 1, 3, False), (9, 1, 7, False)])
+        else:
+            assert found == sorted([(3, 2, 3, True), (7, 0, 7, True), (7, 2, 3, False), (7, 2, 3, False), (9, 2, 3, False)])
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(2_000), rng.randrange(2_000)) for _ in range(1_500)] + [(k, k + 1) for k in range(5_000, 5_300)] + [(9_000, k) for k in range(9_000, 9_400)]
