@@ -26,6 +26,13 @@ from meterwatch.llm.pretokens import BYTE_PATTERN
 SHARD_BYTES = 8 << 20
 
 
+def number_type(ranks_path: str, length: int, *further: int | None) -> str:
+    """The numbers of a packed row: 16 bits, or 32 if an id of the file, a further id or a position asks for it."""
+    with open(ranks_path, "rb") as f:
+        largest = max((int(line.split()[1]) for line in f if line.strip()), default=0)
+    return "<u2" if max(largest, length - 1, *(x for x in further if x is not None)) < 1 << 16 else "<u4"
+
+
 @lru_cache(maxsize=2)
 def _encoding(path: str):
     import tiktoken
@@ -35,18 +42,18 @@ def _encoding(path: str):
     return tiktoken.Encoding("file", pat_str=BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_pieces(docs: DataFrame, ranks_path: str, length: int, end_id: int | None) -> DataFrame:
-    """doc_id, text_key, piece, n, ids (uint16 little-endian) of ``keyed`` documents with at least one token."""
+def token_pieces(docs: DataFrame, ranks_path: str, length: int, end_id: int | None, kind: str = "<u2") -> DataFrame:
+    """doc_id, text_key, piece, n, ids (little-endian, of type ``kind``) of ``keyed`` documents with at least one token."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoding = _encoding(ranks_path)
         for b in batches:
             out: dict[str, list] = {"doc_id": [], "text_key": [], "piece": [], "n": [], "ids": []}
             for doc, key, text in zip(b["doc_id"], b["text_key"], b["text"]):
-                ids = encoding.encode_to_numpy(text, disallowed_special=()).astype("<u2")
+                ids = encoding.encode_to_numpy(text, disallowed_special=()).astype(kind)
                 if not len(ids):
                     continue
                 if end_id is not None:
-                    ids = np.append(ids, np.array([end_id], "<u2"))
+                    ids = np.append(ids, np.array([end_id], kind))
                 for k, lo in enumerate(range(0, len(ids), length)):
                     part = ids[lo:lo + length]
                     for name, value in zip(out, (doc, key, k, len(part), part.tobytes())):
@@ -114,7 +121,8 @@ def pack(docs: DataFrame, ranks_path: str, length: int = 2048, end_id: int | Non
     """Packed rows: shard, row, n_tokens, input_ids, position_ids, cu_seqlens, doc_ids, text_keys, pieces.
 
     ``input_ids`` and ``position_ids`` are ``length`` unsigned 16-bit numbers
-    (``matrix`` reads them); unused places hold ``pad_id`` and position 0. Positions
+    (``matrix`` reads them), or 32-bit ones with a further column ``id_bytes`` of 4 if
+    an id or ``length`` does not fit 16 bits; unused places hold ``pad_id`` and position 0. Positions
     begin at 0 with every segment; segment s lies between ``cu_seqlens[s]`` and
     ``cu_seqlens[s + 1]`` and is piece ``pieces[s]`` of the document, whose pieces in
     order give back all its ids (``unpack``). Each document with tokens ends with
@@ -125,27 +133,29 @@ def pack(docs: DataFrame, ranks_path: str, length: int = 2048, end_id: int | Non
     docs = keyed(docs, id_col, text_col)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    pieces = token_pieces(docs, ranks_path, length, end_id)
+    kind = number_type(ranks_path, length, end_id, pad_id)
+    pieces = token_pieces(docs, ranks_path, length, end_id, kind)
     pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "text_key", "piece"), F.lit(shards)).cast("int"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in sorted_groups(batches, ["shard"]):
-            yield _packed_rows(g, length, pad_id)
+            yield _packed_rows(g, length, pad_id, kind)
 
     # pieces in a fixed order, so that a task that runs again packs the same rows
-    return pieces.repartition("shard").sortWithinPartitions("shard", "doc_id", "text_key", "piece").mapInPandas(run, PACKED)
+    packed = pieces.repartition("shard").sortWithinPartitions("shard", "doc_id", "text_key", "piece").mapInPandas(run, PACKED)
+    return packed if kind == "<u2" else packed.withColumn("id_bytes", F.lit(4))
 
 
-def _packed_rows(g: dict[str, np.ndarray], length: int, pad_id: int) -> pd.DataFrame:
+def _packed_rows(g: dict[str, np.ndarray], length: int, pad_id: int, kind: str) -> pd.DataFrame:
     out: dict[str, list] = {name.split()[0]: [] for name in PACKED.split(", ")}
-    steps = np.arange(length, dtype="<u2")
+    steps = np.arange(length, dtype=kind)
     for number, members in enumerate(best_fit_decreasing(g["n"], length)):
         ends = np.concatenate([[0], np.cumsum(g["n"][members])]).astype(np.int32)
         ids = b"".join(g["ids"][members])
         positions = np.concatenate([steps[:n] for n in g["n"][members]])
         blank = length - int(ends[-1])
-        values = (g["shard"][0], number, int(ends[-1]), ids + np.full(blank, pad_id, "<u2").tobytes(),
-                  positions.tobytes() + bytes(2 * blank), ends,
+        values = (g["shard"][0], number, int(ends[-1]), ids + np.full(blank, pad_id, kind).tobytes(),
+                  positions.tobytes() + bytes(steps.itemsize * blank), ends,
                   [None if pd.isna(d) else int(d) for d in g["doc_id"][members]], g["text_key"][members], g["piece"][members])
         for name, value in zip(out, values):
             out[name].append(value)
@@ -153,17 +163,20 @@ def _packed_rows(g: dict[str, np.ndarray], length: int, pad_id: int) -> pd.DataF
 
 
 def matrix(rows: list[bytes], length: int) -> np.ndarray:
-    """Rows of ``input_ids`` or ``position_ids`` as one matrix."""
-    return np.frombuffer(b"".join(rows), "<u2").reshape(-1, length)
+    """Rows of ``input_ids`` or ``position_ids`` as one matrix; their bytes tell 16 from 32 bits."""
+    kind = "<u4" if rows and len(rows[0]) == 4 * length else "<u2"
+    return np.frombuffer(b"".join(rows), kind).reshape(-1, length)
 
 
 def unpack(packed: DataFrame) -> DataFrame:
     """doc_id, text_key, ids (array<int>): the ids of every document, its pieces in order."""
+    kind = "<u4" if "id_bytes" in packed.columns else "<u2"
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out: dict[str, list] = {"doc_id": [], "text_key": [], "piece": [], "ids": []}
             for ids, ends, docs, keys, pieces in zip(b["input_ids"], b["cu_seqlens"], b["doc_ids"], b["text_keys"], b["pieces"]):
-                row = np.frombuffer(ids, "<u2").astype(np.int32)
+                row = np.frombuffer(ids, kind).astype(np.int32)
                 for s in range(len(pieces)):
                     doc = None if pd.isna(docs[s]) else int(docs[s])
                     for name, value in zip(out, (doc, keys[s], pieces[s], row[ends[s]:ends[s + 1]])):

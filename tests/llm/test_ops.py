@@ -247,6 +247,25 @@ def test_packing_round_trip(docs, data, empty):
     assert packing.pack(empty, RANKS).count() == 0
 
 
+def test_packing_beyond_16_bits(spark, tmp_path):
+    """A rank file with ids over 65,535, and rows of more than 65,536 places, come back whole."""
+    lines = open(RANKS, "rb").read().splitlines()
+    moved = tmp_path / "moved.tiktoken"
+    moved.write_bytes(b"\n".join(b"%s %d" % (token, int(rank) + 50_000) for token, rank in map(bytes.split, lines)))
+    rows = [(k, prose(700 + k, 40)) for k in range(20)] + [(50, prose(800, 30_000, 10**6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for path, length, end in ((str(moved), 256, 100_256), (RANKS, 70_000, 50_256)):
+        whole = {i: packing._encoding(path).encode_ordinary(t) + [end] for i, t in rows}
+        packed = packing.pack(df, path, length=length, end_id=end, pad_id=end)
+        found, _, _ = by_id(packing.unpack(packed), "ids")
+        assert found == {i: (x,) for i, x in whole.items()}
+        for r in packed.collect():
+            places = packing.matrix([r["position_ids"]], length)[0]
+            for a, b in zip(r["cu_seqlens"], r["cu_seqlens"][1:]):
+                assert (places[a:b] == np.arange(b - a)).all()
+    assert "id_bytes" not in packing.pack(df, RANKS, length=256).columns
+
+
 def test_best_fit_decreasing_is_best_fit():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 101, 500)
