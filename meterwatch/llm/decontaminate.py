@@ -6,8 +6,10 @@ document are never looked at twice. Where no jump is allowed, the block's bucket
 windows that end with it, and the words are compared one by one. Many starting places of a
 batch of documents advance side by side in numpy.
 
-The items go to the tasks in blocks of a fixed number of words. With more than one block
-every document is searched once for each, and the results are joined per document.
+The items go to the tasks in blocks of a fixed number of words, which are numbered in Spark,
+written down, and read by the driver one at a time; a longer item is cut into runs that overlap
+by a window less a word. With more than one block every document is searched once for each,
+what is found is written down before the next block is read, and joined per document.
 """
 
 from __future__ import annotations
@@ -16,10 +18,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwatch.llm.common import keyed
+from meterwatch.llm.common import keyed, persist_table
 
 #: Word bytes stay, A-Z are lowered, the rest parts words. Every byte of a character beyond ASCII is a word byte.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -119,20 +122,46 @@ class ItemBlock:
         return np.fromiter((get(w, 0) for w in words), np.int32, len(words))
 
 
-def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_words: int) -> list[list[tuple[str, str]]]:
-    """The test items as lists of at most ``block_words`` words (a longer item is a block of its own)."""
-    blocks: list[list[tuple[str, str]]] = []
-    room = 0
-    rows = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter(
-        "item_id is not null and text is not null").orderBy("item_id", "text")
-    for row in rows.toLocalIterator():
-        n = len(plain_words(row["text"]))
-        if not blocks or room < n:
-            blocks.append([])
-            room = block_words
-        blocks[-1].append((row["item_id"], row["text"]))
-        room -= n
-    return blocks
+def item_runs(text: str, width: int, most: int) -> Iterator[tuple[str, int]]:
+    """The words of an item and their number, in runs of ``most`` words at most (or ``width``) that hold every window."""
+    words = plain_words(text)
+    most = max(most, width)
+    for lo in range(0, max(len(words) - width, 0) + 1, most - width + 1):
+        run = words[lo:lo + most]
+        if run:
+            yield b" ".join(run).decode("utf-8", "surrogatepass"), len(run)
+
+
+def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, width: int, block_words: int) -> DataFrame:
+    """block, item_id, text: runs of the test items in blocks of ``block_words`` words at most (or one window), written down."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item_id"), F.col(text_col).cast("string").alias("text")).filter(
+        "item_id is not null and text is not null").distinct()
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for item, text in zip(b["item_id"], b["text"]):
+                runs = list(item_runs(text, width, block_words))
+                if runs:
+                    yield pd.DataFrame({"item_id": [item] * len(runs), "text": [t for t, _ in runs], "n": [n for _, n in runs]})
+
+    runs = persist_table(items.mapInPandas(cut, "item_id string, text string, n long"))
+    total = runs.agg(F.sum("n")).first()[0] or 0
+    if total <= block_words:
+        return runs.select(F.lit(0).cast("long").alias("block"), "item_id", "text")
+
+    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, room = TaskContext.get().partitionId() << 32, block_words
+        for b in batches:
+            blocks = []
+            for n in b["n"]:
+                if room < n and room < block_words:
+                    block, room = block + 1, block_words
+                room -= n
+                blocks.append(block)
+            yield pd.DataFrame({"block": blocks, "item_id": b["item_id"], "text": b["text"]})
+
+    # each task fills blocks of its own
+    return persist_table(runs.repartition(-(-total // block_words)).mapInPandas(number, "block long, item_id string, text string"))
 
 
 def _hits(words_of_docs: list[list[bytes]], block: ItemBlock) -> list[tuple[list[int], list[str]]]:
@@ -170,11 +199,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: s
     Items with a NULL id, a NULL text or no words have no windows; repeated items
     count once; an empty benchmark hits nothing. NULL and empty texts have no
     words; NULL ids and repeated rows are searched like any other. The items are
-    read by the driver in bounded blocks when this is called.
+    cut, numbered and written down by jobs when this is called, and reach the driver a block
+    at a time; with more than one block the searches too run when this is called.
     """
     docs = keyed(docs, id_col, text_col)
     context = docs.sparkSession.sparkContext
-    blocks = item_blocks(benchmark, item_col, item_text_col, block_words) or [[]]
+    runs = item_blocks(benchmark, item_col, item_text_col, width, block_words)
+    numbers = sorted(r["block"] for r in runs.select("block").distinct().collect()) or [0]
 
     def search(sent):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,10 +220,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: s
         return run
 
     schema = "doc_id long, text_key long, n_words long, hits array<int>, items array<string>"
-    found = [docs.mapInPandas(search(context.broadcast(items)), schema) for items in blocks]
-    if len(found) > 1:
-        return _merged(found, schema)
-    return found[0].select("doc_id", "text_key", "n_words", _covered("hits").alias("n_hit"), "hits", "items")
+    found = []
+    for k in numbers:
+        items = [(r["item_id"], r["text"]) for r in runs.filter(F.col("block") == k).select("item_id", "text").collect()]
+        sent = context.broadcast(items)
+        rows = docs.mapInPandas(search(sent), schema)
+        if len(numbers) == 1:
+            return rows.select("doc_id", "text_key", "n_words", _covered("hits").alias("n_hit"), "hits", "items")
+        # every row of the first block, of the others those that hold an item
+        found.append(persist_table(rows if not found else rows.filter("size(items) > 0")))
+        sent.destroy()
+    return _merged(found, schema)
 
 
 def _covered(hits: str):

@@ -113,6 +113,21 @@ def test_leaks(spark, docs, data, empty):
     assert decontaminate.leak_digest(docs, bench.limit(0)).filter("contaminated").count() == 0
 
 
+def test_leaks_of_a_long_item(spark):
+    """An item longer than a block is cut into runs that hold each of its windows; no block is longer than asked for."""
+    words = prose(71, 130, 10**6).split()
+    items = [(1, " ".join(words)), (2, " ".join(words[60:75])), (3, "one"), (4, "   ")]
+    rows = [(k, "x " + " ".join(words[k:k + 10]) + " y") for k in range(0, 121)] + [(500, "only one here"), (501, None), (502, " ".join(words))]
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    blocks = decontaminate.item_blocks(bench, "item_id", "text", 10, 50).collect()
+    sizes = {}
+    for r in blocks:
+        sizes[r["block"]] = sizes.get(r["block"], 0) + len(r["text"].split())
+    assert len(sizes) > 2 and max(sizes.values()) <= 50
+    found, _, n = by_id(decontaminate.find_leaks(df, bench, block_words=50), "n_words", "n_hit", "items")
+    assert {i: (a, b, sorted(x)) for i, (a, b, x) in found.items()} == brute.leaks(rows, items, 10) and n == len(rows)
+
+
 def test_near_documents(docs, data, empty):
     for width, percent in ((3, 85), (5, 80)):
         found, nulls, n = by_id(minhash.near_digest(docs, width, percent), "n_shingles", "component_id", "kept")
