@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterwatch.llm import (bpe, decontaminate, line_dedup, minhash, packing, secret_scan, substring, token_count, toxicity,
-                            vector_dedup)
+from meterwatch.llm import (bpe, decontaminate, fim, line_dedup, minhash, packing, quality, secret_scan, substring, token_count,
+                            toxicity, vector_dedup, whitening)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,3 +82,19 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_line_dedup", line_dedup.SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_digest(_table(spark, sf_dir, "documents"), 10)
+
+
+@_query("op11_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"), 16)
+
+
+@_query("op12_quality")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.drop("text_key")
+
+
+@_query("op13_fill_in_middle", fim.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.fim_digest(_table(spark, sf_dir, "documents"), 7, 100, 50)

@@ -25,7 +25,7 @@ def test_runs(spark, key):
 
 
 def test_names():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
