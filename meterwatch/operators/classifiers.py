@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterwatch.operators.boosting import BoostedModel, Growth, fit_boosted
 from meterwatch.operators.ordering import ordered_prefix
 from meterwatch.operators.series import add_index, percent_change
 from meterwatch.session import persist_table, shared_folder
@@ -76,28 +77,29 @@ def stratified_split(df: DataFrame, label: str = "label", id_col: str = "series_
     return ranked.select(*df.columns, (F.col("__r") * 1000 <= F.col("__n") * share).alias("train"))
 
 
-def _model(kind: str, seed: int, trees: int, max_depth: int):
+def boosting_growth(kind: str, trees: int) -> Growth:
+    """Trees of three levels, or of 31 leaves grown best first with at least 20 rows each."""
     if kind == "gbt":
-        return GBTClassifier(maxIter=trees, stepSize=0.1, maxDepth=3, seed=seed)
+        return Growth(trees=trees, depth=3)
     if kind == "gbt_deep":
-        return GBTClassifier(maxIter=trees, stepSize=0.1, maxDepth=5, seed=seed)
-    if kind == "forest":
-        return RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=seed)
+        return Growth(trees=trees, leaves=31, min_rows=20)
     raise ValueError(f"unknown model {kind}")
 
 
 def train(df: DataFrame, kind: str, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = (),
           label: str = "label", seed: int = 42, trees: int = TREES, max_depth: int = MAX_DEPTH,
-          id_col: str = "series_id") -> PipelineModel:
+          id_col: str = "series_id") -> PipelineModel | BoostedModel:
     """Encoder and classifier fitted on the rows given.
 
-    ``max_depth`` bounds the trees of a forest; boosted trees have 3 or 5 levels.
+    ``gbt`` and ``gbt_deep`` are boosted trees on histograms; ``forest`` has ``max_depth`` levels.
     The order of the rows and the files they come from do not change the model.
     """
+    if kind != "forest":
+        return fit_boosted(df, boosting_growth(kind, trees), numeric, categories, label, [id_col] if id_col in df.columns else ())
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
         context.setCheckpointDir(shared_folder(df.sparkSession))
-    model = _model(kind, seed, trees, max_depth).setLabelCol(label).setFeaturesCol("features")
+    model = RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=seed).setLabelCol(label).setFeaturesCol("features")
     # many passes follow: read a table instead of repeating the features
     columns = [*numeric, *categories, label]
     prepared = prepare(df, numeric, categories)
@@ -109,13 +111,26 @@ def train(df: DataFrame, kind: str, numeric: Sequence[str] = NUMERIC, categories
     return Pipeline(stages=[*encoder(numeric, categories), model]).fit(rows)
 
 
-def score(model: PipelineModel, df: DataFrame, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = (),
+def score(model: PipelineModel | BoostedModel, df: DataFrame, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = (),
           out: str = "score") -> DataFrame:
     """Probability of label 1 next to the columns of ``df``."""
+    if isinstance(model, BoostedModel):
+        return model.score(df, out)
     scored = model.transform(prepare(df, numeric, categories))
     return scored.select(*[F.col(c) for c in df.columns], vector_to_array("probability")[1].alias(out))
 
 
+def save_model(spark: SparkSession, model: PipelineModel | BoostedModel, path: str) -> None:
+    if isinstance(model, BoostedModel):
+        model.save(spark, path)
+    else:
+        model.write().overwrite().save(path)
+
+
+def load_model(spark: SparkSession, kind: str, path: str) -> PipelineModel | BoostedModel:
+    return PipelineModel.load(path) if kind == "forest" else BoostedModel.load(spark, path)
+
+
 # --- quality of scores ---------------------------------------------------
 
 def _per_score(df: DataFrame, label: str, score_col: str) -> DataFrame:

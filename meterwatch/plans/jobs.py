@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from meterwatch.functions.scalar import fixed, parse_number
 from meterwatch.operators import classifiers, consolidate, economics, forecast, forest, group_gaussian, kmodes, quality, structural
 from meterwatch.operators import series_features as features
+from meterwatch.operators.boosting import BoostedModel
 from meterwatch.operators.labels import latest_label
 from meterwatch.operators.ordering import global_rank
 from meterwatch.operators.panel import ATTRIBUTES, COMMERCIAL_COLUMNS, CONSUMPTION_COLUMNS, build_panel, complete_panel
@@ -164,12 +165,27 @@ class Job:
         return self._publish(f"{kind}_ranking", global_rank(
             scores, [fixed(F.col("score")).desc_nulls_last(), F.col(self.id).asc()]))
 
-    def _model(self, known: DataFrame, kind: str, trees: int, fit: dict) -> PipelineModel:
+    def _model(self, known: DataFrame, kind: str, trees: int, fit: dict) -> PipelineModel | BoostedModel:
         """The fitted model, kept as a stage like any table."""
         path = self.stage_path(f"{kind}_model", **fit)
-        if not is_complete(self.spark, f"{path}/metadata"):
-            classifiers.train(known.filter("train"), kind, categories=self.group, trees=trees, id_col=self.id).write().overwrite().save(path)
-        return PipelineModel.load(path)
+        if not is_complete(self.spark, f"{path}/metadata" if kind == "forest" else path):
+            model = classifiers.train(known.filter("train"), kind, categories=self.group, trees=trees, id_col=self.id)
+            classifiers.save_model(self.spark, model, path)
+        return classifiers.load_model(self.spark, kind, path)
+
+    def compare_models(self, labels: str, kinds: Sequence[str] = ("gbt", "forest", "gbt_deep"), trees: int = classifiers.TREES) -> DataFrame:
+        """One row per model and class: area under the ROC curve on the held-out part, precision, recall, F1, support."""
+        tables = []
+        for kind in kinds:
+            self.supervised(labels, kind, trees)
+            fit = {"labels": input_identity(self.spark, labels), "kind": kind, "trees": trees}
+            held_out = scan_parquet(self.spark, self.stage_path(f"{kind}_validation", **fit))
+            report = classifiers.classification_report(classifiers.confusion_matrix(held_out))
+            tables.append(report.join(F.broadcast(classifiers.roc_auc(held_out))).select(F.lit(kind).alias("model"), "auc", *report.columns))  # one row
+        found = tables[0]
+        for t in tables[1:]:
+            found = found.unionByName(t)
+        return self._publish("model_comparison", found)
 
     def benefit(self, labels: str, kind: str = "gbt_deep", k: int = 10, trees: int = classifiers.TREES) -> DataFrame:
         """Clusters of the labelled clients and what each threshold earns on the scores of ``supervised``."""
@@ -189,7 +205,7 @@ class Job:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=("panel", "gaussian", "isolation", "structural", "forecast", "supervised", "benefit"))
+    parser.add_argument("job", choices=("panel", "gaussian", "isolation", "structural", "forecast", "supervised", "compare_models", "benefit"))
     parser.add_argument("--panel", required=True, help="the panel that is read, or written by the job of that name")
     parser.add_argument("--out", help="folder of the results")
     parser.add_argument("--group", nargs="+", help="columns that make a group")
@@ -198,7 +214,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--id", default="series_id")
     parser.add_argument("--time", default="period")
     parser.add_argument("--value", default="value")
-    parser.add_argument("--labels", help="table of labelled visits, for supervised and benefit")
+    parser.add_argument("--labels", help="table of labelled visits, for supervised, compare_models and benefit")
     parser.add_argument("--sample", type=int, help="only the first clients, for a trial")
     args = parser.parse_args(arguments)
     if args.job == "panel":
@@ -210,7 +226,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
         parser.error(f"{args.job} needs --out and --group")
     job = Job(build_session(), args.panel, args.out, args.group, args.id, args.time, args.value, args.sample)
     try:
-        if args.job in ("supervised", "benefit"):
+        if args.job in ("supervised", "compare_models", "benefit"):
             if not args.labels:
                 parser.error(f"{args.job} needs --labels")
             getattr(job, args.job)(args.labels)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterwatch.operators import boosting as G
 from meterwatch.operators import classifiers as B
 from meterwatch.operators import economics as K
 from meterwatch.operators import evaluation as E
@@ -102,6 +103,59 @@ def held_out_rows(v: Views) -> DataFrame:
     return scored.select("series_id", "label", F.coalesce(F.col("score").between(0, 1), F.lit(False)).alias("in_range"))
 
 
+STUMP_BINS, STUMP_TREES = 16, 4
+
+
+def _stumps_sql() -> dict[str, str]:
+    """Boosted trees of one level, a round per block of tables."""
+    steps = {
+        "base": """select *, row_number() over (partition by label order by md5(cast(series_id as varchar)), series_id) * 1000
+                   <= count(*) over (partition by label) * 800 as train from (
+            select t.series_id, t.label, c.c_acctbal as x0, cast(c.c_nationkey as double) as x1, p.category, p.zone
+            from fx_truth t join customer c on c.c_custkey = t.series_id
+            join (select distinct series_id, category, zone from fx_group_panel) p on p.series_id = t.series_id)""",
+        "numbers": "select 0 as f, x0 as x from base where train union all select 1, x1 from base where train",
+        "edges": f"""select distinct f, x from (select f, x, row_number() over (partition by f order by x) as n, count(*) over (partition by f) as m from numbers)
+                  join range(1, {STUMP_BINS + 1}) g(k) on n = (m * k + {STUMP_BINS - 1}) // {STUMP_BINS}
+                  where f not in (select f from numbers group by f having count(distinct x) <= {STUMP_BINS})
+                  union select distinct f, x from numbers where f in (select f from numbers group by f having count(distinct x) <= {STUMP_BINS})""",
+        "cuts": "select f, x from edges e where x < (select max(x) from edges o where o.f = e.f)",
+        "codes": """select 2 as f, category as v, row_number() over (order by category) - 1 as bin from (select distinct category from base where train)
+                    union all select 3, zone, row_number() over (order by zone) - 1 from (select distinct zone from base where train)""",
+        "cells": """select series_id, 0 as f, (select count(*) from cuts where f = 0 and cuts.x < b.x0) as bin from base b
+                    union all select series_id, 1, (select count(*) from cuts where f = 1 and cuts.x < b.x1) from base b
+                    union all select series_id, 2, coalesce(bin, -1) from base left join codes on codes.f = 2 and v = category
+                    union all select series_id, 3, coalesce(bin, -1) from base left join codes on codes.f = 3 and v = zone""",
+        "s0": """select series_id, label, train, ln(sum(label) filter (train) over () / (count(*) filter (train) over () - sum(label) filter (train) over ())) as score
+                 from base""",
+    }
+    for k in range(STUMP_TREES):
+        steps |= {
+            f"g{k}": f"""select *, round((p - label) * 16777216) as g, round(p * (1 - p) * 16777216) as h
+                         from (select *, 1 / (1 + exp(-score)) as p from s{k} where train)""",
+            f"h{k}": f"select f, bin, sum(g) as g, sum(h) as h, count(*) as c from cells join g{k} using (series_id) group by 1, 2",
+            f"t{k}": f"select sum(g) as tg, sum(h) as th, count(*) as tc from g{k}",
+            f"r{k}": f"""select f, bin, tg, th, tc, case when f < 2 then tg - sum(g) over w else g end as g, case when f < 2 then th - sum(h) over w else h end as h,
+                         case when f < 2 then tc - sum(c) over w else c end as c from h{k}, t{k} window w as (partition by f order by bin)""",
+            f"b{k}": f"""select * from (select *, g * g / 16777216 / greatest(h, 1) + (tg - g) * (tg - g) / 16777216 / greatest(th - h, 1)
+                                        - tg * tg / 16777216 / greatest(th, 1) as gain from r{k} where c > 0 and c < tc) order by gain desc, f, bin limit 1""",
+            f"s{k + 1}": f"""select s.series_id, label, train, score + case when case when b.f < 2 then l.bin > b.bin else l.bin = b.bin end
+                             then -0.1 * g / h else -0.1 * (tg - g) / (th - h) end as score
+                             from s{k} s, b{k} b join cells l on l.f = b.f where l.series_id = s.series_id""",
+        }
+    return steps
+
+
+@query("boosted_stumps", f"select series_id, label, {r('1 / (1 + exp(-score))')} as score from s{STUMP_TREES} where not train", ctes=_stumps_sql())
+def boosted_stumps(v: Views) -> DataFrame:
+    """The boosting engine with trees of one level: bins, gradients, gains, categories and leaf values against SQL."""
+    profile = v.t("customer").select(F.col("c_custkey").alias("series_id"), F.col("c_acctbal").alias("x0"), F.col("c_nationkey").cast("double").alias("x1"))
+    rows = v.truth().join(profile, "series_id").join(v.group_panel().select("series_id", *CATEGORIES).distinct(), "series_id")
+    rows = persist_table(B.stratified_split(rows))
+    model = G.fit_boosted(rows.filter("train"), G.Growth(trees=STUMP_TREES, depth=1, bins=STUMP_BINS), ["x0", "x1"], CATEGORIES, "label", ["series_id"])
+    return model.score(rows.filter("not train")).select("series_id", "label", "score")
+
+
 @query("score_all")
 def score_all(v: Views) -> DataFrame:
     """Every client of the panel gets a probability, labelled or not."""
