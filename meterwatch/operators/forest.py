@@ -1,15 +1,17 @@
 """Isolation forest inside each group, spread over the cluster.
 
 Samples are drawn in Spark by hash order, trees are grown in blocks from at
-most ``PSI`` rows each, and rows are scored in chunks that meet a copy
+most ``PSI`` rows each with draws that are digests of seed, tree and node, and rows are scored in chunks that meet a copy
 of their group's trees; so neither a huge group nor many groups gather in one
 place.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ WHOLE_GROUP = -1  # block and tree number of groups that need no draw
 # room above PSI in the pre-draw: eight standard deviations of its size
 DRAW = PSI + 8 * int(math.sqrt(2 * PSI))
 EULER = 0.5772156649015329
+#: Numbers of ids and their places in a draw are below this prime.
+PRIME = 2 ** 31 - 1
 
 
 def expected_path(n: np.ndarray | float) -> np.ndarray:
@@ -40,15 +44,35 @@ def expected_path(n: np.ndarray | float) -> np.ndarray:
     return np.where(n > 2, body, np.where(n == 2, 1.0, 0.0))
 
 
-def grow_trees(x: np.ndarray, tree: np.ndarray, trees: int, depth: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=4 * TREES)
+def node_draws(seed: int, tree: int, depth: int) -> np.ndarray:
+    """(inner nodes, 2) numbers in [0, 1) that choose feature and cut: the digest of seed, tree and node."""
+    digests = [hashlib.md5(f"{seed}:{tree}:{node}".encode()).digest() for node in range(2 ** depth - 1)]
+    return np.frombuffer(b"".join(d[:8] for d in digests), ">u4").reshape(-1, 2) / 2.0 ** 32
+
+
+def tree_scrambles(seed: int, trees: int) -> list[tuple[int, int]]:
+    """For each tree a multiplier and a summand that turn the number of an id into its place in the tree's draw."""
+    out = []
+    for tree in range(trees):
+        digest = hashlib.md5(f"{seed}:tree:{tree}".encode()).digest()
+        one, two = int.from_bytes(digest[:4], "big"), int.from_bytes(digest[4:8], "big")
+        out.append((1 + one % (PRIME - 1), two % PRIME))
+    return out
+
+
+def grow_trees(x: np.ndarray, tree: np.ndarray, draws: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """(feature, cut) of many trees, grown side by side level by level.
 
-    ``tree`` says which tree each sample row belongs to. Nodes lie in heap
+    ``tree`` says which tree each sample row belongs to, ``draws`` (trees, inner nodes, 2)
+    what chooses feature and cut: of the features that vary in a node, the one at the
+    first draw's share of them, and the cut at the second draw's share of its range.
+    So a tree follows from its rows, and any other program can grow the same. Nodes lie in heap
     order, so the children of ``i`` are ``2i + 1`` and ``2i + 2``. A leaf has
     feature -1 and its depth plus the expected rest as cut; single or equal
     rows end early.
     """
-    nodes = 2 ** (depth + 1) - 1
+    nodes, trees = 2 ** (depth + 1) - 1, len(draws)
     feature = np.full((trees, nodes), -1, np.int32)
     cut = np.zeros((trees, nodes))
     node = np.zeros(len(x), int)
@@ -63,11 +87,12 @@ def grow_trees(x: np.ndarray, tree: np.ndarray, trees: int, depth: int, rng: np.
         low, high = np.minimum.reduceat(x, start), np.maximum.reduceat(x, start)
         varying = high > low
         inner = varying.any(1) & (level < depth)
-        # one varying feature at random per node: the largest of random keys
-        chosen = np.where(varying, rng.random(varying.shape), -1.0).argmax(1)
         rows = np.arange(len(start))
+        drawn = draws[tree[start], np.minimum(node[start], draws.shape[1] - 1)]
+        place = np.floor(drawn[:, 0] * varying.sum(1))
+        chosen = (np.cumsum(varying, axis=1) > place[:, None]).argmax(1)
         bottom, top = low[rows, chosen], high[rows, chosen]
-        at = bottom + rng.random(len(start)) * (top - bottom)
+        at = bottom + drawn[:, 1] * (top - bottom)
         at = np.where(at >= top, bottom, at)  # rounding, where the two are neighbours
         feature[tree[start], node[start]] = np.where(inner, chosen, -1)
         cut[tree[start], node[start]] = np.where(inner, at, level + expected_path(size))
@@ -119,13 +144,15 @@ def isolation_forest(
         *group_key, F.lit(WHOLE_GROUP).alias("tree"), F.col(id_col).alias("__id"), "x")
     large = rows.filter(F.col("__n") > PSI)
     rate = F.least(F.lit(1.0), F.lit(float(DRAW)) / F.col("__n"))
-    top = float(2 ** 63)
-    hit = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: (F.xxhash64(F.col(id_col), t, F.lit(seed)).cast("double") + top) / (2 * top) < rate)
-    order = Window.partitionBy(*group_key, "tree").orderBy(F.xxhash64(F.col(id_col), "tree", F.lit(seed)), id_col)
-    drawn = (large.withColumn("tree", F.explode(hit)).withColumn("__r", F.row_number().over(order))
-             .filter(F.col("__r") <= PSI).select(*group_key, "tree", F.col(id_col).alias("__id"), "x"))
+    number = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))), 1, 8), 16, 10).cast("bigint") % PRIME
+    scrambles = F.array(*[F.struct(F.lit(t).alias("tree"), F.lit(m).cast("bigint").alias("m"), F.lit(c).cast("bigint").alias("c"))
+                          for t, (m, c) in enumerate(tree_scrambles(seed, trees))])
+    places = F.transform(scrambles, lambda t: F.struct(t["tree"].alias("tree"), ((F.col("__a") * t["m"] + t["c"]) % PRIME).alias("place")))
+    hit = F.filter(places, lambda t: t["place"].cast("double") / PRIME < rate)
+    order = Window.partitionBy(*group_key, "tree").orderBy("place", "__id")
+    drawn = (large.withColumn("__a", number).select(*group_key, F.col(id_col).alias("__id"), "x", F.explode(hit).alias("__t"))
+             .select(*group_key, "__id", "x", "__t.*").withColumn("__r", F.row_number().over(order))
+             .filter(F.col("__r") <= PSI).select(*group_key, "tree", "__id", "x"))
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     key_schema = ", ".join(f"`{g}` {kinds[g]}" for g in group_key)
 
@@ -138,8 +165,8 @@ def isolation_forest(
         else:
             names_of, which = np.unique(pdf["tree"].to_numpy(), return_inverse=True)
             psi = int(np.bincount(which).max())
-        feature, cut = grow_trees(x, which, len(names_of), math.ceil(math.log2(max(psi, 2))),
-                                  np.random.default_rng([seed, block + 1, len(x)]))
+        depth = math.ceil(math.log2(max(psi, 2)))
+        feature, cut = grow_trees(x, which, np.stack([node_draws(seed, int(t), depth) for t in names_of]), depth)
         out = pd.DataFrame({"tree": names_of, "psi": psi, "feature": list(feature), "cut": list(cut)})
         for name, value in zip(group_key, key):
             out[name] = value

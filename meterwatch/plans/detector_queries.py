@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterwatch.functions.scalar import fixed
 from meterwatch.operators import consolidate as C
 from meterwatch.operators import forecast as T
 from meterwatch.operators import forest as I
@@ -352,7 +355,8 @@ def _client_features(v: Views) -> DataFrame:
     """A few shape features per client with its group attributes."""
     panel = persist_table(v.group_panel())
     s = persist_table(X.index_series(panel))
-    table = X.single_pass(s).select("series_id", *FOREST_FEATURES)  # one aggregate; what is not asked for is pruned
+    # one aggregate; what is not asked for is pruned; rounded, so that equal shapes are equal in any engine
+    table = X.single_pass(s).select("series_id", *[fixed(F.col(c)).alias(c) for c in FOREST_FEATURES])
     return table.join(panel.select("series_id", "category", "zone").distinct(), "series_id")
 
 
@@ -364,7 +368,56 @@ def _forest(v: Views) -> DataFrame:
     return I.isolation_forest(_client_features(v), FOREST_FEATURES, ["category"], min_size=25)
 
 
-@query("isolation_forest")
+def _path_sql(n: str) -> str:
+    return f"case when {n} > 2 then 2 * (ln({n} - 1) + {I.EULER!r}) - 2e0 * ({n} - 1) / {n} when {n} = 2 then 1 else 0 end"
+
+
+def _forest_sql(seed: int = 42) -> dict[str, str]:
+    """The forest in SQL: rows of all trees go down a level in each round of a recursion."""
+    number = lambda text, at: f"cast('0x' || md5({text})[{at}:{at + 7}] as bigint)"
+    per = lambda f: ", ".join(f(k) for k in range(1, len(FOREST_FEATURES) + 1))
+    ends = [f"[{per(lambda k: f'{end}(xs[{k}]) filter (where sampled) over w')}]" for end in ("min", "max")]
+    return {
+        "s": """select series_id, value as x, row_number() over (partition by series_id order by period) - 1 as t, count(*) over (partition by series_id) as n,
+                value - lag(value) over (partition by series_id order by period) as d, stddev_pop(value) over (partition by series_id) as std
+                from fx_group_panel where value is not null""",
+        "shape": """select series_id, [stddev_pop(x) / nullif(avg(x), 0), coalesce(sqrt(sum(d * d)) / nullif(max(std), 0), 0), sum(abs(d)),
+                    (max(x) filter (t = n - 1) - max(x) filter (t = n - 2) - max(x) filter (t = 1) + max(x) filter (t = 0)) / nullif(2 * (max(n) - 2), 0),
+                    case when max(n) > 1 then regr_slope(x, t) end, case when max(n) > 1 and max(std) > 0 then corr(x, t) end] as raw from s group by 1""",
+        "clients": """select series_id, category, count(*) over (partition by category) as n,
+                      list_transform(raw, lambda v: coalesce(case when isfinite(v) then round(v, 6) + 0e0 end, 0)) as xs
+                      from shape join (select distinct series_id, category from fx_group_panel where category is not null) using (series_id)""",
+        "trees": f"""select t, 1 + {number(f"'{seed}:tree:' || t", 1)} % {I.PRIME - 1} as m, {number(f"'{seed}:tree:' || t", 9)} % {I.PRIME} as c
+                     from range({I.TREES}) g(t)""",
+        "placed": f"""select series_id, category, n, xs, t, ({number(f"'{seed}:' || series_id", 1)} % {I.PRIME} * m + c) % {I.PRIME} as place
+                      from clients, trees where n >= 25""",
+        "drawn": f"""select *, n <= {I.PSI} or (place / {float(I.PRIME)} < least(1, {float(I.DRAW)} / n) and
+                     row_number() over (partition by category, t, place / {float(I.PRIME)} < least(1, {float(I.DRAW)} / n) order by place, series_id) <= {I.PSI})
+                     as sampled from placed""",
+        "nodes": f"""select t, node, {number(f"'{seed}:' || t || ':' || node", 1)} / 4294967296e0 as u, {number(f"'{seed}:' || t || ':' || node", 9)} / 4294967296e0 as v
+                     from range({I.TREES}) g(t), range({2 ** math.ceil(math.log2(I.PSI)) - 1}) h(node)""",
+        "down": f"""select series_id, category, t, sampled, xs, 0 as level, 0 as node, least(n, {I.PSI}) as psi, cast(null as double) as path from drawn
+            union all
+            select series_id, category, t, sampled, xs, level + 1, 2 * node + 1 + (f > 0 and xs[greatest(f, 1)] > threshold)::int, psi,
+                   case when f = 0 then level + {_path_sql('size')} end from (
+                select *, case when point >= high[greatest(f, 1)] then low[greatest(f, 1)] else point end as threshold from (
+                    select *, low[greatest(f, 1)] + v * (high[greatest(f, 1)] - low[greatest(f, 1)]) as point from (
+                        select r.*, d.v, case when len(free) = 0 or level >= ceil(log2(greatest(psi, 2))) then 0 else free[1 + cast(floor(d.u * len(free)) as bigint)] end as f
+                        from (select *, list_filter(range(1, {len(FOREST_FEATURES) + 1}), lambda k: high[k] > low[k]) as free from (
+                                select *, {ends[0]} as low, {ends[1]} as high, count(*) filter (where sampled) over w as size from down where path is null
+                                window w as (partition by category, t, node))) r
+                        left join nodes d on d.t = r.t and d.node = r.node)))""",
+        "raw": f"""select series_id, category, -pow(2, -avg(path) / {_path_sql('max(psi)')}) as raw from down where path is not null group by 1, 2""",
+        "cut": "select category, quantile_cont(raw, 0.05) as cut from raw group by 1",
+        "scored": """select series_id, category, raw - cut as anomaly_score, case when max(raw) over w > min(raw) over w
+                     then (max(raw) over w - raw) / (max(raw) over w - min(raw) over w) else 0 end as scaled
+                     from raw join cut using (category) window w as (partition by category)""",
+    }
+
+
+@query("isolation_forest", f"""
+    select series_id, category, {r('anomaly_score')} as anomaly_score, {r('scaled')} as anomaly_score_scaled, (anomaly_score < 0)::int as anomaly_bin
+    from scored""", ctes=_forest_sql())
 def isolation_forest(v: Views) -> DataFrame:
     return _forest(v)
 
@@ -378,7 +431,9 @@ def forest_fixed(v: Views) -> DataFrame:
         F.count("*").alias("clients"), F.min("anomaly_score_scaled").alias("lowest"), F.max("anomaly_score_scaled").alias("highest"))
 
 
-@query("isolation_ranking")
+@query("isolation_ranking", f"""
+    select series_id, category, {r('anomaly_score')} as anomaly_score, {r('scaled')} as anomaly_score_scaled, (anomaly_score < 0)::int as anomaly_bin,
+           row_number() over (order by round(scaled, 6) + 0e0 desc, series_id) as rank from scored""", ctes=_forest_sql())
 def isolation_ranking(v: Views) -> DataFrame:
     return I.forest_ranking(_forest(v))
 

@@ -96,7 +96,8 @@ def with_views(sql: str, extra: dict[str, str] | None = None) -> str:
     for body in [*extra.values(), sql]:
         visit(body)
     parts = [f"{n} as ({SQL_VIEWS[n].strip()})" for n in wanted] + [f"{n} as ({b.strip()})" for n, b in extra.items()]
-    head = "with " + ",\n".join(parts) + "\n" if parts else ""
+    recursive = any(re.search(rf"\bfrom {n}\b", b) for n, b in extra.items())
+    head = ("with recursive " if recursive else "with ") + ",\n".join(parts) + "\n" if parts else ""
     return head + sql.strip()
 
 

@@ -137,7 +137,7 @@ def test_forest_chunks_do_not_change_the_scores(spark, monkeypatch):
 def test_forest_trees_isolate_every_sample():
     rng = np.random.default_rng(9)
     x = np.tile(rng.normal(size=(64, 3)), (5, 1))
-    feature, cut = I.grow_trees(x, np.repeat(np.arange(5), 64), 5, 6, rng)
+    feature, cut = I.grow_trees(x, np.repeat(np.arange(5), 64), np.stack([I.node_draws(1, t, 6) for t in range(5)]), 6)
     depth = I.path_lengths(x[:64], feature, cut)
     assert depth.shape == (64, 5) and (depth >= 1).all() and depth.max() <= 6 + I.expected_path(64)
 
