@@ -1,7 +1,7 @@
 """Clusters of categorical attributes (k-modes) as Spark aggregates.
 
 Equal attribute combinations are merged with a weight first; only the modes
-(k rows) travel to the driver between rounds.
+(k rows) and a bounded list of candidates for the start travel to the driver between rounds.
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from meterwatch.session import persist_table
 
 MAX_ROUNDS = 100
+#: Profiles that the start chooses among before it asks for more.
+CANDIDATES = 2_000
 Mode = tuple[str, ...]
 
 
@@ -49,24 +51,45 @@ def mismatches(attributes: Sequence[str], mode: Mode) -> Column:
     return sum(((F.col(a) != F.lit(v)).cast("int") for a, v in zip(attributes, mode)), F.lit(0))
 
 
+def _table(modes: Sequence[Mode]) -> Column:
+    """Modes as data, not code: nothing is compiled anew when they change."""
+    return F.array(*[F.array(*[F.lit(v) for v in m]) for m in modes])
+
+
+def _distance(attributes: Sequence[str], mode: Column) -> Column:
+    return sum(((F.col(a).cast("string") != mode[i]).cast("int") for i, a in enumerate(attributes)), F.lit(0))
+
+
 def initial_modes(profiles: DataFrame, attributes: Sequence[str], k: int) -> list[Mode]:
     """Densest profile first, then the one farthest and densest from those chosen.
 
-    The list for a smaller ``k`` is the head of the list for a larger one. Each
-    choice is one aggregate over the distinct profiles, which are written down;
-    fewer different profiles than ``k`` is an error.
+    The list for a smaller ``k`` is the head of the list for a larger one. A profile's
+    distance from the nearest chosen one can only fall, so its rank is a bound on all later
+    ranks: a job brings the ``CANDIDATES`` best profiles, and choices go on among them
+    until the best one no longer beats the bound of those that stayed behind. Fewer
+    different profiles than ``k`` is an error.
     """
-    text = F.struct(*attributes)
     modes: list[Mode] = []
+    held: list[tuple[float, Mode]] = []
+    behind: float | None = None  # rank that no other profile exceeds; None: all are held
+
+    def rank(density: float, m: Mode) -> float:
+        nearest = min((sum(x != y for x, y in zip(m, c)) for c in modes), default=len(attributes))
+        return round(nearest * density, 9)
+
     while len(modes) < k:
-        away = [mismatches(attributes, c) for c in modes]
-        nearest = F.least(*away) if len(away) > 1 else away[0] if away else F.lit(len(attributes))
-        rank = F.struct((-F.round(nearest * F.col("density"), 9)).alias("r"), text.alias("m"))
-        best = profiles.agg(F.min(rank).alias("b")).select("b.m.*").first()
-        m = tuple(str(c) for c in best)
-        if m in modes or best[0] is None:
+        best = min(((-rank(d, m), m) for d, m in held), default=None)
+        if best is None or (behind is not None and -best[0] <= behind):
+            near = F.array_min(F.transform(_table(modes), lambda m: _distance(attributes, m))) if modes else F.lit(len(attributes))
+            text = F.struct(*[F.col(a).cast("string").alias(a) for a in attributes])
+            value = F.round(near * F.col("density"), 9)
+            rows = profiles.select(value.alias("r"), "density", text.alias("m")).orderBy(F.desc("r"), "m").limit(CANDIDATES + 1).collect()
+            behind = rows[-1]["r"] if len(rows) > CANDIDATES else None
+            held = [(r["density"], tuple(r["m"])) for r in rows[:CANDIDATES]]
+            best = min(((-rank(d, m), m) for d, m in held), default=None)
+        if best is None or best[1] in modes:
             raise ValueError(f"{k} clusters need as many different profiles; there are {len(modes)}")
-        modes.append(m)
+        modes.append(best[1])
     return modes
 
 
@@ -82,11 +105,7 @@ def _round(profiles: DataFrame, attributes: Sequence[str], models: dict[int, lis
     """Per model its cost and the modes of the clusters it makes, in one pass."""
     cells = []
     for k, modes in models.items():
-        # the modes are data, not code: nothing is compiled anew per round
-        table = F.array(*[F.array(*[F.lit(v) for v in m]) for m in modes])
-        near = F.array_min(F.transform(table, lambda m, n: F.struct(
-            sum(((F.col(a).cast("string") != m[i]).cast("int") for i, a in enumerate(attributes)), F.lit(0)).alias("d"),
-            n.alias("c"))))
+        near = F.array_min(F.transform(_table(modes), lambda m, n: F.struct(_distance(attributes, m).alias("d"), n.alias("c"))))
         cells.append(F.struct(F.lit(k).alias("k"), near.alias("near")))
     assigned = profiles.select(*attributes, "w", F.explode(F.array(*cells)).alias("m")).select(
         F.col("m.k").alias("k"), F.col("m.near.c").alias("cluster"), (F.col("m.near.d") * F.col("w")).alias("loss"), "w",

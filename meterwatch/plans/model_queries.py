@@ -313,12 +313,41 @@ def kmodes_start(v: Views) -> DataFrame:
     return v.spark.createDataFrame([(n, *m) for n, m in enumerate(modes)], schema)
 
 
-@query("kmodes")
+def _rounds_sql(ks: range) -> dict[str, str]:
+    """The start, then rounds of assigning profiles and updating modes as a recursion with a row per number of clusters."""
+    names = range(1, len(ATTRIBUTES) + 1)
+    away = " + ".join(f"(v[{a}] <> modes[j][{a}])::int" for a in names)
+    modes = ", ".join(f"(select [{', '.join(ATTRIBUTES)}] from m{n})" for n in range(max(ks)))
+    kept = "any_value(round) as round, any_value(cost) as cost, any_value(modes) as modes"
+    update = ", ".join(f"coalesce(list_filter(best, lambda b: b.c = j and b.a = {a})[1].v, m[{a}])" for a in names)
+    return {**_start_sql(max(ks)),
+            "start": f"select [{modes}] as modes",
+            "points": f"select [{', '.join(ATTRIBUTES)}] as v, w from profiles",
+            "rounds": f"""select k, 0 as round, modes[1:k] as modes, cast(null as bigint) as cost, false as stop from start, range({min(ks)}, {max(ks) + 1}) g(k)
+            union all
+            select k, round + 1, case when stop then modes else updated end, new_cost, stop from (
+                select *, updated = modes or coalesce(new_cost >= cost, false) as stop from (
+                    select *, list_transform(modes, lambda m, j: [{update}]) as updated from (
+                        select k, {kept}, cast(sum(loss) filter (a = 1) as bigint) as new_cost, list({{'c': c, 'a': a, 'v': x}}) as best from (
+                            select k, c, a, {kept}, first(x order by n desc, x) as x, sum(loss) as loss from (
+                                select k, c, a, v[a] as x, {kept}, sum(w) as n, sum(d * w) as loss from (
+                                    select *, near % 1000 as c, near // 1000 as d from (
+                                        select k, round, cost, modes, v, w, list_min(list_transform(range(1, k + 1), lambda j: ({away}) * 1000 + j)) as near
+                                        from rounds, points where not stop and round < {KM.MAX_ROUNDS})), range(1, {len(ATTRIBUTES) + 1}) h(a)
+                                group by k, c, a, v[a]) group by k, c, a) group by k)))""",
+            "fitted": "select k, arg_max(modes, round) as modes, arg_max(cost, round) as cost from rounds group by 1"}
+
+
+@query("kmodes", f"""
+    select * exclude (near, modes, k, cost), cast(near % 1000 - 1 as int) as cluster, cast(near // 1000 as int) as mismatch from (
+        select c.*, f.*, list_min(list_transform(range(1, k + 1), lambda j:
+               ({' + '.join(f'({a} <> modes[j][{n}])::int' for n, a in enumerate(ATTRIBUTES, start=1))}) * 1000 + j)) as near
+        from fx_categorical c, fitted f where {' and '.join(f'{a} is not null' for a in ATTRIBUTES)})""", ctes=_rounds_sql(range(10, 11)))
 def kmodes(v: Views) -> DataFrame:
     return KM.kmodes(v.categorical(), ATTRIBUTES, 10)
 
 
-@query("kmodes_elbow")
+@query("kmodes_elbow", "select cast(k as int) as k, cost from fitted", ctes=_rounds_sql(range(5, 21)))
 def kmodes_elbow(v: Views) -> DataFrame:
     return KM.elbow(v.categorical(), ATTRIBUTES)
 
