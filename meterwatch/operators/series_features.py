@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -81,7 +82,10 @@ def number_peaks(s: DataFrame, id_col: str = "series_id", supports: Sequence[int
 
 
 def _entropy(x: np.ndarray, m: int, r: float) -> float:
-    """-ln(A/B) with A and B the close pairs of templates of length m + 1 and m."""
+    """-ln(A/B) with A and B the close pairs of templates of length m + 1 and m.
+
+    Infinite without a pair of the longer kind, NaN without any.
+    """
     n = len(x) - m + 1
     if n < 2:
         return np.nan
@@ -92,7 +96,7 @@ def _entropy(x: np.ndarray, m: int, r: float) -> float:
     b = pairs.sum() - n
     longer = pairs[:n - 1, :n - 1] & close[m:, m:]
     a = longer.sum() - (n - 1)
-    return float(-np.log(a / b)) if a > 0 and b > 0 else np.nan
+    return np.nan if b == 0 else float(-np.log(a / b)) if a > 0 else np.inf
 
 
 def sample_entropy(s: DataFrame, id_col: str = "series_id", m: int = 2, tolerance: float = ENTROPY_TOLERANCE) -> DataFrame:
@@ -298,28 +302,58 @@ def single_pass(s: DataFrame, id_col: str = "series_id") -> DataFrame:
         _steps_part(id_col), _first_maximum_part()], id_col)
 
 
+def missing_counts(df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """column, missing, rows: for every column but those of ``keep``.
+
+    Counts of parts of a table add up to those of the whole. NULL and NaN are missing; an
+    infinity is a value, so a client whose entropy is infinite does not take a feature from
+    all others.
+    """
+    floats = {f.name for f in df.schema.fields if f.dataType.simpleString() in ("float", "double")}
+    names = [c for c in df.columns if c not in keep]
+    if not names:
+        return df.sparkSession.createDataFrame([], "column string, missing long, rows long")
+    gone = {c: F.col(c).isNull() | F.isnan(c) if c in floats else F.col(c).isNull() for c in names}
+    counts = df.agg(F.count("*").alias("__rows"), *[F.count_if(gone[c]).alias(c) for c in names])
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing"), F.col("__rows").alias("rows")) for c in names])
+    return counts.select(F.explode(cells).alias("c")).select("c.*")
+
+
 def drop_incomplete_columns(df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Drop the columns with a NULL anywhere; one aggregate finds them all."""
-    candidates = [c for c in df.columns if c not in keep]
-    gaps = df.agg(*[F.max(F.col(c).isNull()).alias(c) for c in candidates]).first().asDict()
-    return df.select(*[c for c in df.columns if c in keep or not gaps[c]])
+    """Drop the columns with a missing value anywhere; one aggregate finds them all."""
+    gaps = {r["column"] for r in missing_counts(df, keep).filter("missing > 0").collect()}  # a row per column
+    return df.select(*[c for c in df.columns if c in keep or c not in gaps])
 
 
 def feature_table(
     df: DataFrame, metadata: DataFrame | None = None, id_col: str = "series_id",
-    time_col: str = "period", value: str = "value",
+    time_col: str = "period", value: str = "value", wanted: Sequence[str] | None = None, complete: bool = True,
+    longest: int | None = None,
 ) -> DataFrame:
     """All features side by side, complete columns only, with metadata.
 
-    Every branch starts from the same shuffle on the id and stays in its
+    ``wanted`` names the features that are asked for (all if not given); what they
+    do not need is not computed. Without ``complete`` columns with missing values
+    stay; ``longest`` is the length that the number of coefficients follows (that of the longest
+    series if not given), for tables that are computed in parts. Every branch starts from the same shuffle on the id and stays in its
     partitioning, so neither the aggregates nor the joins move rows again; the
     table is written once before it is asked for missing values.
     """
     indexed = index_series(df, id_col, time_col, value)
     table = single_pass(indexed, id_col)
-    for compute in (sample_entropy, recurring_share, streak_below_mean, fourier_wide):
-        table = table.join(compute(indexed, id_col), id_col, "left")
-    table = drop_incomplete_columns(persist_table(table), [id_col])
+    waves = partial(fourier_wide, coefficients=longest and min(FOURIER_COEFFICIENTS, longest // 2 + 1))
+    branches = {"sample_entropy": sample_entropy, "recurring_share": recurring_share, "longest_streak_below_mean": streak_below_mean,
+                "fft_": waves}
+    for prefix, compute in branches.items():
+        if wanted is None or any(c.startswith(prefix) for c in wanted):
+            table = table.join(compute(indexed, id_col), id_col, "left")
+    if wanted is not None:
+        unknown = [c for c in wanted if c not in table.columns]
+        if unknown:
+            raise ValueError(f"unknown features: {', '.join(unknown)}")
+        table = table.select(id_col, *wanted)
+    if complete:
+        table = drop_incomplete_columns(persist_table(table), [id_col])
     if metadata is None:
         return table
     rest = [c for c in metadata.columns if c != id_col]

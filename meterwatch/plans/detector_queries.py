@@ -467,12 +467,17 @@ def _with_gaps(v: Views) -> DataFrame:
     return v.group_panel().select("series_id", "period", value.alias("value"))
 
 
-@query("client_results_gaussian", """
-    select c.c_custkey as series_id, i.reason, i.invalid, g.fraud_score, g.density, g.year_month, g.rank as rank_gaussian
+@query("client_results_gaussian", f"""
+    select c.c_custkey as series_id, i.reason, i.invalid, g.fraud_score, g.density, g.year_month, g.rank as rank_gaussian,
+           {r('f.anomaly_score')} as anomaly_score, {r('f.scaled')} as anomaly_score_scaled, (f.anomaly_score < 0)::int as anomaly_bin, f.place as rank_forest
     from customer c left join (
         select series_id, string_agg(reason, '; ' order by reason) as reason, 1 as invalid from gap_reasons group by 1) i
         on c.c_custkey = i.series_id
-    left join gauss_rank g on c.c_custkey = g.series_id""", ctes={**GAUSS, "gaps": GAPS_SQL, "gap_reasons": INVALID_SQL.replace("fx_panel_nulls", "gaps")})
+    left join gauss_rank g on c.c_custkey = g.series_id
+    left join (select *, row_number() over (order by round(scaled, 6) + 0e0 desc, series_id) as place from scored) f on c.c_custkey = f.series_id""",
+       ctes={**GAUSS, "gaps": GAPS_SQL, "gap_reasons": INVALID_SQL.replace("fx_panel_nulls", "gaps"), **_forest_sql()})
 def client_results_gaussian(v: Views) -> DataFrame:
+    """Group ranking and forest of the same clients side by side, with the reasons for exclusion."""
     clients = v.t("customer").select(F.col("c_custkey").alias("series_id"))
-    return C.client_results(clients, Q.invalid_series(_with_gaps(v)), gaussian=gaussian(v))
+    ranked = I.forest_ranking(_forest(v)).drop("category")
+    return C.client_results(clients, Q.invalid_series(_with_gaps(v)), gaussian=gaussian(v), forest=ranked)

@@ -17,16 +17,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwatch.functions.scalar import fixed, parse_number
-from meterwatch.operators import classifiers, consolidate, economics, forecast, forest, group_gaussian, kmodes, quality, structural
+from meterwatch.operators import classifiers, consolidate, economics, evaluation, forecast, forest, group_gaussian, kmodes, quality, structural
 from meterwatch.operators import series_features as features
 from meterwatch.operators.boosting import BoostedModel
+from meterwatch.operators.evaluation import TOP_K
 from meterwatch.operators.labels import latest_label
 from meterwatch.operators.ordering import global_rank
 from meterwatch.operators.panel import ATTRIBUTES, COMMERCIAL_COLUMNS, CONSUMPTION_COLUMNS, build_panel, complete_panel
-from meterwatch.operators.relational import drop_ids, first_per_key, latest_present
-from meterwatch.session import build_session, use_folder
+from meterwatch.operators.relational import drop_ids, first_per_key, latest_present, union_all
+from meterwatch.session import build_session, persist_table, use_folder
 from meterwatch.sources.readers import scan_parquet, scan_tab_text
-from meterwatch.sources.stages import identity, input_identity, is_complete, remove, reuse_or_build, sample_entities
+from meterwatch.sources.stages import (KEYS_PER_RANGE, identity, input_identity, is_complete, remove, resume, reuse_or_build,
+                                       sample_entities)
 from meterwatch.sources.writers import write_csv
 
 MONTHS, LOW, MIN_GROUP = 19, 5.0, 25
@@ -56,14 +58,18 @@ def raw_panel(spark: SparkSession, consumption: str, commercial: str) -> tuple[D
 class Job:
     """Names of the panel columns and the folder of the results.
 
-    Intermediate tables of operators go to ``<out>/_stages`` unless the cluster names
+    With ``change_col`` (date of the last meter change) clients whose meter changed
+    lately are left out, with ``class_col`` those with a mean above the 95 % quantile
+    of their class. Intermediate tables of operators go to ``<out>/_stages`` unless the cluster names
     a ``spark.checkpoint.dir``; ``close`` removes them.
     """
 
     def __init__(self, spark: SparkSession, panel: str, out: str, group: Sequence[str], id_col: str = "series_id",
-                 time_col: str = "period", value: str = "value", sample: int | None = None):
+                 time_col: str = "period", value: str = "value", sample: int | None = None,
+                 change_col: str | None = None, class_col: str | None = None):
         self.spark, self.panel, self.out, self.group = spark, panel, out.rstrip("/"), list(group)
         self.id, self.time, self.value, self.sample = id_col, time_col, value, sample
+        self.change, self.high_class = change_col, class_col
         use_folder(spark, f"{self.out}/_stages")
 
     def close(self) -> None:
@@ -78,7 +84,7 @@ class Job:
 
     def stage_path(self, name: str, sampled: bool = True, **what: object) -> str:
         made_from = identity(panel=input_identity(self.spark, self.panel), columns=[self.id, self.time, self.value, *self.group],
-                             limits=[MONTHS, LOW, MIN_GROUP], **what)
+                             limits=[MONTHS, LOW, MIN_GROUP], steps=[self.change, self.high_class], **what)
         return f"{self.path(name) if sampled else f'{self.out}/{name}'}-{made_from}"
 
     def invalid(self) -> DataFrame:
@@ -88,10 +94,11 @@ class Job:
     def filtered(self) -> DataFrame:
         """Clients with valid series and no low month, the last months only."""
         def build() -> DataFrame:
-            raw = scan_parquet(self.spark, self.panel).select(self.id, self.time, self.value, *self.group)
+            named = dict.fromkeys([self.id, self.time, self.value, *self.group, *[c for c in (self.change, self.high_class) if c]])
+            raw = scan_parquet(self.spark, self.panel).select(*named)
             return quality.filter_customers(
-                drop_ids(raw, self.invalid(), [self.id]), MONTHS, self.id, self.time, self.value,
-                low_threshold=LOW, drop_recent=False, drop_high=False)
+                drop_ids(raw, self.invalid(), [self.id]), MONTHS, self.id, self.time, self.value, change_col=self.change,
+                drop_recent=self.change is not None, low_threshold=LOW, class_col=self.high_class, drop_high=self.high_class is not None)
 
         whole = self.stage("filtered", build, sampled=False)
         return sample_entities(whole, self.sample, self.id) if self.sample else whole
@@ -105,16 +112,24 @@ class Job:
         return self._publish("gaussian_ranking", global_rank(
             last, [fixed(F.col("fraud_score")).desc_nulls_last(), F.col(self.id).asc()]))
 
-    def isolation(self) -> DataFrame:
-        def build() -> DataFrame:
-            panel = self.filtered()
-            groups = first_per_key(panel.select(self.id, *self.group).dropna(), [self.id], self.group)
-            return features.feature_table(panel, groups, self.id, self.time, self.value)
+    def isolation(self, wanted: Sequence[str] | None = None, keys_per_range: int = KEYS_PER_RANGE) -> DataFrame:
+        """Features of the clients in ranges that are committed one by one, then the forest on the complete ones.
+
+        ``wanted`` names the features to use, all of them if not given.
+        """
+        panel = self.filtered()
+        longest = panel.groupBy(self.id).agg(F.count(self.value).alias("n")).agg(F.max("n")).first()[0] or 0
+
+        def compute(rows: DataFrame) -> DataFrame:
+            groups = first_per_key(rows.select(self.id, *self.group).dropna(), [self.id], self.group)
+            return features.feature_table(rows, groups, self.id, self.time, self.value, wanted, complete=False, longest=int(longest))
 
-        table = self.stage("isolation_features", build)
+        what = {"wanted": list(wanted) if wanted else None}
+        table = resume(self.spark, self.stage_path("isolation_features", **what), panel, [self.id], compute, keys_per_range)
+        table = features.drop_incomplete_columns(table, [self.id, *self.group])
         names = features.feature_columns(table, [self.id, *self.group])
         scores = self.stage("isolation_scores", lambda: forest.isolation_forest(
-            table, names, self.group, self.id, MIN_GROUP, require_group=True))
+            table, names, self.group, self.id, MIN_GROUP, require_group=True), **what)
         return self._publish("isolation_ranking", forest.forest_ranking(scores, self.id))
 
     def structural(self, alpha: float = 0.1) -> DataFrame:
@@ -142,6 +157,44 @@ class Job:
             voted.select(self.id, "votes", "anomaly_final"), self.id, "left")
         return self._publish("client_results", found)
 
+    def consolidated(self) -> DataFrame:
+        """One row per client with what the group ranking, the forest, the structural change and the forecasts say."""
+        clients = scan_parquet(self.spark, self.panel).select(self.id)
+        gaussian = self.gaussian().select(self.id, "fraud_score", "density", "rank")
+        isolated = self.isolation().select(self.id, "anomaly_score", "anomaly_score_scaled", "anomaly_bin", "rank")
+        rest = self.forecast().drop("reason", "invalid")
+        found = consolidate.client_results(clients, self.invalid(), gaussian=gaussian, forest=isolated, id_col=self.id)
+        return self._publish("consolidated", found.join(rest, self.id, "left"))
+
+    def evaluate(self, labels: str, kind: str = "gbt_deep", top: int = TOP_K) -> DataFrame:
+        """The rankings that were written, against the labels: precision, recall and average precision at each depth.
+
+        Reads whichever of the rankings exist; the head of each is written as
+        ``top_<name>``, and ``top_overlap`` says how many clients two heads share.
+        """
+        seen = latest_label(scan_parquet(self.spark, labels), self.id)
+        key = scan_parquet(self.spark, self.panel).schema[self.id].dataType
+        known = {"gaussian": ("gaussian_ranking", "rank"), "isolation": ("isolation_ranking", "rank"), "cusum": ("cusum_ranking", "rank"),
+                 "forecast": ("client_results", "rank_forecast"), "supervised": (f"{kind}_ranking", "rank")}
+        parts = []
+        for name, (table, rank) in known.items():
+            path = self.path(f"{table}_csv")
+            if is_complete(self.spark, path):
+                rows = self.spark.read.option("header", True).csv(path)
+                parts.append(rows.select(F.lit(name).alias("detector"), F.col(self.id).cast(key).alias(self.id),
+                                         (-F.col(rank).cast("double")).alias("score")).filter("score is not null"))
+        if not parts:
+            raise ValueError(f"no ranking was written to {self.out}")
+        rankings = persist_table(union_all(*parts))
+        heads = persist_table(rankings.filter(F.col("score") >= -top))  # ranks are written down, so a head is a filter
+        for name in known:
+            write_csv(heads.filter(F.col("detector") == name).select(self.id, (-F.col("score")).cast("long").alias("rank")),
+                      self.path(f"top_{name}_csv"), mode="overwrite")
+        other = heads.select(F.col("detector").alias("other"), F.col(self.id).alias("__id"))
+        pairs = heads.join(other, (heads[self.id] == other["__id"]) & (heads["detector"] < other["other"]))  # a row per client and pair of detectors
+        self._publish("top_overlap", pairs.groupBy("detector", "other").agg(F.count("*").alias("both")))
+        return self._publish("evaluation", evaluation.compare_detectors(rankings, seen, id_col=self.id, top=top))
+
     def supervised(self, labels: str, kind: str = "gbt_deep", trees: int = classifiers.TREES) -> DataFrame:
         """Fit on the labelled clients, report on the held-out part, score everyone.
 
@@ -205,7 +258,8 @@ class Job:
 
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("job", choices=("panel", "gaussian", "isolation", "structural", "forecast", "supervised", "compare_models", "benefit"))
+    parser.add_argument("job", choices=(
+        "panel", "gaussian", "isolation", "structural", "forecast", "consolidated", "supervised", "compare_models", "benefit", "evaluate"))
     parser.add_argument("--panel", required=True, help="the panel that is read, or written by the job of that name")
     parser.add_argument("--out", help="folder of the results")
     parser.add_argument("--group", nargs="+", help="columns that make a group")
@@ -215,6 +269,8 @@ def main(arguments: Sequence[str] | None = None) -> None:
     parser.add_argument("--time", default="period")
     parser.add_argument("--value", default="value")
     parser.add_argument("--labels", help="table of labelled visits, for supervised, compare_models and benefit")
+    parser.add_argument("--change", help="column with the last meter change, to leave out recent ones")
+    parser.add_argument("--high-class", help="column of the class in which very high users are left out")
     parser.add_argument("--sample", type=int, help="only the first clients, for a trial")
     args = parser.parse_args(arguments)
     if args.job == "panel":
@@ -224,9 +280,10 @@ def main(arguments: Sequence[str] | None = None) -> None:
         return
     if not args.out or not args.group:
         parser.error(f"{args.job} needs --out and --group")
-    job = Job(build_session(), args.panel, args.out, args.group, args.id, args.time, args.value, args.sample)
+    job = Job(build_session(), args.panel, args.out, args.group, args.id, args.time, args.value, args.sample,
+              args.change, args.high_class)
     try:
-        if args.job in ("supervised", "compare_models", "benefit"):
+        if args.job in ("supervised", "compare_models", "benefit", "evaluate"):
             if not args.labels:
                 parser.error(f"{args.job} needs --labels")
             getattr(job, args.job)(args.labels)

@@ -104,7 +104,7 @@ def feat_peaks(v: Views) -> DataFrame:
 
 
 @query("feat_sample_entropy", f"""
-    select series_id, {r('case when a > 0 and b > 0 then -ln(a / b) end')} as sample_entropy from (
+    select series_id, case when a > 0 then {r('-ln(a / b)')} else cast('infinity' as double) end as sample_entropy from (
         select p.series_id, count(*) filter (abs(p.x2 - q.x2) <= p.tol) as a, count(*) as b
         from w p join w q on p.series_id = q.series_id and p.t < q.t
              and abs(p.x - q.x) <= p.tol and abs(p.x1 - q.x1) <= p.tol

@@ -122,3 +122,46 @@ def test_individual_methods(spark, panel, tmp_path):
     assert len(found) == 60
     ranks = sorted(r.rank_forecast for r in found.values() if r.rank_forecast)
     assert ranks == list(range(1, len(ranks) + 1)) and found[1].invalid == 1 and found[1].rank_forecast is None
+
+
+def rows_of(tmp_path, name):
+    return [row for f in glob.glob(str(tmp_path / "out" / f"{name}_csv" / "*.csv")) for row in csv.DictReader(open(f))]
+
+
+def test_rankings_against_labels(spark, panel, tmp_path):
+    labels = str(tmp_path / "labels")
+    spark.range(60).select(F.col("id").alias("series_id"), F.lit("2023-05-01").cast("date").alias("visit_date"),
+                           (F.col("id") % 3 == 0).cast("int").alias("label")).write.parquet(labels)
+    job = Job(spark, panel, str(tmp_path / "out"), ["zone"])
+    with pytest.raises(ValueError, match="no ranking"):
+        job.evaluate(labels)
+    whole = {r.series_id: r for r in job.consolidated().collect()}
+    assert len(whole) == 60 and whole[1].invalid == 1 and whole[5].rank_forest and whole[5].rank_gaussian and whole[5].rank_cusum
+    found = {(r.detector, r.k): r for r in job.evaluate(labels, top=20).collect()}
+    assert {d for d, _ in found} == {"gaussian", "isolation", "forecast"}
+    head = sorted((int(r["rank"]), int(r["series_id"])) for r in rows_of(tmp_path, "top_isolation"))
+    assert [k for k, _ in head] == list(range(1, 21))
+    last = max(k for d, k in found if d == "isolation")
+    hits = sum(i % 3 == 0 for _, i in head)
+    assert last == 20 and found["isolation", 20].precision_at_k == pytest.approx(hits / 20)
+    other = {int(r["series_id"]) for r in rows_of(tmp_path, "top_gaussian")}
+    both = {(r["detector"], r["other"]): int(r["both"]) for r in rows_of(tmp_path, "top_overlap")}
+    assert both["gaussian", "isolation"] == len(other & {i for _, i in head})
+
+
+def test_three_models_side_by_side(spark, panel, tmp_path):
+    labels = str(tmp_path / "labels")
+    spark.range(60).select(F.col("id").alias("series_id"), F.lit("2023-05-01").cast("date").alias("visit_date"),
+                           (F.col("id") % 3 == 0).cast("int").alias("label")).write.parquet(labels)
+    rows = Job(spark, panel, str(tmp_path / "out"), ["zone"]).compare_models(labels, ("gbt", "gbt_deep"), trees=2).collect()
+    assert len(rows) == 10 and {r.model for r in rows} == {"gbt", "gbt_deep"} and all(0 <= r.auc <= 1 for r in rows)
+
+
+def test_features_in_ranges_and_steps(spark, panel, tmp_path):
+    plain = {r.series_id: r.anomaly_score for r in Job(spark, panel, str(tmp_path / "a"), ["zone"]).isolation().collect()}
+    parts = {r.series_id: r.anomaly_score for r in Job(spark, panel, str(tmp_path / "b"), ["zone"]).isolation(keys_per_range=20).collect()}
+    assert plain.keys() == parts.keys() and all(plain[i] == pytest.approx(parts[i]) for i in plain)
+    few = Job(spark, panel, str(tmp_path / "b"), ["zone"]).isolation(["trend_slope", "cid_ce"])
+    assert few.count() == len(plain)
+    steps = Job(spark, panel, str(tmp_path / "c"), ["zone"], class_col="zone")
+    assert 0 < len(plain) - steps.filtered().select("series_id").distinct().count() <= 4

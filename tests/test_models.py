@@ -220,6 +220,28 @@ def test_feature_table_drops_incomplete_columns(spark):
     assert not any(r is None for row in table.collect() for r in row)
 
 
+def test_one_client_does_not_take_a_feature_from_all(spark):
+    """Without a pair of the longer templates the entropy is infinite, which is a value: the column stays."""
+    rng = np.random.default_rng(21)
+    lone = [0.0, 10, 20, 30, 0, 10, 40, 50, 60, 70, 80, 90]  # one close pair of two, none of three
+    df = frame(spark, {1: rng.integers(0, 3, 19), 2: rng.integers(0, 3, 19), 3: lone})
+    table = X.feature_table(df)
+    got = {r.series_id: r.sample_entropy for r in table.select("series_id", "sample_entropy").collect()}
+    assert np.isinf(got[3]) and np.isfinite([got[1], got[2]]).all()
+    counts = {r["column"]: r["missing"] for r in X.missing_counts(X.feature_table(df, complete=False), ["series_id"]).collect()}
+    assert counts["sample_entropy"] == 0 and counts["fft_real_9"] == 1 and "fft_real_9" not in table.columns
+
+
+def test_choice_of_features(spark):
+    df = frame(spark, {k: np.random.default_rng(k).normal(50, 9, 19) for k in range(4)})
+    some = X.feature_table(df, wanted=["trend_slope", "fft_abs_3", "recurring_share"])
+    assert some.columns == ["series_id", "trend_slope", "fft_abs_3", "recurring_share"]
+    whole = {r.series_id: (r.trend_slope, r.fft_abs_3, r.recurring_share) for r in X.feature_table(df).collect()}
+    assert {r.series_id: tuple(r)[1:] for r in some.collect()} == whole
+    with pytest.raises(ValueError, match="unknown"):
+        X.feature_table(df, wanted=["trend_slope", "no_such"])
+
+
 def test_fourier_equals_numpy(spark):
     y = np.random.default_rng(12).normal(10, 3, 18)
     got = {r.k: (r.fft_real, r.fft_imag) for r in X.fourier(X.index_series(frame(spark, {1: y}))).collect()}
