@@ -1,17 +1,18 @@
 """Two-regime switching test per series.
 
 Each regime is a line through the origin of time (slope only) with its own
-variance; regimes follow a Markov chain fitted by expectation-maximisation.
+variance; regimes follow a Markov chain fitted by expectation-maximisation from several starts.
 The observations of the two regimes are then compared by a mean or rank test.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterwatch.functions.stats import normal_two_sided, student_p
@@ -20,6 +21,10 @@ from meterwatch.operators.series import ordered_arrays
 MAX_ROUNDS = 100
 TOLERANCE = 1e-6
 MIN_VARIANCE_SHARE = 1e-4
+#: Pairs of values that the rank test holds at a time.
+PAIRS = 4_000_000
+COLUMNS = {"regime_means": "array<double>", "p_value": "double", "regimes": "array<int>", "slope": "array<double>",
+           "variance": "array<double>", "chain": "array<double>", "first": "array<double>", "log_likelihood": "double"}
 
 
 def _expect(y: np.ndarray, present: np.ndarray, slope: np.ndarray, variance: np.ndarray,
@@ -51,33 +56,56 @@ def _expect(y: np.ndarray, present: np.ndarray, slope: np.ndarray, variance: np.
     for s in range(length - 2, -1, -1):
         back = smoothed[:, s + 1] / np.maximum(predicted[:, s + 1], 1e-300)
         pair = filtered[:, s, :, None] * chain * back[:, None, :]
-        moves += pair
+        moves += np.where(present[:, s + 1, None, None], pair, 0.0)  # what lies behind a series' end moves nothing
         smoothed[:, s] = pair.sum(2)
     return smoothed, moves, likelihood
 
 
-def fit_regimes(y: np.ndarray, present: np.ndarray, regimes: int = 2) -> tuple[np.ndarray, np.ndarray]:
-    """(smoothed probabilities, log-likelihood per round) for many series at once.
+@dataclass
+class Regimes:
+    """What was fitted to each series, and the log-likelihood of these very parameters."""
+    prob: np.ndarray
+    slope: np.ndarray
+    variance: np.ndarray
+    chain: np.ndarray
+    first: np.ndarray
+    value: np.ndarray
+    history: np.ndarray
 
-    ``y`` and ``present`` are (series, time). A series that has settled leaves
-    the rounds; its likelihood stays as it was.
-    """
+
+def _starts(y: np.ndarray, present: np.ndarray, regimes: int) -> list[np.ndarray]:
+    """First responsibilities: by the ratio to time, by position, and by the distance from the mean."""
     n, length = y.shape
+    count = present.sum(1, keepdims=True)
+    position = np.cumsum(present, axis=1) - 1
+    mean = np.where(present, y, 0).sum(1, keepdims=True) / count
+
+    def ranked(x: np.ndarray) -> np.ndarray:
+        x = np.where(present, x, np.nan)
+        cuts = np.nanquantile(x, np.arange(1, regimes) / regimes, axis=1).T
+        return (x[:, :, None] > cuts[:, None, :]).sum(2)
+
+    members = [ranked(y / np.arange(1, length + 1)[None, :]), np.minimum(position * regimes // count, regimes - 1), ranked(np.abs(y - mean))]
+    out = []
+    for member in members:
+        prob = np.stack([(member == k) for k in range(regimes)], axis=2) * 0.9 + 0.1 / regimes
+        out.append(np.where(present[:, :, None], prob, 1.0 / regimes))
+    return out
+
+
+def _climb(y: np.ndarray, present: np.ndarray, prob: np.ndarray) -> Regimes:
+    """Expectation-maximisation from the responsibilities given; a series that has settled leaves the rounds."""
+    n, length, regimes = prob.shape
+    prob = prob.copy()
     t = np.arange(1, length + 1, dtype=float)[None, :]
     count = present.sum(1)
     mean = np.where(present, y, 0).sum(1) / count
     floor = np.maximum(MIN_VARIANCE_SHARE * (np.where(present, y - mean[:, None], 0) ** 2).sum(1) / count, 1e-12)
-
-    # start: split by where the ratio to time lies among its quantiles
-    ratio = np.where(present, y / t, np.nan)
-    cuts = np.nanquantile(ratio, np.arange(1, regimes) / regimes, axis=1).T
-    member = (ratio[:, :, None] > cuts[:, None, :]).sum(2)
-    prob = np.stack([(member == k) for k in range(regimes)], axis=2) * 0.9 + 0.1 / regimes
-    prob = np.where(present[:, :, None], prob, 1.0 / regimes)
     stay = 0.9
     chain = np.full((n, regimes, regimes), (1 - stay) / max(regimes - 1, 1))
     chain[:, np.arange(regimes), np.arange(regimes)] = stay
     first = np.full((n, regimes), 1.0 / regimes)
+    used = Regimes(prob, np.zeros((n, regimes)), np.ones((n, regimes)), chain.copy(), first.copy(), np.full(n, -np.inf), np.zeros((0, n)))
 
     history: list[np.ndarray] = []
     on = np.arange(n)
@@ -88,49 +116,122 @@ def fit_regimes(y: np.ndarray, present: np.ndarray, regimes: int = 2) -> tuple[n
         residual = yo[:, :, None] - slope[:, None, :] * t[:, :, None]
         variance = (weight * residual ** 2).sum(1) / np.maximum(weight.sum(1), 1e-12)
         variance = np.maximum(variance, floor[on, None])
+        used.slope[on], used.variance[on], used.chain[on], used.first[on] = slope, variance, chain[on], first[on]
         prob[on], moves, value = _expect(yo, po, slope, variance, chain[on], first[on])
         first[on] = prob[on, 0]
         chain[on] = moves / np.maximum(moves.sum(2, keepdims=True), 1e-300)
         latest = history[-1].copy() if history else np.full(n, -np.inf)
         settled = np.abs(value - latest[on]) < TOLERANCE * np.abs(value)
         latest[on] = value
+        used.value[on] = value
         history.append(latest)
         on = on[~settled]
-    return prob, np.array(history)
-
-
-def _welch(a: np.ndarray, b: np.ndarray) -> float:
-    if len(a) < 2 or len(b) < 2:
-        return np.nan
-    va, vb = a.var(ddof=1) / len(a), b.var(ddof=1) / len(b)
-    if va + vb == 0:
-        return np.nan
-    dof = (va + vb) ** 2 / (va ** 2 / (len(a) - 1) + vb ** 2 / (len(b) - 1))
-    return float(student_p(np.array([(a.mean() - b.mean()) / np.sqrt(va + vb)]), np.array([dof]))[0])
-
-
-def _rank_test(a: np.ndarray, b: np.ndarray) -> float:
-    """Mann-Whitney by the normal limit with tie and continuity correction."""
-    if not len(a) or not len(b):
-        return np.nan
-    both = pd.Series(np.concatenate([a, b]))
-    ranks = both.rank().to_numpy()
-    na, nb = len(a), len(b)
-    u = ranks[:na].sum() - na * (na + 1) / 2
-    ties = both.value_counts().to_numpy().astype(float)
-    n = na + nb
-    spread = np.sqrt(na * nb / 12 * ((n + 1) - (ties ** 3 - ties).sum() / (n * (n - 1))))
-    if spread == 0:
-        return 1.0
-    z = max(abs(u - na * nb / 2) - 0.5, 0) / spread
-    return float(normal_two_sided(np.array([z]))[0])
+    used.prob, used.history = prob, np.array(history)
+    return used
+
+
+def best_regimes(y: np.ndarray, present: np.ndarray, regimes: int = 2) -> Regimes:
+    """Many series at once, each with the best likelihood of several starts; the first of equal ones.
+
+    ``y`` and ``present`` are (series, time).
+    """
+    runs = [_climb(y, present, prob) for prob in _starts(y, present, regimes)]
+    values = np.stack([r.value for r in runs])
+    best = (values >= values.max(0) - 1e-9 * np.abs(values.max(0))).argmax(0)
+    rounds = max(len(r.history) for r in runs)
+    rows = np.arange(len(y))
+
+    def pick(arrays: list[np.ndarray]) -> np.ndarray:
+        return np.stack(arrays)[best, rows]
+
+    histories = [np.concatenate([r.history, np.repeat(r.history[-1:], rounds - len(r.history), axis=0)]).T for r in runs]
+    return Regimes(*(pick([getattr(r, f) for r in runs]) for f in ("prob", "slope", "variance", "chain", "first", "value")),
+                   history=pick(histories).T)
+
+
+def fit_regimes(y: np.ndarray, present: np.ndarray, regimes: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """(smoothed probabilities, log-likelihood per round) of the best start."""
+    found = best_regimes(y, present, regimes)
+    return found.prob, found.history
+
+
+def _welch(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """p-value of each row: do the means under the two masks differ?"""
+    with np.errstate(invalid="ignore", divide="ignore"):
+        na, nb = a.sum(1), b.sum(1)
+        ma, mb = (np.where(m, y, 0).sum(1) / m.sum(1) for m in (a, b))
+        va, vb = ((np.where(m, y - c[:, None], 0) ** 2).sum(1) / (m.sum(1) - 1) / m.sum(1) for m, c in ((a, ma), (b, mb)))
+        dof = (va + vb) ** 2 / (va ** 2 / (na - 1) + vb ** 2 / (nb - 1))
+        t = (ma - mb) / np.sqrt(va + vb)
+    out = np.full(len(y), np.nan)
+    ok = (na >= 2) & (nb >= 2) & (va + vb > 0)
+    out[ok] = student_p(t[ok], dof[ok])
+    return out
+
+
+def _rank_test(y: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Mann-Whitney of each row by the normal limit with tie and continuity correction.
+
+    Ranks are counts of smaller and equal values, so rows are compared side by side.
+    """
+    out = np.full(len(y), np.nan)
+    ok = np.flatnonzero(a.any(1) & b.any(1))
+    step = max(1, PAIRS // max(1, y.shape[1] ** 2))
+    for start in range(0, len(ok), step):
+        at = ok[start:start + step]
+        v, one, two = y[at], a[at], b[at]
+        both = one | two
+        below = ((v[:, None, :] < v[:, :, None]) & both[:, None, :]).sum(2)
+        equal = ((v[:, None, :] == v[:, :, None]) & both[:, None, :]).sum(2)
+        rank = below + (equal + 1) / 2
+        na, nb = one.sum(1), two.sum(1)
+        n = na + nb
+        u = np.where(one, rank, 0).sum(1) - na * (na + 1) / 2
+        ties = np.where(both, equal.astype(float) ** 2 - 1, 0).sum(1)  # t^3 - t over groups of t equal values
+        spread = np.sqrt(na * nb / 12 * ((n + 1) - ties / np.maximum(n * (n - 1), 1)))
+        z = np.maximum(np.abs(u - na * nb / 2) - 0.5, 0) / np.where(spread > 0, spread, 1)
+        out[at] = np.where(spread > 0, normal_two_sided(z), 1.0)
+    return out
+
+
+def regime_filter(
+    df: DataFrame, slope: Sequence[Column], variance: Sequence[Column], stay: Column | float = 0.9,
+    first: Column | float = 0.5, values: str = "values",
+) -> DataFrame:
+    """Log-likelihood of ordered arrays under two regimes whose parameters are given, and how many months the second holds.
+
+    The forward filter as a fold over each array, in log space; nothing is fitted.
+    ``stay`` is the chance to stay in a regime, ``first`` that of beginning in the first one.
+    Adds ``log_likelihood`` and ``months_second``; an empty array has likelihood 0.
+    """
+    stay, first = (F.lit(p) if isinstance(p, float) else p for p in (stay, first))
+
+    def both(x: Column, y: Column) -> Column:
+        top = F.greatest(x, y)
+        return top + F.ln(F.exp(x - top) + F.exp(y - top))
+
+    def step(state: Column, x: Column) -> Column:
+        joint = [state[f"a{k}"] - F.lit(0.5) * (F.ln(F.lit(2 * np.pi) * variance[k]) + (x - slope[k] * state["t"]) ** 2 / variance[k]) for k in (0, 1)]
+        total = both(*joint)
+        low, high = (j - total for j in joint)
+        return F.struct((state["t"] + 1).alias("t"), both(low + F.ln(stay), high + F.ln(1 - stay)).alias("a0"),
+                        both(low + F.ln(1 - stay), high + F.ln(stay)).alias("a1"), (state["ll"] + total).alias("ll"),
+                        (state["n"] + (high > low).cast("int")).alias("n"))
+
+    begin = F.struct(F.lit(1.0).alias("t"), F.ln(first).alias("a0"), F.ln(1 - first).alias("a1"), F.lit(0.0).alias("ll"), F.lit(0).alias("n"))
+    folded = F.aggregate(F.transform(values, lambda v: v.cast("double")), begin, step, lambda s: F.struct(s["ll"].alias("ll"), s["n"].alias("n")))
+    return df.withColumn("__f", folded).select(*[F.col(c) for c in df.columns], F.col("__f.ll").alias("log_likelihood"), F.col("__f.n").alias("months_second"))
 
 
 def regime_test(
     df: DataFrame, test: str = "ttest", alpha: float = 0.05, regimes: int = 2,
-    id_col: str = "series_id", time_col: str = "period", value: str = "value",
+    id_col: str = "series_id", time_col: str = "period", value: str = "value", parameters: bool = False,
 ) -> DataFrame:
-    """Regime means, labels, p-value and flag per series (NULL below two values)."""
+    """Regime means, labels, p-value and flag per series (NULL below two values).
+
+    Of several starts the one with the best likelihood is kept. With ``parameters`` the
+    slopes, variances, chain (row by row), first shares and log-likelihood are returned too.
+    """
     if test not in ("ttest", "mannwhitney"):
         raise ValueError("test must be 'ttest' or 'mannwhitney'")
     arrays = ordered_arrays(df, value, id_col, time_col).select(id_col, F.filter("values", lambda v: v.isNotNull()).alias("values"))
@@ -139,31 +240,30 @@ def regime_test(
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            series = [np.asarray(v, float) for v in batch["values"]]
-            means: list[object] = [None] * len(series)
-            labels: list[object] = [None] * len(series)
-            p_values: list[object] = [None] * len(series)
-            usable = [i for i, v in enumerate(series) if len(v) >= 2]
-            if usable:
-                width = max(len(series[i]) for i in usable)
-                y = np.zeros((len(usable), width))
-                present = np.zeros((len(usable), width), bool)
+            sizes = np.array([len(v) for v in batch["values"]], int)
+            out = {c: np.full(len(batch), None, object) for c in ("regime_means", "regimes", "slope", "variance", "chain", "first")}
+            p_value, likelihood = np.full(len(batch), np.nan), np.full(len(batch), np.nan)
+            usable = np.flatnonzero(sizes >= 2)
+            if len(usable):
+                width = sizes.max()
+                present = np.arange(width)[None, :] < sizes[usable, None]
+                y = np.zeros(present.shape)
+                y[present] = np.concatenate([np.asarray(v, float) for v in batch["values"].iloc[usable]])
+                found = best_regimes(y, present, regimes)
+                best = found.prob.argmax(2)
+                masks = [present & (best == k) for k in range(regimes)]
+                p_value[usable], likelihood[usable] = compare(y, masks[0], masks[1]), found.value
+                with np.errstate(invalid="ignore"):
+                    means = np.stack([np.where(m, y, 0).sum(1) / m.sum(1) for m in masks], axis=1)
                 for row, i in enumerate(usable):
-                    y[row, :len(series[i])] = series[i]
-                    present[row, :len(series[i])] = True
-                prob, _ = fit_regimes(y, present, regimes)
-                for row, i in enumerate(usable):
-                    v = series[i]
-                    best = prob[row, :len(v)].argmax(1)
-                    parts = [v[best == k] for k in range(regimes)]
-                    p = compare(parts[0], parts[1])
-                    means[i] = [float(part.mean()) if len(part) else None for part in parts]
-                    labels[i] = best.astype(np.int32)
-                    p_values[i] = None if np.isnan(p) else p
-            yield pd.DataFrame({
-                id_col: batch[id_col], "regime_means": means,
-                "p_value": pd.Series(p_values, dtype="Float64"), "regimes": labels})
-
-    schema = f"`{id_col}` {kind}, regime_means array<double>, p_value double, regimes array<int>"
-    return arrays.mapInPandas(fit, schema).select(
-        id_col, "regime_means", "p_value", (F.col("p_value") < alpha).alias("anomaly"), "regimes")
+                    out["regime_means"][i] = [None if np.isnan(m) else float(m) for m in means[row]]
+                    out["regimes"][i] = best[row, :sizes[i]].astype(np.int32)
+                    for name in ("slope", "variance", "chain", "first"):
+                        out[name][i] = getattr(found, name)[row].ravel()
+            numbers = {name: pd.Series(x, dtype="float64").astype("Float64").mask(np.isnan(x)) for name, x in (("p_value", p_value), ("log_likelihood", likelihood))}
+            yield pd.DataFrame({id_col: batch[id_col].to_numpy(), **out, **numbers})[[id_col, *COLUMNS]]
+
+    schema = f"`{id_col}` {kind}, " + ", ".join(f"{c} {k}" for c, k in COLUMNS.items())
+    fitted = arrays.mapInPandas(fit, schema)
+    extra = ["slope", "variance", "chain", "first", "log_likelihood"] if parameters else []
+    return fitted.select(id_col, "regime_means", "p_value", (F.col("p_value") < alpha).alias("anomaly"), "regimes", *extra)

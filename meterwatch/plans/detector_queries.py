@@ -351,6 +351,41 @@ def regime_fixed(v: Views) -> DataFrame:
     return rows.select("series_id", F.when(F.col("regimes").isNotNull(), F.size("regimes")).alias("months"), close.alias("means_agree"))
 
 
+def _density_sql(k: int, share: str) -> str:
+    return f"a{k} - 0.5 * (ln(2 * pi() * variance * {k + 1}) + (x - slope * {share} * t) ** 2 / (variance * {k + 1}))"
+
+
+def _both_sql(x: str, y: str) -> str:
+    return f"greatest({x}, {y}) + ln(exp(({x}) - greatest({x}, {y})) + exp(({y}) - greatest({x}, {y})))"
+
+
+REGIMES = {
+    "known": """select series_id, value as x, row_number() over (partition by series_id order by period) as t,
+                avg(value) over w / ((count(*) over w + 1) / 2) as slope, var_pop(value) over w + 1 as variance
+                from fx_panel_nulls where value is not null window w as (partition by series_id)""",
+    "folded": f"""select series_id, 0 as t, ln(0.5e0) as a0, ln(0.5e0) as a1, 0e0 as ll, 0 as n from (select distinct series_id from known)
+        union all
+        select series_id, t, {_both_sql('low + ln(0.9e0)', 'high + ln(0.1e0)')}, {_both_sql('low + ln(0.1e0)', 'high + ln(0.9e0)')}, ll + total, n + (high > low)::int
+        from (select *, j0 - total as low, j1 - total as high from (select *, {_both_sql('j0', 'j1')} as total from (
+            select f.series_id, k.t, ll, n, {_density_sql(0, '0.5e0')} as j0, {_density_sql(1, '1.5e0')} as j1
+            from (select series_id, t as before, a0, a1, ll, n from folded) f join known k on k.series_id = f.series_id and k.t = before + 1)))""",
+}
+
+
+@query("regime_likelihood", f"""
+    select series_id, {r('arg_max(ll, t)', 4)} as log_likelihood, cast(arg_max(n, t) as int) as months_second from folded group by 1""", digits=4, ctes=REGIMES)
+def regime_likelihood(v: Views) -> DataFrame:
+    """The forward filter with parameters that the series itself fixes, so that SQL can repeat it."""
+    panel = persist_table(v.panel_nulls())
+    arrays = ordered_arrays(panel.filter(F.col("value").isNotNull()))
+    n = F.size("values")
+    mean = F.aggregate("values", F.lit(0.0), lambda s, x: s + x) / n
+    spread = F.aggregate("values", F.lit(0.0), lambda s, x: s + (x - mean) ** 2) / n + 1
+    rows = arrays.select("series_id", "values", (mean / ((n + 1) / 2)).alias("slope"), spread.alias("variance"))
+    found = M.regime_filter(rows, [F.col("slope") * 0.5, F.col("slope") * 1.5], [F.col("variance"), F.col("variance") * 2])
+    return found.select("series_id", "log_likelihood", "months_second")
+
+
 def _client_features(v: Views) -> DataFrame:
     """A few shape features per client with its group attributes."""
     panel = persist_table(v.group_panel())

@@ -1,6 +1,7 @@
 """Invariants of the fitted detectors and models."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
@@ -99,6 +100,56 @@ def test_likelihood_never_falls():
     assert (np.diff(history, axis=0) > -1e-6).all()
 
 
+def test_best_start_and_its_likelihood(spark):
+    """The best of several starts is kept, and the filter over its parameters gives its likelihood again."""
+    rng = np.random.default_rng(15)
+    t = np.arange(1, 41)
+    series = {1: np.where(t <= 20, 2.0 * t, 0.5 * t) + rng.normal(0, 1, 40), 2: rng.gamma(3, 20, 40), 3: rng.normal(100, 1, 30), 4: [5.0, 7.0]}
+    y, present = np.zeros((4, 40)), np.zeros((4, 40), bool)
+    for row, v in enumerate(series.values()):
+        y[row, :len(v)], present[row, :len(v)] = v, True
+    best = M.best_regimes(y, present)
+    singles = np.stack([M._climb(y, present, p).value for p in M._starts(y, present, 2)])
+    assert len(singles) == 3 and np.allclose(best.value, singles.max(0))
+    df = frame(spark, series)
+    fitted = M.regime_test(df, parameters=True)
+    got = {r.series_id: r.log_likelihood for r in fitted.collect()}
+    assert [got[k] for k in series] == pytest.approx(best.value.tolist(), rel=1e-6)
+    # parameters in which both regimes are left with the same chance can be filtered as they are
+    arrays = spark.createDataFrame([(int(k), [float(x) for x in v]) for k, v in series.items()], "series_id long, values array<double>")
+    rows = arrays.join(fitted, "series_id").select("series_id", "values", "slope", "variance", F.lit(0.8).alias("stay"), F.lit(0.3).alias("begin"))
+    found = M.regime_filter(rows, [F.col("slope")[0], F.col("slope")[1]], [F.col("variance")[0], F.col("variance")[1]], F.col("stay"), F.col("begin"))
+    chain, first = np.tile([[0.8, 0.2], [0.2, 0.8]], (4, 1, 1)), np.tile([0.3, 0.7], (4, 1))
+    want = M._expect(y, present, best.slope, best.variance, chain, first)[2]
+    assert [r.log_likelihood for r in found.orderBy("series_id").collect()] == pytest.approx(want.tolist(), rel=1e-6)
+
+
+def test_tests_of_many_rows_equal_plain_ones():
+    rng = np.random.default_rng(16)
+    y = rng.integers(0, 9, (40, 17)).astype(float)
+    y[0], y[1, :9] = 4.0, 2.0
+    label, present = rng.integers(0, 2, y.shape), rng.random(y.shape) < 0.9
+    label[2] = 0
+    a, b = present & (label == 0), present & (label == 1)
+    welch, ranks = M._welch(y, a, b), M._rank_test(y, a, b)
+    for k in range(len(y)):
+        p, q = y[k][a[k]], y[k][b[k]]
+        if len(p) < 2 or len(q) < 2 or p.var() + q.var() == 0:
+            assert np.isnan(welch[k])
+        else:
+            va, vb = p.var(ddof=1) / len(p), q.var(ddof=1) / len(q)
+            dof = (va + vb) ** 2 / (va ** 2 / (len(p) - 1) + vb ** 2 / (len(q) - 1))
+            assert welch[k] == pytest.approx(student_p(np.array([(p.mean() - q.mean()) / np.sqrt(va + vb)]), np.array([dof]))[0])
+        if not len(p) or not len(q):
+            assert np.isnan(ranks[k])
+            continue
+        u = sum((x > z) + 0.5 * (x == z) for x in p for z in q)
+        n, counts = len(p) + len(q), np.unique(np.r_[p, q], return_counts=True)[1].astype(float)
+        spread = np.sqrt(len(p) * len(q) / 12 * (n + 1 - (counts ** 3 - counts).sum() / (n * (n - 1))))
+        z = max(abs(u - len(p) * len(q) / 2) - 0.5, 0) / spread if spread else 0
+        assert ranks[k] == pytest.approx(math.erfc(z / math.sqrt(2)) if spread else 1.0, abs=2e-6)
+
+
 def test_student_tails(spark):
     assert student_p(np.array([2.228, 12.706, 0.0]), np.array([10.0, 1.0, 5.5])) == pytest.approx([0.05, 0.05, 1.0], abs=2e-4)
     df = spark.createDataFrame([(2.228, 10), (2.201, 11), (12.706, 1), (4.303, 2), (0.0, 7)], "t double, d int")
