@@ -21,6 +21,7 @@ from meterwatch.operators.series import ordered_arrays
 MAX_ROUNDS = 100
 TOLERANCE = 1e-6
 MIN_VARIANCE_SHARE = 1e-4
+LEAST_CHANCE = 1e-10
 #: Pairs of values that the rank test holds at a time.
 PAIRS = 4_000_000
 COLUMNS = {"regime_means": "array<double>", "p_value": "double", "regimes": "array<int>", "slope": "array<double>",
@@ -93,6 +94,12 @@ def _starts(y: np.ndarray, present: np.ndarray, regimes: int) -> list[np.ndarray
     return out
 
 
+def _open(p: np.ndarray) -> np.ndarray:
+    """Chances with none so small that a filter could run out of them."""
+    p = np.maximum(p, LEAST_CHANCE)
+    return p / p.sum(-1, keepdims=True)
+
+
 def _climb(y: np.ndarray, present: np.ndarray, prob: np.ndarray) -> Regimes:
     """Expectation-maximisation from the responsibilities given; a series that has settled leaves the rounds."""
     n, length, regimes = prob.shape
@@ -118,8 +125,9 @@ def _climb(y: np.ndarray, present: np.ndarray, prob: np.ndarray) -> Regimes:
         variance = np.maximum(variance, floor[on, None])
         used.slope[on], used.variance[on], used.chain[on], used.first[on] = slope, variance, chain[on], first[on]
         prob[on], moves, value = _expect(yo, po, slope, variance, chain[on], first[on])
-        first[on] = prob[on, 0]
-        chain[on] = moves / np.maximum(moves.sum(2, keepdims=True), 1e-300)
+        first[on] = _open(prob[on, 0])
+        left = moves.sum(2, keepdims=True)
+        chain[on] = _open(np.where(left > 0, moves / np.maximum(left, 1e-300), chain[on]))
         latest = history[-1].copy() if history else np.full(n, -np.inf)
         settled = np.abs(value - latest[on]) < TOLERANCE * np.abs(value)
         latest[on] = value
