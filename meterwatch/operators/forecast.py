@@ -2,13 +2,13 @@
 
 Three forecasters share one gate. The optimisers are replaced by forms that
 run without a solver: exponential smoothing over a fixed parameter grid, a
-first-order autoregression by regression sums, and a trend with seasonal waves
-by ridge equations. Series are bounded by the number of months.
+first-order autoregression by regression sums or an order search by two rounds of
+regressions, and a trend with seasonal waves and bends by ridge equations. Series are bounded by the number of months.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -23,6 +23,12 @@ from meterwatch.session import persist_table
 FLAT_DEVIATION = 1e-3
 SEASON = 12
 GRID_STEPS = 9
+BREAK_SHARE = 0.8  # of the training months in which a trend may bend
+LEAST_BEND = 1e-3
+BEND_ROUNDS = 8
+#: (autoregressive, differences, moving average) orders that are tried, and lags of the long autoregression.
+ORDERS = tuple((p, d, q) for d in (0, 1) for p in (0, 1, 2) for q in (0, 1, 2) if p + q <= 3)
+LONG_LAGS = 2
 SHORT_OR_FLAT = "Corta/plana"  # fixed value: reason of the gate
 
 
@@ -84,29 +90,109 @@ def smooth_seasonal(train: np.ndarray, test_len: int) -> tuple[np.ndarray, ...]:
 
 
 def fourier_forecast(train: np.ndarray, train_month: np.ndarray, test_month: np.ndarray,
-                     pairs: int, ridge: float) -> np.ndarray:
-    """Trend and ``pairs`` yearly waves by ridge normal equations, per series."""
+                     pairs: int, ridge: float, knots: int = 0, break_penalty: float = 0.05, rounds: int = 1) -> np.ndarray:
+    """Trend and ``pairs`` yearly waves by ridge normal equations, per series.
+
+    The trend may bend at ``knots`` places, evenly over the first ``BREAK_SHARE`` of the
+    training months. Bends are penalised by their square, and from the second round on by
+    their size: each round divides the penalty of a bend by what it was, so that few bends
+    stay. All series are solved as one batch.
+    """
     start = train_month[:, :1]
     length = np.maximum(train_month[:, -1:] - start, 1)
 
     def design(month: np.ndarray) -> np.ndarray:
-        columns = [np.ones_like(month), (month - start) / length]
+        t = (month - start) / length
+        columns = [np.ones_like(month), t]
+        columns += [np.maximum(t - BREAK_SHARE * k / (knots + 1), 0) for k in range(1, knots + 1)]
         for k in range(1, pairs + 1):
             angle = 2 * np.pi * k * month / SEASON
             columns += [np.sin(angle), np.cos(angle)]
         return np.stack(columns, axis=2)
 
     x = design(train_month)
-    penalty = ridge * np.eye(x.shape[2])
-    penalty[0, 0] = 0.0
+    penalty = np.full((len(train), x.shape[2]), ridge)
+    penalty[:, 0] = 0.0
+    bends = slice(2, 2 + knots)
+    penalty[:, bends] = break_penalty
     scale = np.abs(train).mean(1, keepdims=True)
     scale[scale == 0] = 1.0
-    lhs = np.einsum("nti,ntj->nij", x, x) + penalty
+    lhs = np.einsum("nti,ntj->nij", x, x)
     rhs = np.einsum("nti,nt->ni", x, train / scale)
-    weights = np.linalg.solve(lhs, rhs[:, :, None])[:, :, 0]
+    at = np.arange(x.shape[2])
+    for _ in range(max(1, rounds)):
+        system = lhs.copy()
+        system[:, at, at] += penalty
+        weights = np.linalg.solve(system, rhs[:, :, None])[:, :, 0]
+        penalty[:, bends] = break_penalty / (np.abs(weights[:, bends]) + LEAST_BEND)
     return np.einsum("nti,ni->nt", design(test_month), weights) * scale
 
 
+def _solve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least squares of many series at once, the first column being ones: (coefficients, residuals).
+
+    Columns are centred first; one without spread gets next to nothing.
+    """
+    means, level = x[:, :, 1:].mean(1), y.mean(1)
+    centred, rest = x[:, :, 1:] - means[:, None, :], y - level[:, None]
+    lhs = np.einsum("nti,ntj->nij", centred, centred)
+    at = np.arange(lhs.shape[1])
+    lhs[:, at, at] += 1e-12 * np.maximum(np.trace(lhs, axis1=1, axis2=2), 1e-12)[:, None]
+    w = np.linalg.solve(lhs, np.einsum("nti,nt->ni", centred, rest)[:, :, None])[:, :, 0]
+    constant = level - (means * w).sum(1)
+    return np.concatenate([constant[:, None], w], axis=1), rest - np.einsum("nti,ni->nt", centred, w)
+
+
+def _lags(z: np.ndarray, lags: int, rows: int) -> list[np.ndarray]:
+    """The last ``rows`` values one, two, ... steps back."""
+    length = z.shape[1]
+    return [z[:, length - rows - k:length - k] for k in range(1, lags + 1)]
+
+
+def search_orders(train: np.ndarray, test_len: int, orders: Sequence[tuple[int, int, int]] = ORDERS) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the chosen order, forecast) for many series (series, months).
+
+    Hannan and Rissanen: a long autoregression gives the shocks, then every order is one
+    regression on past values and past shocks. All orders are fitted to the same last
+    months, so their AICc can be compared; one whose autoregression is not stationary is
+    out. Ties go to the order that is named first.
+    """
+    n, length = train.shape
+    long = LONG_LAGS if any(q for _, _, q in orders) else 0
+    deepest = max(max(p, q) for p, _, q in orders)
+    rows = length - max(d for _, d, _ in orders) - long - deepest
+    best, criterion, ahead = np.zeros(n, int), np.full(n, np.inf), np.zeros((n, test_len))
+    shocks: dict[int, np.ndarray] = {}
+    for number, (p, d, q) in enumerate(orders):
+        z = np.diff(train, d, axis=1)
+        if q and d not in shocks:
+            seen = z.shape[1] - LONG_LAGS
+            x = np.stack([np.ones((n, seen)), *_lags(z, LONG_LAGS, seen)], axis=2)
+            shocks[d] = np.concatenate([np.zeros((n, LONG_LAGS)), _solve(x, z[:, LONG_LAGS:])[1]], axis=1)
+        e = shocks.get(d)
+        x = np.stack([np.ones((n, rows)), *_lags(z, p, rows), *(_lags(e, q, rows) if q else [])], axis=2)
+        w, residual = _solve(x, z[:, -rows:])
+        k = p + q + 2
+        if rows - k - 1 <= 0:
+            continue
+        score = rows * np.log(np.maximum((residual ** 2).sum(1), 1e-9) / rows) + 2 * k + 2 * k * (k + 1) / (rows - k - 1)
+        phi = np.concatenate([w[:, 1:1 + p], np.zeros((n, 2 - p))], axis=1)
+        stable = (np.abs(phi[:, 1]) < 1) & (phi[:, 0] + phi[:, 1] < 1) & (phi[:, 1] - phi[:, 0] < 1)
+        score = np.where(stable, np.round(score, 6), np.inf)
+        past, left = z[:, z.shape[1] - p:][:, ::-1].copy(), residual[:, residual.shape[1] - q:][:, ::-1].copy() if q else np.zeros((n, 0))
+        steps = []
+        for _ in range(test_len):
+            step = w[:, 0] + (w[:, 1:1 + p] * past).sum(1) + (w[:, 1 + p:] * left).sum(1)
+            steps.append(step)
+            past = np.concatenate([step[:, None], past], axis=1)[:, :p]
+            left = np.concatenate([np.zeros((n, 1)), left], axis=1)[:, :q]
+        path = np.stack(steps, axis=1)
+        path = train[:, -1:] + np.cumsum(path, axis=1) if d else path
+        wins = score < criterion
+        best[wins], criterion[wins], ahead[wins] = number, score[wins], path[wins]
+    return best, ahead
+
+
 def _gated(df: DataFrame, train_len: int, test_len: int, id_col: str, time_col: str, value: str,
            need_longer: bool) -> DataFrame:
     """Ordered arrays with the mean and flatness of the training part."""
@@ -239,11 +325,47 @@ def ar_check(
                        _error_and_flag(F.col("mae_ar"), limit).alias("anomaly_ar"))
 
 
+def arima_check(
+    df: DataFrame, train_len: int = 24, test_len: int = 4, limit: float = 0.6,
+    id_col: str = "series_id", time_col: str = "period", value: str = "value", orders: Sequence[tuple[int, int, int]] = ORDERS,
+) -> DataFrame:
+    """Autoregression, differences and moving average with the order searched per series.
+
+    Same columns as ``ar_check``; ``model`` is the chosen order. Orders have one difference
+    and two lags of a kind at most; seasonal orders are not searched.
+    """
+    if any(not (0 <= p <= 2 and 0 <= d <= 1 and 0 <= q <= 2) for p, d, q in orders):
+        raise ValueError("orders have at most two lags of a kind and one difference")
+    gated = _gated(df, train_len, test_len, id_col, time_col, value, need_longer=False)
+    kind = gated.schema[id_col].dataType.simpleString()
+    names = np.array([str(o).replace(" ", "") for o in orders], object)
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = pd.DataFrame({id_col: batch[id_col], "magnitude": batch["magnitude"], "enough": batch["enough"]})
+            out["model"], out["mae_ar"] = pd.Series([None] * len(batch), index=out.index, dtype=object), np.nan
+            ok = np.flatnonzero(batch["enough"].to_numpy())
+            if len(ok):
+                y = np.array([np.asarray(v, float)[:train_len + test_len] for v in batch["values"].iloc[ok]])
+                number, ahead = search_orders(y[:, :train_len], test_len, orders)
+                out.loc[out.index[ok], "model"] = names[number]
+                out.loc[out.index[ok], "mae_ar"] = np.abs(y[:, train_len:] - ahead).mean(1)
+            yield out
+
+    fitted = gated.select(id_col, "values", "magnitude", "enough").mapInPandas(
+        fit, f"`{id_col}` {kind}, magnitude double, enough boolean, model string, mae_ar double")
+    fitted = fitted.withColumn("mae_ar", F.when(~F.isnan("mae_ar"), F.col("mae_ar")))
+    return fitted.select(id_col, _reason(F.col("enough")).alias("reason_ar"), "model", "mae_ar", _error_and_flag(F.col("mae_ar"), limit).alias("anomaly_ar"))
+
+
 def fourier_check(
     df: DataFrame, train_len: int = 24, test_len: int = 4, limit: float = 0.6, pairs: int = 2, ridge: float = 0.1,
-    id_col: str = "series_id", time_col: str = "period", value: str = "value",
+    id_col: str = "series_id", time_col: str = "period", value: str = "value", knots: int = 0, rounds: int = 1,
 ) -> DataFrame:
-    """Trend with yearly waves: error on the test months against the limit."""
+    """Trend with yearly waves: error on the test months against the limit.
+
+    With ``knots`` the trend may bend, see ``fourier_forecast``.
+    """
     gated = _gated(df, train_len, test_len, id_col, time_col, value, need_longer=False)
     months = F.transform("periods", lambda d: (F.year(d) * 12 + F.month(d)).cast("double"))
     gated = gated.select(id_col, "values", months.alias("months"), "magnitude", "enough")
@@ -258,7 +380,7 @@ def fourier_check(
             if len(ok):
                 y = np.array([np.asarray(v, float)[:used] for v in batch["values"].iloc[ok]])
                 m = np.array([np.asarray(v, float)[:used] for v in batch["months"].iloc[ok]])
-                forecast = fourier_forecast(y[:, :train_len], m[:, :train_len], m[:, train_len:], pairs, ridge)
+                forecast = fourier_forecast(y[:, :train_len], m[:, :train_len], m[:, train_len:], pairs, ridge, knots, rounds=rounds)
                 out.loc[out.index[ok], "mae_fourier"] = np.abs(y[:, train_len:] - forecast).mean(1)
             yield out
 
@@ -276,17 +398,18 @@ def consensus(flags: DataFrame, columns: tuple[str, ...] = ("anomaly_ets", "anom
 
 def confirmed_anomalies(
     df: DataFrame, train_len: int = 15, test_len: int = 4, first_limit: float = 0.9, limit: float = 0.6,
-    id_col: str = "series_id", time_col: str = "period", value: str = "value",
+    id_col: str = "series_id", time_col: str = "period", value: str = "value", search: bool = False, knots: int = 0,
 ) -> DataFrame:
     """Only clients that the first forecaster flags go through the other two.
 
-    Those are written down when this is called, as they are read three times.
+    Those are written down when this is called, as they are read three times. With
+    ``search`` the second forecaster searches its order, with ``knots`` the third one bends.
     """
     flagged = persist_table(ets_check(df, train_len, test_len, first_limit, id_col, time_col, value).filter("anomaly_ets"))
     rest = df.join(flagged.select(id_col), id_col, "left_semi")
     names = (id_col, time_col, value)
-    ar = ar_check(rest, train_len, test_len, limit, *names)
-    waves = fourier_check(rest, train_len, test_len, limit, id_col=id_col, time_col=time_col, value=value)
+    ar = (arima_check if search else ar_check)(rest, train_len, test_len, limit, *names)
+    waves = fourier_check(rest, train_len, test_len, limit, id_col=id_col, time_col=time_col, value=value, knots=knots, rounds=BEND_ROUNDS if knots else 1)
     return consensus(flagged.join(ar, id_col, "left").join(waves, id_col, "left"))
 
 

@@ -287,6 +287,76 @@ def fourier_check(v: Views) -> DataFrame:
     return T.fourier_check(_trailing(v), 15, 4, 0.6)
 
 
+BREAKS = 3
+_BREAK_TERMS = ["1e0", "u", *[f"greatest(u - {T.BREAK_SHARE * k / (BREAKS + 1)!r}::double, 0)" for k in range(1, BREAKS + 1)],
+                "sin(2 * pi() * m / 12)", "cos(2 * pi() * m / 12)", "sin(4 * pi() * m / 12)", "cos(4 * pi() * m / 12)"]
+_BREAK_PENALTY = [0.0, 0.1, *[0.05] * BREAKS, *[0.1] * 4]
+BENT = {
+    **{name: WAVES[name] for name in ("recent", "wave_arrays", "wave_gate")},
+    "timed": """select *, (m - first_m) / greatest(last_m - first_m, 1) as u from (
+        select series_id, case when magnitude = 0 then 1 else magnitude end as scale, m[1] as first_m, m[15] as last_m,
+               unnest(y) as y, unnest(m) as m, generate_subscripts(y, 1) as i from wave_gate where enough)""",
+    "bent": "select series_id, scale, y, i, " + ", ".join(f"{x} as x{k}" for k, x in enumerate(_BREAK_TERMS)) + " from timed",
+    "solve0": "select series_id, " + ", ".join(
+        [f"sum(x{i} * x{j}) + {_BREAK_PENALTY[i] if i == j else 0.0!r}::double as a{i}{j}" for i in range(len(_BREAK_TERMS)) for j in range(i, len(_BREAK_TERMS))]
+        + [f"sum(x{i} * y / scale) as b{i}" for i in range(len(_BREAK_TERMS))]) + " from bent where i <= 15 group by 1",
+    **_elimination(len(_BREAK_TERMS)),
+    "bent_errors": f"""select series_id, avg(abs(y - scale * ({' + '.join(f'w{i} * x{i}' for i in range(len(_BREAK_TERMS)))}))) as mae
+        from bent join back0 using (series_id) where i between 16 and 19 group by 1""",
+}
+
+
+@query("fourier_breaks", f"""
+    select g.series_id, case when enough then '' else 'Corta/plana' end as reason_fourier, {r('mae')} as mae_fourier,
+           mae > 0.6 * magnitude as anomaly_fourier from wave_gate g left join bent_errors e using (series_id)""", ctes=BENT)
+def fourier_breaks(v: Views) -> DataFrame:
+    """A trend that may bend at three places."""
+    return T.fourier_check(_trailing(v), 15, 4, 0.6, knots=BREAKS)
+
+
+AR_ORDERS = ((0, 0, 0), (0, 1, 0), (1, 0, 0), (1, 1, 0))
+
+
+def _order_aicc(p: int, tag: str) -> str:
+    sse = f"greatest(syy_{tag} - coalesce(phi_{tag} * sxy_{tag}, 0), 1e-9)" if p else f"greatest(syy_{tag}, 1e-9)"
+    k = p + 2
+    return f"round(13 * ln({sse} / 13) + {2 * k} + {2.0 * k * (k + 1) / (13 - k - 1)!r}::double, 6)"
+
+
+ORDERED = {
+    "recent": TRAILING_SQL,
+    "steps": AR["steps"],
+    "fits": f"""select series_id, max(n) as n, stddev_pop(y) filter (i <= 15) as deviation, avg(abs(y)) filter (i <= 15) as magnitude,
+        max(y) filter (i = 15) as last_y, max(y - y1) filter (i = 15) as last_step, list(y order by i) filter (i > 15 and i <= 19) as test,
+        {', '.join(f'regr_slope({y}, {x}) filter (i between 3 and 15) as phi_{tag}, regr_intercept({y}, {x}) filter (i between 3 and 15) as c_{tag}, '
+                   f'avg({y}) filter (i between 3 and 15) as m_{tag}, 13 * var_pop({y}) filter (i between 3 and 15) as syy_{tag}, '
+                   f'regr_sxy({y}, {x}) filter (i between 3 and 15) as sxy_{tag}' for tag, y, x in (('level', 'y', 'y1'), ('step', '(y - y1)', '(y1 - y2)')))}
+        from steps group by 1""",
+    "scores": f"""select *, n >= 19 and deviation >= 1e-3 as enough, {_order_aicc(0, 'level')} as s0, {_order_aicc(0, 'step')} as s1,
+        case when abs(phi_level) < 1 then {_order_aicc(1, 'level')} else 1e300 end as s2,
+        case when abs(phi_step) < 1 then {_order_aicc(1, 'step')} else 1e300 end as s3 from fits""",
+    "picked": """select *, list_position([s0, s1, s2, s3], least(s0, s1, s2, s3)) as o from scores""",
+    "misses": """select series_id, avg(abs(y - case o when 1 then m_level when 2 then last_y + h * m_step
+            when 3 then last_y * pow(phi_level, h) + c_level * (1 - pow(phi_level, h)) / (1 - phi_level)
+            else last_y + h * c_step / (1 - phi_step) + (last_step - c_step / (1 - phi_step)) * phi_step * (1 - pow(phi_step, h)) / (1 - phi_step) end)) as mae
+        from (select *, unnest(test) as y, unnest(range(1, 5)) as h from picked where enough) group by 1""",
+}
+
+
+@query("arima_orders", f"""
+    select p.series_id, case when coalesce(enough, false) then '' else 'Corta/plana' end as reason_ar,
+           case when enough then ['(0,0,0)', '(0,1,0)', '(1,0,0)', '(1,1,0)'][o] end as model, {r('mae')} as mae_ar, mae > 0.6 * magnitude as anomaly_ar
+    from picked p left join misses using (series_id)""", ctes=ORDERED)
+def arima_orders(v: Views) -> DataFrame:
+    """The order search among those without a moving average, which SQL can fit."""
+    return T.arima_check(_trailing(v), 15, 4, 0.6, orders=AR_ORDERS)
+
+
+@query("arima_check")
+def arima_check(v: Views) -> DataFrame:
+    return T.arima_check(_trailing(v), 15, 4, 0.6)
+
+
 CHECKS = {**ETS, **AR, **WAVES}
 ERRORS = ("mae_ets", "mae_ar", "mae_fourier")
 

@@ -66,6 +66,70 @@ def test_gate_and_season(spark):
     assert ar[2].anomaly_ar is True and ar[4].anomaly_ar is None
 
 
+def plain_orders(y, test_len, orders):
+    """One series and one order after the other, with numpy's least squares."""
+    long, deepest = (2 if any(q for _, _, q in orders) else 0), max(max(p, q) for p, _, q in orders)
+    rows = len(y) - max(d for _, d, _ in orders) - long - deepest
+    best = None
+    for p, d, q in orders:
+        z = np.diff(y, d)
+        e = np.zeros(len(z))
+        if q:
+            x = np.array([[1, z[t - 1], z[t - 2]] for t in range(2, len(z))])
+            e[2:] = z[2:] - x @ np.linalg.lstsq(x, z[2:], rcond=None)[0]
+        at = range(len(z) - rows, len(z))
+        x = np.array([[1, *[z[t - k] for k in range(1, p + 1)], *[e[t - k] for k in range(1, q + 1)]] for t in at])
+        w = np.linalg.lstsq(x, z[-rows:], rcond=None)[0]
+        left = z[-rows:] - x @ w
+        k = p + q + 2
+        score = round(rows * np.log(max((left ** 2).sum(), 1e-9) / rows) + 2 * k + 2 * k * (k + 1) / (rows - k - 1), 6)
+        if p and (np.abs(np.roots([1, *-w[1:1 + p]])) >= 1).any():
+            continue
+        past, shock, path = list(z), [0.0] * (len(z) - rows) + list(left), []
+        for _ in range(test_len):
+            path.append(w[0] + sum(w[1 + k] * past[-1 - k] for k in range(p)) + sum(w[1 + p + k] * shock[-1 - k] for k in range(q)))
+            past.append(path[-1])
+            shock.append(0.0)
+        if best is None or score < best[0]:
+            best = score, (p, d, q), (y[-1] + np.cumsum(path) if d else np.array(path))
+    return best[1:]
+
+
+def test_order_search_equals_a_plain_one(spark):
+    rng = np.random.default_rng(18)
+    series = {}
+    for i in range(30):
+        e = rng.normal(0, 5, 30)
+        z = np.zeros(30)
+        for t in range(2, 30):
+            z[t] = (0.7 if i % 3 == 0 else 0) * z[t - 1] + e[t] + (0.8 if i % 3 == 1 else 0) * e[t - 1]
+        series[i] = 100 + (np.cumsum(z) if i % 2 else z)
+    df = frame(spark, series)
+    for orders in (T.ORDERS, ((0, 0, 0), (1, 1, 0), (2, 0, 0))):
+        got = {r.series_id: r for r in T.arima_check(df, 24, 4, orders=orders).collect()}
+        for i, y in series.items():
+            order, ahead = plain_orders(y[:24], 4, orders)
+            assert got[i].model == str(order).replace(" ", "")
+            assert got[i].mae_ar == pytest.approx(np.abs(y[24:28] - ahead).mean(), rel=1e-4)
+    assert len({r.model for r in T.arima_check(df, 24, 4).collect()}) > 2
+    short = T.arima_check(frame(spark, {1: [5.0] * 28, 2: [1.0, 2.0]}), 24, 4).collect()
+    assert all(r.model is None and r.mae_ar is None and r.anomaly_ar is None and r.reason_ar == T.SHORT_OR_FLAT for r in short)
+    with pytest.raises(ValueError):
+        T.arima_check(df, orders=((3, 0, 0),))
+
+
+def test_trend_bends(spark):
+    """A series with a kink is followed where a straight line is not; few bends stay."""
+    t = np.arange(28)
+    kink = np.where(t < 12, 100.0 + 0 * t, 100 + 8.0 * (t - 12)) + 3 * np.sin(2 * np.pi * t / 12)
+    df = frame(spark, {1: kink, 2: 50 + 2.0 * t})
+    straight = {r.series_id: r.mae_fourier for r in T.fourier_check(df).collect()}
+    bent = {r.series_id: r.mae_fourier for r in T.fourier_check(df, knots=6, rounds=T.BEND_ROUNDS).collect()}
+    assert bent[1] < 0.35 * straight[1] and bent[2] < straight[2] + 2
+    voted = T.confirmed_anomalies(df, 24, 4, 0.0001, 0.6, search=True, knots=6)
+    assert {r.series_id for r in voted.collect()} <= {1, 2} and "model" in voted.columns
+
+
 def test_votes_ignore_null(spark):
     df = spark.createDataFrame([(True, None, True), (True, None, False), (None, None, None)],
                                "anomaly_ets boolean, anomaly_ar boolean, anomaly_fourier boolean")
