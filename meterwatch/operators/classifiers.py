@@ -4,24 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterwatch.operators.bagging import Bagging, ForestModel, fit_forest
 from meterwatch.operators.boosting import BoostedModel, Growth, fit_boosted
 from meterwatch.operators.ordering import ordered_prefix
 from meterwatch.operators.series import add_index, percent_change
-from meterwatch.session import persist_table, shared_folder
 
 NUMERIC = ("mean", "std", "min", "max", "last", "pct_mean", "pct_std", "trend")
 MISSING_CATEGORY = "__missing"
-#: Partitions that a model is fitted on: bagging follows them, so their number is fixed and rows are dealt by id.
-FIT_PARTITIONS = 16
-#: Levels of a forest's trees.
-MAX_DEPTH = 12
 TREES = 100
 
 
@@ -87,48 +80,27 @@ def boosting_growth(kind: str, trees: int) -> Growth:
 
 
 def train(df: DataFrame, kind: str, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = (),
-          label: str = "label", seed: int = 42, trees: int = TREES, max_depth: int = MAX_DEPTH,
-          id_col: str = "series_id") -> PipelineModel | BoostedModel:
-    """Encoder and classifier fitted on the rows given.
+          label: str = "label", seed: int = 42, trees: int = TREES, max_depth: int | None = None,
+          id_col: str = "series_id") -> BoostedModel | ForestModel:
+    """Bins and trees fitted on the rows given.
 
-    ``gbt`` and ``gbt_deep`` are boosted trees on histograms; ``forest`` has ``max_depth`` levels.
-    The order of the rows and the files they come from do not change the model.
+    ``gbt`` and ``gbt_deep`` are boosted trees on histograms; ``forest`` has trees of full
+    depth, or of ``max_depth`` levels. The order of the rows, the files they come from and
+    the number of partitions do not change the model.
     """
-    if kind != "forest":
-        return fit_boosted(df, boosting_growth(kind, trees), numeric, categories, label, [id_col] if id_col in df.columns else ())
-    context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    model = RandomForestClassifier(numTrees=trees, maxDepth=max_depth, seed=seed).setLabelCol(label).setFeaturesCol("features")
-    # many passes follow: read a table instead of repeating the features
-    columns = [*numeric, *categories, label]
-    prepared = prepare(df, numeric, categories)
-    if id_col in df.columns:
-        prepared = prepared.select(id_col, *columns).repartition(FIT_PARTITIONS, id_col).sortWithinPartitions(id_col, *columns)
-    else:
-        prepared = prepared.select(*columns).repartition(FIT_PARTITIONS, *columns).sortWithinPartitions(*columns)
-    rows = persist_table(prepared.select(*columns))
-    return Pipeline(stages=[*encoder(numeric, categories), model]).fit(rows)
-
-
-def score(model: PipelineModel | BoostedModel, df: DataFrame, numeric: Sequence[str] = NUMERIC, categories: Sequence[str] = (),
-          out: str = "score") -> DataFrame:
-    """Probability of label 1 next to the columns of ``df``."""
-    if isinstance(model, BoostedModel):
-        return model.score(df, out)
-    scored = model.transform(prepare(df, numeric, categories))
-    return scored.select(*[F.col(c) for c in df.columns], vector_to_array("probability")[1].alias(out))
+    ids = [id_col] if id_col in df.columns else ()
+    if kind == "forest":
+        return fit_forest(df, Bagging(trees=trees, depth=max_depth, seed=seed), numeric, categories, label, ids)
+    return fit_boosted(df, boosting_growth(kind, trees), numeric, categories, label, ids)
 
 
-def save_model(spark: SparkSession, model: PipelineModel | BoostedModel, path: str) -> None:
-    if isinstance(model, BoostedModel):
-        model.save(spark, path)
-    else:
-        model.write().overwrite().save(path)
+def score(model: BoostedModel | ForestModel, df: DataFrame, out: str = "score") -> DataFrame:
+    """Probability of label 1 next to the columns of ``df``."""
+    return model.score(df, out)
 
 
-def load_model(spark: SparkSession, kind: str, path: str) -> PipelineModel | BoostedModel:
-    return PipelineModel.load(path) if kind == "forest" else BoostedModel.load(spark, path)
+def load_model(spark: SparkSession, kind: str, path: str) -> BoostedModel | ForestModel:
+    return (ForestModel if kind == "forest" else BoostedModel).load(spark, path)
 
 
 # --- quality of scores ---------------------------------------------------

@@ -12,13 +12,13 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterwatch.functions.scalar import fixed, parse_number
 from meterwatch.operators import classifiers, consolidate, economics, evaluation, forecast, forest, group_gaussian, kmodes, quality, structural
 from meterwatch.operators import series_features as features
+from meterwatch.operators.bagging import ForestModel
 from meterwatch.operators.boosting import BoostedModel
 from meterwatch.operators.evaluation import TOP_K
 from meterwatch.operators.labels import latest_label
@@ -210,20 +210,19 @@ class Job:
             labels=made_from)
         model = self._model(known, kind, trees, fit)
         held_out = self.stage(f"{kind}_validation", lambda: classifiers.score(
-            model, known.filter("not train"), categories=self.group), **fit)
+            model, known.filter("not train")), **fit)
         self._publish(f"{kind}_report", classifiers.classification_report(classifiers.confusion_matrix(held_out)))
         self._publish(f"{kind}_roc", classifiers.roc_curve(held_out))
         scores = self.stage(f"{kind}_predictions", lambda: classifiers.score(
-            model, classifiers.supervised_features(self.filtered(), self.group, None, *names), categories=self.group), **fit)
+            model, classifiers.supervised_features(self.filtered(), self.group, None, *names)), **fit)
         return self._publish(f"{kind}_ranking", global_rank(
             scores, [fixed(F.col("score")).desc_nulls_last(), F.col(self.id).asc()]))
 
-    def _model(self, known: DataFrame, kind: str, trees: int, fit: dict) -> PipelineModel | BoostedModel:
+    def _model(self, known: DataFrame, kind: str, trees: int, fit: dict) -> BoostedModel | ForestModel:
         """The fitted model, kept as a stage like any table."""
         path = self.stage_path(f"{kind}_model", **fit)
-        if not is_complete(self.spark, f"{path}/metadata" if kind == "forest" else path):
-            model = classifiers.train(known.filter("train"), kind, categories=self.group, trees=trees, id_col=self.id)
-            classifiers.save_model(self.spark, model, path)
+        if not is_complete(self.spark, path):
+            classifiers.train(known.filter("train"), kind, categories=self.group, trees=trees, id_col=self.id).save(self.spark, path)
         return classifiers.load_model(self.spark, kind, path)
 
     def compare_models(self, labels: str, kinds: Sequence[str] = ("gbt", "forest", "gbt_deep"), trees: int = classifiers.TREES) -> DataFrame:

@@ -73,7 +73,7 @@ def _validated(v: Views, kind: str) -> DataFrame:
     """Fit on the training part, score the other part."""
     rows = B.stratified_split(_features(v))
     model = B.train(rows.filter("train"), kind, categories=CATEGORIES)
-    return B.score(model, rows.filter("not train"), categories=CATEGORIES).select("series_id", "label", "score")
+    return B.score(model, rows.filter("not train")).select("series_id", "label", "score")
 
 
 @query("gbt_scores")
@@ -99,7 +99,7 @@ def held_out_rows(v: Views) -> DataFrame:
     """Which rows a fitted model scores, with the labels it does not see, and that each has a probability."""
     rows = B.stratified_split(_features(v))
     model = B.train(rows.filter("train"), "gbt", categories=CATEGORIES, trees=5)
-    scored = B.score(model, rows.filter("not train"), categories=CATEGORIES)
+    scored = B.score(model, rows.filter("not train"))
     return scored.select("series_id", "label", F.coalesce(F.col("score").between(0, 1), F.lit(False)).alias("in_range"))
 
 
@@ -161,7 +161,7 @@ def score_all(v: Views) -> DataFrame:
     """Every client of the panel gets a probability, labelled or not."""
     model = B.train(_features(v), "forest", categories=CATEGORIES)
     everyone = B.supervised_features(v.group_panel(), CATEGORIES, label=None)
-    return B.score(model, everyone, categories=CATEGORIES).select("series_id", "score")
+    return B.score(model, everyone).select("series_id", "score")
 
 
 ROC = {

@@ -294,7 +294,7 @@ def test_forest_does_not_follow_the_input_files(spark, tmp_path):
         rows.repartition(files).write.parquet(path)
         table = spark.read.parquet(path)
         model = B.train(table, "forest", categories=["category", "zone"], trees=5)
-        scores.append({r.series_id: round(r.score, 9) for r in B.score(model, table, categories=["category", "zone"]).collect()})
+        scores.append({r.series_id: round(r.score, 9) for r in B.score(model, table).collect()})
     assert scores[0] == scores[1]
 
 
@@ -322,7 +322,7 @@ def test_models_score_every_row(spark):
     for kind in ("gbt", "gbt_deep", "forest"):
         model = B.train(rows, kind, categories=["category", "zone"], trees=3)
         unseen = rows.withColumn("zone", F.lit("never seen"))
-        scored = B.score(model, unseen, categories=["category", "zone"])
+        scored = B.score(model, unseen)
         assert scored.count() == rows.count()
         assert scored.filter("score < 0 or score > 1 or score is null").isEmpty()
 
