@@ -11,7 +11,7 @@ from meterwatch.operators import economics as K
 from meterwatch.operators import evaluation as E
 from meterwatch.operators import kmodes as KM
 from meterwatch.operators import labels as L
-from meterwatch.plans.registry import query, r
+from meterwatch.plans.registry import query, r, rounded
 from meterwatch.plans.views import Views
 from meterwatch.session import persist_table
 
@@ -70,13 +70,64 @@ def stratified_split(v: Views) -> DataFrame:
 
 
 def _validated(v: Views, kind: str) -> DataFrame:
-    """Fit on the training part, score the other part."""
-    rows = B.stratified_split(_features(v))
+    """Fit on the training part, score the other part; features are rounded, so that any engine sorts them alike."""
+    rows = B.stratified_split(rounded(_features(v), 4))
     model = B.train(rows.filter("train"), kind, categories=CATEGORIES)
     return B.score(model, rows.filter("not train")).select("series_id", "label", "score")
 
 
-@query("gbt_scores")
+def _edges_sql(bins: int) -> dict[str, str]:
+    """Cut points of ``numbers`` (f, x): all values if there are few, else every ``bins``-th share of the rows."""
+    few = f"select f from numbers group by f having count(distinct x) <= {bins}"
+    return {
+        "edges": f"""select distinct f, x from (select f, x, row_number() over (partition by f order by x) as n, count(*) over (partition by f) as m from numbers)
+                  join range(1, {bins + 1}) g(k) on n = (m * k + {bins - 1}) // {bins} where f not in ({few})
+                  union select distinct f, x from numbers where f in ({few})""",
+        "cuts": "select f, x from edges e where x < (select max(x) from edges o where o.f = e.f)",
+    }
+
+
+def _boosted_sql(grow: G.Growth) -> dict[str, str]:
+    """A recursion that splits all nodes of a level in a round, or the best leaf of all, and adds leaf values in the round after the last."""
+    k, trees, depth = len(B.NUMERIC), grow.trees, grow.depth if grow.leaves is None else grow.leaves - 1
+    part = lambda g, h: f"{g} * {g} / 16777216 / greatest({h}, 1)"
+    return {
+        "features": FEATURES_SQL,
+        "base": f"""select *, [{', '.join(B.NUMERIC)}] as x, row_number() over (partition by label order by md5(cast(series_id as varchar)), series_id) * 1000
+                    <= count(*) over (partition by label) * 800 as train from features""",
+        "numbers": f"select f, x[f + 1] as x from base, range({k}) g(f) where train",
+        **_edges_sql(255),
+        "codes": f"""select {k} as f, category as v, row_number() over (order by category) - 1 as bin from (select distinct category from base where train)
+                     union all select {k + 1}, zone, row_number() over (order by zone) - 1 from (select distinct zone from base where train)""",
+        "cells": f"""select series_id, list(bin order by f) as cells from (
+            select series_id, f, (select count(*) from cuts where cuts.f = g.f and cuts.x < b.x[g.f + 1]) as bin from base b, range({k}) g(f)
+            union all select series_id, {k}, coalesce(bin, -1) from base left join codes on codes.f = {k} and v = category
+            union all select series_id, {k + 1}, coalesce(bin, -1) from base left join codes on codes.f = {k + 1} and v = zone) group by 1""",
+        "boost": f"""select 0 as step, series_id, label, train, cells, cast(1 as bigint) as node,
+                   ln(sum(label) filter (train) over () / (count(*) filter (train) over () - sum(label) filter (train) over ())) as score
+                   from base join cells using (series_id)
+            union all
+            select step + 1, series_id, label, train, cells,
+                   case when step % {depth + 1} = {depth} then 1 when f is null then r.node
+                        when (f < {k} and cells[f + 1] > bin) or (f >= {k} and cells[f + 1] = bin) then 2 * r.node + 1 else 2 * r.node end,
+                   case when step % {depth + 1} = {depth} then score - 0.1 * tg / greatest(th, 1) else score end
+            from (select * from boost where step < {trees * (depth + 1)}) r left join (
+                select node, tg, th, bin, {'f' if grow.leaves is None else 'case when row_number() over (order by gain desc nulls last, node) = 1 then f end as f'} from (
+                select node, max(gain) as gain, any_value(tg) as tg, any_value(th) as th, first(case when gain > {G.LEAST_GAIN} then f end order by gain desc nulls last, f, bin) as f,
+                       first(bin order by gain desc nulls last, f, bin) as bin from (
+                    select *, case when least(c, tc - c) >= {grow.min_rows} and least(h, th - h) >= {grow.min_curvature * G.GRAIN!r} then
+                           {part('g', 'h')} + {part('(tg - g)', '(th - h)')} - {part('tg', 'th')} end as gain from (
+                        select node, f, bin, sum(g) over a as tg, sum(h) over a as th, sum(c) over a as tc,
+                               case when f < {k} then sum(g) over a - sum(g) over w else g end as g, case when f < {k} then sum(h) over a - sum(h) over w else h end as h,
+                               case when f < {k} then sum(c) over a - sum(c) over w else c end as c from (
+                            select node, f, bin, sum(round((p - label) * 16777216)) as g, sum(round(p * (1 - p) * 16777216)) as h, count(*) as c from (
+                                select node, label, 1 / (1 + exp(-score)) as p, unnest(cells) as bin, generate_subscripts(cells, 1) - 1 as f
+                                from boost where train and step < {trees * (depth + 1)}) group by all)
+                        window a as (partition by node, f), w as (partition by node, f order by bin))) group by node)) b on b.node = r.node""",
+    }
+
+
+@query("gbt_scores", f"select series_id, label, {r('1 / (1 + exp(-score))')} as score from boost where step = {B.TREES * 4} and not train", ctes=_boosted_sql(B.boosting_growth("gbt", B.TREES)))
 def gbt_scores(v: Views) -> DataFrame:
     return _validated(v, "gbt")
 
@@ -86,7 +137,8 @@ def rf_scores(v: Views) -> DataFrame:
     return _validated(v, "forest")
 
 
-@query("gbt_deep_scores")
+@query("gbt_deep_scores", f"select series_id, label, {r('1 / (1 + exp(-score))')} as score from boost where step = {B.TREES * 31} and not train",
+       ctes=_boosted_sql(B.boosting_growth("gbt_deep", B.TREES)))
 def gbt_deep_scores(v: Views) -> DataFrame:
     return _validated(v, "gbt_deep")
 
@@ -115,11 +167,7 @@ def _stumps_sql() -> dict[str, str]:
             from fx_truth t join customer c on c.c_custkey = t.series_id
             join (select distinct series_id, category, zone from fx_group_panel) p on p.series_id = t.series_id)""",
         "numbers": "select 0 as f, x0 as x from base where train union all select 1, x1 from base where train",
-        "edges": f"""select distinct f, x from (select f, x, row_number() over (partition by f order by x) as n, count(*) over (partition by f) as m from numbers)
-                  join range(1, {STUMP_BINS + 1}) g(k) on n = (m * k + {STUMP_BINS - 1}) // {STUMP_BINS}
-                  where f not in (select f from numbers group by f having count(distinct x) <= {STUMP_BINS})
-                  union select distinct f, x from numbers where f in (select f from numbers group by f having count(distinct x) <= {STUMP_BINS})""",
-        "cuts": "select f, x from edges e where x < (select max(x) from edges o where o.f = e.f)",
+        **_edges_sql(STUMP_BINS),
         "codes": """select 2 as f, category as v, row_number() over (order by category) - 1 as bin from (select distinct category from base where train)
                     union all select 3, zone, row_number() over (order by zone) - 1 from (select distinct zone from base where train)""",
         "cells": """select series_id, 0 as f, (select count(*) from cuts where f = 0 and cuts.x < b.x0) as bin from base b
