@@ -15,13 +15,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterwatch.functions.scalar import fixed, parse_number
+from meterwatch.functions.scalar import fixed, parse_date, parse_number
 from meterwatch.operators import classifiers, consolidate, economics, evaluation, forecast, forest, group_gaussian, kmodes, quality, structural
 from meterwatch.operators import series_features as features
 from meterwatch.operators.bagging import ForestModel
 from meterwatch.operators.boosting import BoostedModel
 from meterwatch.operators.evaluation import TOP_K
-from meterwatch.operators.labels import latest_label
+from meterwatch.operators.labels import integrate, label_all_positive, label_new_report, label_no_impact, labelled_panel_ids, latest_label
 from meterwatch.operators.ordering import global_rank
 from meterwatch.operators.panel import ATTRIBUTES, COMMERCIAL_COLUMNS, CONSUMPTION_COLUMNS, build_panel, complete_panel
 from meterwatch.operators.relational import drop_ids, first_per_key, latest_present, union_all
@@ -32,6 +32,7 @@ from meterwatch.sources.stages import (KEYS_PER_RANGE, identity, input_identity,
 from meterwatch.sources.writers import write_csv
 
 MONTHS, LOW, MIN_GROUP = 19, 5.0, 25
+VISIT_DATES = ("yyyy-MM-dd", "dd/MM/yyyy", "yyyy-MM-dd HH:mm:ss")
 
 
 def _whole_id(name: str) -> Column:
@@ -55,6 +56,36 @@ def raw_panel(spark: SparkSession, consumption: str, commercial: str) -> tuple[D
     return complete_panel(matched, carry=ATTRIBUTES), unmatched
 
 
+def raw_inspections(spark: SparkSession, path: str, id_col: str = "producto", date: str = "fecha_visita", code: str = "irregularidad") -> DataFrame:
+    """series_id, visit_date, code from a file of visits with a header; ids that are no whole number and dates that cannot be read are NULL."""
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(F.expr(f"try_cast(`{id_col}` as bigint)").alias("series_id"), parse_date(F.col(f"`{date}`"), VISIT_DATES).alias("visit_date"),
+                       F.trim(F.col(f"`{code}`")).alias("code"))
+
+
+def raw_labels(spark: SparkSession, panel: str, visits: str, reports: str, out: str, findings: str | None = None,
+               columns: dict[str, str] | None = None, id_col: str = "series_id") -> DataFrame:
+    """Labels of the clients of a panel from raw files of inspections, written to ``out``.
+
+    Visits are 1 but for codes without impact, the newer reports likewise with their own
+    codes; ``findings`` is a third file in which every row is an irregularity. The visits and
+    findings are put together without copies of (client, date, code), matched with the
+    reports, the larger label wins, and clients without a series are left out. ``columns``
+    renames the columns of the files. The source tables are kept beside the result.
+    """
+    names = columns or {}
+    old = {"visits": label_no_impact(raw_inspections(spark, visits, **names).filter("series_id is not null"))}
+    if findings:
+        old["findings"] = label_all_positive(raw_inspections(spark, findings, **names).filter("series_id is not null"))
+    whole = reuse_or_build(spark, f"{out}_sources-{identity(files=[input_identity(spark, f) for f in (visits, findings) if f], names=names)}",
+                           lambda: integrate(old))
+    new = label_new_report(raw_inspections(spark, reports, **names).filter("series_id <> 0"))
+    ids = scan_parquet(spark, panel).select(F.col(id_col).alias("series_id"))
+    found = labelled_panel_ids(whole.drop("source"), new, ids).withColumnRenamed("series_id", id_col)
+    found.write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 class Job:
     """Names of the panel columns and the folder of the results.
 
@@ -258,16 +289,19 @@ class Job:
 def main(arguments: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     parser.add_argument("job", choices=(
-        "panel", "gaussian", "isolation", "structural", "forecast", "consolidated", "supervised", "compare_models", "benefit", "evaluate"))
+        "panel", "labels", "gaussian", "isolation", "structural", "forecast", "consolidated", "supervised", "compare_models", "benefit", "evaluate"))
     parser.add_argument("--panel", required=True, help="the panel that is read, or written by the job of that name")
     parser.add_argument("--out", help="folder of the results")
     parser.add_argument("--group", nargs="+", help="columns that make a group")
     parser.add_argument("--consumption", help="raw readings, for panel")
     parser.add_argument("--commercial", help="raw clients, for panel")
+    parser.add_argument("--visits", help="raw visits, for labels")
+    parser.add_argument("--reports", help="raw newer reports, for labels")
+    parser.add_argument("--findings", help="raw irregularities, for labels")
     parser.add_argument("--id", default="series_id")
     parser.add_argument("--time", default="period")
     parser.add_argument("--value", default="value")
-    parser.add_argument("--labels", help="table of labelled visits, for supervised, compare_models and benefit")
+    parser.add_argument("--labels", help="table of labelled visits; written by labels, read by supervised, compare_models and benefit")
     parser.add_argument("--change", help="column with the last meter change, to leave out recent ones")
     parser.add_argument("--high-class", help="column of the class in which very high users are left out")
     parser.add_argument("--sample", type=int, help="only the first clients, for a trial")
@@ -277,6 +311,11 @@ def main(arguments: Sequence[str] | None = None) -> None:
             parser.error("panel needs --consumption and --commercial")
         raw_panel(build_session(), args.consumption, args.commercial)[0].write.mode("errorifexists").parquet(args.panel)
         return
+    if args.job == "labels":
+        if not (args.visits and args.reports and args.labels):
+            parser.error("labels needs --visits, --reports and --labels, which is written")
+        raw_labels(build_session(), args.panel, args.visits, args.reports, args.labels, args.findings, id_col=args.id)
+        return
     if not args.out or not args.group:
         parser.error(f"{args.job} needs --out and --group")
     job = Job(build_session(), args.panel, args.out, args.group, args.id, args.time, args.value, args.sample,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from meterwatch.operators import classifiers
 from meterwatch.operators.panel import COMMERCIAL_COLUMNS, CONSUMPTION_COLUMNS
-from meterwatch.plans.jobs import Job, raw_panel
+from meterwatch.plans.jobs import Job, raw_labels, raw_panel
 from meterwatch.plans.views import Views
 from meterwatch.session import shared_folder
 from tests.conftest import SF_DIR
@@ -165,3 +165,20 @@ def test_features_in_ranges_and_steps(spark, panel, tmp_path):
     assert few.count() == len(plain)
     steps = Job(spark, panel, str(tmp_path / "c"), ["zone"], class_col="zone")
     assert 0 < len(plain) - steps.filtered().select("series_id").distinct().count() <= 4
+
+
+def test_raw_files_to_labels(spark, panel, tmp_path):
+    """Visits, findings and newer reports become one label per match, for clients with a series only."""
+    def put(name, rows):
+        (tmp_path / name).write_text("producto,fecha_visita,irregularidad\n" + "\n".join(",".join(r) for r in rows), encoding="utf-8")
+        return str(tmp_path / name)
+
+    visits = put("visits.csv", [("3", "2023-01-05", "CO - CONFORME"), ("4", "2023-01-06", "D_X - PUENTE"), ("5", "2023-01-07", "CO - CONFORME"),
+                                ("6", "2023-02-01", "NA - NO APLICA"), ("4", "2023-01-06", "D_X - PUENTE"), ("0", "2023-02-01", "D_X - PUENTE"),
+                                ("x", "2023-02-01", "D_X - PUENTE"), ("900", "2023-02-01", "D_X - PUENTE")])
+    reports = put("reports.csv", [("5", "2023-03-01", "12 - DIRECTO"), ("3", "2023-03-02", "16 - OTRO"), ("7", "2023-03-03", "14 - CAMBIO DE USO O TARIFA INADECUADA AL TIPO DE CLIENTE")])
+    findings = put("findings.csv", [("8", "2023-04-01", "ANY"), ("8", "2023-04-01", "ANY")])
+    out = str(tmp_path / "labels")
+    found = {r.series_id: (r.label, str(r.visit_date)) for r in raw_labels(spark, panel, visits, reports, out, findings).collect()}
+    assert found == {3: (0, "2023-01-05"), 4: (1, "2023-01-06"), 5: (1, "2023-03-01"), 7: (0, "2023-03-03"), 8: (1, "2023-04-01")}
+    assert raw_labels(spark, panel, visits, reports, out, findings).count() == 5
