@@ -7,7 +7,7 @@ The observations of the two regimes are then compared by a mean or rank test.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -214,18 +214,26 @@ def regime_filter(
     """
     stay, first = (F.lit(p) if isinstance(p, float) else p for p in (stay, first))
 
+    def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+        """``use`` of a value that is computed once."""
+        return F.transform(F.array(value), use)[0]
+
     def both(x: Column, y: Column) -> Column:
-        top = F.greatest(x, y)
-        return top + F.ln(F.exp(x - top) + F.exp(y - top))
+        return bound(F.struct(x.alias("x"), y.alias("y"), F.greatest(x, y).alias("top")),
+                     lambda v: v["top"] + F.ln(F.exp(v["x"] - v["top"]) + F.exp(v["y"] - v["top"])))
 
-    def step(state: Column, x: Column) -> Column:
-        joint = [state[f"a{k}"] - F.lit(0.5) * (F.ln(F.lit(2 * np.pi) * variance[k]) + (x - slope[k] * state["t"]) ** 2 / variance[k]) for k in (0, 1)]
-        total = both(*joint)
-        low, high = (j - total for j in joint)
+    def moved(state: Column, j: Column) -> Column:
+        low, high = j["j0"] - j["total"], j["j1"] - j["total"]
         return F.struct((state["t"] + 1).alias("t"), both(low + F.ln(stay), high + F.ln(1 - stay)).alias("a0"),
-                        both(low + F.ln(1 - stay), high + F.ln(stay)).alias("a1"), (state["ll"] + total).alias("ll"),
+                        both(low + F.ln(1 - stay), high + F.ln(stay)).alias("a1"), (state["ll"] + j["total"]).alias("ll"),
                         (state["n"] + (high > low).cast("int")).alias("n"))
 
+    def step(state: Column, x: Column) -> Column:
+        joint = [(state[f"a{k}"] - F.lit(0.5) * (F.ln(F.lit(2 * np.pi) * variance[k]) + (x - slope[k] * state["t"]) ** 2 / variance[k])).alias(f"j{k}")
+                 for k in (0, 1)]
+        return bound(F.struct(*joint), lambda j: bound(
+            F.struct(j["j0"].alias("j0"), j["j1"].alias("j1"), both(j["j0"], j["j1"]).alias("total")), lambda v: moved(state, v)))
+
     begin = F.struct(F.lit(1.0).alias("t"), F.ln(first).alias("a0"), F.ln(1 - first).alias("a1"), F.lit(0.0).alias("ll"), F.lit(0).alias("n"))
     folded = F.aggregate(F.transform(values, lambda v: v.cast("double")), begin, step, lambda s: F.struct(s["ll"].alias("ll"), s["n"].alias("n")))
     return df.withColumn("__f", folded).select(*[F.col(c) for c in df.columns], F.col("__f.ll").alias("log_likelihood"), F.col("__f.n").alias("months_second"))

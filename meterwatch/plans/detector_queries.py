@@ -21,7 +21,7 @@ from meterwatch.plans.registry import query, r
 from meterwatch.plans.relational_queries import INVALID_SQL
 from meterwatch.plans.series_queries import TRAILING_SQL
 from meterwatch.plans.views import Views
-from meterwatch.session import persist_table
+from meterwatch.session import persist_table, spread
 
 GROUP = ["category", "zone", "period"]
 MIN_GROUP = 20
@@ -446,13 +446,12 @@ REGIMES = {
     select series_id, {r('arg_max(ll, t)', 4)} as log_likelihood, cast(arg_max(n, t) as int) as months_second from folded group by 1""", digits=4, ctes=REGIMES)
 def regime_likelihood(v: Views) -> DataFrame:
     """The forward filter with parameters that the series itself fixes, so that SQL can repeat it."""
-    panel = persist_table(v.panel_nulls())
-    arrays = ordered_arrays(panel.filter(F.col("value").isNotNull()))
-    n = F.size("values")
-    mean = F.aggregate("values", F.lit(0.0), lambda s, x: s + x) / n
-    spread = F.aggregate("values", F.lit(0.0), lambda s, x: s + (x - mean) ** 2) / n + 1
-    rows = arrays.select("series_id", "values", (mean / ((n + 1) / 2)).alias("slope"), spread.alias("variance"))
-    found = M.regime_filter(rows, [F.col("slope") * 0.5, F.col("slope") * 1.5], [F.col("variance"), F.col("variance") * 2])
+    ordered = F.sort_array(F.collect_list(F.struct("period", "value")))["value"].alias("values")
+    known = v.panel_nulls().filter(F.col("value").isNotNull()).groupBy("series_id").agg(
+        ordered, F.avg("value").alias("mean"), (F.var_pop("value") + 1).alias("variance"), F.count("*").alias("n"))
+    # written down: a fold would compute its parameters anew at every step
+    rows = persist_table(known.select("series_id", "values", (F.col("mean") / ((F.col("n") + 1) / 2)).alias("slope"), "variance"))
+    found = M.regime_filter(spread(rows, "series_id"), [F.col("slope") * 0.5, F.col("slope") * 1.5], [F.col("variance"), F.col("variance") * 2])
     return found.select("series_id", "log_likelihood", "months_second")
 
 
