@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterwatch.functions.scalar import fixed
 from meterwatch.operators import quality as Q
 from meterwatch.operators import series as W
 from meterwatch.operators import series_features as X
 from meterwatch.operators.series_features import corridors
-from meterwatch.plans.registry import query, r
+from meterwatch.plans.registry import ORACLES, query, r
 from meterwatch.plans.relational_queries import LINEAR_SQL
 from meterwatch.plans.views import Views
 
@@ -235,16 +236,28 @@ def feat_variation(v: Views) -> DataFrame:
 TRAILING_SQL = "select * from fx_panel where period > (select max(period) - interval 19 month from fx_panel)"
 
 
-@query("feature_table", f"""
-    select a.series_id, nation, {r('variation', 4)} as variation_coefficient, {r('slope', 4)} as trend_slope,
-           {r('total', 4)} as fft_real_0, peaks as number_peaks_1
-    from (select series_id, stddev_pop(x) / avg(x) as variation, regr_slope(x, t) as slope, sum(x) as total,
-                 count(*) filter (t >= 1 and t < n - 1 and x > b and x > a) as peaks
-          from (select *, lag(x) over ({ORD}) as b, lead(x) over ({ORD}) as a from s) group by 1) a
-    join (select s_suppkey as series_id, s_nationkey as nation from supplier) using (series_id)""", digits=4,
-       ctes={"recent": TRAILING_SQL, "s": INDEXED_SQL.replace("fx_panel", "recent")})
+#: Features whose SQL stands above; the p-value of a trend and the entropy, which some short series lack, are left out of the comparison.
+PARTS = ("peaks", "skewness", "kurtosis", "recurring", "change_quantiles", "autocorr", "trend", "cid", "second_derivative", "abs_changes",
+         "streak_below", "first_max", "variation")
+
+
+TABLE_MONTHS = 19
+
+
+def _feature_table_sql() -> str:
+    """Every feature over the last 19 months, from the SQL of each of them."""
+    def recent(key: str) -> str:
+        return ORACLES[f"feat_{key}"].replace("from fx_panel where value is not null", f"from ({TRAILING_SQL}) where value is not null")
+
+    waves = ", ".join(f"max({c}) filter (k = {k}) as {c}_{k}" for k in range(TABLE_MONTHS // 2 + 1) for c in ("fft_real", "fft_imag", "fft_abs", "fft_angle"))
+    joined = " ".join(f"join ({recent(p)}) p{k} using (series_id)" for k, p in enumerate(PARTS))
+    return f"""select * from (select s_suppkey as series_id, s_nationkey as nation from supplier) {joined}
+        join (select series_id, {waves} from ({recent('fft')}) group by 1) w using (series_id)"""
+
+
+@query("feature_table", _feature_table_sql(), digits=6)
 def feature_table(v: Views) -> DataFrame:
-    """All features of the last 19 months; the SQL checks some of them."""
+    """All features of the last 19 months; waves and change quantiles with the four digits that their SQL has."""
     meta = v.t("supplier").select(F.col("s_suppkey").alias("series_id"), F.col("s_nationkey").alias("nation"))
-    table = X.feature_table(Q.trailing_months(v.panel(), 19), meta)
-    return table.select("series_id", "nation", "variation_coefficient", "trend_slope", "fft_real_0", "number_peaks_1")
+    table = X.feature_table(Q.trailing_months(v.panel(), TABLE_MONTHS), meta).drop("trend_p", "sample_entropy")
+    return table.select(*[fixed(F.col(c), 4).alias(c) if c.startswith(("fft_", "change_quantiles_")) else F.col(c) for c in table.columns])
