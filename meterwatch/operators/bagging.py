@@ -10,13 +10,15 @@ of all trees. Depth has no bound unless one is asked for.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
@@ -27,39 +29,52 @@ from meterwatch.session import persist_table
 JOB_NODES, CHUNK_NODES, MOST_NODES = 2_048, 256, 40_000_000
 #: Upper ends of the shares of the weights 0, 1, 2, ... under a Poisson law with mean 1.
 _WEIGHTS = np.exp(-1) * np.cumsum([1, 1, 1 / 2, 1 / 6, 1 / 24, 1 / 120, 1 / 720, 1 / 5040])
-_C1, _C2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
+#: Numbers of ids, draws and paths are below this prime, so that any engine can compute with them in 64 bits.
+PRIME = 2 ** 31 - 1
+#: (multiplier, summand) that lead from a node's path to those of its two children.
+STEPS = ((48_271, 1), (69_621, 2))
+
+
+def scrambles(seed: int, what: str, n: int) -> list[tuple[int, int]]:
+    """``n`` pairs (multiplier, summand) below ``PRIME`` from the digest of seed, purpose and number."""
+    out = []
+    for k in range(n):
+        digest = hashlib.md5(f"{seed}:{what}:{k}".encode()).digest()
+        out.append((1 + int.from_bytes(digest[:4], "big") % (PRIME - 1), int.from_bytes(digest[4:8], "big") % PRIME))
+    return out
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """Scrambles unsigned 64-bit numbers."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * _C1
-        x = (x ^ (x >> np.uint64(27))) * _C2
-    return x ^ (x >> np.uint64(31))
+def id_number(*names: str) -> Column:
+    """A number below ``PRIME`` from the digest of the columns as text."""
+    text = F.concat_ws(":", *[F.col(c).cast("string") for c in names])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % PRIME
 
 
-def _salted(seed: int, number: int) -> np.uint64:
-    with np.errstate(over="ignore"):
-        return _mix(np.array([seed], np.uint64) * _STEP + np.array([number], np.uint64))[0]
+@lru_cache(maxsize=1_024)
+def _bag(seed: int, tree: int) -> tuple[int, int]:
+    return scrambles(seed, f"bag{tree}", 1)[0]
 
 
-def bag_weights(row_hash: np.ndarray, seed: int, tree: int) -> np.ndarray:
+def bag_weights(number: np.ndarray, seed: int, tree: int) -> np.ndarray:
     """How often each row counts in a tree."""
-    u = (_mix(row_hash.astype(np.int64).view(np.uint64) ^ _salted(seed, tree)) >> np.uint64(11)).astype(float) / 2.0 ** 53
-    return np.searchsorted(_WEIGHTS, u, side="right")
+    m, c = _bag(seed, tree)
+    return np.searchsorted(_WEIGHTS, (number * m + c) % PRIME / PRIME, side="right")
+
+
+def root_paths(seed: int, trees: int) -> list[int]:
+    return [c for _, c in scrambles(seed, "root", trees)]
 
 
 def child_paths(paths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Digests of the two nodes below those with the digests given."""
-    with np.errstate(over="ignore"):
-        return _mix(paths * np.uint64(2) + _STEP), _mix(paths * np.uint64(2) + np.uint64(1) + _STEP)
+    """The paths of the two nodes below those given."""
+    return tuple((paths * m + c) % PRIME for m, c in STEPS)
 
 
 def tried_features(paths: np.ndarray, features: int, tried: int) -> np.ndarray:
     """(nodes, features): which features a node tries first."""
-    with np.errstate(over="ignore"):
-        keys = _mix(paths[:, None] + np.arange(1, features + 1, dtype=np.uint64)[None, :] * _STEP)
-    return keys.argsort(axis=1).argsort(axis=1) < tried
+    pairs = np.array(scrambles(0, "feature", features), np.int64).reshape(-1, 2)
+    keys = (paths[:, None] * pairs[None, :, 0] + pairs[None, :, 1]) % PRIME
+    return keys.argsort(axis=1, kind="stable").argsort(axis=1) < tried
 
 
 @dataclass(frozen=True)
@@ -108,11 +123,11 @@ def _bin_sums(slot: np.ndarray, x: np.ndarray, wy: np.ndarray, w: np.ndarray, sl
     return total.reshape(2, slots, width).transpose(1, 2, 0).astype(np.int64)
 
 
-def grow_to_the_end(x: np.ndarray, wy: np.ndarray, w: np.ndarray, path: np.uint64, depth: int | None, bins: Bins, bag: Bagging) -> Tree:
+def grow_to_the_end(x: np.ndarray, wy: np.ndarray, w: np.ndarray, path: int, depth: int | None, bins: Bins, bag: Bagging) -> Tree:
     """The tree below one node, all its rows at hand, level by level."""
     tree = Tree(value=[float(wy.sum() / max(1, w.sum()))])
     node = np.zeros(len(x), np.int64)  # place of each row's node in ``open_``
-    open_, paths = [0], np.array([path], np.uint64)
+    open_, paths = [0], np.array([path], np.int64)
     level = 0
     while open_ and (depth is None or level < depth):
         level += 1
@@ -227,7 +242,7 @@ def _level(binned: DataFrame, trees: list[Tree], wanted: list[tuple[int, int]],
     return out
 
 
-def _finish(binned: DataFrame, trees: list[Tree], small: list[tuple[int, int, np.uint64, int]], bins: Bins, bag: Bagging, rows: int) -> DataFrame:
+def _finish(binned: DataFrame, trees: list[Tree], small: list[tuple[int, int, int, int]], bins: Bins, bag: Bagging, rows: int) -> DataFrame:
     """slot, feature, cut, left, right, value: the tree below each (tree, node, path, depth) of ``small``."""
     numeric = len(bins.numeric)
     named: dict[int, np.ndarray] = {}
@@ -301,10 +316,10 @@ def fit_forest(df: DataFrame, bag: Bagging, numeric: Sequence[str], categories:
                                              names=["label", "h", *[f"b{j}" for j in range(k)]])
 
     schema = "label long, h long" + "".join(f", b{j} int" for j in range(k))
-    binned = persist_table(rows.withColumn("__h", F.xxhash64(*keys)).repartition(tasks).mapInArrow(to_bins, schema))
+    binned = persist_table(rows.withColumn("__h", id_number(*keys)).repartition(tasks).mapInArrow(to_bins, schema))
 
     trees = [Tree() for _ in range(bag.trees)]
-    roots = [_salted(bag.seed + 1, t) for t in range(bag.trees)]
+    roots = root_paths(bag.seed, bag.trees)
     small = [(t, 0, roots[t], 0) for t in range(bag.trees)] if n <= LOCAL_ROWS else []
     large = [] if n <= LOCAL_ROWS else [(t, 0, roots[t], 0) for t in range(bag.trees)]
     while large:
@@ -313,14 +328,14 @@ def fit_forest(df: DataFrame, bag: Bagging, numeric: Sequence[str], categories:
             some = large[start:start + JOB_NODES]
             sums = _level(binned, trees, [(t, node) for t, node, _, _ in some], bins, bag, tasks)
             total = sums[:, :bins.offsets[1]].sum(1)
-            feature, cut, upper = best_cuts(sums, np.array([p for _, _, p, _ in some], np.uint64), bins, bag)
+            feature, cut, upper = best_cuts(sums, np.array([p for _, _, p, _ in some], np.int64), bins, bag)
             for (t, node, path, depth), f, c, all_, high in zip(some, feature.tolist(), cut.tolist(), total.tolist(), upper.tolist()):
                 trees[t].value[node] = all_[0] / max(1, all_[1])
                 if f < 0 or (bag.depth is not None and depth >= bag.depth):
                     continue
                 low = [a - b for a, b in zip(all_, high)]
                 nodes = trees[t].split(node, f, c, (low[0] / low[1], high[0] / high[1]))
-                for child, p, part in zip(nodes, (q[0] for q in child_paths(np.array([path], np.uint64))), (low, high)):
+                for child, p, part in zip(nodes, (int(q[0]) for q in child_paths(np.array([path], np.int64))), (low, high)):
                     if 0 < part[0] < part[1] and part[1] >= 2 * bag.min_rows and (bag.depth is None or depth + 1 < bag.depth):
                         (small if part[1] <= LOCAL_ROWS else deeper).append((t, child, p, depth + 1))
         large = deeper

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterwatch.operators import bagging as BG
 from meterwatch.operators import boosting as G
 from meterwatch.operators import classifiers as B
 from meterwatch.operators import economics as K
@@ -87,6 +88,19 @@ def _edges_sql(bins: int) -> dict[str, str]:
     }
 
 
+def _cells_sql() -> dict[str, str]:
+    """The bin of every feature of every row of ``base``."""
+    k = len(B.NUMERIC)
+    return {
+        "codes": f"""select {k} as f, category as v, row_number() over (order by category) - 1 as bin from (select distinct category from base where train)
+                     union all select {k + 1}, zone, row_number() over (order by zone) - 1 from (select distinct zone from base where train)""",
+        "cells": f"""select series_id, list(bin order by f) as cells from (
+            select series_id, f, (select count(*) from cuts where cuts.f = g.f and cuts.x < b.x[g.f + 1]) as bin from base b, range({k}) g(f)
+            union all select series_id, {k}, coalesce(bin, -1) from base left join codes on codes.f = {k} and v = category
+            union all select series_id, {k + 1}, coalesce(bin, -1) from base left join codes on codes.f = {k + 1} and v = zone) group by 1""",
+    }
+
+
 def _boosted_sql(grow: G.Growth) -> dict[str, str]:
     """A recursion that splits all nodes of a level in a round, or the best leaf of all, and adds leaf values in the round after the last."""
     k, trees, depth = len(B.NUMERIC), grow.trees, grow.depth if grow.leaves is None else grow.leaves - 1
@@ -97,12 +111,7 @@ def _boosted_sql(grow: G.Growth) -> dict[str, str]:
                     <= count(*) over (partition by label) * 800 as train from features""",
         "numbers": f"select f, x[f + 1] as x from base, range({k}) g(f) where train",
         **_edges_sql(255),
-        "codes": f"""select {k} as f, category as v, row_number() over (order by category) - 1 as bin from (select distinct category from base where train)
-                     union all select {k + 1}, zone, row_number() over (order by zone) - 1 from (select distinct zone from base where train)""",
-        "cells": f"""select series_id, list(bin order by f) as cells from (
-            select series_id, f, (select count(*) from cuts where cuts.f = g.f and cuts.x < b.x[g.f + 1]) as bin from base b, range({k}) g(f)
-            union all select series_id, {k}, coalesce(bin, -1) from base left join codes on codes.f = {k} and v = category
-            union all select series_id, {k + 1}, coalesce(bin, -1) from base left join codes on codes.f = {k + 1} and v = zone) group by 1""",
+        **_cells_sql(),
         "boost": f"""select 0 as step, series_id, label, train, cells, cast(1 as bigint) as node,
                    ln(sum(label) filter (train) over () / (count(*) filter (train) over () - sum(label) filter (train) over ())) as score
                    from base join cells using (series_id)
@@ -132,7 +141,54 @@ def gbt_scores(v: Views) -> DataFrame:
     return _validated(v, "gbt")
 
 
-@query("rf_scores")
+def _forest_sql(features: str, train: str, bag: BG.Bagging) -> dict[str, str]:
+    """Trees of full depth: rows of all trees go down a level in each round of a recursion."""
+    k, prime = len(B.NUMERIC), BG.PRIME
+    number = lambda text, at: f"cast('0x' || md5({text})[{at}:{at + 7}] as bigint)"
+    part = lambda s, w: f"cast({s} as double) * {s} / greatest({w}, 1)"
+    weight = " + ".join(f"(place / {float(prime)} >= {float(x)!r}::double)::int" for x in BG._WEIGHTS)
+    keys = BG.scrambles(0, "feature", k + 2)
+    key = "case f " + " ".join(f"when {f} then (path * {m} + {c}) % {prime}" for f, (m, c) in enumerate(keys)) + " end"
+    tried = max(1, int((k + 2) ** 0.5))
+    return {
+        "features": features,
+        "base": f"select *, [{', '.join(B.NUMERIC)}] as x, {train} as train from features",
+        "numbers": f"select f, x[f + 1] as x from base, range({k}) g(f) where train",
+        **_edges_sql(bag.bins),
+        **_cells_sql(),
+        "trees": f"""select t, 1 + {number(f"'{bag.seed}:bag' || t || ':0'", 1)} % {prime - 1} as m, {number(f"'{bag.seed}:bag' || t || ':0'", 9)} % {prime} as c,
+                     {number(f"'{bag.seed}:root:' || t", 9)} % {prime} as path from range({bag.trees}) g(t)""",
+        "placed": f"""select t, path, series_id, label, cells, train, ({number('cast(series_id as varchar)', 1)} % {prime} * m + c) % {prime} as place
+                      from base join cells using (series_id), trees""",
+        "down": f"""select t, cast(1 as bigint) as node, path, series_id, label, cells, case when train then {weight} else 0 end as w, cast(null as double) as leaf from placed
+            union all
+            select r.t, case when f is null then r.node when high then 2 * r.node + 1 else 2 * r.node end,
+                   case when high then (r.path * {BG.STEPS[1][0]} + {BG.STEPS[1][1]}) % {prime} else (r.path * {BG.STEPS[0][0]} + {BG.STEPS[0][1]}) % {prime} end,
+                   series_id, label, cells, w, case when f is null then ty / tw end from (
+                select d.*, b.f, b.ty, b.tw, case when b.f < {k} then d.cells[b.f + 1] > b.bin else d.cells[b.f + 1] = b.bin end as high
+                from (select * from down where leaf is null) d join (
+                    select t, node, any_value(ty) as ty, any_value(tw) as tw, first(case when gain > 1e-9 then f end order by rank, gain desc nulls last, f, bin) as f,
+                           first(bin order by rank, gain desc nulls last, f, bin) as bin from (
+                        select *, case when gain > 1e-9 and place <= {tried} then 0 else 1 end as rank from (
+                            select *, dense_rank() over (partition by t, node order by {key}) as place,
+                                   case when ty > 0 and ty < tw and tw >= {2 * bag.min_rows} and least(hw, tw - hw) >= {bag.min_rows}
+                                        then {part('hy', 'hw')} + {part('(ty - hy)', '(tw - hw)')} - {part('ty', 'tw')} end as gain from (
+                                select t, node, path, f, bin, sum(y) over a as ty, sum(w) over a as tw, case when f < {k} then sum(y) over a - sum(y) over o else y end as hy,
+                                       case when f < {k} then sum(w) over a - sum(w) over o else w end as hw from (
+                                    select t, node, path, f, bin, sum(w * label) as y, sum(w) as w from (
+                                        select t, node, path, w, label, unnest(cells) as bin, generate_subscripts(cells, 1) - 1 as f from down where leaf is null and w > 0)
+                                    group by all) window a as (partition by t, node, f), o as (partition by t, node, f order by bin))))
+                    group by t, node) b on b.t = d.t and b.node = d.node) r""",
+        "voted": "select series_id, any_value(label) as label, avg(leaf) as score from down where leaf is not null group by 1",
+    }
+
+
+SPLIT_TEST = """row_number() over (partition by label order by md5(cast(series_id as varchar)), series_id) * 1000 <= count(*) over (partition by label) * 800"""
+EVERYONE_SQL = FEATURES_SQL.replace("from fx_group_panel g join fx_truth t", "from fx_group_panel g left join fx_truth t")
+
+
+@query("rf_scores", f"select v.series_id, v.label, {r('score')} as score from voted v join base b using (series_id) where not train",
+       ctes=_forest_sql(FEATURES_SQL, SPLIT_TEST, BG.Bagging(trees=B.TREES)))
 def rf_scores(v: Views) -> DataFrame:
     return _validated(v, "forest")
 
@@ -204,11 +260,11 @@ def boosted_stumps(v: Views) -> DataFrame:
     return model.score(rows.filter("not train")).select("series_id", "label", "score")
 
 
-@query("score_all")
+@query("score_all", f"select series_id, {r('score')} as score from voted", ctes=_forest_sql(EVERYONE_SQL, "label is not null", BG.Bagging(trees=B.TREES)))
 def score_all(v: Views) -> DataFrame:
     """Every client of the panel gets a probability, labelled or not."""
-    model = B.train(_features(v), "forest", categories=CATEGORIES)
-    everyone = B.supervised_features(v.group_panel(), CATEGORIES, label=None)
+    model = B.train(rounded(_features(v), 4), "forest", categories=CATEGORIES)
+    everyone = rounded(B.supervised_features(v.group_panel(), CATEGORIES, label=None), 4)
     return B.score(model, everyone).select("series_id", "score")
 
 

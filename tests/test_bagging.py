@@ -30,7 +30,7 @@ def plain_tree(x, y, w, path, bag, numeric):
         wy, total = (w * y)[rows].sum(), w[rows].sum()
         best = None
         if 0 < wy < total and total >= 2 * bag.min_rows and (bag.depth is None or len(name) < bag.depth):
-            tried = G.tried_features(np.array([path], np.uint64), x.shape[1], max(1, int(x.shape[1] ** 0.5)))[0]
+            tried = G.tried_features(np.array([path], np.int64), x.shape[1], max(1, int(x.shape[1] ** 0.5)))[0]
             for features in (np.flatnonzero(tried), range(x.shape[1])):
                 for f in features:
                     for c in range(x[:, f].max() + 1):
@@ -48,7 +48,7 @@ def plain_tree(x, y, w, path, bag, numeric):
         _, f, c = best
         out[name] = (int(f), int(c))
         high = cut(rows, f, c)
-        one, two = (p[0] for p in G.child_paths(np.array([path], np.uint64)))
+        one, two = (p[0] for p in G.child_paths(np.array([path], np.int64)))
         walk(np.setdiff1d(rows, high), one, name + "0")
         walk(high, two, name + "1")
 
@@ -62,17 +62,17 @@ def test_same_trees_as_a_plain_version(spark, table, monkeypatch, bag, local):
     monkeypatch.setattr(G, "LOCAL_ROWS", local)
     monkeypatch.setattr(G, "JOB_NODES", 5)
     model = G.fit_forest(table, bag, ["a", "b"], ["c"], "y", ["id"])
-    held = sorted(table.withColumn("h", F.xxhash64("id")).collect())
+    held = sorted(table.withColumn("h", G.id_number("id")).collect())
     x = np.array([[np.searchsorted(model.bins.cuts[0], r.a), np.searchsorted(model.bins.cuts[1], r.b), model.bins.values[0].index(r.c)] for r in held])
     y, h = np.array([r.y for r in held]), np.array([r.h for r in held])
     for t, tree in enumerate(model.trees):
-        want = plain_tree(x, y, G.bag_weights(h, bag.seed, t), G._salted(bag.seed + 1, t), bag, 2)
+        want = plain_tree(x, y, G.bag_weights(h, bag.seed, t), G.root_paths(bag.seed, bag.trees)[t], bag, 2)
         found = {k: tuple(int(z) for z in v) if isinstance(v, tuple) else v for k, v in as_paths(tree).items()}
         assert same_tree(found, want)
 
 
 def test_weights_are_poisson():
-    w = G.bag_weights(np.arange(200_000) * 7919, 1, 3)
+    w = G.bag_weights(np.random.default_rng(0).integers(0, G.PRIME, 200_000), 1, 3)
     assert abs(w.mean() - 1) < 0.02 and abs(w.var() - 1) < 0.03 and abs((w == 0).mean() - np.exp(-1)) < 0.01
 
 
