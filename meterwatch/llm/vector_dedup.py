@@ -1,10 +1,14 @@
 """Near-duplicate embeddings: sign hashing by random hyperplanes, exact cosines, components.
 
 Equal vectors are one class. A class's signs before random hyperplanes give a code in each of
-several tables; classes that share a code in some table are compared by their exact cosine. A
-large bucket is cut into tiles, and every pair of tiles is a group of bounded size. A pair
-that shares several tables is counted in the first one, so neither pairs nor links leave the
-tasks: each class sends the number of its links and the smallest class that it reaches there.
+several tables; classes that share a code in some table are compared. What travels through the
+tables is a class's number and its sketch, the codes of the first tables: two classes whose
+sketches differ in too many signs for the threshold, or agree in the code of an earlier table,
+need no look at their vectors. Vectors are sent only for classes with a partner left, and their
+exact cosines decide. A large bucket is cut into tiles, and every pair of tiles is a group of
+bounded size. A pair that shares several tables is counted in the first one, so neither pairs nor
+links leave the tasks: each class sends the number of its links and the smallest class that it
+reaches there.
 """
 
 from __future__ import annotations
@@ -15,23 +19,43 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterwatch.llm.common import persist_table, sorted_groups
+from meterwatch.llm.common import persist_table
 from meterwatch.llm.components import component_tops, connected_components
 
 #: Rows of a bucket that are compared at once.
 TILE = 1024
 #: Classes that a bucket holds on average, and the chance to miss a pair just at the threshold in every table.
-PER_BUCKET, MISS = 128, 1e-9
+PER_BUCKET, MISS = 512, 1e-9
+#: Numbers of a sketch and the bits used of each.
+SKETCHES, SKETCH_BITS = 2, 63
+#: Tables that the number of a bucket has room for.
+TABLES = 1 << 14
 
 
 def table_plan(classes: int, threshold: float) -> tuple[int, int]:
     """(bits of a code, tables): codes grow with the logarithm of the input, tables keep the chance of a miss."""
-    bits = min(30, max(8, math.ceil(math.log2(max(classes, 1) / PER_BUCKET))))
+    bits = min(30, max(6, math.ceil(math.log2(max(classes, 1) / PER_BUCKET))))
     agree = 1 - math.acos(threshold) / math.pi
-    return bits, math.ceil(math.log(MISS) / math.log(1 - agree ** bits))
+    while (tables := math.ceil(math.log(MISS) / math.log(1 - agree ** bits))) >= TABLES:
+        bits -= 1  # a low threshold: larger buckets instead of more tables
+    return bits, tables
+
+
+def sketch_plan(bits: int, tables: int, threshold: float) -> tuple[int, int]:
+    """(tables in a sketch, most signs that differ): a pair just at the threshold differs in more with a chance of at most MISS."""
+    held = min(tables, SKETCHES * (SKETCH_BITS // bits))
+    n, differ = held * bits, math.acos(threshold) / math.pi
+    beyond, most = 0.0, n
+    while most > 0:
+        beyond += math.comb(n, most) * differ ** most * (1 - differ) ** (n - most)
+        if beyond > MISS:
+            break
+        most -= 1
+    return held, most
 
 
 @lru_cache(maxsize=4)
@@ -39,61 +63,94 @@ def _planes(dims: int, n: int) -> np.ndarray:
     return np.random.default_rng(20_011 + dims).standard_normal((dims, n))
 
 
-def _codes(classes: DataFrame, bits: int, tables: int) -> DataFrame:
-    """class, n, embedding, codes (array<int>, one of each table)."""
+def _scaled(embeddings: np.ndarray) -> np.ndarray:
+    """Vectors in double precision, each by the power of two that brings its largest entry near 1 (cosines stay the same)."""
+    vectors = np.stack(embeddings).astype(np.float64)
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(1))[1][:, None])
+
+
+def _codes(classes: DataFrame, bits: int, tables: int, held: int) -> DataFrame:
+    """class, n, embedding, codes (array<int>, one of each table), s0 and s1 (the codes of the first ``held`` tables)."""
     powers = 1 << np.arange(bits, dtype=np.int64)
+    each = SKETCH_BITS // bits
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for _, same in b.groupby(b["embedding"].map(len)):
-                vectors = np.stack(same["embedding"].to_numpy()).astype(np.float64)
+                vectors = _scaled(same["embedding"].to_numpy())
                 signs = vectors @ _planes(vectors.shape[1], bits * tables) > 0
                 codes = signs.reshape(len(same), tables, bits) @ powers
-                yield same.assign(codes=list(codes.astype(np.int32)))
-
-    return classes.mapInPandas(run, f"class long, n long, embedding {classes.schema['embedding'].dataType.simpleString()}, codes array<int>")
-
-
-def _links(pairs_of: DataFrame, threshold: float) -> DataFrame:
-    """class, links, parent of the groups of tiles; rows: table, code, dims, i, j, side, class, n, embedding, codes."""
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for g in sorted_groups(batches, ["table", "code", "dims", "i", "j"]):
-            if len(g["class"]) < 2:
-                continue
-            table = g["table"][0]
-            vectors = np.stack(g["embedding"]).astype(np.float64)
-            codes = np.stack(g["codes"], axis=1)
-            norms = np.sqrt((vectors * vectors).sum(1))
-            left, right = np.flatnonzero(g["side"] == 0), np.flatnonzero(g["side"] == 1)
-            within = g["i"][0] == g["j"][0]
-            right = left if within else right
-            if not len(left) or not len(right):
-                continue
-            cosines = (vectors[left] @ vectors[right].T) / norms[left][:, None] / norms[right][None, :]
-            a, b = np.nonzero(np.triu(cosines >= threshold, 1) if within else cosines >= threshold)
-            a, b = left[a], right[b]
-            for own in codes[:table]:  # a table at a time: most pairs of a dense tile share one of the first
-                if not len(a):
-                    break
-                new = own[a] != own[b]
-                a, b = a[new], b[new]
+                sketch = np.zeros((SKETCHES, len(same)), np.int64)
+                for t in range(held):
+                    sketch[t // each] |= codes[:, t] << (t % each * bits)
+                yield same.assign(codes=list(codes.astype(np.int32)), s0=sketch[0], s1=sketch[1])
+
+    return classes.mapInPandas(run, f"class long, n long, embedding {classes.schema['embedding'].dataType.simpleString()}, "
+                                    "codes array<int>, s0 long, s1 long")
+
+
+def _sides(side: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray]:
+    left = np.flatnonzero(side == 0)
+    return left, left if within else np.flatnonzero(side == 1)
+
+
+def _table_of(bucket: int) -> int:
+    return bucket >> 30 & TABLES - 1
+
+
+def _partners(groups, bits: int, held: int, most: int) -> DataFrame:
+    """bucket, i, j, side, class of the rows of a group whose sketch leaves a partner in it."""
+    each = SKETCH_BITS // bits
+    schema = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("side", pa.int32()), ("class", pa.int64())])
+
+    def run(g: pa.Table) -> pa.Table:
+        table = _table_of(g["bucket"][0].as_py())
+        within = g["i"][0].as_py() == g["j"][0].as_py()
+        left, right = _sides(g["side"].to_numpy(), within)
+        sketch = [g[s].to_numpy() for s in ("s0", "s1")]
+        apart = sum(np.bitwise_count(s[left][:, None] ^ s[right][None, :]) for s in sketch)
+        a, b = np.nonzero(np.triu(apart <= most, 1) if within else apart <= most)
+        a, b = left[a], right[b]
+        for t in range(min(table, held)):
+            if not len(a):
+                break
+            own = sketch[t // each] >> (t % each * bits) & ((1 << bits) - 1)
+            new = own[a] != own[b]
+            a, b = a[new], b[new]
+        return g.take(np.unique(np.concatenate([a, b]))).select(schema.names).cast(schema)
+
+    return groups.applyInArrow(run, "bucket long, i int, j int, side int, class long")
+
+
+def _links(partners: DataFrame, threshold: float) -> DataFrame:
+    """class, links, parent of the groups of tiles; rows: bucket, i, j, side, class, n, embedding, codes."""
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
+        names, sizes = g["class"].to_numpy(), g["n"].to_numpy()
+        vectors, codes = _scaled(g["embedding"].to_numpy()), np.stack(g["codes"].to_numpy(), axis=1)
+        norms = np.sqrt((vectors * vectors).sum(1))
+        within = g["i"].iat[0] == g["j"].iat[0]
+        left, right = _sides(g["side"].to_numpy(), within)
+        cosines = (vectors[left] @ vectors[right].T) / norms[left][:, None] / norms[right][None, :]
+        a, b = np.nonzero(np.triu(cosines >= threshold, 1) if within else cosines >= threshold)
+        a, b = left[a], right[b]
+        for own in codes[:_table_of(int(g["bucket"].iat[0]))]:  # a table at a time: most pairs of a dense tile share one of the first
             if not len(a):
-                continue
-            names, sizes = g["class"], g["n"]
-            links = np.bincount(a, sizes[b], len(names)) + np.bincount(b, sizes[a], len(names))
-            parent = names.copy()
-            while True:
-                low = np.minimum(parent[a], parent[b])
-                before = parent.copy()
-                np.minimum.at(parent, a, low)
-                np.minimum.at(parent, b, low)
-                if (before == parent).all():
-                    break
-            has = links > 0
-            yield pd.DataFrame({"class": names[has], "links": links[has].astype(np.int64), "parent": parent[has]})
-
-    order = ["table", "code", "dims", "i", "j"]
-    return pairs_of.repartition(*order).sortWithinPartitions(*order).mapInPandas(compare, "class long, links long, parent long")
+                break
+            new = own[a] != own[b]
+            a, b = a[new], b[new]
+        links = np.bincount(a, sizes[b], len(names)) + np.bincount(b, sizes[a], len(names))
+        parent = names.copy()
+        while True:
+            low = np.minimum(parent[a], parent[b])
+            before = parent.copy()
+            np.minimum.at(parent, a, low)
+            np.minimum.at(parent, b, low)
+            if (before == parent).all():
+                break
+        has = links > 0
+        return pd.DataFrame({"class": names[has], "links": links[has].astype(np.int64), "parent": parent[has]})
+
+    return partners.groupBy("bucket", "i", "j").applyInPandas(compare, "class long, links long, parent long")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -106,8 +163,8 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     of different lengths never link. Repeated rows count once and get the same
     result; rows that repeat an id with other vectors are compared like rows of
     their own, and of those that share a component's smallest id one is kept. A pair
-    just at the threshold is missed once in a thousand million times, a closer one
-    less often. Runs jobs when called and writes intermediate tables.
+    just at the threshold is missed twice in a thousand million times (no common code,
+    or sketches too far apart), a closer one less often. Entries may have any magnitude. Runs jobs when called and writes intermediate tables.
     """
     embedding = F.col(vector_col)
     if vectors.select(embedding).schema[0].dataType.simpleString() != "array<float>":  # floats travel as they are, cosines are double
@@ -127,17 +184,23 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     classes = persist_table(classes)
 
     bits, tables = table_plan(classes.count(), threshold)
-    coded = persist_table(_codes(classes.select("class", "n", "embedding"), bits, tables))
-    placed = coded.select("*", F.size("embedding").alias("dims"), F.posexplode("codes").alias("table", "code"))
-    buckets = placed.groupBy("table", "code", "dims").agg(F.count("*").alias("rows")).filter("rows > 1")
-    dealt = placed.join(buckets, ["table", "code", "dims"]).withColumn("tiles", F.expr(f"cast(ceil(rows / {TILE}) as int)"))
-    dealt = dealt.withColumn("own", F.expr("cast(pmod(xxhash64(class), tiles) as int)"))
+    held, most = sketch_plan(bits, tables, threshold)
+    coded = persist_table(_codes(classes.select("class", "n", "embedding"), bits, tables, held))
+    # one number names a bucket: length of the vectors, table, code
+    placed = coded.select("class", "s0", "s1", F.size("embedding").cast("long").alias("dims"), F.posexplode("codes").alias("table", "code")).select(
+        "class", "s0", "s1", F.expr("shiftleft(dims, 44) | shiftleft(cast(table as bigint), 30) | code").alias("bucket"))
+    buckets = placed.groupBy("bucket").agg(F.count("*").alias("rows")).filter("rows > 1")
+    dealt = placed.join(buckets, "bucket").withColumn("tiles", F.expr(f"cast(ceil(rows / {TILE}) as int)"))
+    whole = dealt.filter("tiles = 1").select("bucket", *[F.lit(0).alias(c) for c in ("i", "j", "side")], "class", "s0", "s1")
+    cut = dealt.filter("tiles > 1").withColumn("own", F.expr("cast(pmod(xxhash64(class), tiles) as int)"))
     to = F.explode(F.expr("""concat(
         transform(sequence(own, tiles - 1), t -> struct(own as i, t as j, 0 as side)),
         transform(filter(sequence(0, tiles - 1), t -> t < own), t -> struct(t as i, own as j, 1 as side)))"""))
-    groups = dealt.select("table", "code", "dims", "class", "n", "embedding", "codes", to.alias("to")).select(
-        "table", "code", "dims", "to.i", "to.j", "to.side", "class", "n", "embedding", "codes")
-    links = persist_table(_links(groups, threshold))
+    cut = cut.select("bucket", "class", "s0", "s1", to.alias("to")).select("bucket", "to.i", "to.j", "to.side", "class", "s0", "s1")
+    # a bucket that fits in a tile is compared where the join left it
+    partners = persist_table(_partners(whole.groupBy("bucket"), bits, held, most).unionByName(
+        _partners(cut.groupBy("bucket", "i", "j"), bits, held, most)))
+    links = persist_table(_links(partners.join(coded.select("class", "n", "embedding", "codes"), "class"), threshold))
     found = connected_components(links.select(F.col("class").alias("a"), F.col("parent").alias("b")))
     counts = links.groupBy("class").agg(F.sum("links").alias("links"))
 

@@ -1,6 +1,7 @@
 """The corpus operators on small tables with every odd case, against plain versions."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -350,6 +351,28 @@ def test_vectors_near_the_threshold(spark):
         assert sum(found[i] != n for i, n in plain.items()) == 0
 
 
+def test_vectors_of_any_magnitude(spark):
+    """Squares of these entries overflow or vanish; links are those of the same vectors near 1."""
+    rng = np.random.default_rng(33)
+    one = rng.standard_normal(12)
+    near = one + 0.05 * rng.standard_normal(12)
+    rows = [(1, one * 1e200), (2, near * 1e200), (3, one * 1e-200), (4, -near * 1e300), (5, near * 5e-320 / np.abs(near).max() * 1e8)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id long, embedding array<double>")
+    found = {r[0]: tuple(r)[1:] for r in vector_dedup.near_vectors(df).collect()}
+    assert found == {1: (3, 1, True), 2: (3, 1, False), 3: (3, 1, False), 4: (0, 4, True), 5: (3, 1, False)}
+
+
+@pytest.mark.parametrize("classes", [1, 1_000, 50_000, 10 ** 7, 10 ** 9])
+@pytest.mark.parametrize("threshold", [0.8, 0.95, 0.999])
+def test_sketches_keep_pairs_at_the_threshold(classes, threshold):
+    """A sketch holds whole codes in its bits, and its limit leaves at most the stated chance of a miss."""
+    bits, tables = vector_dedup.table_plan(classes, threshold)
+    held, most = vector_dedup.sketch_plan(bits, tables, threshold)
+    n, p = held * bits, math.acos(threshold) / math.pi
+    assert 0 < held <= tables and bits * -(-held // vector_dedup.SKETCHES) <= vector_dedup.SKETCH_BITS and tables < vector_dedup.TABLES
+    assert sum(math.comb(n, k) * p ** k * (1 - p) ** (n - k) for k in range(most + 1, n + 1)) <= vector_dedup.MISS
+
+
 def test_vectors_that_repeat_an_id(spark):
     rng = np.random.default_rng(31)
     one, other = rng.standard_normal((2, 16)).tolist()
