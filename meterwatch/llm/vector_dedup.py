@@ -31,7 +31,8 @@ TILE = 1024
 #: Classes that a bucket holds on average, and the chance to miss a pair just at the threshold in every table.
 PER_BUCKET, MISS = 512, 1e-9
 #: Numbers of a sketch and the bits used of each.
-SKETCHES, SKETCH_BITS = 2, 63
+SKETCHES, SKETCH_BITS = 3, 63
+SKETCH = [f"s{k}" for k in range(SKETCHES)]
 #: Tables that the number of a bucket has room for.
 TABLES = 1 << 14
 
@@ -70,7 +71,7 @@ def _scaled(embeddings: np.ndarray) -> np.ndarray:
 
 
 def _codes(classes: DataFrame, bits: int, tables: int, held: int) -> DataFrame:
-    """class, n, embedding, codes (array<int>, one of each table), s0 and s1 (the codes of the first ``held`` tables)."""
+    """class, n, embedding, codes (array<int>, one of each table), s0 to s2 (the codes of the first ``held`` tables)."""
     powers = 1 << np.arange(bits, dtype=np.int64)
     each = SKETCH_BITS // bits
 
@@ -83,10 +84,10 @@ def _codes(classes: DataFrame, bits: int, tables: int, held: int) -> DataFrame:
                 sketch = np.zeros((SKETCHES, len(same)), np.int64)
                 for t in range(held):
                     sketch[t // each] |= codes[:, t] << (t % each * bits)
-                yield same.assign(codes=list(codes.astype(np.int32)), s0=sketch[0], s1=sketch[1])
+                yield same.assign(codes=list(codes.astype(np.int32)), **dict(zip(SKETCH, sketch)))
 
     return classes.mapInPandas(run, f"class long, n long, embedding {classes.schema['embedding'].dataType.simpleString()}, "
-                                    "codes array<int>, s0 long, s1 long")
+                                    "codes array<int>, " + ", ".join(f"{s} long" for s in SKETCH))
 
 
 def _sides(side: np.ndarray, within: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +108,7 @@ def _partners(groups, bits: int, held: int, most: int) -> DataFrame:
         table = _table_of(g["bucket"][0].as_py())
         within = g["i"][0].as_py() == g["j"][0].as_py()
         left, right = _sides(g["side"].to_numpy(), within)
-        sketch = [g[s].to_numpy() for s in ("s0", "s1")]
+        sketch = [g[s].to_numpy() for s in SKETCH]
         apart = sum(np.bitwise_count(s[left][:, None] ^ s[right][None, :]) for s in sketch)
         a, b = np.nonzero(np.triu(apart <= most, 1) if within else apart <= most)
         a, b = left[a], right[b]
@@ -187,16 +188,16 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec
     held, most = sketch_plan(bits, tables, threshold)
     coded = persist_table(_codes(classes.select("class", "n", "embedding"), bits, tables, held))
     # one number names a bucket: length of the vectors, table, code
-    placed = coded.select("class", "s0", "s1", F.size("embedding").cast("long").alias("dims"), F.posexplode("codes").alias("table", "code")).select(
-        "class", "s0", "s1", F.expr("shiftleft(dims, 44) | shiftleft(cast(table as bigint), 30) | code").alias("bucket"))
+    placed = coded.select("class", *SKETCH, F.size("embedding").cast("long").alias("dims"), F.posexplode("codes").alias("table", "code")).select(
+        "class", *SKETCH, F.expr("shiftleft(dims, 44) | shiftleft(cast(table as bigint), 30) | code").alias("bucket"))
     buckets = placed.groupBy("bucket").agg(F.count("*").alias("rows")).filter("rows > 1")
     dealt = placed.join(buckets, "bucket").withColumn("tiles", F.expr(f"cast(ceil(rows / {TILE}) as int)"))
-    whole = dealt.filter("tiles = 1").select("bucket", *[F.lit(0).alias(c) for c in ("i", "j", "side")], "class", "s0", "s1")
+    whole = dealt.filter("tiles = 1").select("bucket", *[F.lit(0).alias(c) for c in ("i", "j", "side")], "class", *SKETCH)
     cut = dealt.filter("tiles > 1").withColumn("own", F.expr("cast(pmod(xxhash64(class), tiles) as int)"))
     to = F.explode(F.expr("""concat(
         transform(sequence(own, tiles - 1), t -> struct(own as i, t as j, 0 as side)),
         transform(filter(sequence(0, tiles - 1), t -> t < own), t -> struct(t as i, own as j, 1 as side)))"""))
-    cut = cut.select("bucket", "class", "s0", "s1", to.alias("to")).select("bucket", "to.i", "to.j", "to.side", "class", "s0", "s1")
+    cut = cut.select("bucket", "class", *SKETCH, to.alias("to")).select("bucket", "to.i", "to.j", "to.side", "class", *SKETCH)
     # a bucket that fits in a tile is compared where the join left it
     partners = persist_table(_partners(whole.groupBy("bucket"), bits, held, most).unionByName(
         _partners(cut.groupBy("bucket", "i", "j"), bits, held, most)))
