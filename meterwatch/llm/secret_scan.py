@@ -9,6 +9,7 @@ are verified with the rule's pattern. A rule without a mandatory trigram scans e
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,6 +42,8 @@ BASE_RULES = (
     Rule("hex", r"[0-9a-f]+", 0, 24),
 )
 
+#: Type of the spans of a text.
+SPANS = "array<struct<start:int,order:int,kind:string,end:int>>"
 #: A query is a set of alternatives; each is a set of trigrams that must all be there.
 Query = frozenset[frozenset[str]]
 #: Alternatives of a literal that are followed; beyond it the literal is cut, which only widens the candidates.
@@ -143,24 +146,47 @@ def candidates(index: DataFrame, queries: dict[str, Query]) -> DataFrame:
     return met.select("doc_id", "text_key", kinds.alias("kinds")).filter(F.size("kinds") > 0)
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once however often it is used."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _spans(rule: Rule, order: int) -> Column:
     """array<struct<start, order, kind, end>> of a rule's matches that are long enough, in code points.
 
-    Pieces between matches and matches, in turn, add up to the places.
+    Pieces between matches and matches, in turn, add up to the places. Matches are
+    walked in blocks of the square root of their number, as appending to an array copies it.
     """
-    between = F.split("text", rule.pattern, -1)
+    none = F.array().cast(SPANS)
     whole = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(0))
-    part = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group))
-    steps = F.zip_with(F.slice(between, 1, F.size(whole)), F.zip_with(whole, part, lambda w, p: F.struct(
-        F.char_length(w).alias("long"), F.char_length(p).alias("value"))), lambda gap, m: F.struct(
-            F.char_length(gap).alias("gap"), m["long"].alias("long"), m["value"].alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>").alias("out"))
-    walked = F.aggregate(steps, start, lambda acc, s: F.struct(
-        (acc["at"] + s["gap"] + s["long"]).alias("at"),
-        F.when(s["value"] >= rule.least, F.array_append(acc["out"], F.struct(
-            (acc["at"] + s["gap"]).alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"),
-            (acc["at"] + s["gap"] + s["long"]).alias("end")))).otherwise(acc["out"]).alias("out")))
-    return walked["out"]
+    value = F.regexp_extract_all("text", F.lit(rule.pattern), F.lit(rule.group)) if rule.group else F.array().cast("array<string>")
+    found = F.struct(F.split("text", rule.pattern, -1).alias("between"), whole.alias("whole"), value.alias("value"))
+
+    def steps(found: Column) -> Column:
+        lengths = F.zip_with(F.slice(found["between"], 1, F.size(found["whole"])), found["whole"], lambda gap, m: F.struct(
+            F.char_length(gap).alias("gap"), F.char_length(m).alias("long")))
+        if not rule.group:
+            return F.transform(lengths, lambda s: F.struct(s["gap"].alias("gap"), s["long"].alias("long"), s["long"].alias("value")))
+        return F.zip_with(lengths, found["value"], lambda s, v: F.struct(
+            s["gap"].alias("gap"), s["long"].alias("long"), F.char_length(v).alias("value")))
+
+    def walk(steps: Column) -> Column:
+        block = F.ceil(F.sqrt(F.size(steps))).cast("int")
+
+        def step(acc: Column, s: Column) -> Column:
+            start, end = acc["at"] + s["gap"], acc["at"] + s["gap"] + s["long"]
+            hit = F.struct(start.alias("start"), F.lit(order).alias("order"), F.lit(rule.kind).alias("kind"), end.alias("end"))
+            return F.struct(end.alias("at"), F.when(s["value"] >= rule.least, F.array_append(acc["out"], hit)).otherwise(acc["out"]).alias("out"))
+
+        def run(acc: Column, first: Column) -> Column:
+            return F.aggregate(F.slice(steps, first, block), F.struct(acc["at"].alias("at"), none.alias("out")), step,
+                               lambda r: F.struct(r["at"].alias("at"), F.array_append(acc["out"], r["out"]).alias("out")))
+
+        firsts = F.when(F.size(steps) > 0, F.sequence(F.lit(1), F.size(steps), F.greatest(block, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out"))
+        return F.aggregate(firsts, start, run, lambda acc: F.flatten(acc["out"]))
+
+    return _bound(found, lambda f: _bound(steps(f), walk))
 
 
 def _cheap_test(rule: Rule) -> str:
@@ -176,7 +202,8 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES, id_col:
     Spans of all rules by start, then by the order of the rules; leftmost matches
     that do not overlap within a rule, places in code points, end exclusive. NULL
     and empty texts have no spans; rows with a NULL id and repeated rows are
-    scanned like any other.
+    scanned like any other. A text is scanned whole however long it is; its spans are
+    one array, found in time near the number of its matches.
     """
     docs = keyed(docs, id_col, text_col)
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) is not None}
@@ -185,7 +212,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES, id_col:
         found = candidates(postings(docs, asked), queries).withColumnRenamed("doc_id", "found_id")
         docs = docs.join(found.withColumnRenamed("text_key", "found_key"), F.expr(
             "text_key = found_key and doc_id <=> found_id"), "left").select("doc_id", "text_key", "text", "kinds")
-    none = F.array().cast("array<struct<start:int,order:int,kind:string,end:int>>")
+    none = F.array().cast(SPANS)
     parts = []
     for k, rule in enumerate(rules):
         if rule.kind in queries:

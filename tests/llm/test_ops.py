@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -194,6 +195,16 @@ def test_secrets(docs, data, empty):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
+def test_secrets_in_a_text_of_many_hits(spark):
+    """32,000 hits of one text, with hits too short between them, against the plain version; time grows with their number."""
+    texts = {n: "".join(f"é{k} token={k:08x}{'' if k % 3 else ' ' + f'{k:025x}'} pass secret:ab\n" for k in range(n)) for n in (16, 100, 32_000)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    begun = time.monotonic()
+    found = {r["doc_id"]: r["spans"] for r in secret_scan.secret_digest(df).select("doc_id", "spans").collect()}
+    assert time.monotonic() - begun < 20
+    assert found == {n: brute.secrets(t) for n, t in texts.items()} and found[32_000].count(":") > 2 * 32_000
+
+
 def test_trigram_queries():
     query = secret_scan.trigram_query
     assert query(r"AKIA[A-Z0-9]+") == frozenset([frozenset(["aki", "kia"])])
