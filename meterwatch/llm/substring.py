@@ -128,7 +128,7 @@ def _contents(docs: DataFrame, owned: DataFrame, width: int) -> DataFrame:
 
 
 def _reports(units: DataFrame, width: int) -> DataFrame:
-    """unit, digest, offs, lens, docs: runs of windows that a smaller document holds, with that document."""
+    """number, unit, digest, offs, lens, docs: runs of windows that a smaller document holds, with that document."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for g in sorted_groups(batches, ["shard"]):
             texts = [c.split(b" ") for c in g["content"]]
@@ -137,7 +137,7 @@ def _reports(units: DataFrame, width: int) -> DataFrame:
             index = WindowIndex(coded, len(numbers) + 1, width)
             docs = g["doc_id"].astype(np.int64)
             smallest = index.smallest(docs)
-            out: dict[str, list] = {k: [] for k in ("unit", "digest", "offs", "lens", "docs")}
+            out: dict[str, list] = {k: [] for k in ("number", "unit", "digest", "offs", "lens", "docs")}
             for k, classes in enumerate(index.window_classes()):
                 first = smallest[classes]
                 at = np.flatnonzero(first < docs[k])
@@ -146,21 +146,22 @@ def _reports(units: DataFrame, width: int) -> DataFrame:
                 new = np.ones(len(at), bool)
                 new[1:] = (at[1:] != at[:-1] + 1) | (first[at[1:]] != first[at[:-1]])
                 begin = np.flatnonzero(new)
-                for name, v in zip(out, (g["unit"][k], g["digest"][k], at[begin].astype(np.int32),
+                for name, v in zip(out, (g["number"][k], g["unit"][k], g["digest"][k], at[begin].astype(np.int32),
                                          np.diff(np.append(begin, len(at))).astype(np.int32), first[at[begin]])):
                     out[name].append(v)
             yield pd.DataFrame(out)
 
-    return units.repartition("shard").sortWithinPartitions("shard", "unit", "digest").mapInPandas(
-        run, "unit long, digest long, offs array<int>, lens array<int>, docs array<long>")
+    return units.repartition("shard").sortWithinPartitions("shard", "unit", "number", "digest").mapInPandas(
+        run, "number long, unit long, digest long, offs array<int>, lens array<int>, docs array<long>")
 
 
 def repeated_passages(docs: DataFrame, width: int = 50, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, cuts): doc_id, text_key, n_words, kept_sha256 (of all words), and doc_id, text_key, spans of words to cut.
 
     ``spans`` (array<struct<at, n>>) are words covered by a window of ``width`` words whose
-    words also start in a document with a smaller id. Runs jobs when called and
-    writes intermediate tables.
+    words also start in a document with a smaller id. Segments count as equal if their
+    minimizer, length and digest are (two hashes of 64 bits); everything else is decided by the
+    words themselves. Runs jobs when called and writes intermediate tables.
     """
     docs = keyed(docs, id_col, text_col)
     cut = persist_table(_cut_documents(docs, width))
@@ -176,21 +177,23 @@ def repeated_passages(docs: DataFrame, width: int = 50, id_col: str = "doc_id",
     owned = owners.join(open_keys, "key")
     contents = persist_table(_contents(docs, owned, width))
 
-    whole = contents.filter("off < 0").select("unit", "digest", "doc_id", "content")
+    whole = contents.filter("off < 0").select(F.lit(-1).cast("long").alias("number"), "unit", "digest", "doc_id", "content")
     windows = contents.filter("off >= 0")
-    common = windows.groupBy("unit").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.min("content").alias("content")).filter("a < b")
-    # a common window is held by its smallest document and asked for by a larger one
-    common = common.select("unit", F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.lit(0).cast("long").alias("digest")),
-                                                     F.struct(F.col("b").alias("doc_id"), F.lit(1).cast("long").alias("digest")))).alias("u"), "content")
-    units = whole.unionByName(common.select("unit", "u.digest", "u.doc_id", "content"))
+    # windows are the same if their words are; the hash only deals them out. A common one is a number that is written down
+    common = windows.groupBy("unit", "content").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b")
+    common = persist_table(common.select(F.monotonically_increasing_id().alias("number"), "unit", "content", "a", "b"))
+    # it is held by its smallest document and asked for by a larger one
+    asked = common.select("number", "unit", F.explode(F.array(F.struct(F.col("a").alias("doc_id"), F.lit(0).cast("long").alias("digest")),
+                                                              F.struct(F.col("b").alias("doc_id"), F.lit(1).cast("long").alias("digest")))).alias("u"), "content")
+    units = whole.unionByName(asked.select("number", "unit", "u.digest", "u.doc_id", "content"))
     shards = max(1, contents.count() // PER_SHARD)
     units = units.withColumn("shard", F.pmod(F.xxhash64("unit"), F.lit(shards)).cast("int"))
     reports = persist_table(_reports(units, width))
 
-    runs = reports.join(open_keys.filter("not hot").select(F.col("key").alias("unit")), "unit", "left_semi").select(
+    runs = reports.filter("number < 0").join(open_keys.filter("not hot").select(F.col("key").alias("unit")), "unit", "left_semi").select(
         F.col("unit").alias("key"), "digest", F.expr("transform(arrays_zip(offs, lens), r -> struct(r.offs as at, r.lens as n))").alias("runs"))
-    first = reports.filter("digest = 1").select("unit", F.col("docs")[0].alias("first_doc"))
-    hot_runs = windows.join(first, "unit").filter("first_doc < doc_id").groupBy("key", "digest").agg(
+    first = reports.filter("number >= 0 and digest = 1").select("number", F.col("docs")[0].alias("first_doc")).join(common, "number")
+    hot_runs = windows.join(first.select("unit", "content", "first_doc"), ["unit", "content"]).filter("first_doc < doc_id").groupBy("key", "digest").agg(
         F.collect_list(F.struct(F.col("off").alias("at"), F.lit(1).alias("n"))).alias("runs"))
     found = owners.select("key", "digest", "count", F.col("doc_id").alias("owner")).join(
         runs.unionByName(hot_runs), ["key", "digest"], "left")

@@ -184,6 +184,15 @@ def test_passages(docs, data, empty, monkeypatch):
     assert {i: sha(t) for i, (t,) in texts.items()} == {i: x[2] for i, x in plain.items()}
 
 
+def test_passages_whose_window_hashes_clash(docs, data, monkeypatch):
+    """All windows of hot minimizers get one hash: their words still tell them apart."""
+    contents = substring._contents
+    monkeypatch.setattr(substring, "TOGETHER", 1)
+    monkeypatch.setattr(substring, "_contents", lambda *a: contents(*a).withColumn("unit", F.when(F.col("off") >= 0, 7).otherwise(F.col("unit"))))
+    found, _, _ = by_id(substring.passage_digest(docs), "n_words", "n_removed", "kept_sha256")
+    assert found == {i: (n, r, sha(t)) for i, (n, r, t) in brute.passages(data, 50).items()}
+
+
 def test_secrets(docs, data, empty):
     found, nulls, n = by_id(secret_scan.secret_digest(docs), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
     for i, t in data:
