@@ -117,7 +117,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple
     """(kind, part, slots) of the sampled rows, written down, and the share of toxic labels.
 
     Only rows outside of the held-out class are read; of them the first ones by a
-    hash of the id, ``MOST_POSITIVE`` toxic and ``MOST_UNLABELLED`` of any kind.
+    hash of the id, ``MOST_POSITIVE`` toxic and ``MOST_UNLABELLED`` of any kind. Of rows
+    that repeat an id, one is learned from: the one with the smallest hash of the text.
     """
     order = F.xxhash64("doc_id", F.lit(3))
     open_labels = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(label_col).alias("label")).filter(
@@ -133,8 +134,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str) -> tuple
         for b in batches:
             yield b[["kind", "part", "doc_id"]].assign(slots=[features(t) for t in b["text"]])
 
-    # at most MOST_POSITIVE + MOST_UNLABELLED ids
-    rows = docs.join(F.broadcast(chosen), "doc_id").select("kind", "part", "doc_id", "text")
+    # at most MOST_POSITIVE + MOST_UNLABELLED ids, and one text of each, however many rows repeat it
+    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("kind", "part", "doc_id").agg(
+        F.min(F.struct("text_key", "text")).alias("first")).select("kind", "part", "doc_id", "first.text")
     return persist_table(rows.mapInPandas(run, "kind int, part int, doc_id long, slots array<int>")), share
 
 
