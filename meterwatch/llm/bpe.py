@@ -35,8 +35,8 @@ _LETTER_OF = {b: c for c, b in byte_alphabet().items()}
 @lru_cache(maxsize=2)
 def _parts(path: str):
     tokenizer = load_tokenizer(path)
-    added = {t.content: k for k, t in tokenizer.get_added_tokens_decoder().items()}
-    return tokenizer, added, special_pattern(list(added))
+    tokens = tokenizer.get_added_tokens_decoder()
+    return tokenizer, {t.content: k for k, t in tokens.items()}, special_pattern(list(tokens.values()))
 
 
 def words_of(text: str, path: str) -> list[str]:

@@ -7,6 +7,7 @@ point), the library itself splits it.
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 
@@ -54,11 +55,22 @@ def word_pretokens(text: str, tokenizer) -> list[str]:
     return [text[i:j] for _, (i, j) in tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
 
-def split_special(text: str, pattern) -> list[str]:
+def split_special(text: str, special: tuple) -> list[str]:
     """Texts between special strings and those strings, in turn (odd places are special)."""
-    return pattern.split(text) if "<|" in text else [text]
-
-
-def special_pattern(names: list[str]):
-    """A pattern for ``split_special``; longer names first, as the library prefers the longest."""
-    return regex.compile("(" + "|".join(regex.escape(n) for n in sorted(names, key=len, reverse=True)) + ")") if names else regex.compile("((?!))")
+    start, pattern = special
+    return pattern.split(text) if start in text else [text]
+
+
+def special_pattern(tokens: list) -> tuple:
+    """What ``split_special`` looks for: the letters that all added tokens begin with, and their pattern.
+
+    Longer names come first, as the library prefers the longest. Added tokens that take
+    white space along, ask for word borders or are compared after normalising are an error.
+    """
+    for t in tokens:
+        if t.lstrip or t.rstrip or t.single_word or t.normalized:
+            raise ValueError(f"added token {t.content!r}: lstrip, rstrip, single_word and normalized are not supported")
+    names = sorted((t.content for t in tokens), key=len, reverse=True)
+    if not names:
+        return "", regex.compile("((?!))")
+    return os.path.commonprefix(names), regex.compile("(" + "|".join(map(regex.escape, names)) + ")")

@@ -63,7 +63,7 @@ class TokenCounter:
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.whole = whole_tokens(self.tokenizer)
-        self.special = special_pattern([t.content for t in self.tokenizer.get_added_tokens_decoder().values()])
+        self.special = special_pattern(list(self.tokenizer.get_added_tokens_decoder().values()))
         self.merged: dict[str, int] = {}
 
     def rest(self, pretoken: str) -> int:

@@ -1,6 +1,7 @@
 """The corpus operators on small tables with every odd case, against plain versions."""
 
 import hashlib
+import json
 import math
 import random
 import time
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from meterwatch.llm import (bpe, components, decontaminate, line_dedup, minhash, packing, pretokens, secret_scan, substring,
                             token_count, toxicity, vector_dedup)
+from meterwatch.llm.common import keyed
 from meterwatch.llm.queries import tokenizer_path
 from tests.llm import brute
 
@@ -193,6 +195,37 @@ def test_passages_whose_window_hashes_clash(docs, data, monkeypatch):
     assert found == {i: (n, r, sha(t)) for i, (n, r, t) in brute.passages(data, 50).items()}
 
 
+def test_added_tokens_of_other_files(spark, tmp_path):
+    """Special strings that begin with any letters are found as the library finds them; flags that are not kept are an error."""
+    with open(BYTE, encoding="utf-8") as f:
+        known = json.load(f)
+    plain = known["added_tokens"][0]
+    known["added_tokens"] += [{**plain, "id": 50_257 + k, "content": c} for k, c in enumerate(("<s>", "[MASK]", "<s>x"))]
+    path = tmp_path / "added.json"
+    path.write_text(json.dumps(known), encoding="utf-8")
+    texts = ["a<s>b", "[MASK] and [MASK", "<s><s>x<|endoftext|>", "none < s >", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["n_tokens"] for r in token_count.count_tokens(df, str(path)).collect()}
+    library = token_count.load_tokenizer(str(path))
+    assert found == {k: len(library.encode(t, add_special_tokens=False).ids) for k, t in enumerate(texts)}
+    known["added_tokens"][-1]["lstrip"] = True
+    path.write_text(json.dumps(known), encoding="utf-8")
+    with pytest.raises(ValueError):
+        pretokens.special_pattern(list(token_count.load_tokenizer(str(path)).get_added_tokens_decoder().values()))
+
+
+def test_toxicity_learns_one_text_of_an_id(spark):
+    """An id that repeats adds one row to the sample, the same one in any order."""
+    rows = [(k, f"word{k % 7} other{k % 3}") for k in range(1, 60)] + [(1, f"copy {k}") for k in range(500)]
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(1, 60)], "doc_id long, toxic int")
+    samples = []
+    for part in (2, 7):
+        docs = keyed(spark.createDataFrame(rows, "doc_id long, text string").repartition(part))
+        sample, _ = toxicity.training_sample(docs, labels, "toxic")
+        samples.append(sorted((r["kind"], r["doc_id"], *r["slots"]) for r in sample.collect()))
+    assert samples[0] == samples[1] and len({x[:2] for x in samples[0]}) == len(samples[0])
+
+
 def test_secrets(docs, data, empty):
     found, nulls, n = by_id(secret_scan.secret_digest(docs), "n_assign", "n_access", "n_hex", "base_sha256", "spans")
     for i, t in data:
