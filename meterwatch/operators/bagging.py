@@ -6,27 +6,34 @@ alone. Nodes with many rows are split level by level for all trees at once: task
 weighted labels per (node, bin), the driver picks the splits. A node whose rows fit in a task is
 sent to a task of its own, which grows what is below to the end; that is one job for the nodes
 of all trees. Depth has no bound unless one is asked for.
+
+What those tasks grow stays a table, one row per node they were given: the driver and every
+worker know the tops of the trees only, whatever the number of rows. To score, rows go to the
+parts that they reach, and their values come back by blocks of rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, field
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from meterwatch.operators.boosting import LOCAL_ROWS, TASK_ROWS, Bins, Tree, find_bins
-from meterwatch.session import persist_table
+from meterwatch.session import persist_table, spread
 
-#: Nodes whose sums a job holds at a time, nodes a task splits side by side, and nodes a forest may have.
+#: Nodes whose sums a job holds at a time, nodes a task splits side by side, and nodes that a part of a tree may have, as a task holds a part.
 JOB_NODES, CHUNK_NODES, MOST_NODES = 2_048, 256, 40_000_000
+#: Rows whose scores are put together at a time, and rows that go through a copy of a part.
+BLOCK_ROWS, VISIT_ROWS = 32_768, 1_000_000
 #: Upper ends of the shares of the weights 0, 1, 2, ... under a Poisson law with mean 1.
 _WEIGHTS = np.exp(-1) * np.cumsum([1, 1, 1 / 2, 1 / 6, 1 / 24, 1 / 120, 1 / 720, 1 / 5040])
 #: Numbers of ids, draws and paths are below this prime, so that any engine can compute with them in 64 bits.
@@ -163,42 +170,208 @@ def grow_to_the_end(x: np.ndarray, wy: np.ndarray, w: np.ndarray, path: int, dep
 
 # --- the forest on a cluster -------------------------------------------------
 
+#: A tree, or what is below a node of one, as columns of a table.
+NODES = "feature array<int>, cut array<int>, left array<int>, right array<int>, value array<double>"
+
+
+def _lists(tree: Tree) -> list[pa.Array]:
+    return [pa.array([np.asarray(getattr(tree, c), float if c == "value" else np.int32)], pa.list_(pa.float64() if c == "value" else pa.int32()))
+            for c in ("feature", "cut", "left", "right", "value")]
+
+
+def _tree_at(table: pa.Table | pa.RecordBatch, row: int) -> Tree:
+    return Tree(*(table.column(c)[row].values.to_numpy() for c in ("feature", "cut", "left", "right", "value")))
+
+
+def _narrow(bins: Bins) -> type:
+    """The type that bins travel in."""
+    return np.uint8 if max(bins.sizes, default=0) <= 1 << 8 else np.uint16 if max(bins.sizes) <= 1 << 16 else np.int32
+
+
+def _slots(tops: Sequence[Tree], places: Sequence[tuple[int, int]]) -> dict[int, np.ndarray]:
+    """By tree: the slot of each of its leaves that has a part, -1 for the others."""
+    named: dict[int, np.ndarray] = {}
+    for slot, (t, node) in enumerate(places):
+        named.setdefault(t, np.full(len(tops[t].feature), -1))[node] = slot
+    return named
+
+
+def _by_slot(slot: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each slot with the rows that are in it."""
+    order = np.argsort(slot, kind="stable")
+    order = order[np.searchsorted(slot[order], 0):]
+    found, starts = np.unique(slot[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, starts[1:]))
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches put together to tables of about ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(h.num_rows for h in held) >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
 @dataclass
 class ForestModel:
-    """Full trees and the bins that rows meet them in; the score is the mean of the leaves' shares."""
-    bins: Bins
-    trees: list[Tree]
+    """Trees of full depth and the bins that rows meet them in; the score is the mean of the leaves' shares.
 
-    def raw(self, x: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(x))
-        for t in self.trees:
-            out += np.asarray(t.value)[t.nodes(x, len(self.bins.numeric))]
-        return out / max(1, len(self.trees))
+    ``tops`` are the trees as far as their nodes have many rows; ``parts`` is a table (slot and
+    ``NODES``) of what is below the (tree, leaf) of ``places``, in order of the slots. It is
+    never brought to the driver or sent to all workers.
+    """
+    bins: Bins
+    tops: list[Tree]
+    places: list[tuple[int, int]] = field(default_factory=list)
+    parts: DataFrame | None = None
+
+    @property
+    def trees(self) -> list[Tree]:
+        """The whole trees in the driver, for a small forest."""
+        trees = list(self.tops)
+        if self.places:
+            size = self.parts.agg(F.sum(F.size("feature"))).first()[0]
+            if size > MOST_NODES:
+                raise ValueError(f"the forest has {size} nodes, too many for the driver")
+            for b in self.parts.orderBy("slot").toArrow().to_batches():  # MOST_NODES nodes at most
+                for j in range(b.num_rows):
+                    t, node = self.places[b.column("slot")[j].as_py()]
+                    trees[t] = _graft(trees[t], node, _tree_at(b, j))
+        return trees
 
     def score(self, df: DataFrame, out: str = "score") -> DataFrame:
-        """Share of label 1 next to the columns of ``df``; one pass, no shuffle."""
-        model = df.sparkSession.sparkContext.broadcast(self)  # at most MOST_NODES nodes
+        """Share of label 1 next to the columns of ``df``.
+
+        Writes ``df`` down once when called, with a number for each row, and counts the rows that
+        reach each part; parts that many rows reach are copied for groups of blocks.
+        """
+        bins, tops, numeric, trees = self.bins, self.tops, len(self.bins.numeric), len(self.tops)
+        final = StructType([*df.schema.fields, StructField(out, DoubleType())])
+        named = _slots(tops, self.places)
+        narrow = _narrow(bins)
+
+        def at_tops(x: np.ndarray, whole: Callable[[int], Iterator[tuple[np.ndarray, np.ndarray]]]) -> np.ndarray:
+            """Mean over the trees, always in their order; ``whole`` has (rows, values) that parts gave."""
+            total = np.zeros(len(x))
+            for t, top in enumerate(tops):
+                value = np.asarray(top.value)[top.nodes(x, numeric)]
+                for rows, found in whole(t):
+                    value[rows] = found
+                total += value
+            return total / max(1, trees)
+
+        def score_tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.append_column(out, pa.array(at_tops(bins.matrix(b), lambda t: iter(()))))
+
+        if not self.places:
+            return df.mapInArrow(score_tops, final)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first, n = TaskContext.get().partitionId() << 32, 0
             for b in batches:
-                yield b.append_column(out, pa.array(model.value.raw(model.value.bins.matrix(b))))
+                at = np.arange(n, n + b.num_rows)
+                n += b.num_rows
+                yield b.append_column("__block", pa.array(first + at // BLOCK_ROWS)).append_column("__at", pa.array((at % BLOCK_ROWS).astype(np.int32)))
 
-        return df.mapInArrow(run, StructType([*df.schema.fields, StructField(out, DoubleType())]))
+        numbered = "__block long, __at int"
+        placed = persist_table(spread(df).mapInArrow(number, StructType([*df.schema.fields, *StructType.fromDDL(numbered).fields])))
+        seen = placed.select("__block", "__at", *bins.numeric, *bins.categories)
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(places), np.int64)
+            for b in batches:
+                x = bins.matrix(b)
+                for t, slot_of in named.items():
+                    slot = slot_of[tops[t].nodes(x, numeric)]
+                    total += np.bincount(slot[slot >= 0], minlength=len(places))
+            reached = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(reached.astype(np.int32)), pa.array(total[reached])], names=["slot", "rows"])
+
+        places = self.places
+        reached = {r["slot"]: r["rows"] for r in seen.mapInArrow(count, "slot int, rows long").groupBy("slot").agg(F.sum("rows").alias("rows")).collect()}  # a row per part
+        copies = np.ones(len(places), np.int64)
+        for slot, rows in reached.items():
+            copies[slot] = -(-rows // VISIT_ROWS)
+
+        def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in _pieces(batches, BLOCK_ROWS):
+                x = bins.matrix(b).astype(narrow)
+                block, at = (b.column(c).to_numpy() for c in ("__block", "__at"))
+                for part in np.unique(block).tolist():
+                    here = np.flatnonzero(block == part)
+                    for t, slot_of in named.items():
+                        groups = list(_by_slot(slot_of[tops[t].nodes(x[here], numeric)]))
+                        if groups:
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([s for s, _ in groups], pa.int32()), pa.array([part % int(copies[s]) for s, _ in groups], pa.int32()),
+                                 pa.array([part] * len(groups), pa.int64()), pa.array([at[here[r]].tobytes() for _, r in groups], pa.binary()),
+                                 pa.array([x[here[r]].tobytes() for _, r in groups], pa.binary())], names=["slot", "copy", "block", "rows", "x"])
+
+        def visit(sent: pa.Table, part: pa.Table) -> pa.Table:
+            if sent.num_rows == 0:
+                return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.binary(), pa.binary())], names=["block", "tree", "rows", "found"])
+            tree = _tree_at(part, 0)
+            value, found = np.asarray(tree.value), []
+            for raw in sent.column("x"):
+                x = np.frombuffer(raw.as_buffer(), narrow).reshape(-1, len(bins.sizes))
+                found.append(value[tree.nodes(x, numeric)].tobytes())
+            t = places[part.column("slot")[0].as_py()][0]
+            return pa.table([sent.column("block"), pa.array([t] * sent.num_rows, pa.int32()), sent.column("rows"), pa.array(found, pa.binary())],
+                            names=["block", "tree", "rows", "found"])
+
+        def gather(rows: pa.Table, given: pa.Table) -> pa.Table:
+            rows = rows.sort_by("__at").combine_chunks()
+            place = np.full(BLOCK_ROWS, -1)
+            place[rows.column("__at").to_numpy()] = np.arange(rows.num_rows)
+            by_tree: dict[int, list[int]] = {}
+            for j, t in enumerate(given.column("tree").to_pylist()):
+                by_tree.setdefault(t, []).append(j)
+
+            def whole(t: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                for j in by_tree.get(t, []):
+                    yield (place[np.frombuffer(given.column("rows")[j].as_buffer(), np.int32)], np.frombuffer(given.column("found")[j].as_buffer(), float))
+
+            x = bins.matrix(rows)
+            return rows.select(list(range(rows.num_columns - 2))).append_column(out, pa.array(at_tops(x, whole)))
+
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        tasks = min(int(copies.sum()), max(4 * cores, sum(reached.values()) // VISIT_ROWS))
+        often = pa.table({"slot": pa.array(range(len(copies)), pa.int32()), "copies": pa.array(copies.astype(np.int32))})
+        parts = self.parts.join(F.broadcast(df.sparkSession.createDataFrame(often)), "slot").withColumn(
+            "copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+        sent = seen.mapInArrow(send, "slot int, copy int, block long, rows binary, x binary").repartition(tasks, "slot", "copy")
+        given = sent.groupBy("slot", "copy").cogroup(parts.repartition(tasks, "slot", "copy").groupBy("slot", "copy")).applyInArrow(
+            visit, "block long, tree int, rows binary, found binary")
+        blocks = max(cores, placed.rdd.getNumPartitions())
+        return placed.repartition(blocks, "__block").groupBy("__block").cogroup(
+            given.withColumnRenamed("block", "__block").repartition(blocks, "__block").groupBy("__block")).applyInArrow(gather, final)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """One row per tree; the bins stand in each."""
-        bins = json.dumps(vars(self.bins))
-        columns = {"number": list(range(len(self.trees))), "bins": [bins] * len(self.trees)}
-        for name in ("feature", "cut", "left", "right", "value"):
-            columns[name] = pa.array([np.asarray(getattr(t, name), float if name == "value" else np.int32) for t in self.trees])
-        spark.createDataFrame(pa.table(columns)).write.mode("overwrite").parquet(path)
+        """One row per tree with its top and the bins, and one per part."""
+        tops = pa.table([pa.array(range(len(self.tops)), pa.int32()), *[pa.concat_arrays(c) for c in zip(*[_lists(t) for t in self.tops])]],
+                        names=["tree", "feature", "cut", "left", "right", "value"]) if self.tops else None
+        rows = spark.createDataFrame(tops) if tops else spark.createDataFrame([], f"tree int, {NODES}")
+        rows = rows.select(F.lit(-1).alias("slot"), "tree", F.lit(-1).alias("node"), *rows.columns[1:], F.lit(json.dumps(vars(self.bins))).alias("bins"))
+        if self.places:
+            slots = pa.table({"slot": pa.array(range(len(self.places)), pa.int32()), "tree": pa.array([t for t, _ in self.places], pa.int32()),
+                              "node": pa.array([n for _, n in self.places], pa.int32())})
+            named = self.parts.join(F.broadcast(spark.createDataFrame(slots)), "slot")
+            rows = rows.unionByName(named.withColumn("bins", F.lit(None).cast("string")).select(*rows.columns))
+        rows.write.mode("overwrite").parquet(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> ForestModel:
-        table = spark.read.parquet(path).orderBy("number").toArrow()
-        flat = lambda name, k: table.column(name)[k].values.to_numpy()
-        trees = [Tree(*(flat(name, k) for name in ("feature", "cut", "left", "right", "value"))) for k in range(table.num_rows)]
-        return ForestModel(Bins(**json.loads(table.column("bins")[0].as_py())), trees)
+        rows = spark.read.parquet(path)
+        tops = rows.filter("slot < 0").orderBy("tree").toArrow().combine_chunks()
+        places = [(r["tree"], r["node"]) for r in rows.filter("slot >= 0").select("slot", "tree", "node").orderBy("slot").collect()]
+        trees = [_tree_at(tops, k) for k in range(tops.num_rows)]
+        bins = Bins(**json.loads(tops.column("bins")[0].as_py())) if trees else Bins([], [], [], [])
+        return ForestModel(bins, trees, places, rows.filter("slot >= 0").select("slot", "feature", "cut", "left", "right", "value") if places else None)
 
 
 def _rows(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -243,37 +416,37 @@ def _level(binned: DataFrame, trees: list[Tree], wanted: list[tuple[int, int]],
 
 
 def _finish(binned: DataFrame, trees: list[Tree], small: list[tuple[int, int, int, int]], bins: Bins, bag: Bagging, rows: int) -> DataFrame:
-    """slot, feature, cut, left, right, value: the tree below each (tree, node, path, depth) of ``small``."""
-    numeric = len(bins.numeric)
-    named: dict[int, np.ndarray] = {}
-    for slot, (t, node, _, _) in enumerate(small):
-        named.setdefault(t, np.full(len(trees[t].feature), -1))[node] = slot
+    """slot and ``NODES``: the tree below each (tree, node, path, depth) of ``small``. Rows travel as bytes, those of a batch in a slot together."""
+    numeric, narrow = len(bins.numeric), _narrow(bins)
+    named = _slots(trees, [(t, node) for t, node, _, _ in small])
     used = {t: trees[t] for t in named}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _pieces(batches, BLOCK_ROWS):
             label, h, x = _rows(b)
+            x = x.astype(narrow)
             for t, slot_of in named.items():
-                slot, w = slot_of[used[t].nodes(x, numeric)], bag_weights(h, bag.seed, t)
-                keep = (slot >= 0) & (w > 0)
-                columns = [slot[keep].astype(np.int32), w[keep].astype(np.int32), (w * label)[keep].astype(np.int32), *x[keep].T]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["slot", "w", "wy", *[f"b{j}" for j in range(x.shape[1])]])
+                w = bag_weights(h, bag.seed, t)
+                groups = list(_by_slot(np.where(w > 0, slot_of[used[t].nodes(x, numeric)], -1)))
+                if groups:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([s for s, _ in groups], pa.int32()), pa.array([w[r].astype(np.uint8).tobytes() for _, r in groups], pa.binary()),
+                         pa.array([label[r].astype(np.uint8).tobytes() for _, r in groups], pa.binary()),
+                         pa.array([x[r].tobytes() for _, r in groups], pa.binary())], names=["slot", "w", "y", "x"])
 
     def grow(table: pa.Table) -> pa.Table:
         slot = table.column("slot")[0].as_py()
-        w, wy = (table.column(c).to_numpy().astype(float) for c in ("w", "wy"))
-        x = np.stack([c.to_numpy() for c in table.columns[3:]], axis=1)
+        joined = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
+        w = joined("w", np.uint8).astype(float)
+        wy, x = w * joined("y", np.uint8), joined("x", narrow).reshape(-1, len(bins.sizes)).astype(np.int32)
         _, _, path, depth = small[slot]
         tree = grow_to_the_end(x, wy, w, path, None if bag.depth is None else bag.depth - depth, bins, bag)
-        lists = [pa.array([np.asarray(getattr(tree, c), np.int32)]) for c in ("feature", "cut", "left", "right")]
-        return pa.table([pa.array([slot], pa.int32()), *lists, pa.array([np.asarray(tree.value, float)])],
-                        names=["slot", "feature", "cut", "left", "right", "value"])
+        return pa.table([pa.array([slot], pa.int32()), *_lists(tree)], names=["slot", "feature", "cut", "left", "right", "value"])
 
     cores = binned.sparkSession.sparkContext.defaultParallelism
     tasks = min(len(small), max(4 * cores, rows * len(named) // TASK_ROWS))
-    schema = "slot int, w int, wy int" + "".join(f", b{j} int" for j in range(len(bins.sizes)))
-    sent = binned.mapInArrow(send, schema).repartition(tasks, "slot")
-    return sent.groupBy("slot").applyInArrow(grow, "slot int, feature array<int>, cut array<int>, left array<int>, right array<int>, value array<double>")
+    sent = binned.mapInArrow(send, "slot int, w binary, y binary, x binary").repartition(tasks, "slot")
+    return sent.groupBy("slot").applyInArrow(grow, f"slot int, {NODES}")
 
 
 def _graft(tree: Tree, node: int, part: Tree) -> Tree:
@@ -295,9 +468,10 @@ def fit_forest(df: DataFrame, bag: Bagging, numeric: Sequence[str], categories:
 
     Rows without a label are left out; missing numbers count as 0, missing categories are a
     category. Weights follow the hash of ``id_cols`` (all columns if not given), so rows that
-    repeat them are drawn together. Without rows the score is 0. A forest is kept in the
-    driver and broadcast, so one of more than ``MOST_NODES`` nodes is an error that asks
-    for a larger ``min_rows``. Runs jobs when called: two tables are written.
+    repeat them are drawn together. Without rows the score is 0. A part of a tree has less than
+    twice as many nodes as rows; one of more than ``MOST_NODES`` would not fit in a task and is an
+    error that asks for a larger ``min_rows``. Runs jobs when called: three tables are written, the
+    last of which is the forest and stays where intermediate tables are unless it is saved.
     """
     columns = list(dict.fromkeys([*numeric, *categories, label, *id_cols]))
     rows = persist_table(df.select(*columns).filter(F.col(label).isNotNull()).fillna(0.0, subset=list(numeric)))
@@ -341,12 +515,8 @@ def fit_forest(df: DataFrame, bag: Bagging, numeric: Sequence[str], categories:
         large = deeper
     if small:
         parts = persist_table(_finish(binned, trees, small, bins, bag, n))
-        size = parts.agg(F.sum(F.size("feature"))).first()[0]
+        size = parts.agg(F.max(F.size("feature"))).first()[0]
         if size > MOST_NODES:
-            raise ValueError(f"the forest has {size} nodes; a larger min_rows makes it smaller")
-        for b in parts.orderBy("slot").toArrow().to_batches():  # MOST_NODES nodes at most
-            for j in range(b.num_rows):
-                t, node, _, _ = small[b.column("slot")[j].as_py()]
-                part = Tree(*(b.column(c)[j].values.to_numpy() for c in ("feature", "cut", "left", "right", "value")))
-                trees[t] = _graft(trees[t], node, part)
+            raise ValueError(f"a part of the forest has {size} nodes; a larger min_rows makes it smaller")
+        return ForestModel(bins, trees, [(t, node) for t, node, _, _ in small], parts)
     return ForestModel(bins, trees)

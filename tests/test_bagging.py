@@ -97,3 +97,21 @@ def test_full_depth_fits_what_it_saw(spark, table):
     model = G.fit_forest(table, G.Bagging(trees=40), ["a", "b"], ["c"], "y", ["id"])
     assert B.roc_auc(model.score(table), "y", "score").first()["auc"] > 0.97
     assert max(len(p) for t in model.trees for p in as_paths(t)) > 12
+
+
+@pytest.mark.parametrize("local", [10 ** 6, 60])
+def test_workers_hold_no_whole_forest(spark, table, monkeypatch, local):
+    """The driver keeps the tops only; rows that go to the parts of the trees get the scores that the whole trees give."""
+    monkeypatch.setattr(G, "LOCAL_ROWS", local)
+    monkeypatch.setattr(G, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(G, "VISIT_ROWS", 50)
+    model = G.fit_forest(table, G.Bagging(trees=5), ["a", "b"], ["c"], "y", ["id"])
+    trees = model.trees
+    held = sum(len(t.feature) for t in model.tops)
+    assert held == 5 if local > 300 else held < sum(len(t.feature) for t in trees) / 2
+    rows = sorted(table.collect())
+    x = np.array([[np.searchsorted(model.bins.cuts[0], r.a), np.searchsorted(model.bins.cuts[1], r.b), model.bins.values[0].index(r.c)] for r in rows])
+    want = sum(np.asarray(t.value)[t.nodes(x, 2)] for t in trees) / 5
+    scored = model.score(table)
+    assert scored.columns == [*table.columns, "score"]
+    assert {r.id: r.score for r in scored.collect()} == dict(zip([r.id for r in rows], want.tolist()))
