@@ -13,6 +13,17 @@ def fixed(col: Column, digits: int = 6) -> Column:
     return F.round(col, digits) + F.lit(0.0)
 
 
+def exact_sum(col: Column) -> Column:
+    """Sum of amounts of up to six decimals, the same in whatever order the rows come."""
+    return F.sum(col.cast("decimal(28,6)")).cast("double")
+
+
+def ordered_mean(col: Column) -> Column:
+    """Mean of the values of a group that fits in a row, added from the smallest up, so that equal groups have equal means."""
+    values = F.array_sort(F.collect_list(col.cast("double")))
+    return F.try_divide(F.aggregate(values, F.lit(0.0), lambda s, x: s + x), F.size(values).cast("double"))
+
+
 def month_start(year: Column, month: Column) -> Column:
     return F.make_date(year, month, F.lit(1))
 

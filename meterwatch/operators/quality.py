@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterwatch.functions.scalar import ordered_mean
 from meterwatch.operators.ordering import exact_quantiles
 from meterwatch.operators.relational import drop_ids
 from meterwatch.operators.series import interpolate
@@ -78,9 +79,14 @@ def exclude_recent(
 def exclude_high(
     df: DataFrame, class_col: str, quantile: float = 0.95, id_col: str = "series_id", value: str = "value",
 ) -> DataFrame:
-    """Drop clients whose mean is above the quantile of their class."""
-    means = (df.filter(F.col(class_col).isNotNull())
-             .groupBy(class_col, id_col).agg(F.avg(value).alias("__mean")))
+    """Drop clients whose mean is above the quantile of their class.
+
+    The cut is often a client's own mean, or one that many clients share, so means do not
+    depend on the order of the rows and are written down once, when this is called: computed twice,
+    they could differ in the last digit and drop a client that is not above.
+    """
+    means = persist_table(df.filter(F.col(class_col).isNotNull())
+                          .groupBy(class_col, id_col).agg(ordered_mean(F.col(value)).alias("__mean")))
     cuts = exact_quantiles(means, "__mean", {"__cut": quantile}, [class_col])
     high = means.join(cuts, [class_col]).filter(F.col("__mean") > F.col("__cut")).select(id_col)
     return drop_ids(df, high, [id_col])

@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterwatch.functions.scalar import exact_sum
+
 SQL_VIEWS = {
     # monthly panel: one series per supplier
     "fx_panel": """
@@ -131,7 +133,7 @@ class Views:
     def group_panel(self) -> DataFrame:
         # aggregate by customer and year before the dimension joins
         spend = self.t("orders").groupBy("o_custkey", F.year("o_orderdate").alias("period")).agg(
-            F.sum("o_totalprice").alias("value"))
+            exact_sum(F.col("o_totalprice")).alias("value"))
         return (spend.join(self.t("customer"), F.col("o_custkey") == F.col("c_custkey"))
                 .join(self._regions(), F.col("c_nationkey") == F.col("n_nationkey"))
                 .select(F.col("o_custkey").alias("series_id"), "period", F.col("c_mktsegment").alias("category"),
