@@ -106,9 +106,11 @@ def normalise_b(address: Column, city: str = DEFAULT_CITY_B, country: str = DEFA
 
 
 def with_fallback(official: Column, installed: Column, city: str = DEFAULT_CITY_B) -> tuple[Column, Column]:
-    """(address, source): official, else installation, else failed."""
-    first, second = normalise_b(official, city), normalise_b(installed, city)
+    """(address, source): official, else installation, else failed.
+
+    A text is cleaned to NULL only if it is NULL, so the source needs no cleaning.
+    """
     # fixed values: names of the sources
-    source = (F.when(first.isNotNull(), "direccion_oficial")
-              .when(second.isNotNull(), "instalacion").otherwise("fallido"))
-    return F.coalesce(first, second), source
+    source = (F.when(official.isNotNull(), "direccion_oficial")
+              .when(installed.isNotNull(), "instalacion").otherwise("fallido"))
+    return F.coalesce(normalise_b(official, city), normalise_b(installed, city)), source

@@ -17,7 +17,7 @@ from meterwatch.operators import relational as R
 from meterwatch.operators.ordering import arg_best, global_rank, top_k
 from meterwatch.plans.registry import query, r
 from meterwatch.plans.views import Views
-from meterwatch.session import shared_folder
+from meterwatch.session import shared_folder, spread
 from meterwatch.sources import readers, stages, writers
 
 PANEL_SQL = f"select series_id, period, {r('value')} as value from fx_panel"
@@ -382,9 +382,18 @@ ADDRESS_CTES = {"official": NORMAL_SQL.format("official"), "installed": NORMAL_S
                 "resolved": RESOLVED_SQL}
 
 
-def _resolved(v: Views) -> DataFrame:
+def _resolved(v: Views, ids: DataFrame | None = None) -> DataFrame:
+    """Addresses of all clients, or of ``ids``, dealt to all cores: cleaning is heavy per row and the table may be one small file."""
     address, source = A.with_fallback(F.col("official"), F.col("installed"))
-    return v.address().select("series_id", address.alias("address"), source.alias("source"))
+    rows = v.address() if ids is None else R.keep_ids(v.address(), ids, ["series_id"])
+    return (spread(rows) if ids is None else rows).select("series_id", address.alias("address"), source.alias("source"))
+
+
+def _coordinates(v: Views) -> DataFrame:
+    """One place per cleaned official address; equal texts are put together before they are cleaned."""
+    texts = v.address().filter("official is not null").groupBy("official").agg(F.min("series_id").alias("first"), F.max("series_id").alias("last"))
+    ends = spread(texts, "official").groupBy(A.normalise_b(F.col("official")).alias("address")).agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return ends.select("address", (F.col("first").cast("double") / 100).alias("lat"), (-F.col("last").cast("double") / 100).alias("lon"))
 
 
 @query("address_fallback", "select * from resolved", ctes=ADDRESS_CTES)
@@ -479,10 +488,7 @@ COORDINATES_SQL = """
     from resolved r left join coordinates c on r.address = c.address group by 1""",
        ctes={**ADDRESS_CTES, "coordinates": COORDINATES_SQL})
 def coord_joinback(v: Views) -> DataFrame:
-    resolved = _resolved(v)
-    coordinates = resolved.filter("source = 'direccion_oficial'").groupBy("address").agg(
-        (F.min("series_id").cast("double") / 100).alias("lat"), (-F.max("series_id").cast("double") / 100).alias("lon"))
-    located = resolved.join(coordinates, "address", "left")
+    located = _resolved(v).join(_coordinates(v), "address", "left")
     return located.groupBy("source").agg(F.count(F.lit(1)).alias("clients"), F.count_if(F.col("lat").isNull()).alias("missing"))
 
 
@@ -810,11 +816,8 @@ def clients_by_category(v: Views) -> DataFrame:
     where r.series_id in (select series_id from fx_ranking where detector = 'balance' order by score desc, series_id limit 500)""",
        ctes={**ADDRESS_CTES, "coordinates": COORDINATES_SQL})
 def coverage_kpi(v: Views) -> DataFrame:
-    resolved = _resolved(v)
-    coordinates = resolved.filter("source = 'direccion_oficial'").groupBy("address").agg(
-        (F.min("series_id").cast("double") / 100).alias("lat"), (-F.max("series_id").cast("double") / 100).alias("lon"))
     top = top_k(v.ranking().filter("detector = 'balance'"), 500, [F.desc("score"), F.asc("series_id")])
-    return R.coverage(R.keep_ids(resolved, top, ["series_id"]).join(coordinates, "address", "left"))
+    return R.coverage(_resolved(v, top).join(_coordinates(v), "address", "left"))
 
 
 @query("base_rate", f"""

@@ -426,3 +426,22 @@ def test_intermediate_tables_go_to_the_folder_of_the_cluster(spark):
     assert shared_folder(spark).startswith(base)
     kept = persist_table(spark.range(3))
     assert all(base in f for f in kept.inputFiles()) and kept.count() == 3
+
+
+def test_clients_with_equal_values_share_the_cut(rows):
+    """Means that are equal but for the order of the readings are equal, so nobody is above the cut."""
+    turns = ([0.1, 0.2, 0.3], [0.3, 0.2, 0.1], [0.2, 0.3, 0.1])
+    df = rows("series_id long, value double, cls string", [(i, x, "r") for i in range(30) for x in turns[i % 3]]).coalesce(1)
+    assert Q.exclude_high(df, "cls", 0.5).count() == df.count()
+    sums = df.groupBy("series_id").agg(S.exact_sum(F.col("value")).alias("s"), S.ordered_mean(F.col("value")).alias("m"))
+    assert {(r.s, r.m) for r in sums.collect()} == {(0.6, (0.1 + 0.2 + 0.3) / 3)}
+    assert rows("value double", [(None,), (None,)]).agg(S.ordered_mean(F.col("value")).alias("m")).first()["m"] is None
+
+
+def test_the_source_of_an_address_needs_no_cleaning(rows):
+    df = rows("a string, b string", [("CL 1 2 - 3", "x"), ("", None), ("APTO", "K 1"), (None, "K 01 2 - 3 APTO 4"), (None, "  "), (None, None)])
+    address, source = A.with_fallback(F.col("a"), F.col("b"))
+    assert "regexp" not in df.select(source.alias("s"))._jdf.queryExecution().optimizedPlan().toString().lower()
+    found = df.select(address.alias("t"), source.alias("s")).collect()
+    assert [r.s for r in found] == ["direccion_oficial"] * 3 + ["instalacion"] * 2 + ["fallido"]
+    assert [r.t is None for r in found] == [False] * 5 + [True]
