@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from meterwatch.operators.boosting import LOCAL_ROWS, TASK_ROWS, Bins, Tree, find_bins
+from meterwatch.operators.boosting import LOCAL_ROWS, TASK_ROWS, Bins, Tree, by_slot, find_bins, narrowest, pieces
 from meterwatch.session import persist_table, spread
 
 #: Nodes whose sums a job holds at a time, nodes a task splits side by side, and nodes that a part of a tree may have, as a task holds a part.
@@ -183,11 +183,6 @@ def _tree_at(table: pa.Table | pa.RecordBatch, row: int) -> Tree:
     return Tree(*(table.column(c)[row].values.to_numpy() for c in ("feature", "cut", "left", "right", "value")))
 
 
-def _narrow(bins: Bins) -> type:
-    """The type that bins travel in."""
-    return np.uint8 if max(bins.sizes, default=0) <= 1 << 8 else np.uint16 if max(bins.sizes) <= 1 << 16 else np.int32
-
-
 def _slots(tops: Sequence[Tree], places: Sequence[tuple[int, int]]) -> dict[int, np.ndarray]:
     """By tree: the slot of each of its leaves that has a part, -1 for the others."""
     named: dict[int, np.ndarray] = {}
@@ -196,26 +191,6 @@ def _slots(tops: Sequence[Tree], places: Sequence[tuple[int, int]]) -> dict[int,
     return named
 
 
-def _by_slot(slot: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Each slot with the rows that are in it."""
-    order = np.argsort(slot, kind="stable")
-    order = order[np.searchsorted(slot[order], 0):]
-    found, starts = np.unique(slot[order], return_index=True)
-    yield from zip(found.tolist(), np.split(order, starts[1:]))
-
-
-def _pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
-    """The batches put together to tables of about ``rows`` rows."""
-    held: list[pa.RecordBatch] = []
-    for b in batches:
-        held.append(b)
-        if sum(h.num_rows for h in held) >= rows:
-            yield pa.Table.from_batches(held).combine_chunks()
-            held = []
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 @dataclass
 class ForestModel:
     """Trees of full depth and the bins that rows meet them in; the score is the mean of the leaves' shares.
@@ -252,7 +227,7 @@ class ForestModel:
         bins, tops, numeric, trees = self.bins, self.tops, len(self.bins.numeric), len(self.tops)
         final = StructType([*df.schema.fields, StructField(out, DoubleType())])
         named = _slots(tops, self.places)
-        narrow = _narrow(bins)
+        narrow = narrowest(bins)
 
         def at_tops(x: np.ndarray, whole: Callable[[int], Iterator[tuple[np.ndarray, np.ndarray]]]) -> np.ndarray:
             """Mean over the trees, always in their order; ``whole`` has (rows, values) that parts gave."""
@@ -299,13 +274,13 @@ class ForestModel:
             copies[slot] = -(-rows // VISIT_ROWS)
 
         def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in _pieces(batches, BLOCK_ROWS):
+            for b in pieces(batches, BLOCK_ROWS):
                 x = bins.matrix(b).astype(narrow)
                 block, at = (b.column(c).to_numpy() for c in ("__block", "__at"))
                 for part in np.unique(block).tolist():
                     here = np.flatnonzero(block == part)
                     for t, slot_of in named.items():
-                        groups = list(_by_slot(slot_of[tops[t].nodes(x[here], numeric)]))
+                        groups = list(by_slot(slot_of[tops[t].nodes(x[here], numeric)]))
                         if groups:
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array([s for s, _ in groups], pa.int32()), pa.array([part % int(copies[s]) for s, _ in groups], pa.int32()),
@@ -417,17 +392,17 @@ def _level(binned: DataFrame, trees: list[Tree], wanted: list[tuple[int, int]],
 
 def _finish(binned: DataFrame, trees: list[Tree], small: list[tuple[int, int, int, int]], bins: Bins, bag: Bagging, rows: int) -> DataFrame:
     """slot and ``NODES``: the tree below each (tree, node, path, depth) of ``small``. Rows travel as bytes, those of a batch in a slot together."""
-    numeric, narrow = len(bins.numeric), _narrow(bins)
+    numeric, narrow = len(bins.numeric), narrowest(bins)
     named = _slots(trees, [(t, node) for t, node, _, _ in small])
     used = {t: trees[t] for t in named}
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _pieces(batches, BLOCK_ROWS):
+        for b in pieces(batches, BLOCK_ROWS):
             label, h, x = _rows(b)
             x = x.astype(narrow)
             for t, slot_of in named.items():
                 w = bag_weights(h, bag.seed, t)
-                groups = list(_by_slot(np.where(w > 0, slot_of[used[t].nodes(x, numeric)], -1)))
+                groups = list(by_slot(np.where(w > 0, slot_of[used[t].nodes(x, numeric)], -1)))
                 if groups:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([s for s, _ in groups], pa.int32()), pa.array([w[r].astype(np.uint8).tobytes() for _, r in groups], pa.binary()),

@@ -1,7 +1,9 @@
 """Boosted trees on histograms of one binned table, whatever its size.
 
-Numbers become bins once, at cut points of a bounded sample, categories become their code, and
-the binned table is written down. Nodes of a tree with many rows are split level by level, one
+Numbers become bins once, at cut points of a bounded sample, categories become their code, rows
+that are equal in all bins become one with its rows and its labels counted, as they have the same
+score, and the binned table is written down, many rows to a record, so that the jobs of a tree
+read a few arrays. Nodes of a tree with many rows are split level by level, one
 job each: every task sums gradients, curvatures and rows of its partition per (node, bin) in
 numpy, partial histograms are summed per node, and the driver chooses the splits from sums whose
 size depends on bins and nodes, never on rows. Of two sister nodes only the smaller one is
@@ -35,6 +37,8 @@ from meterwatch.session import persist_table
 
 #: Rows that cut points are taken from, rows of the binned table in a task, and rows of a node that one task grows on.
 CUT_ROWS, TASK_ROWS, LOCAL_ROWS = 100_000, 250_000, 100_000
+#: Rows in a record of the binned table, and partial histograms that the driver adds up without a shuffle.
+PACK_ROWS, FEW_PARTS = 32_768, 64
 #: Trees after which the scores of the rows are written anew.
 FLUSH = 10
 #: Gradients are whole multiples of one part in this.
@@ -180,23 +184,62 @@ def find_bins(rows: DataFrame, count: int, numeric: Sequence[str], categories: S
     return Bins(list(numeric), cuts, list(categories), values)
 
 
-def _binned(rows: DataFrame, bins: Bins, label: str, base: float, tasks: int) -> DataFrame:
-    """label, score, b0, b1, ...: written down once."""
-    k = len(bins.sizes)
+def narrowest(bins: Bins) -> type:
+    """The type that bins travel in."""
+    return np.uint8 if max(bins.sizes, default=0) <= 1 << 8 else np.uint16 if max(bins.sizes) <= 1 << 16 else np.int32
+
+
+def by_slot(slot: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Each slot with the rows that are in it."""
+    order = np.argsort(slot, kind="stable")
+    order = order[np.searchsorted(slot[order], 0):]
+    found, starts = np.unique(slot[order], return_index=True)
+    yield from zip(found.tolist(), np.split(order, starts[1:]))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches put together to tables of about ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(h.num_rows for h in held) >= rows:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _cells(rows: DataFrame, bins: Bins, label: str) -> DataFrame:
+    """ones, rows, b0, b1, ...: one row for all that are equal in every bin; written down once."""
+    names = [f"b{j}" for j in range(len(bins.sizes))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = bins.matrix(b)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(label).cast(pa.float64()), pa.array(np.full(len(x), base)), *[pa.array(x[:, j]) for j in range(k)]],
-                names=["label", "score", *[f"b{j}" for j in range(k)]])
+            yield pa.RecordBatch.from_arrays([b.column(label).cast(pa.int64()), *[pa.array(c) for c in bins.matrix(b).T]], names=["label", *names])
 
-    schema = "label double, score double" + "".join(f", b{j} int" for j in range(k))
-    return persist_table(rows.repartition(tasks).mapInArrow(run, schema)).persist()  # read by every job; a lost part is read again
+    table = rows.mapInArrow(run, "label long" + "".join(f", {c} int" for c in names))
+    return persist_table(table.groupBy(*names).agg(F.sum("label").alias("ones"), F.count(F.lit(1)).alias("rows")))
 
 
-def _columns(batch: pa.RecordBatch) -> np.ndarray:
-    return np.stack([c.to_numpy() for c in batch.columns[2:]], axis=1)
+def _binned(cells: DataFrame, bins: Bins, base: float, tasks: int) -> DataFrame:
+    """ones, rows, score, x: arrays over ``PACK_ROWS`` cells as bytes; written down once."""
+    names, kind = [f"b{j}" for j in range(len(bins.sizes))], narrowest(bins)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in pieces(batches, PACK_ROWS):
+            x = np.stack([b.column(c).to_numpy() for c in names], axis=1).astype(kind)
+            arrays = (b.column("ones").to_numpy(), b.column("rows").to_numpy(), np.full(len(x), base), x)
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in arrays], names=["ones", "rows", "score", "x"])
+
+    return persist_table(cells.repartition(tasks).mapInArrow(run, "ones binary, rows binary, score binary, x binary")).persist()  # read by every job; a lost part is read again
+
+
+def _arrays(b: pa.RecordBatch, bins: Bins) -> Iterator[tuple[np.ndarray, ...]]:
+    """ones, rows, score, x of each record."""
+    kinds = {"ones": np.int64, "rows": np.int64, "score": np.float64, "x": narrowest(bins)}
+    for j in range(b.num_rows):
+        ones, rows, score, x = (np.frombuffer(b.column(c)[j].as_buffer(), kind) for c, kind in kinds.items())
+        yield ones, rows, score, x.reshape(len(ones), -1)
 
 
 def _advance(x: np.ndarray, score: np.ndarray, trees: Sequence[Tree], numeric: int) -> np.ndarray:
@@ -205,37 +248,37 @@ def _advance(x: np.ndarray, score: np.ndarray, trees: Sequence[Tree], numeric: i
     return score
 
 
-def _flushed(binned: DataFrame, trees: Sequence[Tree], numeric: int) -> DataFrame:
+def _flushed(binned: DataFrame, trees: Sequence[Tree], bins: Bins) -> DataFrame:
     """The table with the scores after ``trees``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = _advance(_columns(b), b.column("score").to_numpy(), trees, numeric)
-            yield b.set_column(1, "score", pa.array(score))
+            scores = [_advance(x, score, trees, len(bins.numeric)).tobytes() for _, _, score, x in _arrays(b, bins)]
+            yield b.set_column(2, "score", pa.array(scores, pa.binary()))
 
     out = persist_table(binned.mapInArrow(run, binned.schema)).persist()
     binned.unpersist()
     return out
 
 
-def _state(b: pa.RecordBatch, tree: Tree, done: Sequence[Tree], slot_of: np.ndarray, numeric: int) -> tuple[np.ndarray, ...]:
-    """Of the rows in wanted nodes: slot, bins, gradient and curvature (whole numbers)."""
-    x = _columns(b)
-    slot = slot_of[tree.nodes(x, numeric)]
-    keep = slot >= 0
-    x = x[keep]
-    p = 1 / (1 + np.exp(-_advance(x, b.column("score").to_numpy()[keep], done, numeric)))
-    return slot[keep], x, np.rint((p - b.column("label").to_numpy()[keep]) * GRAIN), np.rint(p * (1 - p) * GRAIN)
+def _state(b: pa.RecordBatch, bins: Bins, tree: Tree, done: Sequence[Tree], slot_of: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Of the cells in wanted nodes: slot, bins, gradient and curvature (whole numbers, of all their rows), rows."""
+    numeric = len(bins.numeric)
+    for ones, rows, score, x in _arrays(b, bins):
+        slot = slot_of[tree.nodes(x, numeric)]
+        keep = slot >= 0
+        x, ones, rows = x[keep], ones[keep], rows[keep]
+        p = 1 / (1 + np.exp(-_advance(x, score[keep], done, numeric)))
+        yield (slot[keep], x, ones * np.rint((p - 1) * GRAIN) + (rows - ones) * np.rint(p * GRAIN), rows * np.rint(p * (1 - p) * GRAIN), rows)
 
 
-def _sums(slot: np.ndarray, x: np.ndarray, g: np.ndarray, h: np.ndarray, slots: int, offsets: np.ndarray) -> np.ndarray:
+def _sums(slot: np.ndarray, x: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, slots: int, offsets: np.ndarray) -> np.ndarray:
     """(slots, bins, 3) of gradient, curvature and rows; exact as long as a task has below 2**29 rows."""
     width = int(offsets[-1])
     total = np.zeros((3, slots * width))
     for j in range(x.shape[1]):
         place = slot * width + offsets[j] + x[:, j]
-        total[0] += np.bincount(place, g, total.shape[1])
-        total[1] += np.bincount(place, h, total.shape[1])
-        total[2] += np.bincount(place, minlength=total.shape[1])
+        for k, weight in enumerate((g, h, rows)):
+            total[k] += np.bincount(place, weight, total.shape[1])
     return total.reshape(3, slots, width).transpose(1, 2, 0).astype(np.int64)
 
 
@@ -247,12 +290,13 @@ def _slots(tree: Tree, wanted: Sequence[int]) -> np.ndarray:
 
 def _histograms(binned: DataFrame, done: Sequence[Tree], bins: Bins, tasks: int, tree: Tree, wanted: Sequence[int]) -> np.ndarray:
     """(nodes, bins, 3) for the nodes of ``wanted``, in one job."""
-    slot_of, offsets, numeric = _slots(tree, wanted), bins.offsets, len(bins.numeric)
+    slot_of, offsets = _slots(tree, wanted), bins.offsets
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(wanted), int(offsets[-1]), 3), np.int64)
         for b in batches:
-            total += _sums(*_state(b, tree, done, slot_of, numeric), len(wanted), offsets)
+            for state in _state(b, bins, tree, done, slot_of):
+                total += _sums(*state, len(wanted), offsets)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(wanted)), pa.int32()), pa.array([t.tobytes() for t in total], pa.binary())],
                                          names=["slot", "sums"])
 
@@ -265,7 +309,7 @@ def _histograms(binned: DataFrame, done: Sequence[Tree], bins: Bins, tasks: int,
                                          names=["slot", "sums"])
 
     parts = binned.mapInArrow(run, "slot int, sums binary")
-    if tasks > 1:
+    if tasks * len(wanted) > FEW_PARTS:
         parts = parts.repartition(min(tasks, len(wanted)), "slot").mapInArrow(join, "slot int, sums binary")
     out = np.zeros((len(wanted), int(offsets[-1]), 3), np.int64)
     for r in parts.collect():  # nodes x bins numbers
@@ -385,48 +429,48 @@ def _grow(histograms: Callable[[Tree, list[int]], np.ndarray], bins: Bins, grow:
 def _finish(binned: DataFrame, done: Sequence[Tree], bins: Bins, grow: Growth, tasks: int, tree: Tree,
             small: list[tuple[int, int]]) -> dict[int, _Grown]:
     """What grows below nodes of at most ``LOCAL_ROWS`` rows: a task each, one job for all."""
-    slot_of, numeric = _slots(tree, [n for n, _ in small]), len(bins.numeric)
+    slot_of, numeric, kind = _slots(tree, [n for n, _ in small]), len(bins.numeric), narrowest(bins)
 
-    def below(slot: int, x: np.ndarray, g: np.ndarray, h: np.ndarray) -> str:
+    def below(slot: int, x: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray) -> str:
         depth = None if grow.depth is None else grow.depth - small[slot][1]
 
         def histograms(t: Tree, wanted: list[int]) -> np.ndarray:
             at = _slots(t, wanted)[t.nodes(x, numeric)]
             keep = at >= 0
-            return _sums(at[keep], x[keep], g[keep], h[keep], len(wanted), bins.offsets)
+            return _sums(at[keep], x[keep], g[keep], h[keep], rows[keep], len(wanted), bins.offsets)
 
         grown = _grow(histograms, bins, grow, depth, 0)
         return json.dumps({"tree": vars(grown.tree), "splits": {n: s and vars(s) for n, s in grown.splits.items()}})
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    def states(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
         for b in batches:
-            yield _state(b, tree, done, slot_of, numeric)
-
-    def grow_all(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        slot, x, g, h = (np.concatenate(c) for c in zip(*parts))
-        found = [(k, below(k, x[slot == k], g[slot == k], h[slot == k])) for k in np.unique(slot).tolist()]
-        return pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([t for _, t in found], pa.string())],
-                                          names=["slot", "grown"])
+            yield from _state(b, bins, tree, done, slot_of)
 
     def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(rows(batches))
+        parts = list(states(batches))
         if parts:
-            yield grow_all(parts)
+            slot, *rest = (np.concatenate(c) for c in zip(*parts))
+            found = [(k, below(k, *(c[rows] for c in rest))) for k, rows in by_slot(slot)]
+            yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in found], pa.int32()), pa.array([t for _, t in found], pa.string())],
+                                             names=["slot", "grown"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for slot, x, g, h in rows(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(g), pa.array(h), *[pa.array(c) for c in x.T]],
-                                             names=["slot", "g", "h", *[f"b{j}" for j in range(x.shape[1])]])
+        for slot, *rest in states(batches):
+            groups = list(by_slot(slot))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in groups], pa.int32()), *[pa.array([c[rows].tobytes() for _, rows in groups], pa.binary()) for c in rest]],
+                names=["slot", "x", "g", "h", "rows"])
 
     def take(table: pa.Table) -> pa.Table:
-        columns = [c.to_numpy() for c in table.columns]
-        return pa.Table.from_batches([grow_all([(columns[0].astype(np.int64), np.stack(columns[3:], axis=1), columns[1], columns[2])])])
+        k = table.column("slot")[0].as_py()
+        x, g, h, rows = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("x", kind), ("g", float), ("h", float), ("rows", np.int64)))
+        return pa.table([pa.array([k], pa.int32()), pa.array([below(k, x.reshape(len(g), -1), g, h, rows)])], names=["slot", "grown"])
 
     if tasks == 1:  # all rows are in one partition as they are
         found = binned.mapInArrow(here, "slot int, grown string")
     else:
-        schema = "slot int, g double, h double" + "".join(f", b{j} int" for j in range(len(bins.sizes)))
-        found = binned.mapInArrow(send, schema).groupBy("slot").applyInArrow(take, "slot int, grown string")
+        sent = binned.mapInArrow(send, "slot int, x binary, g binary, h binary, rows binary")
+        found = sent.repartition(min(tasks, len(small)), "slot").groupBy("slot").applyInArrow(take, "slot int, grown string")
     out = {}
     for r in found.collect():  # nodes x leaves
         held = json.loads(r["grown"])
@@ -470,7 +514,7 @@ def fit_boosted(df: DataFrame, grow: Growth, numeric: Sequence[str], categories:
     Rows without a label are left out; missing numbers count as 0, missing categories are a
     category; NaN counts as missing. ``id_cols`` name what the sample for the cut points is hashed from; without
     them all columns are taken. With one label only, or no rows, the model is a constant.
-    Runs jobs when called: two tables are written (rows, binned rows), the second anew after
+    Runs jobs when called: three tables are written (rows, cells, packed cells), the last anew after
     every ten trees, and every job of a tree reads it once.
     """
     columns = list(dict.fromkeys([*numeric, *categories, label, *id_cols]))
@@ -482,8 +526,12 @@ def fit_boosted(df: DataFrame, grow: Growth, numeric: Sequence[str], categories:
         return BoostedModel(Bins(list(numeric), [[] for _ in numeric], list(categories), [[] for _ in categories]), base, [])
     base = float(np.log(ones / (n - ones)))
     bins = find_bins(rows, n, numeric, categories, list(id_cols) or columns, grow.bins)
+    cells = _cells(rows, bins, label)
+    n = cells.count()
     tasks = max(1, -(-n // TASK_ROWS))
-    binned = _binned(rows, bins, label, base, tasks)
+    if n > LOCAL_ROWS:
+        tasks = max(tasks, df.sparkSession.sparkContext.defaultParallelism)
+    binned = _binned(cells, bins, base, tasks)
     trees: list[Tree] = []
     pending: list[Tree] = []
     for k in range(grow.trees):
@@ -493,6 +541,6 @@ def fit_boosted(df: DataFrame, grow: Growth, numeric: Sequence[str], categories:
         if len(tree.feature) == 1 and abs(tree.value[0]) < 1e-12:
             break  # nothing is left to learn, further trees would be the same
         if len(pending) == FLUSH and k + 1 < grow.trees:
-            binned, pending = _flushed(binned, pending, len(bins.numeric)), []
+            binned, pending = _flushed(binned, pending, bins), []
     binned.unpersist()
     return BoostedModel(bins, base, trees)

@@ -145,3 +145,18 @@ def test_saved_model_scores_alike(spark, table, tmp_path):
     assert rows(again) == rows(model)
     with pytest.raises(ValueError):
         G.Growth()
+
+
+def test_equal_rows_are_one_cell(spark, table, monkeypatch):
+    """Copies under other ids add to the counts of a cell, not to the work of a tree, and trees are those of all rows."""
+    monkeypatch.setattr(G, "PACK_ROWS", 70)
+    copies = table.join(spark.range(5).withColumnRenamed("id", "k")).withColumn("id", F.col("id") + 1_000 * F.col("k")).drop("k")
+    grow = G.Growth(trees=3, leaves=9, min_rows=20)
+    model = G.fit_boosted(copies, grow, ["a", "b"], ["c"], "y", ["id"])
+    cells = G._cells(copies.select("a", "b", "c", "y"), model.bins, "y")
+    assert cells.count() == table.select("a", "b", "c").distinct().count()
+    assert cells.agg(F.sum("rows"), F.sum("ones")).first() == copies.agg(F.count("*"), F.sum("y")).first()
+    held = sorted(copies.collect())
+    x = np.array([[np.searchsorted(model.bins.cuts[0], r.a), np.searchsorted(model.bins.cuts[1], r.b), model.bins.values[0].index(r.c)] for r in held])
+    _, trees = plain_fit(x, np.array([r.y for r in held]), 2, grow, model.base)
+    assert all(same_tree(as_paths(t), q) for t, q in zip(model.trees, trees))
