@@ -191,13 +191,14 @@ def autocorrelation(s: DataFrame, id_col: str = "series_id", lags: Iterable[int]
 
 def _trend_part() -> Part:
     t = F.col("t").cast("double")
+    varied = F.when(F.col("std") > 0, F.col("x"))  # a flat series has no r; asked for it, the aggregate divides by zero
     measures = [
         F.count("x").alias("r_n"), F.regr_slope("x", t).alias("trend_slope"), F.regr_intercept("x", t).alias("trend_intercept"),
-        F.corr("x", t).alias("trend_r"), F.var_pop("x").alias("r_vy"), F.var_pop(t).alias("r_vx")]
+        F.corr(varied, t).alias("trend_r"), F.var_pop("x").alias("r_vy"), F.var_pop(t).alias("r_vx")]
     dof = F.col("r_n") - 2
     r2 = F.col("trend_r") * F.col("trend_r")
     error = F.when(dof > 0, F.sqrt(F.try_divide((1 - r2) * F.col("r_vy"), F.col("r_vx") * dof)))
-    p = student_p_integer(F.try_divide(F.col("trend_slope"), error), dof.cast("int"))
+    p = F.when(F.col("trend_r").isNotNull(), student_p_integer(F.try_divide(F.col("trend_slope"), error), dof.cast("int")))
     return Part([], measures, [F.col("trend_slope"), F.col("trend_intercept"), F.col("trend_r"),
                                error.alias("trend_stderr"), p.alias("trend_p")])
 

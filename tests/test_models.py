@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,9 @@ from meterwatch.operators import forest as I
 from meterwatch.operators import kmodes as KM
 from meterwatch.operators import regimes as M
 from meterwatch.operators import series_features as X
+from meterwatch.plans.catalog import ORACLES, QUERIES
 from meterwatch.plans.views import Views
+from tests.compare import differences
 from tests.conftest import SF_DIR
 
 SERIES = "series_id long, period date, value double"
@@ -335,6 +338,31 @@ def test_feature_table_drops_incomplete_columns(spark):
     assert not any(r is None for row in table.collect() for r in row)
 
 
+def test_flat_series_has_no_correlation(spark):
+    """A flat series has a slope of zero, but neither r nor what follows from it; the others keep theirs."""
+    got = {r.series_id: r for r in X.linear_trend(X.index_series(frame(spark, {1: [5] * 8, 2: [0] * 8, 3: range(8), 4: [3]}))).collect()}
+    assert [(got[k].trend_slope, got[k].trend_intercept) for k in (1, 2)] == [(0.0, 5.0), (0.0, 0.0)]
+    assert {(got[k].trend_r, got[k].trend_stderr, got[k].trend_p) for k in (1, 2, 4)} == {(None, None, None)}
+    assert got[3].trend_r == pytest.approx(1) and got[3].trend_stderr == pytest.approx(0, abs=1e-6) and got[3].trend_p == pytest.approx(0, abs=1e-6)
+
+
+def test_feature_table_is_the_complete_part_of_its_sql(spark, tmp_path):
+    """Supplier 0 is flat, supplier 1 has few months: what they lack is left out, all else equals the SQL."""
+    con = duckdb.connect()
+    con.sql(f"create table supplier as from '{SF_DIR}/supplier.parquet'")
+    con.sql(f"""create table lineitem as select * replace (case when l_suppkey = 0 then 7.0 else l_quantity end as l_quantity)
+        from '{SF_DIR}/lineitem.parquet' where l_suppkey <> 1 or l_shipdate > (select max(l_shipdate) - interval 12 month from '{SF_DIR}/lineitem.parquet')
+        qualify l_suppkey <> 0 or row_number() over (partition by l_suppkey, date_trunc('month', l_shipdate) order by l_orderkey, l_linenumber) = 1""")
+    for name in ("supplier", "lineitem"):
+        con.sql(f"copy {name} to '{tmp_path}/{name}.parquet'")
+    sql = ORACLES["feature_table"]
+    columns = con.sql(sql).columns
+    gaps = con.sql("select " + ", ".join(f"count(*) filter ({c} is null or isnan(cast({c} as double)))" for c in columns) + f" from ({sql})").fetchall()[0]
+    kept = [c for c, n in zip(columns, gaps) if n == 0]
+    assert {"trend_r", "fft_real_9"}.isdisjoint(kept) and {"trend_slope", "fft_real_5", "cid_ce"} <= set(kept)
+    assert differences(con, QUERIES["feature_table"](spark, str(tmp_path)), f"select {', '.join(kept)} from ({sql})") == []
+
+
 def test_one_client_does_not_take_a_feature_from_all(spark):
     """Without a pair of the longer templates the entropy is infinite, which is a value: the column stays."""
     rng = np.random.default_rng(21)
